@@ -32,12 +32,12 @@ def is_blank(text: Column) -> Column:
 
 def is_empty(text: Column) -> Column:
     """True for NULL and the empty string only; never NULL."""
-    return F.coalesce(text, F.lit("")) == ""
+    return text.isNull() | (text == "")
 
 
 def has_text(text: Column) -> Column:
     """True when the text is neither NULL nor empty; never NULL."""
-    return ~is_empty(text)
+    return text.isNotNull() & (text != "")
 
 
 def only_symbols(text: Column) -> Column:

@@ -90,15 +90,15 @@ def post_join(t: Tables, k: int = 10) -> DataFrame:
 def comment_join(t: Tables, k: int = 10) -> DataFrame:
     """Comments with their post and, where known, their author.
 
-    The first k comments are taken after the filtering joins but before the
-    author lookup, which never drops a row.
+    Links meet posts first, so that comments are shuffled once. The first k
+    comments are taken before the author lookup, which never drops a row.
     """
-    matched = (
-        t["comment"]
-        .join(t["post_link"].select("link_id", "post_id"), "link_id")
-        .join(t["post"].select(F.col("link_id").alias("post_link")),
-              F.col("post_id") == F.col("post_link"))
-        .select("id", "body", "post_link", F.col("author").alias("_author"))
+    posts = t["post"].select(F.col("link_id").alias("post_link"))
+    links = t["post_link"].join(posts, F.col("post_id") == F.col("post_link")).select(
+        "link_id", "post_link"
+    )
+    matched = t["comment"].join(links, "link_id").select(
+        "id", "body", "post_link", F.col("author").alias("_author")
     )
     first = top(matched, k, F.col("id").asc())
     known = t["users"].select("author")

@@ -13,8 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from threadloom import schemas
+from pyspark.sql import types as T
 
 # The dependencies that domain knowledge suggests.
 DOMAIN_DEPENDENCIES = [
@@ -31,9 +30,9 @@ DOMAIN_DEPENDENCIES = [
     ("id", "link_id", "Comment ID determines parent post link ID"),
 ]
 
-# A column this far below full uniqueness in a sketch with a 2 % standard error
-# is not looked at again; the margin is fifteen standard errors.
-SKETCH_ERROR = 0.02
+# A column this far below full uniqueness in a sketch with a standard error of
+# at most 2 % is not looked at again; the margin is ten standard errors or more.
+SKETCH_LOG_SIZE = 12
 SKETCH_FLOOR = 0.7
 REPORTED_UNIQUENESS = 0.9
 
@@ -190,7 +189,12 @@ def uniqueness(table: str, df: DataFrame) -> DataFrame:
     """
     sketch = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.approx_count_distinct(c, SKETCH_ERROR).alias(c) for c in df.columns],
+        *[
+            F.hll_sketch_estimate(
+                F.hll_sketch_agg(F.col(f.name).cast(_sketched_type(f.dataType)), SKETCH_LOG_SIZE)
+            ).alias(f.name)
+            for f in df.schema.fields
+        ],
     ).first()
     likely = [c for c in df.columns if sketch[c] > SKETCH_FLOOR * sketch["_rows"]]
     parts = [
@@ -211,6 +215,11 @@ def uniqueness(table: str, df: DataFrame) -> DataFrame:
     ).select(F.lit(table).alias("table_name"), "column_name", "distinct_count", "row_count")
 
 
+def _sketched_type(dtype: T.DataType) -> T.DataType:
+    """Sketches take whole numbers and text; other values are sketched as text."""
+    return dtype if isinstance(dtype, (T.IntegerType, T.LongType)) else T.StringType()
+
+
 def candidate_keys(table: str, df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Columns outside the declared key with a distinct, present value in every row."""
     unique = uniqueness(table, df.drop(*key))
@@ -254,6 +263,3 @@ def summary(tables: Mapping[str, DataFrame], found: DataFrame) -> DataFrame:
         [F.least(df.limit(1).agg(F.count(F.lit(1))).scalar(), F.lit(1)) for df in tables.values()],
     )
     return one_row.select(filled.cast("long").alias("total_tables"), "total_fds")
-
-
-DECLARED_KEYS = schemas.PRIMARY_KEYS

@@ -27,6 +27,11 @@ def _lines(df: DataFrame, section: int, entry: Column, lines: Sequence[Column])
     )
 
 
+def _fixed(value: Column, digits: int) -> Column:
+    """A number with a fixed count of decimals, where ties go to the even digit."""
+    return F.format_string(f"%.{digits}f", F.bround(value, digits))
+
+
 def timing_comparison(before: DataFrame, after: DataFrame) -> DataFrame:
     """Before and after times by query with the speedup, fastest gain first."""
     merged = before.select("query", "row_count", F.col("seconds").alias("time_before")).join(
@@ -52,9 +57,9 @@ def rule_report(
             F.format_string("Frequent Itemsets: %d", "frequent_itemsets"),
             F.format_string("Association Rules: %d", "association_rules"),
             F.when(F.col("association_rules") > 0,
-                   F.format_string("Average Confidence: %.4f", "average_confidence")),
+                   F.concat(F.lit("Average Confidence: "), _fixed(F.col("average_confidence"), 4))),
             F.when(F.col("association_rules") > 0,
-                   F.format_string("Average Lift: %.4f", "average_lift")),
+                   F.concat(F.lit("Average Lift: "), _fixed(F.col("average_lift"), 4))),
             F.when(F.col("association_rules") > 0,
                    F.format_string("Rules with Lift > 1.0: %d", "rules_with_positive_lift")),
         ],
@@ -63,12 +68,13 @@ def rule_report(
     ranked_sets = top_itemsets(itemsets, first_itemsets).withColumn(
         "entry", F.row_number().over(Window.orderBy(*itemset_order()))
     )
-    percent = (F.col("support") * 100).alias("percent")
+    support = [_fixed(F.col("support"), 4), _fixed(F.col("support") * 100, 2)]
+    confidence = [_fixed(F.col("confidence"), 4), _fixed(F.col("confidence") * 100, 1)]
     itemset_lines = _lines(
         ranked_sets, 2, F.col("entry"),
         [
             F.format_string("%d. %s", "entry", F.array_join("items", ", ")),
-            F.format_string("   Support: %.4f (%.2f%%)", "support", percent),
+            F.format_string("   Support: %s (%s%%)", *support),
             F.format_string("   Length: %d items", "length"),
         ],
     )
@@ -79,7 +85,7 @@ def rule_report(
         .otherwise(" (no association)")
     )
     shown_conviction = F.when(F.col("conviction") == float("inf"), "inf").otherwise(
-        F.format_string("%.4f", "conviction")
+        _fixed(F.col("conviction"), 4)
     )
     rule_lines = _lines(
         numbered, 3, F.col("entry"),
@@ -87,10 +93,9 @@ def rule_report(
             F.format_string("Rule %d:", "entry"),
             F.concat(F.lit("  IF "), F.array_join("antecedents", ", ")),
             F.concat(F.lit("  THEN "), F.array_join("consequents", ", ")),
-            F.format_string("  Support: %.4f (%.2f%%)", "support", percent),
-            F.format_string("  Confidence: %.4f (%.1f%%)", "confidence",
-                            F.col("confidence") * 100),
-            F.concat(F.format_string("  Lift: %.4f", "lift"), direction),
+            F.format_string("  Support: %s (%s%%)", *support),
+            F.format_string("  Confidence: %s (%s%%)", *confidence),
+            F.concat(F.lit("  Lift: "), _fixed(F.col("lift"), 4), direction),
             F.concat(F.lit("  Conviction: "), shown_conviction),
         ],
     )

@@ -10,6 +10,7 @@ on how rows were cut into batches.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -35,11 +36,16 @@ def write_batch(target: str) -> Callable[[DataFrame, int], None]:
     def write(chunk: DataFrame, batch_id: int) -> None:
         # One read of the source files serves all five collections.
         chunk.persist(StorageLevel.MEMORY_AND_DISK)
+        def save(name: str) -> None:
+            rows, reduced = REDUCTIONS[name]
+            reduced(rows(chunk)).write.mode("overwrite").parquet(
+                f"{target}/{name}/batch_id={batch_id}"
+            )
+
         try:
-            for name, (rows, reduced) in REDUCTIONS.items():
-                reduced(rows(chunk)).write.mode("overwrite").parquet(
-                    f"{target}/{name}/batch_id={batch_id}"
-                )
+            # The five writes are independent jobs; together they fill the cluster.
+            with ThreadPoolExecutor(len(REDUCTIONS)) as pool:
+                list(pool.map(save, REDUCTIONS))
         finally:
             chunk.unpersist()
 
