@@ -110,3 +110,12 @@ def test_cleaning_never_shuffles(ws):
     for table in schemas.CLEANED_TABLES:
         plan = clean.clean(table, ws.relational[table])._jdf.queryExecution().toString()
         assert "Exchange" not in plan
+
+
+def test_removed_rows_are_the_set_difference(table_frame, rows_of):
+    raw = {"users": table_frame("users", {"author": "a"}, {"author": "a"}, {"author": None},
+                                {"author": "b", "author_flair_text": "x"})}
+    cleaned = {"users": table_frame("users", {"author": "b"}, {"author": None}, {"author": "new"})}
+    difference = verify.removed("users", raw, cleaned)
+    assert rows_of(difference) == rows_of(raw["users"].subtract(cleaned["users"]))
+    assert difference.count() == 2

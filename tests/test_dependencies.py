@@ -84,3 +84,13 @@ def test_shape_of_domain_dependencies(ws):
     assert len(found) == 9
     assert not found["link_id", "author"] and not found["author", "author_flair_text"]
     assert found["link_id", "subreddit_id"] and found["id", "link_id"]
+
+
+def test_examples_of_several_dependents_at_once(ws):
+    def rows(df):
+        return sorted((r.determinant_value, r.dependent_column, tuple(r.dependent_values))
+                      for r in df.collect())
+
+    ys = ["author", "created_utc", "subreddit_id"]
+    alone = [r for y in ys for r in rows(dependencies.examples(ws.flat, "link_id", [y]))]
+    assert rows(dependencies.examples_each(ws.flat, "link_id", ys)) == sorted(alone)

@@ -94,10 +94,9 @@ def check_each(df: DataFrame, determinant: str, dependents: Sequence[str]) -> Da
 def examples(
     df: DataFrame, determinant: str, dependents: Sequence[str], groups: int = 3, values: int = 3
 ) -> DataFrame:
-    """The first violated groups with a few of the values they mix.
+    """The first violated groups of X -> Y with a few of the values they mix.
 
     As in the check, a group is represented by its first dependent that varies.
-    Values are ranked as distinct pairs and cut before they are collected.
     """
     spread = _spread(df, [determinant], dependents)
     first_bad = F.coalesce(*[F.when(F.col(f"bad_{i}"), c) for i, c in enumerate(dependents)])
@@ -107,20 +106,47 @@ def examples(
         .orderBy(determinant)
         .limit(groups)
     )
-    # At most `groups` rows, so the hint is safe.
+    return _mixed_values(df, determinant, dependents, chosen, values)
+
+
+def examples_each(
+    df: DataFrame, determinant: str, dependents: Sequence[str], groups: int = 3, values: int = 3
+) -> DataFrame:
+    """`examples` of X -> Y for every Y on its own, with one aggregate for all of them."""
+    spread = _spread(df, [determinant], dependents)
+    varying = F.array_compact(F.array(*[
+        F.when(F.col(f"bad_{i}"), c) for i, c in enumerate(dependents)
+    ]))
+    violated = spread.select(determinant, F.explode(varying).alias("dependent_column"))
+    window = Window.partitionBy("dependent_column").orderBy(determinant)
+    chosen = (
+        violated.withColumn("_rank", F.row_number().over(window))
+        .filter(F.col("_rank") <= groups)
+        .drop("_rank")
+    )
+    return _mixed_values(df, determinant, dependents, chosen, values)
+
+
+def _mixed_values(
+    df: DataFrame, determinant: str, dependents: Sequence[str], chosen: DataFrame, values: int
+) -> DataFrame:
+    """The smallest values of the chosen groups, ranked as distinct pairs before they are collected."""
+    # A few groups per dependent, so the hint is safe.
     rows = df.select(determinant, *dependents).join(F.broadcast(chosen), determinant)
-    value = F.coalesce(*[
-        F.when(F.col("dependent_column") == c, F.col(c).cast("string")) for c in dependents
-    ])
-    # Numbers are ranked as numbers: the sort column keeps a single dependent's own type.
-    sort_key = F.col(dependents[0]) if len(dependents) == 1 else value
+    numeric = [c for c in dependents if isinstance(df.schema[c].dataType, T.NumericType)]
+
+    def picked(columns: Sequence[str], kind: str) -> Column:
+        cases = [F.when(F.col("dependent_column") == c, F.col(c).cast(kind)) for c in columns]
+        return F.coalesce(*cases, F.lit(None).cast(kind))
+
     pairs = rows.select(
         F.col(determinant).cast("string").alias("determinant_value"),
         "dependent_column",
-        value.alias("value"),
-        sort_key.alias("_sort"),
+        picked(numeric, "decimal(38,6)").alias("_number"),
+        picked(dependents, "string").alias("value"),
     ).filter(F.col("value").isNotNull()).distinct()
-    window = Window.partitionBy("determinant_value", "dependent_column").orderBy("_sort")
+    # Numbers rank as numbers, text as text.
+    window = Window.partitionBy("determinant_value", "dependent_column").orderBy("_number", "value")
     ranked = pairs.withColumn("_rank", F.row_number().over(window)).filter(
         F.col("_rank") <= values
     )
@@ -135,6 +161,15 @@ def examples(
     )
 
 
+def domain_groups(columns: Sequence[str]) -> dict[str, list[str]]:
+    """Domain dependencies whose columns exist: determinant -> its dependents."""
+    groups: dict[str, list[str]] = {}
+    for determinant, dependent, _ in DOMAIN_DEPENDENCIES:
+        if determinant in columns and dependent in columns:
+            groups.setdefault(determinant, []).append(dependent)
+    return groups
+
+
 def _describe(
     table: str, found: DataFrame, kind: str, description: Column | None = None
 ) -> DataFrame:
@@ -159,14 +194,12 @@ def primary_key(table: str, df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def domain(table: str, df: DataFrame) -> DataFrame:
     """The domain dependencies whose columns the table has, failing ones included."""
-    wanted = [(x, y, text) for x, y, text in DOMAIN_DEPENDENCIES
-              if x in df.columns and y in df.columns]
+    texts = {(x, y): text for x, y, text in DOMAIN_DEPENDENCIES}
     parts = []
-    for determinant in dict.fromkeys(x for x, _, _ in wanted):
-        texts = {y: text for x, y, text in wanted if x == determinant}
-        found = check_each(df, determinant, list(texts))
+    for determinant, dependents in domain_groups(df.columns).items():
+        found = check_each(df, determinant, dependents)
         description = F.coalesce(*[
-            F.when(F.col("dependent") == y, text) for y, text in texts.items()
+            F.when(F.col("dependent") == y, texts[determinant, y]) for y in dependents
         ])
         parts.append(_describe(table, found, "Domain-Based", description))
     if not parts:

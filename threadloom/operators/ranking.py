@@ -42,7 +42,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -> DataFrame:
     """Keys that hold more than `share` of the rows: at most 1 / share rows."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = df.agg(F.count(F.lit(1))).scalar()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return counts.filter(F.col("_rows") > total * F.lit(share)).select(*keys)
 

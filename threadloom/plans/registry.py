@@ -669,7 +669,8 @@ def fd_check(ws: Workspace) -> DataFrame:
 @query
 def fd_examples(ws: Workspace) -> DataFrame:
     parts = [
-        dependencies.examples(ws.flat, x, [y]) for x, y, _ in dependencies.DOMAIN_DEPENDENCIES
+        dependencies.examples_each(ws.flat, determinant, dependents)
+        for determinant, dependents in dependencies.domain_groups(ws.flat.columns).items()
     ]
     parts.append(dependencies.examples(
         ws.flat, "author", ["author_flair_css_class", "author_flair_text"]
@@ -728,7 +729,7 @@ def _mined(
     ws: Workspace, min_support: float, min_confidence: float
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Counted transactions, itemsets and rules, the first two stored for reuse."""
-    counts = ws.store(mining.transaction_counts(ws.cleaned))
+    counts = ws.table("transaction_counts")
     itemsets = ws.store(mining.frequent_itemsets(counts, min_support))
     return counts, itemsets, mining.association_rules(itemsets, min_confidence)
 
@@ -783,18 +784,18 @@ def mine_transaction_counts(ws: Workspace) -> DataFrame:
 
 @query
 def mine_encode(ws: Workspace) -> DataFrame:
-    return mining.encoding(ws.store(mining.transaction_counts(ws.cleaned)))
+    return mining.encoding(ws.table("transaction_counts"))
 
 
 @query
 def mine_itemsets(ws: Workspace) -> DataFrame:
-    counts = ws.store(mining.transaction_counts(ws.cleaned))
+    counts = ws.table("transaction_counts")
     return mining.frequent_itemsets(counts).withColumn("items", joined("items"))
 
 
 @query
 def mine_itemsets_low(ws: Workspace) -> DataFrame:
-    counts = ws.store(mining.transaction_counts(ws.cleaned))
+    counts = ws.table("transaction_counts")
     return mining.frequent_itemsets(counts, LOW_SUPPORT).withColumn("items", joined("items"))
 
 

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from threadloom import schemas
-from threadloom.operators import clean, constraints, documents, normalize
+from threadloom.operators import clean, constraints, documents, mining, normalize
 from threadloom.session import shared_folder
 from threadloom.sources import mapping
 from threadloom.streaming import doc_load
@@ -126,6 +126,7 @@ class Workspace:
             ),
             "doc_posts": lambda: documents.posts(self.flat, self.table("doc_comment_rows")),
             "doc_moderation": lambda: documents.moderation(self.flat),
+            "transaction_counts": lambda: mining.transaction_counts(self.cleaned),
         }
         return builders[name]()
 
