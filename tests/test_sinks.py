@@ -82,12 +82,22 @@ def test_report_keeps_its_order(spark, ws):
          ("t", "k", "x, y", "Primary Key", True, 0, 3, None)],
         "table_name string, determinant string, dependent string, fd_type string, holds boolean,"
         " violations long, total_groups long, description string")
+    facts = spark.createDataFrame(
+        [("t", "k, x, y", 1234, "k")],
+        "table_name string, columns string, row_count long, primary_key string")
+    examples = spark.createDataFrame(
+        [("t", "x", v, "y", ["1", "2"]) for v in ("c", "a", "b")],
+        "table_name string, determinant string, determinant_value string,"
+        " dependent_column string, dependent_values array<string>")
     path = ws.new_path("report-test")
-    reports.write_text(reports.fd_report(found), path)
-    assert [r.value for r in spark.read.text(path, wholetext=False).collect()] == [
-        "- t: `k` -> `x, y` **HOLDS**", "  - Type: Primary Key",
-        "- t: `x` -> `y` **FAILS**", "  - Type: Domain-Based", "  - Description: why",
-        "  - Violations: 2 violations in 3 groups",
+    reports.write_text(reports.fd_report(found, facts, examples), path)
+    assert [r.value for r in spark.read.text(path).collect()] == [
+        "- **Total Tables Analyzed**: 1", "- **Total Functional Dependencies Discovered**: 2",
+        "### Table: `t`", "**Columns**: k, x, y", "**Row Count**: 1,234", "**Primary Key**: `k`",
+        "- t: `k` -> `x, y` **HOLDS**", "  - Type: Primary Key", "  - Confidence: High",
+        "- t: `x` -> `y` **FAILS**", "  - Type: Domain-Based", "  - Confidence: High",
+        "  - Description: why", "  - Violations: 2 violations in 3 groups",
+        "    - x=a -> y=[1, 2]", "    - x=b -> y=[1, 2]",
     ]
 
 

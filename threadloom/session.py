@@ -15,6 +15,12 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+MB = 1024 * 1024
+PARTITION_BYTES = 128 * MB
+MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_SCAN_TASKS = 200_000
+MAX_SPLIT_BYTES = 1024 * MB
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -30,6 +36,46 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     return builder.getOrCreate()
 
 
+def sized_settings(input_bytes: int) -> dict[str, int]:
+    """Shuffle partitions and scan splits for an input of this size.
+
+    Adaptive execution merges small shuffle partitions but never makes more, so
+    the number has to start high enough for the data. Both are bounded because
+    a shuffle keeps one entry per pair of map and reduce task.
+    """
+    partitions = -(-input_bytes // PARTITION_BYTES)
+    split = -(-input_bytes // MAX_SCAN_TASKS)
+    return {
+        "spark.sql.shuffle.partitions": min(partitions, MAX_SHUFFLE_PARTITIONS),
+        "spark.sql.files.maxPartitionBytes": min(split, MAX_SPLIT_BYTES),
+    }
+
+
+def prepare(spark: SparkSession, input_bytes: int) -> None:
+    """Apply the settings the operators rely on; sizes are only ever raised."""
+    for name, value in SETTINGS.items():
+        if name.startswith("spark.sql.adaptive"):
+            spark.conf.set(name, value)
+    for name, wanted in sized_settings(input_bytes).items():
+        current = spark.conf.get(name)
+        if wanted > _bytes_or_count(current):
+            spark.conf.set(name, str(wanted))
+
+
+def _bytes_or_count(setting: str) -> int:
+    """A plain number, or a size such as 128MB, as a number."""
+    digits = setting.rstrip("bBkKmMgGtT")
+    unit = setting[len(digits):].lower().rstrip("b")
+    return int(digits) * 1024 ** " kmgt".index(unit or " ")
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder on any file system Spark can reach."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return file_system.getContentSummary(location).getLength()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors can reach, as named by `spark.checkpoint.dir`.
 

@@ -104,30 +104,68 @@ def rule_report(
 
 # Order in which kinds of dependency appear under a table.
 FD_TYPES = ["Primary Key", "Candidate Key", "Domain-Based"]
+SHOWN_EXAMPLES = 2
 
 
-def fd_report(found: DataFrame) -> DataFrame:
-    """Lines of the dependency report, three per dependency plus the failing counts.
+def fd_report(found: DataFrame, facts: DataFrame, examples: DataFrame) -> DataFrame:
+    """Lines of the dependency report: totals, tables, dependencies with examples.
 
-    The number of dependencies depends on the schema only, so one task may
-    number them.
+    The number of tables, dependencies and examples depends on the schema only,
+    so one task may number them.
     """
+    totals = found.agg(F.count(F.lit(1)).alias("fds")).select(
+        "fds", facts.agg(F.count(F.lit(1))).scalar().alias("tables")
+    )
+    total_lines = _lines(
+        totals, 1, F.lit(1),
+        [
+            F.format_string("- **Total Tables Analyzed**: %d", "tables"),
+            F.format_string("- **Total Functional Dependencies Discovered**: %d", "fds"),
+        ],
+    )
+    table_lines = _lines(
+        facts.withColumn("entry", F.row_number().over(Window.orderBy("table_name"))),
+        2, F.col("entry"),
+        [
+            F.format_string("### Table: `%s`", "table_name"),
+            F.concat(F.lit("**Columns**: "), F.col("columns")),
+            F.concat(F.lit("**Row Count**: "), F.format_number("row_count", 0)),
+            F.concat(F.lit("**Primary Key**: `"), F.col("primary_key"), F.lit("`")),
+        ],
+    )
+    first = Window.partitionBy("table_name", "determinant", "dependent_column").orderBy(
+        "determinant_value"
+    )
+    shown = (
+        examples.withColumn("n", F.row_number().over(first))
+        .filter(F.col("n") <= SHOWN_EXAMPLES)
+        .groupBy("table_name", "determinant", F.col("dependent_column").alias("dependent"))
+        .agg(F.array_sort(F.collect_list(F.format_string(
+            "    - %s=%s -> %s=[%s]", "determinant", "determinant_value", "dependent_column",
+            F.array_join("dependent_values", ", "),
+        ))).alias("example_lines"))
+    )
     kind = F.array_position(F.array(*[F.lit(t) for t in FD_TYPES]), F.col("fd_type"))
     order = Window.orderBy(F.col("table_name"), kind, F.col("determinant"), F.col("dependent"))
-    entry = found.withColumn("entry", F.row_number().over(order))
+    entry = found.join(shown, ["table_name", "determinant", "dependent"], "left").withColumn(
+        "entry", F.row_number().over(order)
+    )
     status = F.when(F.col("holds"), "HOLDS").otherwise("FAILS")
-    return _lines(
-        entry, 1, F.col("entry"),
+    fd_lines = _lines(
+        entry, 3, F.col("entry"),
         [
             F.format_string("- %s: `%s` -> `%s` **%s**", "table_name", "determinant",
                             "dependent", status),
             F.format_string("  - Type: %s", "fd_type"),
+            F.lit("  - Confidence: High"),
             F.concat(F.lit("  - Description: "), F.col("description")),
             F.when(~F.col("holds"),
                    F.format_string("  - Violations: %d violations in %d groups",
                                    "violations", "total_groups")),
+            *[F.get(F.col("example_lines"), F.lit(i)) for i in range(SHOWN_EXAMPLES)],
         ],
     )
+    return reduce(DataFrame.unionByName, [total_lines, table_lines, fd_lines])
 
 
 def write_text(lines: DataFrame, path: str) -> None:
