@@ -26,7 +26,7 @@ def found(itemsets):
 LISTS = [["a", "b"]] * 7 + [["a", "c"]] * 40 + [["c"]] * 30 + [["d", "e", "f"]] * 20 + [["g"]] * 3
 
 
-@pytest.mark.parametrize("support", [0.07, 0.03, 0.2, 0.31])
+@pytest.mark.parametrize("support", [0.07, 0.03, 0.2, 0.31, 0.0001])
 def test_itemsets_at_the_limit(spark, support):
     tx = transactions(spark, LISTS)
     expected = brute(LISTS, support)

@@ -25,6 +25,7 @@ MIN_CONFIDENCE = 0.5
 
 # Community, score band, gilded, controversial, edited, distinguished, archived.
 MAX_WIDTH = 7
+MAX_LISTED_ITEMS = 10_000
 
 # Lower bounds (exclusive) of the score bands, best first.
 SCORE_BANDS = [(50, "very_high_score"), (20, "high_score"), (5, "medium_score"), (0, "low_score")]
@@ -167,22 +168,23 @@ def frequent_itemsets(counts: DataFrame, min_support: float = MIN_SUPPORT) -> Da
     """All itemsets with at least `min_support`, from counted distinct transactions.
 
     Items that are too rare are dropped first. Of the others there are at most
-    MAX_WIDTH / min_support, so they fit in one array. Each remaining distinct
-    transaction then adds its count to all its subsets, at most 127.
+    MAX_WIDTH / min_support, so they fit in one array; for a support so small
+    that they might not, nothing is dropped. Each remaining distinct transaction
+    then adds its count to all its subsets, at most 127.
     """
     total = counts.agg(F.sum("n")).scalar()
-    frequent_items = (
-        item_counts(counts)
-        .filter(F.col("transactions") / total >= F.lit(min_support))
-        .agg(F.collect_list("item")).scalar()
-    )
-    reduced = (
-        counts.select(
-            F.array_intersect("items", frequent_items).alias("items"), "n"
+    reduced = counts
+    if MAX_WIDTH <= MAX_LISTED_ITEMS * min_support:
+        frequent_items = (
+            item_counts(counts)
+            .filter(F.col("transactions") / total >= F.lit(min_support))
+            .agg(F.collect_list("item")).scalar()
+        )
+        reduced = (
+            counts.select(F.array_intersect("items", frequent_items).alias("items"), "n")
+            .filter(F.size("items") > 0)
+            .groupBy("items").agg(F.sum("n").alias("n"))
         )
-        .filter(F.size("items") > 0)
-        .groupBy("items").agg(F.sum("n").alias("n"))
-    )
     too_wide = F.raise_error(F.lit(
         f"a transaction has more than {MAX_WIDTH} items; use frequent_itemsets_of_any_width"
     ))

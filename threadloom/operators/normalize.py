@@ -51,8 +51,17 @@ def post_link(flat: DataFrame) -> DataFrame:
     return _first_rows(top_level, "link_id", schemas.RELATIONAL["post_link"].names)
 
 
+def known_links(links: DataFrame, posts: DataFrame) -> DataFrame:
+    """Links that have both a post link and a post, as a comment needs."""
+    return links.select("link_id").join(posts.select("link_id"), "link_id", "left_semi")
+
+
 def linked_comments(flat: DataFrame, links: DataFrame) -> DataFrame:
-    """Comment rows whose link is known, with post parents set to NULL; ids may still repeat."""
+    """Comment rows whose link is known, with post parents set to NULL; ids may still repeat.
+
+    `links` should be a stored table: a dominant link is split over tasks only
+    where both sides of the join are freshly shuffled.
+    """
     columns = schemas.RELATIONAL["comment"].names
     rows = flat.filter(F.col("id").isNotNull()).select(
         "name",

@@ -261,7 +261,7 @@ def norm_post_link(ws: Workspace) -> DataFrame:
 
 @query
 def norm_comment(ws: Workspace) -> DataFrame:
-    return normalize.comment(ws.flat, ws.known_links())
+    return normalize.comment(ws.flat, ws.table("known_links"))
 
 
 @query

@@ -23,6 +23,9 @@ from threadloom.streaming import doc_load
 # Load time of the test tables, so that reruns store the same rows.
 LOAD_TIME = 1433203200
 
+# Into how many batches the incremental load of a stored flat table is cut.
+STREAM_BATCHES = 4
+
 
 class _Group(Mapping):
     """Tables under short names, each stored when it is first asked for."""
@@ -90,13 +93,11 @@ class Workspace:
         """The target of an incremental load of the flat table, run once."""
         with self._lock:
             if "streamed" not in self._paths:
-                source = self.new_path("stream-source")
-                # Several files, so that the load takes several batches.
-                self.flat.repartition(8).write.parquet(source)
                 target = self.new_path("stream-target")
+                files = len(self.flat.inputFiles())
                 doc_load.load_available(
-                    self.spark, source, target, self.new_path("stream-progress"),
-                    files_per_batch=2,
+                    self.spark, self.path("flat"), target, self.new_path("stream-progress"),
+                    files_per_batch=max(1, files // STREAM_BATCHES),
                 )
                 self._paths["streamed"] = target
         return self._paths["streamed"]
@@ -119,7 +120,10 @@ class Workspace:
             "post_link": lambda: constraints.accepted(
                 "post_link", normalize.post_link(self.flat), self.relational
             ),
-            "comment": lambda: normalize.comment(self.flat, self.known_links()),
+            "known_links": lambda: normalize.known_links(
+                self.relational["post_link"], self.relational["post"]
+            ),
+            "comment": lambda: normalize.comment(self.flat, self.table("known_links")),
             "moderation": lambda: normalize.moderation(self.flat, self.store, LOAD_TIME),
             "doc_users": lambda: documents.users(self.flat),
             "doc_subreddits": lambda: documents.subreddits(self.flat),
@@ -132,11 +136,6 @@ class Workspace:
         }
         return builders[name]()
 
-    def known_links(self) -> DataFrame:
-        """Links that have both a post link and a post, as a comment needs."""
-        posts = self.relational["post"].select("link_id")
-        return self.relational["post_link"].select("link_id").join(posts, "link_id", "left_semi")
-
 
 _workspaces: dict[tuple[str, str], Workspace] = {}
 _workspaces_lock = threading.Lock()
