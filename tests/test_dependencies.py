@@ -94,3 +94,9 @@ def test_examples_of_several_dependents_at_once(ws):
     ys = ["author", "created_utc", "subreddit_id"]
     alone = [r for y in ys for r in rows(dependencies.examples(ws.flat, "link_id", [y]))]
     assert rows(dependencies.examples_each(ws.flat, "link_id", ys)) == sorted(alone)
+
+
+def test_tables_without_domain_columns_have_no_examples(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert dependencies.domain_examples("t", df).count() == 0
+    assert dependencies.domain("t", df).count() == 0

@@ -213,7 +213,13 @@ def domain_examples(table: str, df: DataFrame) -> DataFrame:
         examples_each(df, determinant, dependents)
         for determinant, dependents in domain_groups(df.columns).items()
     ]
-    return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "*")
+    none = df.sparkSession.createDataFrame(
+        [], "determinant string, determinant_value string, dependent_column string,"
+        " dependent_values array<string>"
+    )
+    return reduce(DataFrame.unionByName, parts, none).select(
+        F.lit(table).alias("table_name"), "*"
+    )
 
 
 def table_facts(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -29,7 +29,7 @@ from threadloom.operators import (
 )
 from threadloom.functions.values import flag
 from threadloom.operators.ranking import reverse_row_order, row_order
-from threadloom.plans import layout
+from threadloom.plans import jobs, layout
 from threadloom.plans.workspace import LOAD_TIME, Workspace
 from threadloom.sinks import reports, tables as sinks
 from threadloom.sources import tables as sources
@@ -210,27 +210,20 @@ def sink_csv(ws: Workspace) -> DataFrame:
 def sink_fd_report(ws: Workspace) -> DataFrame:
     tables = {"comments_raw": ws.flat, "post": ws.relational["post"],
               "post_link": ws.relational["post_link"]}
-    found = ws.store(dependencies.discover(tables, schemas.PRIMARY_KEYS))
-    examples = reduce(DataFrame.unionByName, [
-        dependencies.domain_examples(name, tables[name]) for name in ("comments_raw", "post")
-    ])
-    facts = dependencies.table_facts(tables, schemas.PRIMARY_KEYS)
-    return _through_text(ws, reports.fd_report(found, facts, examples))
+    path = ws.new_path("report")
+    jobs.report_dependencies(tables, path, ws.store)
+    return _report_lines(ws, path)
 
 
 @query
 def sink_rule_report(ws: Workspace) -> DataFrame:
-    counts, itemsets, rules = _mined(ws, LOW_SUPPORT, LOW_CONFIDENCE)
-    lines = reports.rule_report(
-        mining.summary(counts, itemsets, rules), itemsets, rules, ws.store
-    )
-    return _through_text(ws, lines)
+    path = ws.new_path("report")
+    jobs.report_rules(ws.cleaned, path, ws.store, LOW_SUPPORT, LOW_CONFIDENCE)
+    return _report_lines(ws, path)
 
 
-def _through_text(ws: Workspace, lines: DataFrame) -> DataFrame:
-    """Write a report as text and count its lines as read back."""
-    path = ws.new_path("report")
-    reports.write_text(lines, path)
+def _report_lines(ws: Workspace, path: str) -> DataFrame:
+    """The lines of a written report with how often each occurs."""
     return ws.spark.read.text(path).groupBy(F.col("value").alias("line")).agg(
         F.count(F.lit(1)).alias("line_count")
     )

@@ -1,6 +1,6 @@
-"""Stored working tables of one dataset.
+"""Stored working tables of one flat comment table.
 
-A dataset is loaded once: the flat table, the relational tables, their cleaned
+A comment table is loaded once: it, the relational tables, their cleaned
 copies and the document collections are written as Parquet under the shared
 folder when they are first needed, and read back from there. Later queries start
 from a plain scan with pushed filters, and lost executors cost a re-read only.
@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from threadloom import schemas
 from threadloom.operators import clean, constraints, documents, mining, normalize
+from threadloom.operators.ranking import row_order
 from threadloom.session import path_bytes, prepare, shared_folder
 from threadloom.sources import mapping
+from threadloom.sources import tables as sources
 from threadloom.streaming import doc_load
 
 # Load time of the test tables, so that reruns store the same rows.
@@ -47,12 +49,23 @@ class _Group(Mapping):
 
 
 class Workspace:
-    def __init__(self, spark: SparkSession, directory: str):
+    """Tables derived from the comments that `read_flat` returns.
+
+    `load_time` is the action time of moderation rows; by default the time of the run.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        read_flat: Callable[[], DataFrame],
+        input_bytes: int = 0,
+        load_time: int | None = None,
+    ):
         self.spark = spark
-        self.directory = directory
         self.root = f"{shared_folder(spark)}/threadloom-{uuid.uuid4().hex}"
-        base = [f"{directory}/{t}.parquet" for t in mapping.BASE_TABLES]
-        prepare(spark, sum(path_bytes(spark, path) for path in base))
+        self._read_flat = read_flat
+        self._load_time = load_time
+        prepare(spark, input_bytes)
         self._paths: dict[str, str] = {}
         self._schemas: dict[str, object] = {}
         self._lock = threading.RLock()
@@ -109,7 +122,7 @@ class Workspace:
 
     def _build(self, name: str) -> DataFrame:
         if name == "flat":
-            return mapping.comments_raw(self.spark, self.directory)
+            return self._read_flat()
         if name.endswith("_cleaned"):
             table = name.removesuffix("_cleaned")
             return clean.clean(table, self.relational[table])
@@ -124,7 +137,7 @@ class Workspace:
                 self.relational["post_link"], self.relational["post"]
             ),
             "comment": lambda: normalize.comment(self.flat, self.table("known_links")),
-            "moderation": lambda: normalize.moderation(self.flat, self.store, LOAD_TIME),
+            "moderation": lambda: normalize.moderation(self.flat, self.store, self._load_time),
             "doc_users": lambda: documents.users(self.flat),
             "doc_subreddits": lambda: documents.subreddits(self.flat),
             "doc_comment_rows": lambda: documents.first_comments(
@@ -142,9 +155,29 @@ _workspaces_lock = threading.Lock()
 
 
 def workspace(spark: SparkSession, directory: str) -> Workspace:
-    """The workspace of a dataset in the running application."""
+    """The workspace of a directory of test tables in the running application."""
     key = (spark.sparkContext.applicationId, directory)
     with _workspaces_lock:
         if key not in _workspaces:
-            _workspaces[key] = Workspace(spark, directory)
+            base = [f"{directory}/{t}.parquet" for t in mapping.BASE_TABLES]
+            _workspaces[key] = Workspace(
+                spark,
+                lambda: mapping.comments_raw(spark, directory),
+                sum(path_bytes(spark, path) for path in base),
+                LOAD_TIME,
+            )
         return _workspaces[key]
+
+
+def comment_workspace(
+    spark: SparkSession, path: str, file_format: str = "parquet", first: int | None = None
+) -> Workspace:
+    """A workspace over a stored flat comment table, Parquet or JSON, or its first rows."""
+
+    def read() -> DataFrame:
+        comments = spark.read.schema(schemas.FLAT).format(file_format).load(path)
+        return comments if first is None else sources.sample(
+            comments, first, *row_order(comments.columns)
+        )
+
+    return Workspace(spark, read, path_bytes(spark, path))

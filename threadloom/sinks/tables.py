@@ -101,6 +101,21 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(version_path(root, current))
 
 
+def merge_into(
+    spark: SparkSession,
+    root: str,
+    incoming: DataFrame,
+    key: Sequence[str],
+    order: Sequence[Column],
+    update: Sequence[str] | None = None,
+) -> str:
+    """Upsert into the newest version of a table, or start the table."""
+    if latest_version(spark, root) is None:
+        return publish(spark, first_per_key(incoming, key, order), root)
+    merged = upsert(read_current(spark, root), incoming, key, order, update)
+    return publish(spark, merged, root)
+
+
 def clustered(df: DataFrame, path: str, *columns: str) -> None:
     """Write a table range-sorted by the columns its queries filter on.
 

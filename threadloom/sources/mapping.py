@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from threadloom import schemas
+from threadloom.session import PARTITION_BYTES, path_bytes
 
 BASE_TABLES = ["lineitem", "orders", "customer", "nation", "part"]
 
@@ -61,19 +62,23 @@ SELECT * FROM r
 """
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a table that has fewer files than the cluster has cores.
+def spread(df: DataFrame, input_bytes: int) -> DataFrame:
+    """Deal out the rows of a small table that has fewer files than the cluster has cores.
 
-    A file may be a single row group, which only one task can read. Tables of many
-    files are left alone, so large inputs are not shuffled for this.
+    A file may be a single row group, which only one task can read. Tables that
+    fill the cores with whole splits are left alone and never shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    if input_bytes < cores * PARTITION_BYTES and len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df
 
 
 def comments_raw(spark: SparkSession, directory: str) -> DataFrame:
     """The flat comment table of one test-data directory, with its declared types."""
     tables = {t: spark.read.parquet(f"{directory}/{t}.parquet") for t in BASE_TABLES}
-    tables["lineitem"] = spread(tables["lineitem"])
+    tables["lineitem"] = spread(
+        tables["lineitem"], path_bytes(spark, f"{directory}/lineitem.parquet")
+    )
     mapped = spark.sql(COMMENTS_SQL, **tables)
     return mapped.select([mapped[f.name].cast(f.dataType) for f in schemas.FLAT.fields])
