@@ -10,8 +10,8 @@ def test_users(table_frame):
     df = table_frame(
         "users",
         {"author": "a", "author_flair_text": "!!!"}, {"author": "b", "author_flair_text": "*new*"},
-        {"author": "c", "author_flair_text": "  "}, {"author": "d", "author_flair_text": ""},
-        {"author": " \t"}, {"author": None, "author_flair_text": "!"},
+        {"author": "c", "author_flair_text": " \u2003"}, {"author": "d", "author_flair_text": ""},
+        {"author": "\u00a0\t"}, {"author": None, "author_flair_text": "!"},
     )
     kept = {r.author: r.author_flair_text for r in clean.clean("users", df).collect()}
     assert kept == {"a": None, "b": "*new*", "c": None, "d": ""}
@@ -49,7 +49,7 @@ def test_comments(table_frame):
         "comment",
         comment("1", score=9, ups=5, downs=2),
         comment("2", score=9, ups=None, downs=2),
-        comment("3", author="　", body="[removed]"),
+        comment("3", author="\u3000", body="[removed]"),
         comment("4", author="", link_id=" "),
         comment("5", body="was [Deleted] later", author=""),
         comment("6", body=" \n"),

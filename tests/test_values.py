@@ -16,8 +16,8 @@ def test_whitespace_is_what_strip_removes():
 
 @pytest.fixture(scope="module")
 def texts(spark):
-    values = [None, "", " ", "\t\n", " ", " x　", " a b ", "!!!", " *\t", "!a",
-              "~`|", "[deleted]", "​", "{}<>?/\\"]
+    values = [None, "", " ", "\t\n", "\u00a0", "\u2003x\u3000", " a b ", "!!!", " *\t", "!a",
+              "~`|", "[deleted]", "\u200b", "{}<>?/\\"]
     return spark.createDataFrame([(v,) for v in values], "v string")
 
 
