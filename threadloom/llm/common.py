@@ -51,6 +51,11 @@ def long_id(column: str = "doc_id") -> Column:
     return F.col(column).cast("long").alias(column)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one, so that working columns of any name can stand beside them."""
+    return F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("row")
+
+
 def crc_of_id() -> Column:
     """crc32 of the decimal text of doc_id; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")))

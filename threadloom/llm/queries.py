@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import repetition, sharding, token_pack
+from threadloom.llm import mixing, repetition, sharding, simhash, token_pack
 from threadloom.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +22,14 @@ def op1_virtual_slots(spark: SparkSession, directory: str) -> DataFrame:
     return sharding.op1(table(spark, directory, "documents"))
 
 
+def op3_pivotal_mixing(spark: SparkSession, directory: str) -> DataFrame:
+    return mixing.op3(table(spark, directory, "documents"))
+
+
+def op6_simhash(spark: SparkSession, directory: str) -> DataFrame:
+    return simhash.op6(table(spark, directory, "documents"))
+
+
 def op8_bit_packing(spark: SparkSession, directory: str) -> DataFrame:
     return token_pack.op8(table(spark, directory, "documents"), tokenizer_path())
 
@@ -33,6 +41,8 @@ def op10_repetition_coverage(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_virtual_slots,
+        op3_pivotal_mixing,
+        op6_simhash,
         op8_bit_packing,
         op10_repetition_coverage,
     )
