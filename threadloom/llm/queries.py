@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import mixing, repetition, sharding, simhash, token_pack
+from threadloom.llm import (
+    decontaminate, mixing, repetition, sharding, simhash, token_pack,
+)
 from threadloom.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,6 +28,11 @@ def op3_pivotal_mixing(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.op3(table(spark, directory, "documents"))
 
 
+def op5_spaced_seeds(spark: SparkSession, directory: str) -> DataFrame:
+    return decontaminate.op5(
+        table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
 def op6_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return simhash.op6(table(spark, directory, "documents"))
 
@@ -42,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_virtual_slots,
         op3_pivotal_mixing,
+        op5_spaced_seeds,
         op6_simhash,
         op8_bit_packing,
         op10_repetition_coverage,
