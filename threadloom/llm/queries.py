@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from threadloom.llm import (
-    decontaminate, mixing, repetition, sharding, simhash, token_pack,
+    decontaminate, html_text, mixing, repetition, secrets, sharding, simhash, token_pack, toxicity,
 )
 from threadloom.llm.common import table
 
@@ -28,6 +28,10 @@ def op3_pivotal_mixing(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.op3(table(spark, directory, "documents"))
 
 
+def op4_decoding_worklist(spark: SparkSession, directory: str) -> DataFrame:
+    return secrets.secret_scan(table(spark, directory, "documents"))
+
+
 def op5_spaced_seeds(spark: SparkSession, directory: str) -> DataFrame:
     return decontaminate.op5(
         table(spark, directory, "documents"), table(spark, directory, "benchmark"))
@@ -37,10 +41,18 @@ def op6_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return simhash.op6(table(spark, directory, "documents"))
 
 
+def op7_site_templates(spark: SparkSession, directory: str) -> DataFrame:
+    return html_text.main_text(table(spark, directory, "pages"))
+
+
 def op8_bit_packing(spark: SparkSession, directory: str) -> DataFrame:
     return token_pack.op8(table(spark, directory, "documents"), tokenizer_path())
 
 
+def op9_recurrent_network(spark: SparkSession, directory: str) -> DataFrame:
+    return toxicity.op9(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
 def op10_repetition_coverage(spark: SparkSession, directory: str) -> DataFrame:
     return repetition.repetition(table(spark, directory, "documents"))
 
@@ -49,9 +61,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_virtual_slots,
         op3_pivotal_mixing,
+        op4_decoding_worklist,
         op5_spaced_seeds,
         op6_simhash,
+        op7_site_templates,
         op8_bit_packing,
+        op9_recurrent_network,
         op10_repetition_coverage,
     )
 }

@@ -1,8 +1,9 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
-A word's input joins three things: an embedding of the word, the mean embedding of its bytes, and
-how much more often the word stands in toxic training documents than expected. The latter is
-cross-fitted, so a document never sees its own label. Gated recurrent units read a window of words
+A word's input joins the embedding of the word, the mean embedding of its character n-grams (runs
+of `GRAM` bytes, hashed into `GRAMS` rows), and how much more often the word, and the worst of its
+n-grams, stand in toxic training documents than expected. The latter is cross-fitted, so a document
+never sees its own label. Words never seen in training are thus read by their characters. Gated recurrent units read a window of words
 in both directions, attention weighs their states, and a linear layer gives the window's logit.
 Overlapping windows cover the whole text; the document's score is that of its worst window, and
 training passes the document's label to its worst window too.
@@ -32,9 +33,12 @@ SAMPLE = 6000
 SAMPLE_CHARS = 20_000
 VOCABULARY = 20_000
 WINDOW, STEP = 48, 24
-HIDDEN, ATTENTION, WORD_DIM, BYTE_DIM, PRIOR_DIM = 10, 8, 8, 6, 2
+GRAM, GRAMS = 4, 1 << 16
+HIDDEN, ATTENTION, WORD_DIM, GRAM_DIM, PRIOR_DIM = 10, 8, 8, 6, 3
 FOLDS = 4
-BATCHES, BATCH_DOCS, RATE = 500, 64, 0.01
+EPOCHS, LEAST_BATCHES, BATCHES, BATCH_DOCS, RATE = 20, 120, 500, 64, 0.01
+# Share of the words whose embeddings are hidden in a training step, so that none is learnt by heart.
+HIDE = 0.5
 THRESHOLD = 0.7
 # Rows of the word table kept between blocks, and characters of a block.
 REMEMBERED, BLOCK_CHARS, CHUNK = 200_000, 1_000_000, 2048
@@ -58,13 +62,13 @@ def windows(n: int) -> list[int]:
 
 def initial(vocabulary: int, seed: int = 11) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    inputs = WORD_DIM + BYTE_DIM + PRIOR_DIM
+    inputs = WORD_DIM + GRAM_DIM + PRIOR_DIM
 
     def normal(*shape, scale):
         return rng.normal(0, scale, shape).astype(np.float32)
 
     p = {"word": normal(vocabulary + 1, WORD_DIM, scale=0.05),
-         "byte": normal(256, BYTE_DIM, scale=0.1)}
+         "gram": normal(GRAMS, GRAM_DIM, scale=0.05)}
     for way in "fb":
         p["Wx" + way] = normal(inputs, 3 * HIDDEN, scale=inputs ** -0.5)
         p["U" + way] = normal(HIDDEN, 3 * HIDDEN, scale=HIDDEN ** -0.5)
@@ -133,30 +137,57 @@ def logits(p, proj_f, proj_b, x, mask=None) -> np.ndarray:
     return _attend(p, states, mask)[0] @ p["w"] + p["b"]
 
 
-def _byte_share(words: list[bytes]) -> np.ndarray:
-    """Share of each byte value in each word."""
-    share = np.zeros((len(words), 256), np.float32)
-    flat = np.frombuffer(b"".join(words), np.uint8)
-    length = np.fromiter(map(len, words), np.int64, len(words))
-    row = np.repeat(np.arange(len(words)), length)
-    np.add.at(share, (row, flat), 1.0)
-    return share / np.maximum(length, 1)[:, None].astype(np.float32)
+def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-grams of all words with a mark before and after each, and how many each has."""
+    flat = np.frombuffer(b"".join(b"<" + w + b">" for w in words), np.uint8).astype(np.uint64)
+    length = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    code = np.zeros(max(0, len(flat) - GRAM + 1), np.uint64)
+    for i in range(GRAM):
+        code = (code << np.uint64(8)) | flat[i:i + len(code)]
+    code = (code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+    count = np.maximum(0, length - GRAM + 1)
+    inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return code[np.repeat(np.cumsum(length) - length, count) + inside].astype(np.int64), count
 
 
-def priors(present: list[set[int]], labels: np.ndarray, size: int) -> np.ndarray:
-    """How far each known word's documents are more often toxic than others; row 0 is unknown."""
-    toxic, clean = np.zeros(size + 1), np.zeros(size + 1)
+def _per_word(values: np.ndarray, count: np.ndarray, ufunc) -> np.ndarray:
+    """Values of n-grams reduced to one row per word; 0 for words without any."""
+    out = np.zeros((len(count), *values.shape[1:]), np.float32)
+    full = np.flatnonzero(count)
+    if len(full):
+        out[full] = ufunc.reduceat(values, (np.cumsum(count) - count)[full], axis=0)
+    return out
+
+
+def _mean(values: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return _per_word(values, count, np.add) / np.maximum(count, 1)[:, None].astype(np.float32)
+
+
+def _deviations(toxic: np.ndarray, clean: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    expected = (toxic + clean) * n1 / max(1, n1 + n0)
+    return np.clip((toxic - expected) / np.sqrt(expected + 1) / 3, -3, 3)
+
+
+def _counts(present: list[np.ndarray], labels: np.ndarray, size: int) -> tuple:
+    """In how many toxic and other documents each number stands; a document has each once."""
+    found = [np.zeros(size), np.zeros(size)]
     for own, label in zip(present, labels):
-        (toxic if label else clean)[list(own)] += 1
+        found[0 if label else 1][own] += 1
+    return found[0], found[1]
+
+
+def priors(words: list[np.ndarray], pieces: list[np.ndarray], labels: np.ndarray, size: int
+           ) -> tuple[np.ndarray, np.ndarray]:
+    """How much more often than expected known words (row 0: unknown) and n-grams are toxic."""
     n1, n0 = labels.sum(), len(labels) - labels.sum()
     n = max(1, n1 + n0)
-    expected = (toxic + clean) * n1 / n
-    deviation = (toxic - expected) / np.sqrt(expected + 1)
+    toxic, clean = _counts(words, labels, size + 1)
     odds = (np.log((toxic + 2 * n1 / n + 1e-3) / (n1 + 2))
             - np.log((clean + 2 * n0 / n + 1e-3) / (n0 + 2)))
-    out = np.stack([np.clip(deviation / 3, -3, 3), np.clip(odds / 2, -2, 2)], axis=1)
-    out[0] = 0
-    return out.astype(np.float32)
+    known = np.stack([_deviations(toxic, clean, n1, n0), np.clip(odds / 2, -2, 2)], axis=1)
+    known[0] = 0
+    return (known.astype(np.float32),
+            _deviations(*_counts(pieces, labels, GRAMS), n1, n0).astype(np.float32))
 
 
 def _project(p, features):
@@ -173,12 +204,15 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> dict | None:
     found = Counter(w for own in docs for w in set(own))
     known = [w for w, n in sorted(found.items(), key=lambda x: (-x[1], x[0])) if n > 1][:VOCABULARY]
     ids = {w: i + 1 for i, w in enumerate(known)}
-    present = [{ids[w] for w in set(own) if w in ids} for own in docs]
+    present = [np.array([ids[w] for w in set(own) if w in ids], np.int64) for own in docs]
+    pieces = [np.unique(grams(list(set(own)))[0]) for own in docs]
     fold = rng.permutation(len(docs)) % FOLDS
-    prior = []
+    by_fold = []
     for f in range(FOLDS):
         others = np.flatnonzero(fold != f)
-        prior.append(priors([present[i] for i in others], y[others], len(known)))
+        by_fold.append(priors([present[i] for i in others], [pieces[i] for i in others],
+                              y[others], len(known)))
+    prior, gram_prior = (np.stack(x) for x in zip(*by_fold))
     p = initial(len(known), seed)
     # Unknown words share row 0 of the embedding but keep their own bytes.
     spelled: dict[bytes, int] = {}
@@ -188,7 +222,8 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> dict | None:
     words = list(spelled)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     order: list[int] = []
-    for step in range(1, BATCHES + 1):
+    batches = min(BATCHES, max(LEAST_BATCHES, EPOCHS * len(docs) // BATCH_DOCS))
+    for step in range(1, batches + 1):
         while len(order) < BATCH_DOCS:
             order += rng.permutation(len(docs)).tolist()
         batch, order = order[:BATCH_DOCS], order[BATCH_DOCS:]
@@ -204,9 +239,13 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> dict | None:
         real = np.maximum(types, 0)
         kind, which = real // FOLDS, real % FOLDS
         word = np.where(types < 0, 0, word_of[kind])
-        share = _byte_share([words[k] for k in kind])
-        before = np.stack(prior)[which, word]
-        features = np.concatenate([p["word"][word], share @ p["byte"], before], axis=1)
+        gram, count = grams([words[k] for k in kind])
+        spelling = (gram, count)
+        shown = (rng.random(len(kind)) >= HIDE).astype(np.float32)[:, None]
+        features = np.concatenate([
+            p["word"][word] * shown, _mean(p["gram"][gram], count) * shown, prior[which, word],
+            _per_word(gram_prior[np.repeat(which, count), gram], count, np.maximum)[:, None],
+        ], axis=1)
         proj_f, proj_b = _project(p, features)
         z = logits(p, proj_f, proj_b, x, mask)
         # The worst window of each document takes the document's label.
@@ -215,22 +254,23 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> dict | None:
             first.setdefault(of_doc[row], row)
         rows = np.array([first[d] for d in dict.fromkeys(batch)])
         target = y[of_doc[rows]]
-        grads = _gradients(p, features, share, word, proj_f, proj_b, x[:, rows], mask[:, rows],
+        grads = _gradients(p, features, spelling, word, shown, proj_f, proj_b, x[:, rows], mask[:, rows],
                            target)
-        rate = RATE * min(1.0, step / 20) * (1.0 if step < 0.7 * BATCHES else 0.3)
+        rate = RATE * min(1.0, step / 20) * (1.0 if step < 0.7 * batches else 0.3)
         for name, g in grads.items():
             m, v = moment[name]
             g = np.clip(g, -1, 1)
-            if name == "word":
-                g = g + 1e-4 * p[name]
+            if name in ("word", "gram"):
+                g = g + 1e-3 * p[name]
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             p[name] -= (rate * (m / (1 - 0.9 ** step))
                         / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)).astype(np.float32)
-    return {"params": p, "ids": ids, "prior": priors(present, y, len(known))}
+    known_prior, every_gram = priors(present, pieces, y, len(known))
+    return {"params": p, "ids": ids, "prior": known_prior, "gram_prior": every_gram}
 
 
-def _gradients(p, features, share, word, proj_f, proj_b, x, mask, target):
+def _gradients(p, features, spelling, word, shown, proj_f, proj_b, x, mask, target):
     """Gradients of the mean log loss over windows with targets."""
     keep_f: list = []
     keep_b: list = []
@@ -256,9 +296,13 @@ def _gradients(p, features, share, word, proj_f, proj_b, x, mask, target):
         _gru_back(dstates[:, :, part], x, p["U" + way], mask, keep, dproj, du)
         g["U" + way], g["Wx" + way], g["bx" + way] = du, features.T @ dproj, dproj.sum(axis=0)
         dfeatures = dfeatures + dproj @ p["Wx" + way].T
+    dfeatures[:, :WORD_DIM + GRAM_DIM] *= shown
     g["word"] = np.zeros_like(p["word"])
     np.add.at(g["word"], word, dfeatures[:, :WORD_DIM])
-    g["byte"] = share.T @ dfeatures[:, WORD_DIM:WORD_DIM + BYTE_DIM]
+    gram, count = spelling
+    each = dfeatures[:, WORD_DIM:WORD_DIM + GRAM_DIM] / np.maximum(count, 1)[:, None]
+    g["gram"] = np.zeros_like(p["gram"])
+    np.add.at(g["gram"], gram, np.repeat(each, count, axis=0).astype(np.float32))
     return g
 
 
@@ -273,19 +317,15 @@ class Scorer:
     def _learn(self, words: list[bytes]) -> None:
         """Adds projected inputs of new words to the table."""
         p, ids, prior = (self.model[k] for k in ("params", "ids", "prior"))
+        gram_prior = self.model["gram_prior"]
         parts_f, parts_b = [self.forward], [self.backward]
         for at in range(0, len(words), 20_000):
             some = words[at:at + 20_000]
-            length = np.fromiter(map(len, some), np.int64, len(some))
-            flat = np.frombuffer(b"".join(some), np.uint8)
-            sums = np.zeros((len(some), BYTE_DIM), np.float32)
-            full = np.flatnonzero(length)
-            if len(full):
-                at_byte = (np.cumsum(length) - length)[full]
-                sums[full] = np.add.reduceat(p["byte"][flat], at_byte, axis=0)
-            sums /= np.maximum(length, 1)[:, None]
+            gram, count = grams(some)
             word = np.fromiter((ids.get(w, 0) for w in some), np.int64, len(some))
-            f, b = _project(p, np.concatenate([p["word"][word], sums, prior[word]], axis=1))
+            f, b = _project(p, np.concatenate([
+                p["word"][word], _mean(p["gram"][gram], count), prior[word],
+                _per_word(gram_prior[gram], count, np.maximum)[:, None]], axis=1))
             parts_f.append(f.astype(np.float32))
             parts_b.append(b.astype(np.float32))
         self.forward, self.backward = np.concatenate(parts_f), np.concatenate(parts_b)
