@@ -63,7 +63,7 @@ def pack(bytes_of: dict[int, int], shards: int, hot: tuple[int, ...] = ()) -> Sl
 def rebalance(current: SlotMap, shards: int, bytes_of: dict[int, int] | None = None) -> SlotMap:
     """Next version of a map: slots move from the fullest shard to the emptiest while that helps.
 
-    Added shards start empty and fill up; shards beyond `shards` are emptied first.
+    Added shards start empty, and slots move into them only; shards beyond `shards` are emptied.
     """
     sizes = dict(current.bytes_of if bytes_of is None else bytes_of)
     shard_of = dict(current.shard_of)
@@ -81,8 +81,9 @@ def rebalance(current: SlotMap, shards: int, bytes_of: dict[int, int] | None = N
         shard_of[slot] = to
         loads[to] += sizes.get(slot, 0)
         slots[to].append(slot)
+    open_to = range(current.shards, shards) if shards > current.shards else range(shards)
     while True:
-        full, thin = loads.index(max(loads)), loads.index(min(loads))
+        full, thin = loads.index(max(loads)), min(open_to, key=lambda s: (loads[s], s))
         gap = loads[full] - loads[thin]
         fitting = [s for s in slots[full] if 0 < sizes.get(s, 0) < gap]
         if not fitting:
