@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from threadloom.llm import (
-    decontaminate, html_text, mixing, repetition, secrets, sharding, simhash, token_pack, toxicity,
+    decontaminate, html_text, mixing, repetition, secrets, sharding, simhash,
+    suffix_tree, token_pack, toxicity,
 )
 from threadloom.llm.common import table
 
@@ -24,6 +25,10 @@ def op1_virtual_slots(spark: SparkSession, directory: str) -> DataFrame:
     return sharding.op1(table(spark, directory, "documents"))
 
 
+def op2_suffix_tree(spark: SparkSession, directory: str) -> DataFrame:
+    return suffix_tree.scores(table(spark, directory, "documents"))
+
+
 def op3_pivotal_mixing(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.op3(table(spark, directory, "documents"))
 
@@ -60,6 +65,7 @@ def op10_repetition_coverage(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_virtual_slots,
+        op2_suffix_tree,
         op3_pivotal_mixing,
         op4_decoding_worklist,
         op5_spaced_seeds,

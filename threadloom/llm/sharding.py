@@ -57,7 +57,8 @@ def pack(bytes_of: dict[int, int], shards: int, hot: tuple[int, ...] = ()) -> Sl
         load, shard = heapq.heappop(heap)
         shard_of[slot] = shard
         heapq.heappush(heap, (load + bytes_of.get(slot, 0), shard))
-    return SlotMap(1, shards, shard_of, dict(bytes_of), hot)
+    sizes = {slot: bytes_of.get(slot, 0) for slot in range(SLOTS)}
+    return SlotMap(1, shards, shard_of, sizes, hot)
 
 
 def rebalance(current: SlotMap, shards: int, bytes_of: dict[int, int] | None = None) -> SlotMap:
