@@ -17,7 +17,7 @@ def test_stream_equals_batch(ws, loaded, rows_of, name):
 
 def test_repeated_batch_changes_nothing(spark, ws, rows_of):
     target = ws.new_path("replayed")
-    write = doc_load.write_batch(target)
+    write = doc_load.write_batch(target, doc_load.new_load())
     half = ws.flat.filter("created_utc % 2 = 0")
     write(half, 0)
     write(ws.flat, 1)
@@ -33,11 +33,66 @@ def test_second_run_loads_new_files_only(spark, ws, rows_of):
     for part in (early, late):
         part.write.mode("append").parquet(source)
         doc_load.load_available(spark, source, target, progress)
-    batches = spark.read.parquet(f"{target}/comments").select("batch_id").distinct().count()
-    assert batches == 2
+    assert doc_load.finished(spark, target).count() == 2
     compacted = ws.new_path("compacted")
     doc_load.compact(spark, target, compacted)
     for place in (target, compacted):
         got = doc_load.collections(spark, place, ws.store, embed_cap=2)
         expected = documents.posts(ws.flat, ws.table("doc_comment_rows"), 2)
         assert rows_of(got["posts"]) == rows_of(expected)
+
+
+def test_loads_with_their_own_progress_do_not_overwrite_each_other(spark, ws, rows_of):
+    target, compacted = ws.new_path("target"), ws.new_path("compacted")
+    parts = [ws.flat.filter(f"created_utc % 3 = {i}") for i in range(3)]
+
+    def load(part, place):
+        source = ws.new_path("source")
+        part.write.parquet(source)
+        doc_load.load_available(spark, source, place, ws.new_path("progress"))
+
+    load(parts[0], target)
+    load(parts[1], target)
+    doc_load.compact(spark, target, compacted)
+    load(parts[2], compacted)
+    got = doc_load.collections(spark, compacted, ws.store)
+    want = documents.first_comments(documents.comment_rows(ws.flat))
+    assert rows_of(got["comments"]) == rows_of(documents.shape_comments(want))
+
+
+def test_unfinished_batches_are_not_read(spark, ws):
+    target, load = ws.new_path("target"), doc_load.new_load()
+    doc_load.write_batch(target, load)(ws.flat.filter("created_utc % 2 = 0"), 0)
+    before = doc_load.reduced_rows(spark, target, "comments").count()
+    ws.flat.transform(documents.comment_rows).write.parquet(
+        f"{target}/comments/load={load}/batch_id=1")
+    assert doc_load.reduced_rows(spark, target, "comments").count() == before
+
+
+def test_batches_by_bytes(spark, ws, rows_of):
+    target = ws.new_path("target")
+    doc_load.load_available(spark, ws.path("flat"), target, ws.new_path("progress"),
+                            bytes_per_batch="20000")
+    assert doc_load.finished(spark, target).count() > 1
+    got = doc_load.collections(spark, target, ws.store)["users"]
+    assert rows_of(got) == rows_of(ws.collections["users"])
+
+
+def test_counts_store_nothing(spark, ws):
+    def refuse(df):
+        raise AssertionError("stored")
+
+    counts = doc_load.collections(spark, ws.streamed_documents(), refuse).counts()
+    assert {r.collection: r.documents for r in counts.collect()} == {
+        n: df.count() for n, df in ws.collections.items()}
+
+
+def test_closing_a_workspace_removes_its_folder(spark, ws):
+    import os
+
+    from threadloom.plans.workspace import Workspace
+
+    own = Workspace(spark, lambda: ws.flat.limit(5))
+    assert own.flat.count() == 5 and os.path.exists(own.root)
+    own.close()
+    assert not os.path.exists(own.root)

@@ -1,9 +1,10 @@
 """Functional dependencies: tests, examples, keys and uniqueness.
 
 X -> Y is violated in a group of equal X when Y takes two or more non-NULL
-values, that is, when its smallest and largest value differ. Minimum and
-maximum combine before the shuffle, so a group of any size costs one row per map
-task, and all dependents of one determinant share a single shuffle.
+values. Rows are counted per X first, which needs X alone; only groups of two or
+more rows are looked at further. There distinct values of each Y are counted.
+Both are hash aggregates that combine before the shuffle, so a group of any size
+costs one row per map task and value, and all answers are exact.
 """
 
 from __future__ import annotations
@@ -30,10 +31,6 @@ DOMAIN_DEPENDENCIES = [
     ("id", "link_id", "Comment ID determines parent post link ID"),
 ]
 
-# A column this far below full uniqueness in a sketch with a standard error of
-# at most 2 % is not looked at again; the margin is ten standard errors or more.
-SKETCH_LOG_SIZE = 12
-SKETCH_FLOOR = 0.7
 REPORTED_UNIQUENESS = 0.9
 
 
@@ -41,16 +38,27 @@ def _present(determinant: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in determinant])
 
 
+def _groups(df: DataFrame, determinant: Sequence[str]) -> DataFrame:
+    """Rows per determinant value, from the determinant's columns alone."""
+    return df.filter(_present(determinant)).groupBy(*determinant).agg(
+        F.count(F.lit(1)).alias("_rows"))
+
+
 def _spread(df: DataFrame, determinant: Sequence[str], dependents: Sequence[str]) -> DataFrame:
-    """Per determinant value, whether each dependent takes more than one value."""
-    bounds = [f(c).alias(f"{p}_{i}") for i, c in enumerate(dependents)
-              for p, f in (("lo", F.min), ("hi", F.max))]
-    grouped = df.filter(_present(determinant)).groupBy(*determinant).agg(*bounds)
-    differs = [
-        F.coalesce(F.col(f"lo_{i}") != F.col(f"hi_{i}"), F.lit(False)).alias(f"bad_{i}")
-        for i in range(len(dependents))
-    ]
-    return grouped.select(*determinant, *differs)
+    """Per determinant value of several rows, whether each dependent takes more than one value."""
+    repeated = _groups(df, determinant).filter(F.col("_rows") > 1).select(*determinant)
+    rows = df.select(*dict.fromkeys([*determinant, *dependents])).join(
+        repeated, list(determinant), "left_semi")
+    counted = rows.groupBy(*determinant).agg(
+        *[F.count_distinct(F.col(c)).alias(f"values_{i}") for i, c in enumerate(dependents)])
+    return counted.select(
+        *determinant,
+        *[(F.col(f"values_{i}") > 1).alias(f"bad_{i}") for i in range(len(dependents))])
+
+
+def _total(df: DataFrame, determinant: Sequence[str]) -> Column:
+    """The number of groups."""
+    return _groups(df, determinant).agg(F.count(F.lit(1))).scalar().alias("total_groups")
 
 
 def check(df: DataFrame, determinant: Sequence[str], dependents: Sequence[str]) -> DataFrame:
@@ -61,9 +69,8 @@ def check(df: DataFrame, determinant: Sequence[str], dependents: Sequence[str])
     """
     spread = _spread(df, determinant, dependents)
     any_bad = reduce(lambda a, b: a | b, [F.col(f"bad_{i}") for i in range(len(dependents))])
-    counted = spread.agg(
-        F.count_if(any_bad).alias("violations"), F.count(F.lit(1)).alias("total_groups")
-    )
+    counted = spread.agg(F.count_if(any_bad).alias("violations")).select(
+        "violations", _total(df, determinant))
     return counted.select(
         F.lit(", ".join(determinant)).alias("determinant"),
         F.lit(", ".join(dependents)).alias("dependent"),
@@ -77,9 +84,8 @@ def check_each(df: DataFrame, determinant: str, dependents: Sequence[str]) -> Da
     """X -> Y for every Y on its own: one row per dependent, one shuffle for all."""
     spread = _spread(df, [determinant], dependents)
     counted = spread.agg(
-        F.count(F.lit(1)).alias("total_groups"),
         *[F.count_if(F.col(f"bad_{i}")).alias(c) for i, c in enumerate(dependents)],
-    )
+    ).select(_total(df, [determinant]), *dependents)
     return counted.unpivot(
         ["total_groups"], list(dependents), "dependent", "violations"
     ).select(
@@ -247,27 +253,16 @@ def _no_dependencies(df: DataFrame) -> DataFrame:
 def uniqueness(table: str, df: DataFrame) -> DataFrame:
     """Columns that are unique or more than 90 % unique, with exact counts.
 
-    One sketch pass over all columns drops those that are far from unique; only
-    the others are counted exactly, each as its own aggregate over one column.
-    The driver receives one row with a number per column.
+    Every column is an aggregate of its own that reads this column only. Values are combined before
+    the shuffle, so a column of few values costs its scan.
     """
-    sketch = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[
-            F.hll_sketch_estimate(
-                F.hll_sketch_agg(F.col(f.name).cast(_sketched_type(f.dataType)), SKETCH_LOG_SIZE)
-            ).alias(f.name)
-            for f in df.schema.fields
-        ],
-    ).first()
-    likely = [c for c in df.columns if sketch[c] > SKETCH_FLOOR * sketch["_rows"]]
     parts = [
         df.agg(
             F.lit(c).alias("column_name"),
             F.count_distinct(F.col(c)).alias("distinct_count"),
             F.count(F.lit(1)).alias("row_count"),
         )
-        for c in likely
+        for c in df.columns
     ]
     if not parts:
         return df.sparkSession.createDataFrame(
@@ -279,11 +274,6 @@ def uniqueness(table: str, df: DataFrame) -> DataFrame:
     ).select(F.lit(table).alias("table_name"), "column_name", "distinct_count", "row_count")
 
 
-def _sketched_type(dtype: T.DataType) -> T.DataType:
-    """Sketches take whole numbers and text; other values are sketched as text."""
-    return dtype if isinstance(dtype, (T.IntegerType, T.LongType)) else T.StringType()
-
-
 def candidate_keys(table: str, df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Columns outside the declared key with a distinct, present value in every row."""
     unique = uniqueness(table, df.drop(*key))

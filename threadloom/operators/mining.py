@@ -25,7 +25,6 @@ MIN_CONFIDENCE = 0.5
 
 # Community, score band, gilded, controversial, edited, distinguished, archived.
 MAX_WIDTH = 7
-MAX_LISTED_ITEMS = 10_000
 
 # Lower bounds (exclusive) of the score bands, best first.
 SCORE_BANDS = [(50, "very_high_score"), (20, "high_score"), (5, "medium_score"), (0, "low_score")]
@@ -167,24 +166,19 @@ def _subset(items: str, mask: str, bit: int) -> Column:
 def frequent_itemsets(counts: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
     """All itemsets with at least `min_support`, from counted distinct transactions.
 
-    Items that are too rare are dropped first. Of the others there are at most
-    MAX_WIDTH / min_support, so they fit in one array; for a support so small
-    that they might not, nothing is dropped. Each remaining distinct transaction
+    Items that are too rare are dropped first: whatever the support, the frequent ones are a table
+    that distinct transactions are joined with, item by item. Each remaining distinct transaction
     then adds its count to all its subsets, at most 127.
     """
     total = counts.agg(F.sum("n")).scalar()
-    reduced = counts
-    if MAX_WIDTH <= MAX_LISTED_ITEMS * min_support:
-        frequent_items = (
-            item_counts(counts)
-            .filter(F.col("transactions") / total >= F.lit(min_support))
-            .agg(F.collect_list("item")).scalar()
-        )
-        reduced = (
-            counts.select(F.array_intersect("items", frequent_items).alias("items"), "n")
-            .filter(F.size("items") > 0)
-            .groupBy("items").agg(F.sum("n").alias("n"))
-        )
+    frequent_items = item_counts(counts).filter(
+        F.col("transactions") / total >= F.lit(min_support)).select("item")
+    reduced = (
+        counts.select("items", "n", F.explode("items").alias("item"))
+        .join(frequent_items, "item", "left_semi")
+        .groupBy("items", "n").agg(F.array_sort(F.collect_list("item")).alias("kept"))
+        .groupBy(F.col("kept").alias("items")).agg(F.sum("n").alias("n"))
+    )
     too_wide = F.raise_error(F.lit(
         f"a transaction has more than {MAX_WIDTH} items; use frequent_itemsets_of_any_width"
     ))
@@ -294,12 +288,18 @@ def top_itemsets(itemsets: DataFrame, k: int = 50) -> DataFrame:
     return top(itemsets, k, *itemset_order())
 
 
-def summary(counts: DataFrame, itemsets: DataFrame, rules: DataFrame) -> DataFrame:
-    """Sizes of every stage and the mean metrics, rounded as in the report."""
+def summary(
+    counts: DataFrame, itemsets: DataFrame, rules: DataFrame, digits: int | None = 4
+) -> DataFrame:
+    """Sizes of every stage and the mean metrics, rounded unless `digits` is None."""
+
+    def shown(value: Column) -> Column:
+        return value if digits is None else F.round(value, digits)
+
     return rules.agg(
         F.count(F.lit(1)).alias("association_rules"),
-        F.round(F.avg("confidence"), 4).alias("average_confidence"),
-        F.round(F.avg("lift"), 4).alias("average_lift"),
+        shown(F.avg("confidence")).alias("average_confidence"),
+        shown(F.avg("lift")).alias("average_lift"),
         F.count_if(F.col("lift") > 1).alias("rules_with_positive_lift"),
     ).select(
         counts.agg(F.sum("n")).scalar().alias("transactions"),

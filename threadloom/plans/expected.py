@@ -378,6 +378,21 @@ def _document_sql() -> dict[str, tuple[list[str], str]]:
     no_subreddit = """SELECT _id, subreddit_id, subreddit_name, author, comment_count FROM doc_posts
                       WHERE coalesce(subreddit_id, '') = '' ORDER BY _id LIMIT 3"""
     within = "FROM embedded WHERE position < 200"
+    common = ["_id", "id", "post_id", "name", "author", "subreddit_id", "created_utc", "comment_ids",
+              "comment_count", "embedded_count", "removal_reason", "distinguished",
+              "action_timestamp", "retrieved_on"]
+    present = {
+        "users": ["_id"], "subreddits": ["_id", "name"],
+        "posts": ["_id", "author", "subreddit_id", "created_utc", "comment_ids", "comment_count",
+                  "embedded_count", "retrieved_on"],
+        "comments": ["id", "post_id", "author", "created_utc", "distinguished", "retrieved_on"],
+        "moderation": ["_id", "subreddit_id", "removal_reason", "distinguished",
+                       "action_timestamp"],
+    }
+    everything = ([f"doc_{name}" for name in present], " UNION ALL ".join(
+        f"SELECT '{name}' AS collection, " + ", ".join(
+            f"CAST({c if c in columns else 'NULL'} AS VARCHAR) AS {c}" for c in common)
+        + f" FROM doc_{name}" for name, columns in present.items()))
     return {
         "doc_bool": (["flat"], """
             SELECT coalesce(score_hidden <> 0, FALSE) AS score_hidden,
@@ -404,7 +419,8 @@ def _document_sql() -> dict[str, tuple[list[str], str]]:
         "stream_doc_load": posts,
         "stream_doc_counts": counts,
         "stream_doc_comments": (["doc_comments"], "SELECT * FROM doc_comments"),
-        "stream_doc_compact": (["doc_users"], "SELECT * FROM doc_users"),
+        "stream_doc_compact": everything,
+        "stream_doc_two_sources": everything,
         "rel_users": (["doc_users"], """
             SELECT _id AS author, author_flair_text, author_flair_css_class FROM doc_users"""),
         "rel_subreddit": (["doc_subreddits"],

@@ -394,10 +394,26 @@ def doc_layout(ws: Workspace) -> DataFrame:
     )
 
 
-def _streamed(ws: Workspace) -> dict[str, DataFrame]:
+def _streamed(ws: Workspace) -> doc_load.Collections:
     return doc_load.collections(ws.spark, ws.streamed_documents(), ws.store)
 
 
+# Columns by which the rows of all collections are compared.
+COMMON_COLUMNS = ["_id", "id", "post_id", "name", "author", "subreddit_id", "created_utc",
+                  "comment_ids", "comment_count", "embedded_count", "removal_reason",
+                  "distinguished", "action_timestamp", "retrieved_on"]
+
+
+def _all_collections(collections) -> DataFrame:
+    """The documents of all five collections in the columns of one table."""
+    shaped = {name: flat_posts(df) if name == "posts" else df for name, df in collections.items()}
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("collection"), *[
+            (F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c)
+            for c in COMMON_COLUMNS])
+        for name, df in shaped.items()])
+
+
 @query
 def stream_doc_load(ws: Workspace) -> DataFrame:
     return flat_posts(_streamed(ws)["posts"])
@@ -405,7 +421,7 @@ def stream_doc_load(ws: Workspace) -> DataFrame:
 
 @query
 def stream_doc_counts(ws: Workspace) -> DataFrame:
-    return documents.collection_counts(_streamed(ws))
+    return _streamed(ws).counts()
 
 
 @query
@@ -417,7 +433,20 @@ def stream_doc_comments(ws: Workspace) -> DataFrame:
 def stream_doc_compact(ws: Workspace) -> DataFrame:
     compacted = ws.new_path("stream-compacted")
     doc_load.compact(ws.spark, ws.streamed_documents(), compacted)
-    return doc_load.collections(ws.spark, compacted, ws.store)["users"]
+    return _all_collections(doc_load.collections(ws.spark, compacted, ws.store))
+
+
+@query
+def stream_doc_two_sources(ws: Workspace) -> DataFrame:
+    """Load one part, compact it, and load another source with its own progress folder into it."""
+    target, compacted = ws.new_path("stream-first"), ws.new_path("stream-both")
+    for part, place in ((first_load(ws), target), (second_load(ws), compacted)):
+        source = ws.new_path("stream-source")
+        part.write.parquet(source)
+        if place == compacted:
+            doc_load.compact(ws.spark, target, compacted)
+        doc_load.load_available(ws.spark, source, place, ws.new_path("stream-progress"))
+    return _all_collections(doc_load.collections(ws.spark, compacted, ws.store))
 
 
 # --- documents to relational ------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from threadloom import schemas
 from threadloom.operators import clean, constraints, documents, mining, normalize
 from threadloom.operators.ranking import row_order
-from threadloom.session import path_bytes, prepare, shared_folder
+from threadloom.session import path_bytes, prepare, restore, shared_folder
 from threadloom.sources import mapping
 from threadloom.sources import tables as sources
 from threadloom.streaming import doc_load
@@ -25,8 +25,8 @@ from threadloom.streaming import doc_load
 # Load time of the test tables, so that reruns store the same rows.
 LOAD_TIME = 1433203200
 
-# Into how many batches the incremental load of a stored flat table is cut.
-STREAM_BATCHES = 4
+# Small batches, so that the test tables are loaded in several of them.
+TEST_FILES_PER_BATCH = 2
 
 
 class _Group(Mapping):
@@ -51,7 +51,8 @@ class _Group(Mapping):
 class Workspace:
     """Tables derived from the comments that `read_flat` returns.
 
-    `load_time` is the action time of moderation rows; by default the time of the run.
+    `load_time` is the action time of moderation rows; by default the time of the run. An incremental
+    load takes `files_per_batch` files of the stored flat table at a time.
     """
 
     def __init__(
@@ -60,12 +61,14 @@ class Workspace:
         read_flat: Callable[[], DataFrame],
         input_bytes: int = 0,
         load_time: int | None = None,
+        files_per_batch: int = doc_load.FILES_PER_BATCH,
     ):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/threadloom-{uuid.uuid4().hex}"
         self._read_flat = read_flat
         self._load_time = load_time
-        prepare(spark, input_bytes)
+        self.files_per_batch = files_per_batch
+        self._settings = prepare(spark, input_bytes)
         self._paths: dict[str, str] = {}
         self._schemas: dict[str, object] = {}
         self._lock = threading.RLock()
@@ -96,6 +99,16 @@ class Workspace:
         """A folder nothing has been written to."""
         return f"{self.root}/{label}-{uuid.uuid4().hex}"
 
+    def close(self) -> None:
+        """Remove the folder of the workspace with all its tables, and restore the settings."""
+        restore(self.spark, self._settings)
+        with self._lock:
+            jvm = self.spark.sparkContext._jvm
+            root = jvm.org.apache.hadoop.fs.Path(self.root)
+            root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+            self._paths.clear()
+            self._schemas.clear()
+
     def store(self, df: DataFrame) -> DataFrame:
         """Write rows once and return them read back, which cuts the lineage."""
         path = self.new_path("stored")
@@ -107,10 +120,9 @@ class Workspace:
         with self._lock:
             if "streamed" not in self._paths:
                 target = self.new_path("stream-target")
-                files = len(self.flat.inputFiles())
                 doc_load.load_available(
                     self.spark, self.path("flat"), target, self.new_path("stream-progress"),
-                    files_per_batch=max(1, files // STREAM_BATCHES),
+                    files_per_batch=self.files_per_batch,
                 )
                 self._paths["streamed"] = target
         return self._paths["streamed"]
@@ -165,6 +177,7 @@ def workspace(spark: SparkSession, directory: str) -> Workspace:
                 lambda: mapping.comments_raw(spark, directory),
                 sum(path_bytes(spark, path) for path in base),
                 LOAD_TIME,
+                TEST_FILES_PER_BATCH,
             )
         return _workspaces[key]
 

@@ -27,14 +27,17 @@ FLAT = _struct(
     distinguished="string", removal_reason="string",
 )
 
-# The columns the document loader reads, plus `removal_reason` (its moderation
-# rule tests it) and `name` (needed to order rows).
+# The columns of a chunk of the document loader.
 DOCUMENT_COLUMNS = [
     "author", "author_flair_text", "author_flair_css_class", "subreddit_id", "subreddit",
     "link_id", "id", "parent_id", "body", "created_utc", "retrieved_on", "score", "ups",
     "downs", "score_hidden", "gilded", "distinguished", "edited", "controversiality", "archived",
 ]
 
+# What the loader reads: its moderation rule also tests `removal_reason`, and rows are ordered by
+# `name`.
+LOADED_COLUMNS = [*DOCUMENT_COLUMNS, "removal_reason", "name"]
+
 RELATIONAL = {
     "users": _struct(
         author="string", author_flair_text="string", author_flair_css_class="string"

@@ -8,11 +8,14 @@ from pyspark.sql import SparkSession
 
 # Time zone and plan settings the operators are written for. They are Spark's own
 # defaults except the time zone; they are stated because skew handling depends on them.
+TIME_ZONE = "spark.sql.session.timeZone"
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+    TIME_ZONE: "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # First rows per key are cut before the shuffle whatever their number; Spark's own limit is 1000.
+    "spark.sql.optimizer.windowGroupLimitThreshold": str(2**31 - 1),
 }
 
 MB = 1024 * 1024
@@ -36,30 +39,45 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     return builder.getOrCreate()
 
 
-def sized_settings(input_bytes: int) -> dict[str, int]:
+def sized_settings(
+    input_bytes: int, partition_bytes: int = PARTITION_BYTES,
+    max_partitions: int = MAX_SHUFFLE_PARTITIONS, max_scan_tasks: int = MAX_SCAN_TASKS,
+    max_split_bytes: int = MAX_SPLIT_BYTES,
+) -> dict[str, int]:
     """Shuffle partitions and scan splits for an input of this size.
 
     Adaptive execution merges small shuffle partitions but never makes more, so
     the number has to start high enough for the data. Both are bounded because
-    a shuffle keeps one entry per pair of map and reduce task.
+    a shuffle keeps one entry per pair of map and reduce task; a cluster with a
+    larger driver can raise the bounds.
     """
-    partitions = -(-input_bytes // PARTITION_BYTES)
-    split = -(-input_bytes // MAX_SCAN_TASKS)
+    partitions = -(-input_bytes // partition_bytes)
+    split = -(-input_bytes // max_scan_tasks)
     return {
-        "spark.sql.shuffle.partitions": min(partitions, MAX_SHUFFLE_PARTITIONS),
-        "spark.sql.files.maxPartitionBytes": min(split, MAX_SPLIT_BYTES),
+        "spark.sql.shuffle.partitions": min(partitions, max_partitions),
+        "spark.sql.files.maxPartitionBytes": min(split, max_split_bytes),
     }
 
 
-def prepare(spark: SparkSession, input_bytes: int) -> None:
-    """Apply the settings the operators rely on; sizes are only ever raised."""
-    for name, value in SETTINGS.items():
-        if name.startswith("spark.sql.adaptive"):
-            spark.conf.set(name, value)
-    for name, wanted in sized_settings(input_bytes).items():
-        current = spark.conf.get(name)
-        if wanted > _bytes_or_count(current):
-            spark.conf.set(name, str(wanted))
+def prepare(spark: SparkSession, input_bytes: int, **limits: int) -> dict[str, str | None]:
+    """Apply the settings the operators rely on; sizes are only ever raised.
+
+    Returns what the changed settings were, for `restore`.
+    """
+    wanted = {name: value for name, value in SETTINGS.items() if name != TIME_ZONE}
+    for name, value in sized_settings(input_bytes, **limits).items():
+        if value > _bytes_or_count(spark.conf.get(name)):
+            wanted[name] = str(value)
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    return {name: value for name, value in before.items() if value != wanted[name]}
+
+
+def restore(spark: SparkSession, before: dict[str, str | None]) -> None:
+    """Undo `prepare`."""
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _bytes_or_count(setting: str) -> int:

@@ -1,19 +1,23 @@
 """Document loading in micro-batches.
 
 Every batch is reduced to at most one row per key (the reductions of
-`operators.documents`) and written to its own folder. The collections are the
-same reductions applied to all folders together, so a batch costs only its own
-rows, a repeated batch overwrites its own folder, and the result does not depend
-on how rows were cut into batches.
+`operators.documents`) and written to a folder of its own, named by an id that
+belongs to the progress folder and by the batch number, so that several loads
+into one target never meet. A batch is recorded as finished after all five
+collections are written; readers see finished batches only, and a finished batch
+that is repeated is left alone. The collections are the same reductions applied
+to all finished batches together, so a batch costs only its own rows and the
+result does not depend on how rows were cut into batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from threadloom import schemas
 from threadloom.operators import documents
@@ -30,40 +34,95 @@ REDUCTIONS: dict[str, tuple[Reduction, Reduction]] = {
 }
 
 
-def write_batch(target: str) -> Callable[[DataFrame, int], None]:
+FINISHED = "finished"
+FINISHED_SCHEMA = "load string, batch_id long"
+
+# Bound of one batch, whatever the size of the source.
+FILES_PER_BATCH = 1000
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+
+
+def new_load() -> str:
+    """An id that no other load has; the letter keeps Spark from reading it as a number."""
+    return f"l{uuid.uuid4().hex}"
+
+
+def load_id(spark: SparkSession, progress: str) -> str:
+    """The id of a progress folder, made when the folder is used first and stored in it."""
+    path = f"{progress}/load"
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        spark.createDataFrame([(new_load(),)], "id string").coalesce(1).write.mode(
+            "overwrite").text(path)
+    return spark.read.text(path).first()[0]
+
+
+def finished(spark: SparkSession, target: str) -> DataFrame:
+    """The finished batches of a target: load, batch_id."""
+    return spark.read.schema(FINISHED_SCHEMA).parquet(f"{target}/{FINISHED}").distinct()
+
+
+def _is_finished(spark: SparkSession, target: str, load: str, batch_id: int) -> bool:
+    if not _exists(spark, f"{target}/{FINISHED}"):
+        return False
+    same = (F.col("load") == load) & (F.col("batch_id") == batch_id)
+    return not finished(spark, target).filter(same).isEmpty()
+
+
+def _write(spark: SparkSession, target: str, load: str, batch_id: int,
+           rows: Callable[[str], DataFrame]) -> None:
+    """Write all collections of a batch, then the record that makes them visible."""
+
+    def save(name: str) -> None:
+        rows(name).write.mode("overwrite").parquet(
+            f"{target}/{name}/load={load}/batch_id={batch_id}")
+
+    # The five writes are independent jobs; together they fill the cluster.
+    with ThreadPoolExecutor(len(REDUCTIONS)) as pool:
+        list(pool.map(save, REDUCTIONS))
+    spark.createDataFrame([(load, batch_id)], FINISHED_SCHEMA).coalesce(1).write.mode(
+        "append").parquet(f"{target}/{FINISHED}")
+
+
+def write_batch(target: str, load: str) -> Callable[[DataFrame, int], None]:
     """The writer of one micro-batch; running it again for a batch changes nothing."""
 
     def write(chunk: DataFrame, batch_id: int) -> None:
-        # One read of the source files serves all five collections.
-        chunk.persist(StorageLevel.MEMORY_AND_DISK)
-        def save(name: str) -> None:
-            rows, reduced = REDUCTIONS[name]
-            reduced(rows(chunk)).write.mode("overwrite").parquet(
-                f"{target}/{name}/batch_id={batch_id}"
-            )
-
-        try:
-            # The five writes are independent jobs; together they fill the cluster.
-            with ThreadPoolExecutor(len(REDUCTIONS)) as pool:
-                list(pool.map(save, REDUCTIONS))
-        finally:
-            chunk.unpersist()
+        spark = chunk.sparkSession
+        if _is_finished(spark, target, load, batch_id):
+            return
+
+        # Each collection reads its own columns of the batch's files; nothing is kept on executors.
+        def rows(name: str) -> DataFrame:
+            found, reduced = REDUCTIONS[name]
+            return reduced(found(chunk))
+
+        _write(spark, target, load, batch_id, rows)
 
     return write
 
 
 def load_available(
-    spark: SparkSession, source: str, target: str, progress: str, files_per_batch: int = 1000
+    spark: SparkSession, source: str, target: str, progress: str,
+    files_per_batch: int = FILES_PER_BATCH, bytes_per_batch: str | None = None,
 ) -> None:
-    """Load all flat files not loaded before, in batches of a given number of files."""
+    """Load all flat files not loaded before, in batches of bounded size.
+
+    A batch has at most `files_per_batch` files or, if `bytes_per_batch` is given instead, about
+    that many bytes.
+    """
+    bound = (("maxFilesPerTrigger", str(files_per_batch)) if bytes_per_batch is None
+             else ("maxBytesPerTrigger", bytes_per_batch))
     chunks = (
-        spark.readStream.schema(schemas.FLAT)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(source)
+        spark.readStream.schema(schemas.FLAT).option(*bound).parquet(source)
+        .select(*schemas.LOADED_COLUMNS)
     )
     query = (
-        chunks.writeStream.foreachBatch(write_batch(target))
-        .option("checkpointLocation", progress)
+        chunks.writeStream.foreachBatch(write_batch(target, load_id(spark, progress)))
+        .option("checkpointLocation", f"{progress}/stream")
         .trigger(availableNow=True)
         .start()
     )
@@ -71,33 +130,60 @@ def load_available(
 
 
 def reduced_rows(spark: SparkSession, target: str, collection: str) -> DataFrame:
-    """One row per key over all batches, ordering columns included."""
-    batches = spark.read.parquet(f"{target}/{collection}").drop("batch_id")
-    return REDUCTIONS[collection][1](batches)
+    """One row per key over all finished batches, ordering columns included."""
+    batches = spark.read.parquet(f"{target}/{collection}")
+    done = batches.join(finished(spark, target), ["load", "batch_id"], "left_semi")
+    return REDUCTIONS[collection][1](done.drop("load", "batch_id"))
 
 
 def compact(spark: SparkSession, target: str, compacted: str) -> None:
-    """Store the reduced batches as the first batch of a new target."""
-    for name in REDUCTIONS:
-        reduced_rows(spark, target, name).write.mode("overwrite").parquet(
-            f"{compacted}/{name}/batch_id=0"
-        )
+    """Store the reduced batches as one batch of a new target, under an id of its own."""
+    _write(spark, compacted, new_load(), 0, lambda name: reduced_rows(spark, target, name))
 
 
-def collections(
-    spark: SparkSession, target: str, store: Reduction, embed_cap: int = documents.EMBED_CAP
-) -> dict[str, DataFrame]:
-    """The five collections as loaded so far.
+class Collections(Mapping):
+    """The five collections as loaded so far, each derived when it is asked for.
 
-    `store` writes the reduced comments once, as they are used several times.
+    `store` writes the reduced comments once, when posts or comments are first asked for.
     """
-    kept_comments = store(reduced_rows(spark, target, "comments"))
-    return {
-        "users": documents.shape_users(reduced_rows(spark, target, "users")),
-        "subreddits": documents.shape_subreddits(reduced_rows(spark, target, "subreddits")),
-        "posts": documents.assemble_posts(
-            reduced_rows(spark, target, "posts"), kept_comments, embed_cap
-        ),
-        "comments": documents.shape_comments(kept_comments),
-        "moderation": documents.shape_moderation(reduced_rows(spark, target, "moderation")),
-    }
+
+    def __init__(self, spark: SparkSession, target: str, store: Reduction, embed_cap: int):
+        self._spark, self._target, self._store, self._cap = spark, target, store, embed_cap
+        self._comments: DataFrame | None = None
+
+    def _rows(self, name: str) -> DataFrame:
+        return reduced_rows(self._spark, self._target, name)
+
+    def _kept_comments(self) -> DataFrame:
+        if self._comments is None:
+            self._comments = self._store(self._rows("comments"))
+        return self._comments
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name == "users":
+            return documents.shape_users(self._rows("users"))
+        if name == "subreddits":
+            return documents.shape_subreddits(self._rows("subreddits"))
+        if name == "posts":
+            return documents.assemble_posts(self._rows("posts"), self._kept_comments(), self._cap)
+        if name == "comments":
+            return documents.shape_comments(self._kept_comments())
+        if name == "moderation":
+            return documents.shape_moderation(self._rows("moderation"))
+        raise KeyError(name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(REDUCTIONS)
+
+    def __len__(self) -> int:
+        return len(REDUCTIONS)
+
+    def counts(self) -> DataFrame:
+        """Documents per collection: one per key, so nothing has to be shaped or stored."""
+        return documents.collection_counts({name: self._rows(name) for name in REDUCTIONS})
+
+
+def collections(
+    spark: SparkSession, target: str, store: Reduction, embed_cap: int = documents.EMBED_CAP
+) -> Collections:
+    return Collections(spark, target, store, embed_cap)
