@@ -100,3 +100,20 @@ def test_tables_without_domain_columns_have_no_examples(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert dependencies.domain_examples("t", df).count() == 0
     assert dependencies.domain("t", df).count() == 0
+
+
+def test_uniqueness_of_tiny_tables_with_an_empty_string(spark):
+    for values in ([""], ["", "a"], ["", "a", "b"], ["", "a", "b", "c"]):
+        df = spark.createDataFrame([(v,) for v in values], "x string")
+        got = dependencies.uniqueness("t", df).collect()
+        assert [(r.distinct_count, r.row_count) for r in got] == [(len(values), len(values))]
+
+
+def test_checks_use_hash_aggregates(ws):
+    from threadloom.plans.registry import QUERIES
+
+    for name in ("fd_check", "fd_domain", "fd_primary_key", "fd_examples", "fd_candidate_keys"):
+        plan = QUERIES[name](ws)._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan
+        if name != "fd_examples":  # lists of a few examples are collected there
+            assert "SortAggregate" not in plan

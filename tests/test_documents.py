@@ -1,3 +1,4 @@
+import pytest
 from threadloom.operators import docqueries, documents, to_relational
 
 
@@ -87,3 +88,19 @@ def test_missing_values_in_documents(flat_frame, ws):
     assert docqueries.missing_subreddit_count(collections).first()[0] == 3
     assert docqueries.posts_without_author(collections).first()[0] == 8
     assert docqueries.empty_bodies(collections).count() == 3
+
+
+@pytest.mark.parametrize("name, fields", [
+    ("docq_posts_with_comments", {"id"}), ("docq_avg_comments", {"id"}),
+    ("docq_controversial", {"id", "controversiality"}), ("docq_total_embedded", {"id"}),
+    ("docq_empty_bodies", {"id", "author", "body"}),
+    ("docq_random_comments", {"id", "author", "body"}),
+])
+def test_embedded_comments_are_read_pruned(ws, name, fields):
+    import re
+
+    from threadloom.plans.registry import QUERIES
+
+    plan = QUERIES[name](ws)._jdf.queryExecution().toString()
+    read = re.findall(r"ReadSchema: struct<.*?comments:array<struct<([^>]*)>>", plan)
+    assert read and all({f.split(":")[0] for f in r.split(",")} == fields for r in read)

@@ -27,7 +27,7 @@ def test_load_and_clean(spark, ws, own, rows_of):
     for name in ("users", "comment"):
         stored = spark.read.parquet(f"{target}/{name}_cleaned")
         assert rows_of(stored) == rows_of(ws.cleaned[name])
-    some = jobs.clean_relational(spark, target, ws.new_path("job-some"), first=50)
+    some = jobs.clean_relational(spark, target, ws.new_path("job-some"), first=50, store=ws.store)
     seen = {r.table_name: r.row_count for r in some.filter("counter = 'seen'").collect()}
     assert seen["comment"] == 50 and seen["subreddit"] <= 50
 

@@ -96,3 +96,11 @@ def test_dominant_join_key_is_split(spark, ws):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_large_groups_are_cut_before_the_shuffle(spark, ws):
+    from threadloom.operators.ranking import bounded_groups
+
+    cut = bounded_groups(ws.flat.select("link_id", "id"), ["link_id"], [F.col("id").asc()], 5000)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2

@@ -94,10 +94,12 @@ def test_report_keeps_its_order(spark, ws):
     assert [r.value for r in spark.read.text(path).collect()] == [
         "- **Total Tables Analyzed**: 1", "- **Total Functional Dependencies Discovered**: 2",
         "### Table: `t`", "**Columns**: k, x, y", "**Row Count**: 1,234", "**Primary Key**: `k`",
-        "- t: `k` -> `x, y` **HOLDS**", "  - Type: Primary Key", "  - Confidence: High",
-        "- t: `x` -> `y` **FAILS**", "  - Type: Domain-Based", "  - Confidence: High",
+        "#### Functional Dependencies", "**Primary Key Dependencies:**",
+        "- `k` -> `x, y` **HOLDS**", "  - Type: Primary Key", "  - Confidence: High",
+        "**Domain-Based Dependencies:**",
+        "- `x` -> `y` **FAILS**", "  - Type: Domain-Based", "  - Confidence: High",
         "  - Description: why", "  - Violations: 2 violations in 3 groups",
-        "    - x=a -> y=[1, 2]", "    - x=b -> y=[1, 2]",
+        "  - Example violations:", "    - x=a -> y=[1, 2]", "    - x=b -> y=[1, 2]",
     ]
 
 
@@ -112,3 +114,12 @@ def test_json_sources(spark, ws, rows_of):
 def test_limits_at_the_source(spark, ws):
     assert sources.read_flat(spark, ws.path("flat"), ["id"], first=5).count() == 5
     assert sources.read_table(spark, "post", ws.path("post"), first=5).count() == 5
+
+
+@pytest.mark.parametrize("digits", [1, 2, 4])
+def test_numbers_are_rounded_by_their_binary_value(spark, digits):
+    values = [k / 800 for k in range(801)] + [k / 8 for k in range(-40, 41)] + [
+        1234567.00005, 0.5, 1.5, 2.5, 1e-9, 99999.99995, 0.1 + 0.2, 100 * 0.2875]
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select(
+        "i", reports.fixed(F.col("v"), digits).alias("text")).collect()
+    assert {r.i: r.text for r in got} == {i: f"{v:.{digits}f}" for i, v in enumerate(values)}

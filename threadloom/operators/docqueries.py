@@ -47,12 +47,13 @@ def post_slice(c: Collections, comments: int = 1) -> DataFrame:
 
 
 def posts_with_comments(c: Collections) -> DataFrame:
-    return _count(c["posts"].filter(F.size("comments") > 0), "post_count")
+    # The size of one leaf, so that no other field of the embedded comments is read.
+    return _count(c["posts"].filter(F.size("comments.id") > 0), "post_count")
 
 
 def average_embedded(c: Collections) -> DataFrame:
     """Average number of embedded comments; a missing array counts as 0."""
-    embedded = F.when(F.col("comments").isNull(), 0).otherwise(F.size("comments"))
+    embedded = F.when(F.col("comments.id").isNull(), 0).otherwise(F.size("comments.id"))
     return c["posts"].agg(F.avg(embedded).alias("avg_comments"))
 
 
@@ -69,23 +70,34 @@ def posts_per_name(c: Collections, k: int = 10) -> DataFrame:
     return top(counts, k, F.col("post_count").desc(), F.col("name").asc_nulls_first())
 
 
-def _unnested(c: Collections) -> DataFrame:
-    return c["posts"].select(F.col("_id").alias("post_id"), F.explode("comments").alias("c"))
+def _unnested(c: Collections, *fields: str) -> DataFrame:
+    """Embedded comments as rows with some of their fields; no others are read."""
+    leaves = F.arrays_zip(*[F.col(f"comments.{f}").alias(f) for f in fields])
+    return c["posts"].select(F.col("_id").alias("post_id"), F.explode(leaves).alias("c")).select(
+        "post_id", *[F.col("c").getField(f).alias(f) for f in fields])
 
 
 def total_embedded(c: Collections) -> DataFrame:
-    return _count(_unnested(c), "total_comments")
+    return _count(_unnested(c, "id"), "total_comments")
 
 
 def random_comments(c: Collections, k: int = 2, seed: int = 7) -> DataFrame:
     """k random embedded comments."""
-    chosen = _unnested(c).orderBy(F.rand(seed)).limit(k)
-    return chosen.select("c.id", "c.author", "c.body")
+    rows = _unnested(c, "id", "author", "body")
+    return rows.orderBy(F.rand(seed)).limit(k).select("id", "author", "body")
+
+
+def random_comments_found(c: Collections, k: int = 2, seed: int = 7) -> DataFrame:
+    """How many random comments are drawn, and how many of them are embedded comments."""
+    drawn = random_comments(c, k, seed)
+    known = _unnested(c, "id").select("id").distinct().withColumn("known", F.lit(1))
+    return drawn.join(known, "id", "left").agg(
+        F.count(F.lit(1)).alias("drawn"), F.count("known").alias("embedded"))
 
 
 def controversial(c: Collections, k: int = 3) -> DataFrame:
     """Embedded comments marked as controversial."""
-    found = _unnested(c).select("post_id", "c.id", "c.controversiality").filter(
+    found = _unnested(c, "id", "controversiality").filter(
         F.col("controversiality") > 0
     )
     return top(found, k, F.col("id").asc())
@@ -153,7 +165,7 @@ def missing_subreddit_count(c: Collections, k: int = 3) -> DataFrame:
 
 def empty_bodies(c: Collections, k: int = 3) -> DataFrame:
     """Embedded comments without text."""
-    found = _unnested(c).select("post_id", "c.id", "c.author", "c.body").filter(
+    found = _unnested(c, "id", "author", "body").filter(
         is_empty(F.col("body"))
     )
     return top(found, k, F.col("id").asc())

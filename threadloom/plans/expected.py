@@ -479,6 +479,8 @@ def _document_sql() -> dict[str, tuple[list[str], str]]:
             SELECT subreddit_name AS name, count(*) AS post_count FROM doc_posts GROUP BY 1
             ORDER BY post_count DESC, name NULLS FIRST LIMIT 10"""),
         "docq_total_embedded": (["embedded"], f"SELECT count(*) AS total_comments {within}"),
+        "docq_random_comments_found": (["embedded"], f"""
+            SELECT least(2, count(*)) AS drawn, least(2, count(*)) AS embedded {within}"""),
         "docq_controversial": (["embedded"], f"""
             SELECT post_id, id, controversiality {within} AND controversiality > 0
             ORDER BY id LIMIT 3"""),
@@ -605,7 +607,7 @@ def _sink_sql() -> dict[str, tuple[list[str], str]]:
             f"SELECT query, row_count, TRUE AS has_speedup FROM ({query_rows})"),
         "bench_layout": (["post", "comment", "subreddit"],
             f"SELECT query, row_count AS rows_before, row_count AS rows_after FROM ({query_rows})"),
-        "sink_fd_report": (["flat", "post", "post_link"], _fd_report_sql()),
+        "sink_fd_report": (["flat", *schemas.RELATIONAL], _fd_report_sql()),
         "sink_rule_report": (["supports"], _rule_report_sql()),
     }
 
@@ -616,43 +618,64 @@ def _lines(selects: Sequence[str]) -> str:
 
 
 def _fd_report_sql() -> str:
-    tables = {"comments_raw": ("flat", schemas.FLAT.names),
-              "post": ("post", _columns("post")), "post_link": ("post_link", _columns("post_link"))}
-    primary = " UNION ALL ".join(
-        _described(t, _fd_sql(t, schemas.PRIMARY_KEYS[t],
-                              [c for c in _columns(t) if c not in schemas.PRIMARY_KEYS[t]]),
-                   "Primary Key") for t in ("post", "post_link"))
-    domain = " UNION ALL ".join(
-        part for part in (_domain_sql(t, s, c) for t, (s, c) in tables.items()) if part)
+    """The lines of the report in their order; 100 line numbers are left for each dependency."""
+    tables = _tables()
     facts = " UNION ALL ".join(
         f"""SELECT '{t}' AS table_name, '{', '.join(c)}' AS columns, count(*) AS row_count,
-            {_quoted(schemas.PRIMARY_KEYS[t][0]) if t in schemas.PRIMARY_KEYS else 'NULL'}
+            {_quoted(', '.join(schemas.PRIMARY_KEYS[t])) if t in schemas.PRIMARY_KEYS else 'NULL'}
             AS primary_key FROM {s}""" for t, (s, c) in tables.items())
     # Only the first two groups of each failing dependency are shown.
     shown = " UNION ALL ".join(
         f"""SELECT * FROM (SELECT '{t}' AS table_name, *, row_number() OVER
             (ORDER BY determinant_value) AS n FROM ({_example_sql(x, [y], s)})) WHERE n <= 2"""
         for t, (s, c) in tables.items() for x, y, _ in DOMAIN_DEPENDENCIES if x in c and y in c)
-    status = "CASE WHEN holds THEN 'HOLDS' ELSE 'FAILS' END"
-    return f"""WITH fd AS (SELECT * FROM ({primary}) WHERE holds
-        UNION ALL {_candidate_deps(tables)} UNION ALL {domain}),
-        facts AS ({facts}), shown AS ({shown}) """ + _lines([
-        "SELECT concat('- **Total Tables Analyzed**: ', count(*)) AS line FROM facts",
-        "SELECT concat('- **Total Functional Dependencies Discovered**: ', count(*)) FROM fd",
-        "SELECT concat('### Table: `', table_name, '`') FROM facts",
-        "SELECT concat('**Columns**: ', columns) FROM facts",
-        "SELECT concat('**Row Count**: ', format('{:,}', row_count)) FROM facts",
-        "SELECT '**Primary Key**: `' || primary_key || '`' FROM facts",
-        f"""SELECT concat('- ', table_name, ': `', determinant, '` -> `', dependent, '` **',
-            {status}, '**') FROM fd""",
-        "SELECT concat('  - Type: ', fd_type) FROM fd",
-        "SELECT '  - Confidence: High' FROM fd",
-        "SELECT '  - Description: ' || description FROM fd",
-        """SELECT CASE WHEN NOT holds THEN concat('  - Violations: ', violations,
-           ' violations in ', total_groups, ' groups') END FROM fd""",
-        """SELECT concat('    - ', determinant, '=', determinant_value, ' -> ', dependent_column,
-           '=[', dependent_values, ']') FROM shown""",
-    ])
+
+    def of_table(number: int, line: str) -> str:
+        return f"SELECT 2, entry, {number}, {line} FROM t"
+
+    def of_fd(number: int, line: str) -> str:
+        return f"SELECT 2, entry, 100 * place + {number}, {line} FROM d"
+
+    lines = [
+        "SELECT 1 AS section, 1 AS entry, 1 AS line_no, "
+        "concat('- **Total Tables Analyzed**: ', count(*)) AS line FROM facts",
+        "SELECT 1, 1, 2, concat('- **Total Functional Dependencies Discovered**: ', count(*)) FROM fd",
+        of_table(1, "concat('### Table: `', table_name, '`')"),
+        of_table(2, "concat('**Columns**: ', columns)"),
+        of_table(3, "concat('**Row Count**: ', format('{:,}', row_count))"),
+        of_table(4, "'**Primary Key**: `' || primary_key || '`'"),
+        of_table(5, """CASE WHEN table_name IN (SELECT table_name FROM fd)
+            THEN '#### Functional Dependencies' ELSE
+            '*No functional dependencies discovered beyond primary key constraints.*' END"""),
+        of_fd(1, "CASE WHEN of_type = 1 THEN concat('**', fd_type, ' Dependencies:**') END"),
+        of_fd(2, """concat('- `', determinant, '` -> `', dependent, '` **',
+            CASE WHEN holds THEN 'HOLDS' ELSE 'FAILS' END, '**')"""),
+        of_fd(3, "concat('  - Type: ', fd_type)"),
+        of_fd(4, "'  - Confidence: High'"),
+        of_fd(5, "'  - Description: ' || description"),
+        of_fd(6, """CASE WHEN NOT holds THEN concat('  - Violations: ', violations,
+            ' violations in ', total_groups, ' groups') END"""),
+        of_fd(7, """CASE WHEN NOT holds AND (table_name, determinant, dependent) IN
+            (SELECT (table_name, determinant, dependent_column) FROM shown)
+            THEN '  - Example violations:' END"""),
+        """SELECT 2, entry, 100 * place + 7 + n, concat('    - ', determinant, '=',
+            determinant_value, ' -> ', dependent_column, '=[', dependent_values, ']')
+            FROM shown JOIN (SELECT table_name, determinant, dependent AS dependent_column, entry,
+            place FROM d) USING (table_name, determinant, dependent_column)""",
+    ]
+    order = "list_position(['Primary Key', 'Candidate Key', 'Domain-Based'], fd_type)"
+    return f"""WITH fd AS ({_primary_sql()} UNION ALL {_candidate_deps()}
+        UNION ALL {_domain_all()}),
+        facts AS (SELECT * FROM ({facts}) WHERE row_count > 0), shown AS ({shown}),
+        t AS (SELECT *, row_number() OVER (ORDER BY table_name) AS entry FROM facts),
+        d AS (SELECT fd.*, entry,
+            row_number() OVER (PARTITION BY table_name ORDER BY {order}, determinant, dependent)
+            AS place,
+            row_number() OVER (PARTITION BY table_name, fd_type ORDER BY determinant, dependent)
+            AS of_type FROM fd JOIN t USING (table_name)),
+        lines AS ({" UNION ALL ".join(lines)})
+        SELECT CAST(row_number() OVER (ORDER BY section, entry, line_no) AS INTEGER) AS position,
+        line FROM lines WHERE line IS NOT NULL"""
 
 
 def _rule_report_sql() -> str:

@@ -72,39 +72,53 @@ def documents_to_relational(spark: SparkSession, source: str, target: str, store
 
 
 def clean_relational(
-    spark: SparkSession, source: str, target: str, first: int | None = None
+    spark: SparkSession, source: str, target: str, first: int | None = None, store=None
 ) -> DataFrame:
-    """Write the cleaned copies of five tables and return all counters."""
+    """Write the cleaned copies of five tables, or of their first rows, and return all counters."""
     counters = []
     for name in schemas.CLEANED_TABLES:
         rows = sources.read_table(spark, name, f"{source}/{name}")
         if first is not None:
-            key = [F.col(c).asc_nulls_last() for c in rows.columns]
-            rows = sources.sample(rows, first, *key)
+            rows = sources.first_rows(rows, first, store)
         sinks.recreate(clean.clean(name, rows), f"{target}/{name}_cleaned")
         counters.append(clean.clean_stats(name, rows))
     return reduce(DataFrame.unionByName, counters)
 
 
-def report_dependencies(tables: dict[str, DataFrame], path: str, store) -> None:
-    """Discover dependencies in the given tables and write the report."""
+def report_dependencies(
+    tables: dict[str, DataFrame], path: str, store, first: int | None = None
+) -> DataFrame:
+    """Discover dependencies in the given tables, or their first rows, and write the report.
+
+    Returns the lines with their place.
+    """
+    if first is not None:
+        tables = {n: sources.first_rows(df, first, store) for n, df in tables.items()}
     found = store(dependencies.discover(tables, schemas.PRIMARY_KEYS))
     examples = reduce(
         DataFrame.unionByName,
         [dependencies.domain_examples(n, df) for n, df in tables.items()],
     )
     facts = dependencies.table_facts(tables, schemas.PRIMARY_KEYS)
-    reports.write_text(reports.fd_report(found, facts, examples), path)
+    lines = store(reports.fd_report(found, facts, examples))
+    reports.write_text(lines, path)
+    return lines
 
 
 def report_rules(
     cleaned: dict[str, DataFrame], path: str, store,
     min_support: float = mining.MIN_SUPPORT, min_confidence: float = mining.MIN_CONFIDENCE,
+    first: int | None = None,
 ) -> DataFrame:
-    """Mine rules from cleaned tables, write the report and return the summary."""
+    """Mine rules from cleaned tables, write the report and return the summary.
+
+    With `first`, only the first comments are mined.
+    """
+    if first is not None:
+        cleaned = {**cleaned, "comment": sources.first_rows(cleaned["comment"], first, store)}
     counts = store(mining.transaction_counts(cleaned))
     itemsets = store(mining.frequent_itemsets(counts, min_support))
     rules = store(mining.association_rules(itemsets, min_confidence))
-    summary = mining.summary(counts, itemsets, rules)
-    reports.write_text(reports.rule_report(summary, itemsets, rules, store), path)
-    return summary
+    exact = mining.summary(counts, itemsets, rules, digits=None)
+    reports.write_text(reports.rule_report(exact, itemsets, rules, store), path)
+    return mining.summary(counts, itemsets, rules)

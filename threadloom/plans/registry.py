@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom import schemas
@@ -102,7 +102,7 @@ def src_catalog(ws: Workspace) -> DataFrame:
 def src_sample(ws: Workspace) -> DataFrame:
     rows = ws.flat.select("id", "link_id", "author", "created_utc", "name", "score", "body")
     order = row_order(rows.columns)
-    return sources.sample(rows, 1000, *order)
+    return sources.sample(rows, 1000, *order, store=ws.store)
 
 
 # --- sinks -----------------------------------------------------------------
@@ -208,11 +208,11 @@ def sink_csv(ws: Workspace) -> DataFrame:
 
 @query
 def sink_fd_report(ws: Workspace) -> DataFrame:
-    tables = {"comments_raw": ws.flat, "post": ws.relational["post"],
-              "post_link": ws.relational["post_link"]}
-    path = ws.new_path("report")
-    jobs.report_dependencies(tables, path, ws.store)
-    return _report_lines(ws, path)
+    """All lines of the report over all analyzed tables, with their place."""
+    lines = jobs.report_dependencies(_analyzed(ws), ws.new_path("report"), ws.store)
+    # The number of lines depends on the schema only.
+    place = F.row_number().over(Window.orderBy("section", "entry", "line_no"))
+    return lines.select(place.alias("position"), "line")
 
 
 @query
@@ -596,6 +596,7 @@ QUERIES.update({
         "posts_per_subreddit": docqueries.posts_per_name,
         "total_embedded": docqueries.total_embedded,
         "random_comments": docqueries.random_comments,
+        "random_comments_found": docqueries.random_comments_found,
         "controversial": docqueries.controversial,
         "removals": docqueries.removals,
         "top_moderated": docqueries.top_moderated,

@@ -190,7 +190,8 @@ def comment_workspace(
     def read() -> DataFrame:
         comments = spark.read.schema(schemas.FLAT).format(file_format).load(path)
         return comments if first is None else sources.sample(
-            comments, first, *row_order(comments.columns)
+            comments, first, *row_order(comments.columns), store=own.store
         )
 
-    return Workspace(spark, read, path_bytes(spark, path))
+    own = Workspace(spark, read, path_bytes(spark, path))
+    return own

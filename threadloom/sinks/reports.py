@@ -14,10 +14,13 @@ from threadloom.operators.ranking import dense_row_number
 LINE_COLUMNS = ["section", "entry", "line_no", "line"]
 
 
-def _lines(df: DataFrame, section: int, entry: Column, lines: Sequence[Column]) -> DataFrame:
-    """One row per line of each entry; NULL lines are left out."""
+def _lines(
+    df: DataFrame, section: int, entry: Column, lines: Sequence[Column], after: Column | None = None
+) -> DataFrame:
+    """One row per line of each entry, numbered from 1 or from `after`; NULL lines are left out."""
+    after = F.lit(0) if after is None else after
     numbered = F.array(*[
-        F.struct(F.lit(i).alias("line_no"), line.alias("line"))
+        F.struct((after + i).cast("int").alias("line_no"), line.alias("line"))
         for i, line in enumerate(lines, 1)
     ])
     return (
@@ -27,9 +30,23 @@ def _lines(df: DataFrame, section: int, entry: Column, lines: Sequence[Column])
     )
 
 
-def _fixed(value: Column, digits: int) -> Column:
-    """A number with a fixed count of decimals, where ties go to the even digit."""
-    return F.format_string(f"%.{digits}f", F.bround(value, digits))
+def fixed(value: Column, digits: int) -> Column:
+    """A number with a fixed count of decimals, its binary value rounded exactly, ties to even.
+
+    With c = 2 * 10**digits the question is on which side of an odd number value * c lies. The value
+    is split into a 24-bit part and a rest, whose products with c are exact; the difference of the
+    large product and the odd number is exact, and adding the small one keeps the sign.
+    """
+    c = float(2 * 10**digits)
+    size = F.abs(value)
+    upper = size.cast("float").cast("double")
+    large, small = upper * F.lit(c), (size - upper) * F.lit(c)
+    below = F.floor((large + small) / 2)
+    side = (large - (below * 2 + 1).cast("double")) + small
+    whole = below + F.when(side > 0, 1).when(side < 0, 0).otherwise(below % 2)
+    sign = F.when(value < 0, "-").otherwise("")
+    parts = [F.floor(whole / F.lit(10**digits)).cast("long"), (whole % F.lit(10**digits)).cast("long")]
+    return F.format_string(f"%s%d.%0{digits}d", sign, *parts)
 
 
 def timing_comparison(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -57,9 +74,9 @@ def rule_report(
             F.format_string("Frequent Itemsets: %d", "frequent_itemsets"),
             F.format_string("Association Rules: %d", "association_rules"),
             F.when(F.col("association_rules") > 0,
-                   F.concat(F.lit("Average Confidence: "), _fixed(F.col("average_confidence"), 4))),
+                   F.concat(F.lit("Average Confidence: "), fixed(F.col("average_confidence"), 4))),
             F.when(F.col("association_rules") > 0,
-                   F.concat(F.lit("Average Lift: "), _fixed(F.col("average_lift"), 4))),
+                   F.concat(F.lit("Average Lift: "), fixed(F.col("average_lift"), 4))),
             F.when(F.col("association_rules") > 0,
                    F.format_string("Rules with Lift > 1.0: %d", "rules_with_positive_lift")),
         ],
@@ -68,8 +85,8 @@ def rule_report(
     ranked_sets = top_itemsets(itemsets, first_itemsets).withColumn(
         "entry", F.row_number().over(Window.orderBy(*itemset_order()))
     )
-    support = [_fixed(F.col("support"), 4), _fixed(F.col("support") * 100, 2)]
-    confidence = [_fixed(F.col("confidence"), 4), _fixed(F.col("confidence") * 100, 1)]
+    support = [fixed(F.col("support"), 4), fixed(F.col("support") * 100, 2)]
+    confidence = [fixed(F.col("confidence"), 4), fixed(F.col("confidence") * 100, 1)]
     itemset_lines = _lines(
         ranked_sets, 2, F.col("entry"),
         [
@@ -85,7 +102,7 @@ def rule_report(
         .otherwise(" (no association)")
     )
     shown_conviction = F.when(F.col("conviction") == float("inf"), "inf").otherwise(
-        _fixed(F.col("conviction"), 4)
+        fixed(F.col("conviction"), 4)
     )
     rule_lines = _lines(
         numbered, 3, F.col("entry"),
@@ -95,7 +112,7 @@ def rule_report(
             F.concat(F.lit("  THEN "), F.array_join("consequents", ", ")),
             F.format_string("  Support: %s (%s%%)", *support),
             F.format_string("  Confidence: %s (%s%%)", *confidence),
-            F.concat(F.lit("  Lift: "), _fixed(F.col("lift"), 4), direction),
+            F.concat(F.lit("  Lift: "), fixed(F.col("lift"), 4), direction),
             F.concat(F.lit("  Conviction: "), shown_conviction),
         ],
     )
@@ -105,10 +122,13 @@ def rule_report(
 # Order in which kinds of dependency appear under a table.
 FD_TYPES = ["Primary Key", "Candidate Key", "Domain-Based"]
 SHOWN_EXAMPLES = 2
+LINES_PER_FD = 100
+# Fixed value: the line of a table without dependencies.
+NOTHING_FOUND = "*No functional dependencies discovered beyond primary key constraints.*"
 
 
 def fd_report(found: DataFrame, facts: DataFrame, examples: DataFrame) -> DataFrame:
-    """Lines of the dependency report: totals, tables, dependencies with examples.
+    """Lines of the dependency report: totals, then each table with its dependencies by type.
 
     The number of tables, dependencies and examples depends on the schema only,
     so one task may number them.
@@ -123,14 +143,16 @@ def fd_report(found: DataFrame, facts: DataFrame, examples: DataFrame) -> DataFr
             F.format_string("- **Total Functional Dependencies Discovered**: %d", "fds"),
         ],
     )
+    tables = facts.withColumn("entry", F.row_number().over(Window.orderBy("table_name")))
+    known = found.select("table_name").distinct().withColumn("any", F.lit(True))
     table_lines = _lines(
-        facts.withColumn("entry", F.row_number().over(Window.orderBy("table_name"))),
-        2, F.col("entry"),
+        tables.join(known, "table_name", "left"), 2, F.col("entry"),
         [
             F.format_string("### Table: `%s`", "table_name"),
             F.concat(F.lit("**Columns**: "), F.col("columns")),
             F.concat(F.lit("**Row Count**: "), F.format_number("row_count", 0)),
             F.concat(F.lit("**Primary Key**: `"), F.col("primary_key"), F.lit("`")),
+            F.when(F.col("any"), "#### Functional Dependencies").otherwise(NOTHING_FOUND),
         ],
     )
     first = Window.partitionBy("table_name", "determinant", "dependent_column").orderBy(
@@ -146,24 +168,31 @@ def fd_report(found: DataFrame, facts: DataFrame, examples: DataFrame) -> DataFr
         ))).alias("example_lines"))
     )
     kind = F.array_position(F.array(*[F.lit(t) for t in FD_TYPES]), F.col("fd_type"))
-    order = Window.orderBy(F.col("table_name"), kind, F.col("determinant"), F.col("dependent"))
-    entry = found.join(shown, ["table_name", "determinant", "dependent"], "left").withColumn(
-        "entry", F.row_number().over(order)
+    in_table = Window.partitionBy("table_name").orderBy(kind, "determinant", "dependent")
+    in_type = Window.partitionBy("table_name", "fd_type").orderBy("determinant", "dependent")
+    listed = (
+        found.join(tables.select("table_name", "entry"), "table_name")
+        .join(shown, ["table_name", "determinant", "dependent"], "left")
+        .withColumn("place", F.row_number().over(in_table))
+        .withColumn("leads", F.row_number().over(in_type) == 1)
     )
     status = F.when(F.col("holds"), "HOLDS").otherwise("FAILS")
+    fails = ~F.col("holds")
     fd_lines = _lines(
-        entry, 3, F.col("entry"),
+        listed, 2, F.col("entry"),
         [
-            F.format_string("- %s: `%s` -> `%s` **%s**", "table_name", "determinant",
-                            "dependent", status),
+            F.when(F.col("leads"), F.format_string("**%s Dependencies:**", "fd_type")),
+            F.format_string("- `%s` -> `%s` **%s**", "determinant", "dependent", status),
             F.format_string("  - Type: %s", "fd_type"),
             F.lit("  - Confidence: High"),
             F.concat(F.lit("  - Description: "), F.col("description")),
-            F.when(~F.col("holds"),
-                   F.format_string("  - Violations: %d violations in %d groups",
-                                   "violations", "total_groups")),
-            *[F.get(F.col("example_lines"), F.lit(i)) for i in range(SHOWN_EXAMPLES)],
+            F.when(fails, F.format_string("  - Violations: %d violations in %d groups",
+                                          "violations", "total_groups")),
+            F.when(fails & F.col("example_lines").isNotNull(), "  - Example violations:"),
+            *[F.when(fails, F.get(F.col("example_lines"), F.lit(i)))
+              for i in range(SHOWN_EXAMPLES)],
         ],
+        F.col("place") * LINES_PER_FD,
     )
     return reduce(DataFrame.unionByName, [total_lines, table_lines, fd_lines])
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadloom import schemas
+from threadloom.operators.ranking import dense_row_number
 
 
 def read_flat(
@@ -57,9 +58,19 @@ def read_documents(
     return spark.read.schema(schemas.DOCUMENTS[collection]).format(file_format).load(path)
 
 
-def sample(df: DataFrame, n: int, *order: Column) -> DataFrame:
-    """The first n rows in a total order, so that a rerun gives the same rows."""
-    return df.orderBy(*order).limit(n)
+def sample(df: DataFrame, n: int, *order: Column, store) -> DataFrame:
+    """The first n rows in a total order, so that a rerun gives the same rows.
+
+    Rows are numbered over a stored range sort, so no task sees more than its range however large n
+    is.
+    """
+    numbered = dense_row_number(df, order, "_row", store)
+    return numbered.filter(F.col("_row") <= n).drop("_row")
+
+
+def first_rows(df: DataFrame, n: int, store) -> DataFrame:
+    """The first n rows in the order of all columns."""
+    return sample(df, n, *[F.col(c).asc_nulls_last() for c in df.columns], store=store)
 
 
 def catalog(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
