@@ -48,3 +48,9 @@ def test_random_comments(spark, data_directory):
 
 def test_entry(spark):
     assert contract.entry(spark).columns == ["link_id", "subreddit", "comment_count"]
+
+
+@pytest.mark.parametrize("name", sorted(n for n in EXPECTED if n.startswith("dirty_") and n.endswith(
+    ("_raw", "_converted", "_removed"))) + ["docq_dup_subreddits_posts"])
+def test_twins_of_empty_results_have_rows(spark, data_directory, name):
+    assert not QUERIES[name](spark, data_directory).isEmpty()

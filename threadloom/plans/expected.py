@@ -479,6 +479,11 @@ def _document_sql() -> dict[str, tuple[list[str], str]]:
             SELECT subreddit_name AS name, count(*) AS post_count FROM doc_posts GROUP BY 1
             ORDER BY post_count DESC, name NULLS FIRST LIMIT 10"""),
         "docq_total_embedded": (["embedded"], f"SELECT count(*) AS total_comments {within}"),
+        "docq_dup_subreddits_posts": (["doc_posts"], """
+            SELECT subreddit_name AS name, count(*) AS name_count
+            FROM (SELECT DISTINCT subreddit_id, subreddit_name FROM doc_posts)
+            GROUP BY subreddit_name HAVING count(*) > 1
+            ORDER BY subreddit_name ASC NULLS FIRST LIMIT 5"""),
         "docq_random_comments_found": (["embedded"], f"""
             SELECT least(2, count(*)) AS drawn, least(2, count(*)) AS embedded {within}"""),
         "docq_controversial": (["embedded"], f"""
@@ -535,6 +540,18 @@ def _normalization_sql() -> dict[str, tuple[list[str], str]]:
     sql["norm_defaults"] = (["post"], """
         SELECT 'given' AS source, link_id, coalesce(gilded, 0) AS gilded FROM post
         UNION ALL SELECT 'absent', link_id, 0 FROM post""")
+    sql["norm_defaults_comment"] = (["comment"], """
+        SELECT 'given' AS source, id, coalesce(gilded, 0) AS gilded FROM comment
+        UNION ALL SELECT 'absent', id, 0 FROM comment""")
+    sql["norm_defaults_moderation"] = (["moderation"], f"""
+        SELECT 'given' AS source, mod_action_id, CASE WHEN mod_action_id % 2 = 0
+            THEN coalesce(action_timestamp, {LOAD_TIME}) ELSE {LOAD_TIME} END AS action_timestamp
+        FROM moderation UNION ALL SELECT 'absent', mod_action_id, {LOAD_TIME} FROM moderation""")
+    left = "SELECT author FROM users WHERE NOT starts_with(author, 'cat_')"
+    sql["norm_set_null"] = (["post", "comment", "users"], " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, {key} AS id,
+            CASE WHEN author IN ({left}) THEN author END AS author FROM {t}"""
+        for t, key in (("post", "link_id"), ("comment", "id"))))
     filters = {
         "post_link": " WHERE starts_with(parent_id, 't3_')",
         "comment": " WHERE link_id IN (SELECT link_id FROM post_link)",
@@ -749,6 +766,38 @@ def _dirty_sql() -> dict[str, tuple[list[str], str]]:
                             " AND c.parent_id LIKE 't3_%'"),
         "dirty_8_1": withdrawn,
         "dirty_8_2": withdrawn,
+        **_dirty_twins(),
+    }
+
+
+def _dirty_twins() -> dict[str, tuple[list[str], str]]:
+    """The finders over raw rows, converted documents and a shortened list of communities."""
+    comments = """(SELECT id, post_id AS link_id, parent_id, nullif(author, '[deleted]') AS author
+        FROM doc_comments)"""
+    kept = "id, link_id, parent_id, author"
+    twice = f"""(SELECT id FROM flat UNION ALL
+        SELECT id FROM flat WHERE created_utc < {SECOND_LOAD})"""
+
+    def repeated(source: str, key: str) -> tuple[list[str], str]:
+        return ["flat"], f"""SELECT {key}, count(*) AS row_count FROM {source} GROUP BY {key}
+            HAVING count(*) > 1"""
+
+    return {
+        "dirty_3_1_converted": (["doc_comments", "post_cleaned"], f"""SELECT {kept} FROM {comments}
+            WHERE link_id IS NULL OR link_id NOT IN (SELECT link_id FROM post_cleaned)"""),
+        "dirty_3_2_removed": (["post", "subreddit"], """SELECT link_id, subreddit_id FROM post
+            WHERE subreddit_id IS NULL OR subreddit_id NOT IN
+            (SELECT subreddit_id FROM subreddit WHERE subreddit_id > 't5_2')"""),
+        "dirty_3_3_converted": (["doc_comments", "users_cleaned"], f"""SELECT {kept} FROM {comments}
+            WHERE author IS NOT NULL AND author NOT IN (SELECT author FROM users_cleaned)"""),
+        "dirty_4_1_raw": repeated("flat", "link_id"),
+        "dirty_4_2_raw": repeated(twice, "id"),
+        "dirty_4_3_raw": repeated("flat", "author"),
+        "dirty_6_1_raw": (["flat"], """SELECT id, author_flair_text, author_flair_css_class FROM flat
+            WHERE author IS NULL AND
+            (author_flair_text IS NOT NULL OR author_flair_css_class IS NOT NULL)"""),
+        "dirty_7_2_converted": (["doc_comments", "post_cleaned"], f"""SELECT {kept} FROM {comments}
+            WHERE parent_id LIKE 't3_%' AND parent_id NOT IN (SELECT link_id FROM post_cleaned)"""),
     }
 
 

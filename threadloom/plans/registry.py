@@ -95,7 +95,11 @@ def src_json(ws: Workspace) -> DataFrame:
 
 @query
 def src_catalog(ws: Workspace) -> DataFrame:
-    return sources.catalog({"comments_raw": ws.flat, **ws.relational}, schemas.PRIMARY_KEYS)
+    """Facts of all tables that are found in a folder, which names none of them."""
+    root = ws.new_path("catalog")
+    for name, df in {"comments_raw": ws.flat, **ws.relational}.items():
+        sinks.recreate(df, f"{root}/{name}")
+    return sources.catalog(sources.stored_tables(ws.spark, root), schemas.PRIMARY_KEYS)
 
 
 @query
@@ -300,6 +304,39 @@ def norm_defaults(ws: Workspace) -> DataFrame:
     return given.unionByName(absent)
 
 
+@query
+def norm_defaults_comment(ws: Workspace) -> DataFrame:
+    comments = ws.relational["comment"]
+    parts = {"given": comments, "absent": comments.drop("gilded")}
+    return reduce(DataFrame.unionByName, [
+        normalize.with_defaults(df, "comment").select(F.lit(n).alias("source"), "id", "gilded")
+        for n, df in parts.items()])
+
+
+@query
+def norm_defaults_moderation(ws: Workspace) -> DataFrame:
+    actions = ws.relational["moderation"]
+    some = actions.withColumn("action_timestamp", F.when(
+        F.col("mod_action_id") % 2 == 0, F.col("action_timestamp")))
+    parts = {"given": some, "absent": actions.drop("action_timestamp")}
+    return reduce(DataFrame.unionByName, [
+        normalize.with_defaults(df, "moderation", LOAD_TIME).select(
+            F.lit(n).alias("source"), "mod_action_id", "action_timestamp")
+        for n, df in parts.items()])
+
+
+@query
+def norm_set_null(ws: Workspace) -> DataFrame:
+    """Comments and posts after the users of one kind have been deleted."""
+    users = ws.relational["users"].filter(~F.col("author").startswith("cat_"))
+    parents = {**ws.relational, "users": users}
+    keys = {"post": "link_id", "comment": "id"}
+    return reduce(DataFrame.unionByName, [
+        constraints.set_null_on_delete(t, ws.relational[t], parents).select(
+            F.lit(t).alias("table_name"), F.col(key).alias("id"), "author")
+        for t, key in keys.items()])
+
+
 @query
 def norm_load_stats(ws: Workspace) -> DataFrame:
     return normalize.load_stats(ws.flat, ws.relational)
@@ -631,6 +668,46 @@ def dirty_7_1_prefixed(ws: Workspace) -> DataFrame:
     return dirty.broken_reply(ws.relational, normalize.COMMENT_PREFIX)
 
 
+def _register_dirty_twins() -> None:
+    """The finders over tables in which they find something: raw rows and converted documents."""
+
+    def raw(ws: Workspace) -> dict[str, DataFrame]:
+        repeated = ws.flat.unionByName(first_load(ws))
+        return {"comment": repeated, "post": ws.flat, "users": ws.flat}
+
+    def converted(ws: Workspace) -> dict[str, DataFrame]:
+        comments = to_relational.comment(ws.collections["comments"])
+        return {"comment": comments, "post": ws.cleaned["post"], "users": ws.cleaned["users"]}
+
+    def removed(ws: Workspace) -> dict[str, DataFrame]:
+        kept = ws.relational["subreddit"].filter(F.col("subreddit_id") > "t5_2")
+        return {"post": ws.relational["post"], "subreddit": kept}
+
+    twins = {"dirty_3_1": converted, "dirty_3_2": removed, "dirty_3_3": converted,
+             "dirty_4_1": raw, "dirty_4_2": raw, "dirty_4_3": raw, "dirty_6_1": raw,
+             "dirty_7_2": converted}
+    for name, tables in twins.items():
+        kind = tables.__name__
+        columns = {"dirty_6_1": ["id", "author_flair_text", "author_flair_css_class"],
+                   "dirty_3_2": ["link_id", "subreddit_id"],
+                   "dirty_4_1": ["link_id", "row_count"], "dirty_4_2": ["id", "row_count"],
+                   "dirty_4_3": ["author", "row_count"]}.get(
+                       name, ["id", "link_id", "parent_id", "author"])
+        QUERIES[f"{name}_{kind}"] = lambda ws, n=name, t=tables, c=columns: (
+            dirty.QUERIES[n](t(ws)).select(*c))
+
+
+_register_dirty_twins()
+
+
+@query
+def docq_dup_subreddits_posts(ws: Workspace) -> DataFrame:
+    """Names that several communities have, over communities as posts name them."""
+    named = ws.collections["posts"].select(
+        F.col("subreddit.id").alias("_id"), F.col("subreddit.name").alias("name")).distinct()
+    return docqueries.duplicate_names({"subreddits": named})
+
+
 # --- cleaning -----------------------------------------------------------------------------------
 
 

@@ -92,3 +92,20 @@ def catalog(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]])
         )
         result = rows if result is None else result.unionByName(rows)
     return result
+
+
+def stored_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables of a folder by name: its sub-folders and files in Parquet form, without a list."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    names = sorted(s.getPath().getName() for s in found)
+    return {n.removesuffix(".parquet"): spark.read.parquet(f"{root}/{n}")
+            for n in names if not n.startswith(("_", "."))}
+
+
+def catalog_tables(spark: SparkSession, database: str | None = None) -> dict[str, DataFrame]:
+    """All tables and views of a catalog database by name."""
+    listed = spark.catalog.listTables(database)
+    return {t.name: spark.table(t.name if t.isTemporary or not database else f"{database}.{t.name}")
+            for t in listed}
