@@ -123,3 +123,28 @@ def test_numbers_are_rounded_by_their_binary_value(spark, digits):
     got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select(
         "i", reports.fixed(F.col("v"), digits).alias("text")).collect()
     assert {r.i: r.text for r in got} == {i: f"{v:.{digits}f}" for i, v in enumerate(values)}
+
+
+def test_merges_leave_untouched_buckets_alone(spark, ws):
+    root = ws.new_path("buckets")
+    old = spark.createDataFrame([(f"k{i}", i) for i in range(300)], "k string, v int")
+    sinks.publish(spark, old, root, ["k"], buckets=16)
+    before = dict(sinks.manifest(spark, root)[2])
+    new = spark.createDataFrame([("k7", -7), ("new", 1)], "k string, v int")
+    sinks.merge_into(spark, root, new, ["k"], [F.col("v").asc()])
+    after = dict(sinks.manifest(spark, root)[2])
+    assert 14 <= sum(before[b] == after[b] for b in before) < len(before) == 16
+    got = {r.k: r.v for r in sinks.read_current(spark, root).collect()}
+    assert got == {**{f"k{i}": i for i in range(300)}, "k7": -7, "new": 1}
+    sinks.publish_appended(spark, new, root)
+    assert sinks.read_current(spark, root).count() == 303
+    assert dict(sinks.manifest(spark, root)[2]).items() >= after.items()
+
+
+def test_merging_into_an_empty_table(spark, ws):
+    root = ws.new_path("empty-buckets")
+    rows = spark.createDataFrame([("a", 1)], "k string, v int")
+    sinks.merge_into(spark, root, rows.filter("false"), ["k"], [F.col("v").asc()])
+    assert sinks.read_current(spark, root).collect() == []
+    sinks.merge_into(spark, root, rows, ["k"], [F.col("v").asc()])
+    assert sinks.read_current(spark, root).count() == 1

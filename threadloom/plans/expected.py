@@ -610,6 +610,14 @@ def _sink_sql() -> dict[str, tuple[list[str], str]]:
                 'author', users)})"""),
         "sink_upsert_docs": (["doc_users"], "SELECT * FROM doc_users"),
         "sink_upsert_rows": (["post_link", "doc_posts"], post_link),
+        "sink_upsert_tables": (list(_COLLECTIONS.values()), """
+            SELECT 'users' AS table_name, count(*) AS total_rows FROM doc_users
+            UNION ALL SELECT 'subreddit', count(DISTINCT id) FROM (SELECT _id AS id FROM doc_subreddits
+                UNION ALL SELECT subreddit_id FROM doc_posts)
+            UNION ALL SELECT 'post', count(*) FROM doc_posts
+            UNION ALL SELECT 'post_link', count(*) FROM doc_posts
+            UNION ALL SELECT 'comment', count(*) FROM doc_comments
+            UNION ALL SELECT 'moderation', 2 * count(*) FROM doc_moderation"""),
         "sink_append": (["doc_moderation"], " UNION ALL ".join([
             """SELECT target_type, target_id, subreddit_id, removal_reason, distinguished,
                action_timestamp FROM doc_moderation"""] * 2)),

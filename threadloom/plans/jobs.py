@@ -68,7 +68,7 @@ def documents_to_relational(spark: SparkSession, source: str, target: str, store
     current = sinks.read_current(spark, root)
     last = F.coalesce(current.agg(F.max("mod_action_id")).scalar(), F.lit(0))
     added = fresh.withColumn("mod_action_id", F.col("mod_action_id") + last)
-    sinks.publish(spark, current.unionByName(added), root)
+    sinks.publish_appended(spark, added, root)
 
 
 def clean_relational(

@@ -137,26 +137,37 @@ def sink_insert_ignore(ws: Workspace) -> DataFrame:
 @query
 def sink_upsert_docs(ws: Workspace) -> DataFrame:
     root = ws.new_path("upsert-docs")
-    sinks.publish(ws.spark, documents.users(first_load(ws)), root)
-    current = sinks.read_current(ws.spark, root)
+    sinks.publish(ws.spark, documents.users(first_load(ws)), root, ["_id"])
     incoming = documents.user_rows(second_load(ws))
     order = reverse_row_order(schemas.DOCUMENTS["users"].names)
-    sinks.publish(ws.spark, sinks.upsert(current, incoming, ["_id"], order), root)
+    sinks.merge_into(ws.spark, root, incoming, ["_id"], order)
     return sinks.read_current(ws.spark, root)
 
 
 @query
 def sink_upsert_rows(ws: Workspace) -> DataFrame:
     root = ws.new_path("upsert-rows")
-    sinks.publish(ws.spark, ws.relational["post_link"], root)
-    current = sinks.read_current(ws.spark, root)
+    sinks.publish(ws.spark, ws.relational["post_link"], root, ["link_id"])
     incoming = to_relational.post_link(ws.collections["posts"])
     order = [F.col("retrieved_on").desc()]
-    merged = sinks.upsert(current, incoming, ["link_id"], order, update=["retrieved_on"])
-    sinks.publish(ws.spark, merged, root)
+    sinks.merge_into(ws.spark, root, incoming, ["link_id"], order, update=["retrieved_on"])
     return sinks.read_current(ws.spark, root)
 
 
+@query
+def sink_upsert_tables(ws: Workspace) -> DataFrame:
+    """Rows of the six tables after the stored collections have been merged into them twice."""
+    source, target = ws.new_path("upsert-source"), ws.new_path("upsert-target")
+    jobs.load_documents(ws, source)
+    for _ in range(2):
+        jobs.documents_to_relational(ws.spark, source, target, ws.store)
+    return reduce(DataFrame.unionByName, [
+        sinks.read_current(ws.spark, f"{target}/{name}").agg(
+            F.count(F.lit(1)).alias("total_rows")).select(
+            F.lit(name).alias("table_name"), "total_rows")
+        for name in schemas.RELATIONAL])
+
+
 @query
 def sink_append(ws: Workspace) -> DataFrame:
     path = ws.new_path("append")

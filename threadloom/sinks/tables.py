@@ -1,16 +1,22 @@
 """Keyed and unkeyed writes of Parquet tables.
 
-A merge is a DataFrame; `publish` stores it as a new version directory and only
-then do readers see it, so a table is never overwritten while it is read and
-a lost job leaves the previous version in place.
+A versioned table has its rows in folders that are written once, one per bucket
+of key hashes, and a small manifest per version that names the folder of each
+bucket. A merge reads and rewrites only the buckets that an incoming key falls
+into, and an append adds a folder; all other folders are shared between versions.
+Readers see a version when its manifest is complete, so a table is never
+overwritten while it is read and a lost job leaves the previous version in place.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom.operators.ranking import first_per_key
 
@@ -85,20 +91,84 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return max((int(n.split("=")[1]) for n in names), default=None)
 
 
-def publish(spark: SparkSession, df: DataFrame, root: str) -> str:
-    """Store the next version of a table and return its directory."""
+# Buckets of a keyed table; a large one takes more, so that a bucket stays a task's work.
+BUCKETS = 64
+BUCKET = "key_bucket"
+# One row without a folder states the table; every other names a folder, whole or one bucket of it.
+MANIFEST_SCHEMA = "buckets int, bucket int, folder string, columns string"
+
+
+def _bucket(key: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
+def _write_folder(
+    spark: SparkSession, df: DataFrame, root: str, key: Sequence[str], buckets: int
+) -> list[tuple[int | None, str]]:
+    """Write rows into a new folder and return its entries: (bucket or None, folder)."""
+    folder = f"data/{uuid.uuid4().hex}"
+    if not key:
+        df.write.parquet(f"{root}/{folder}")
+        return [(None, folder)]
+    df.withColumn(BUCKET, _bucket(key, buckets)).repartition(buckets, F.col(BUCKET)).write.partitionBy(
+        BUCKET).parquet(f"{root}/{folder}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    names = [s.getPath().getName() for s in found]
+    return [(int(n.split("=")[1]), f"{folder}/{n}") for n in names if n.startswith(f"{BUCKET}=")]
+
+
+def _write_manifest(
+    spark: SparkSession, root: str, schema: T.StructType, buckets: int,
+    entries: Sequence[tuple[int | None, str]],
+) -> str:
     current = latest_version(spark, root)
     target = version_path(root, 0 if current is None else current + 1)
-    df.write.mode("overwrite").parquet(target)
+    rows = [(buckets, None, None, schema.json())]
+    rows += [(buckets, bucket, folder, None) for bucket, folder in entries]
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(target)
     return target
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """The newest complete version of a table."""
+def manifest(spark: SparkSession, root: str) -> tuple[T.StructType, int, list[tuple[int | None, str]]]:
+    """Columns, buckets and folders of the newest complete version.
+
+    There is one entry per bucket and appended folder, whatever the size of the table.
+    """
     current = latest_version(spark, root)
     if current is None:
         raise FileNotFoundError(f"no complete version under {root}")
-    return spark.read.parquet(version_path(root, current))
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(version_path(root, current)).collect()
+    stated = next(r for r in rows if r.folder is None)
+    entries = [(r.bucket, r.folder) for r in rows if r.folder is not None]
+    return T.StructType.fromJson(json.loads(stated["columns"])), stated.buckets, entries
+
+
+def _read(spark: SparkSession, root: str, schema: T.StructType, folders: Sequence[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{root}/{f}" for f in folders])
+
+
+def publish(
+    spark: SparkSession, df: DataFrame, root: str, key: Sequence[str] = (), buckets: int = BUCKETS
+) -> str:
+    """Store all rows as the next version of a table, in buckets if it has a key."""
+    entries = _write_folder(spark, df, root, key, buckets)
+    return _write_manifest(spark, root, df.schema, buckets, entries)
+
+
+def publish_appended(spark: SparkSession, df: DataFrame, root: str) -> str:
+    """The next version: the folders of the newest one and another with more rows."""
+    schema, buckets, entries = manifest(spark, root)
+    added = _write_folder(spark, df.select(*schema.names), root, (), buckets)
+    return _write_manifest(spark, root, schema, buckets, [*entries, *added])
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    """The newest complete version of a table."""
+    schema, _, entries = manifest(spark, root)
+    return _read(spark, root, schema, [folder for _, folder in entries])
 
 
 def merge_into(
@@ -108,12 +178,22 @@ def merge_into(
     key: Sequence[str],
     order: Sequence[Column],
     update: Sequence[str] | None = None,
+    buckets: int = BUCKETS,
 ) -> str:
-    """Upsert into the newest version of a table, or start the table."""
+    """Upsert into the newest version of a keyed table, or start the table.
+
+    Only buckets with an incoming key are read and written again.
+    """
     if latest_version(spark, root) is None:
-        return publish(spark, first_per_key(incoming, key, order), root)
-    merged = upsert(read_current(spark, root), incoming, key, order, update)
-    return publish(spark, merged, root)
+        return publish(spark, first_per_key(incoming, key, order), root, key, buckets)
+    schema, buckets, entries = manifest(spark, root)
+    # At most `buckets` numbers.
+    touched = {r[0] for r in incoming.select(_bucket(key, buckets)).distinct().collect()}
+    old = _read(spark, root, schema, [f for b, f in entries if b in touched or b is None])
+    merged = upsert(old, incoming, key, order, update)
+    kept = [(b, f) for b, f in entries if b is not None and b not in touched]
+    return _write_manifest(
+        spark, root, schema, buckets, [*kept, *_write_folder(spark, merged, root, key, buckets)])
 
 
 def clustered(df: DataFrame, path: str, *columns: str) -> None:
