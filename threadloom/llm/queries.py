@@ -11,6 +11,7 @@ from threadloom.llm import (
     suffix_tree, token_pack, toxicity,
 )
 from threadloom.llm.common import table
+from threadloom.llm.expected import decontamination_sql, repetition_sql
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -77,4 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+# The other queries hold packings, random draws, trained models, files or hashes that SQL has not;
+# their tests compare them with brute force.
+ORACLE: dict[str, str] = {
+    "op5_spaced_seeds": decontamination_sql(),
+    "op10_repetition_coverage": repetition_sql(),
+}
