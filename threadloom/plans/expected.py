@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from threadloom import schemas
 from threadloom.functions.text import FLAIR_SYMBOLS, WHITESPACE
 from threadloom.operators.dependencies import DOMAIN_DEPENDENCIES
+from threadloom.plans.layout import COLLECTION_QUERIES
 from threadloom.plans.registry import LOW_CONFIDENCE, LOW_SUPPORT, SECOND_LOAD
 from threadloom.plans.workspace import LOAD_TIME
 from threadloom.sources.mapping import BASE_TABLES, COMMENTS_SQL
@@ -421,6 +422,7 @@ def _document_sql() -> dict[str, tuple[list[str], str]]:
         "stream_doc_comments": (["doc_comments"], "SELECT * FROM doc_comments"),
         "stream_doc_compact": everything,
         "stream_doc_two_sources": everything,
+        "doc_layout_collections": everything,
         "rel_users": (["doc_users"], """
             SELECT _id AS author, author_flair_text, author_flair_css_class FROM doc_users"""),
         "rel_subreddit": (["doc_subreddits"],
@@ -1038,4 +1040,10 @@ def expected_sql() -> dict[str, str]:
         _source_sql(), _sink_sql(), _normalization_sql(), _document_sql(), _check_sql(),
         _analytics_sql(), _dirty_sql(), _cleaning_sql(), _dependency_sql(), _mining_sql(),
     ]
-    return {name: _with(reads, body) for group in groups for name, (reads, body) in group.items()}
+    stated = {name: parts for group in groups for name, parts in group.items()}
+    stated["bench_layout_collections"] = (
+        sorted({r for name in COLLECTION_QUERIES for r in stated[name][0]}),
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS query, count(*) AS rows_before, count(*) AS rows_after "
+            f"FROM ({stated[name][1]})" for name in COLLECTION_QUERIES))
+    return {name: _with(reads, body) for name, (reads, body) in stated.items()}

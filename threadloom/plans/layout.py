@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from threadloom.operators import docqueries
 from threadloom.operators.analytics import QUERIES
 from threadloom.sinks.tables import clustered
 
@@ -18,13 +19,36 @@ CLUSTERING = {
     "moderation": ["subreddit_id", "target_id"],
 }
 
+# The same for the document collections.
+COLLECTION_CLUSTERING = {
+    "posts": ["subreddit.id", "subreddit.name"],
+    "comments": ["post_id", "author"],
+    "moderation": ["subreddit_id", "target_id"],
+    "subreddits": ["name"],
+}
+
+# Document queries that filter, group or join by these columns.
+COLLECTION_QUERIES = {
+    "docq_posts_no_author": docqueries.posts_without_author,
+    "docq_posts_per_subreddit": docqueries.posts_per_name,
+    "docq_missing_subreddit": docqueries.missing_subreddit,
+    "docq_dup_subreddits": docqueries.duplicate_names,
+    "docq_top_moderated": docqueries.top_moderated,
+    "docq_removals": docqueries.removals,
+    "docq_posts_moderated_by_comment":
+        lambda c: docqueries.posts_moderated(c, through_comments=True),
+}
+
 TIMING_SCHEMA = "query string, row_count long, seconds double"
 
 
-def write_clustered(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+def write_clustered(
+    tables: Mapping[str, DataFrame], root: str,
+    clustering: Mapping[str, Sequence[str]] = CLUSTERING,
+) -> dict[str, DataFrame]:
     """Copies of the tables in query order, read back with their schema."""
     result = dict(tables)
-    for name, columns in CLUSTERING.items():
+    for name, columns in clustering.items():
         if name not in tables:
             continue
         clustered(tables[name], f"{root}/{name}", *columns)
@@ -33,12 +57,15 @@ def write_clustered(tables: Mapping[str, DataFrame], root: str) -> dict[str, Dat
     return result
 
 
-def time_queries(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows and wall-clock seconds of each analytical query."""
+def time_queries(
+    spark: SparkSession, tables: Mapping[str, DataFrame],
+    queries: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = QUERIES,
+) -> DataFrame:
+    """Rows and wall-clock seconds of each query."""
     measured = []
-    for name, query in QUERIES.items():
+    for name, query in queries.items():
         start = time.perf_counter()
-        # Every query ends in a small top-k.
+        # Every query ends in a small top-k or in one row.
         rows = query(tables).collect()
         measured.append((name, len(rows), round(time.perf_counter() - start, 4)))
     return spark.createDataFrame(measured, TIMING_SCHEMA)

@@ -604,6 +604,27 @@ def bench_layout(ws: Workspace) -> DataFrame:
     return compared.select("query", "rows_before", "rows_after")
 
 
+@query
+def bench_layout_collections(ws: Workspace) -> DataFrame:
+    """Document queries on plain and on clustered collections, from the stored timing table."""
+    plain = dict(ws.collections)
+    copies = layout.write_clustered(
+        plain, ws.new_path("clustered-documents"), layout.COLLECTION_CLUSTERING)
+    before, after = (
+        layout.time_queries(ws.spark, c, layout.COLLECTION_QUERIES) for c in (plain, copies))
+    timing = ws.store(
+        reports.timing_comparison(before, after).join(
+            after.select("query", F.col("row_count").alias("rows_after")), "query"))
+    return timing.select("query", F.col("row_count").alias("rows_before"), "rows_after")
+
+
+@query
+def doc_layout_collections(ws: Workspace) -> DataFrame:
+    """All collections after clustering, row by row."""
+    return _all_collections(layout.write_clustered(
+        dict(ws.collections), ws.new_path("layout-documents"), layout.COLLECTION_CLUSTERING))
+
+
 # --- document queries ---------------------------------------------------------------------
 
 
