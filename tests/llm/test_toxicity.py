@@ -117,3 +117,8 @@ def test_without_training_rows_or_documents(documents, tables):
 
 def test_sample_is_bounded(tables):
     assert tx.sample(*tables, most=50).count() <= 50
+
+
+def test_training_texts_without_words():
+    scorer = tx.Scorer(tx.train(["", " ", ""], [1, 0, 0]))
+    assert all(0 <= s <= 1 for s in scorer.scores(["", "a word", None]))

@@ -20,8 +20,7 @@ table gives no rows. doc_id, lang, source and labels are no inputs of a score.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -194,18 +193,27 @@ def _project(p, features):
     return (features @ p["Wxf"] + p["bxf"], features @ p["Wxb"] + p["bxb"])
 
 
-def train(texts: list[str], labels: list[int], seed: int = 11) -> dict | None:
+def train(texts: Iterable[str], labels: list[int], seed: int = 11) -> dict | None:
     """Fits the network; None without training rows."""
-    if not texts:
+    if not labels:
         return None
     rng = np.random.default_rng(seed)
     y = np.asarray(labels, np.float32)
-    docs = [tokens(t) for t in texts]
-    found = Counter(w for own in docs for w in set(own))
-    known = [w for w, n in sorted(found.items(), key=lambda x: (-x[1], x[0])) if n > 1][:VOCABULARY]
+    # Texts become numbers of their spellings one by one, as words by themselves take far more room.
+    spelled: dict[bytes, int] = {}
+    docs = []
+    for text in texts:
+        docs.append(np.array([spelled.setdefault(w, len(spelled)) for w in tokens(text)], np.int32))
+    words = list(spelled) or [b""]
+    kinds = [np.unique(own) for own in docs]
+    found = np.bincount(np.concatenate(kinds), minlength=len(words))
+    often = sorted(np.flatnonzero(found > 1).tolist(), key=lambda i: (-found[i], words[i]))
+    known = [words[i] for i in often[:VOCABULARY]]
     ids = {w: i + 1 for i, w in enumerate(known)}
-    present = [np.array([ids[w] for w in set(own) if w in ids], np.int64) for own in docs]
-    pieces = [np.unique(grams(list(set(own)))[0]) for own in docs]
+    # Unknown words share row 0 of the embedding but keep their own n-grams.
+    word_of = np.fromiter((ids.get(w, 0) for w in words), np.int64, len(words))
+    present = [word_of[own][word_of[own] > 0] for own in kinds]
+    pieces = [np.unique(grams([words[i] for i in own.tolist()])[0]) for own in kinds]
     fold = rng.permutation(len(docs)) % FOLDS
     by_fold = []
     for f in range(FOLDS):
@@ -214,12 +222,6 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> dict | None:
                               y[others], len(known)))
     prior, gram_prior = (np.stack(x) for x in zip(*by_fold))
     p = initial(len(known), seed)
-    # Unknown words share row 0 of the embedding but keep their own bytes.
-    spelled: dict[bytes, int] = {}
-    spell = [np.fromiter((spelled.setdefault(w, len(spelled)) for w in own), np.int64, len(own))
-             for own in docs]
-    word_of = np.fromiter((ids.get(w, 0) for w in spelled), np.int64, len(spelled))
-    words = list(spelled)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     order: list[int] = []
     batches = min(BATCHES, max(LEAST_BATCHES, EPOCHS * len(docs) // BATCH_DOCS))
@@ -232,7 +234,7 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> dict | None:
         length = np.array([min(WINDOW, len(docs[d]) - s) for d, s in starts])
         raw = np.full((len(starts), WINDOW), -1, np.int64)
         for row, (d, s) in enumerate(starts):
-            raw[row, :length[row]] = spell[d][s:s + WINDOW] * FOLDS + fold[d]
+            raw[row, :length[row]] = docs[d][s:s + WINDOW].astype(np.int64) * FOLDS + fold[d]
         types, x = np.unique(raw, return_inverse=True)
         x = x.reshape(raw.shape).T.copy()
         mask = np.arange(WINDOW)[:, None] < length
@@ -385,8 +387,8 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> dict | None:
-    rows = sample(docs, labels, most).collect()
-    return train([r.text for r in rows], [int(r.toxic) for r in rows])
+    rows = sample(docs, labels, most).toArrow()
+    return train((t.as_py() for t in rows.column("text")), rows.column("toxic").to_pylist())
 
 
 def _blocks(batches, column: int):
