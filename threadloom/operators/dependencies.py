@@ -57,8 +57,9 @@ def _spread(df: DataFrame, determinant: Sequence[str], dependents: Sequence[str]
 
 
 def _total(df: DataFrame, determinant: Sequence[str]) -> Column:
-    """The number of groups."""
-    return _groups(df, determinant).agg(F.count(F.lit(1))).scalar().alias("total_groups")
+    """The number of groups; it uses the counts, so that the same shuffle serves both."""
+    return _groups(df, determinant).agg(F.count_if(F.col("_rows") > 0)).scalar().alias(
+        "total_groups")
 
 
 def check(df: DataFrame, determinant: Sequence[str], dependents: Sequence[str]) -> DataFrame:
