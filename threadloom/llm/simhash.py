@@ -146,12 +146,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, crowded: int = CROW
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each component: that with the smallest id, all its columns unchanged.
+    """One document of each component: that with the smallest id, all its columns unchanged."""
+    return first_of_each(docs, near_duplicates(docs))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The document with the smallest id of each root; `found` has doc_id, text_hash and root.
 
     Several rows with that id and text count as one document; one of them stays.
     """
     last = F.coalesce("doc_id", F.lit(LAST_ID))
-    keep = near_duplicates(docs).groupBy("root").agg(
+    keep = found.groupBy("root").agg(
         F.min(F.struct(last.alias("id"), "text_hash")).alias("kept"))
     text_hash = F.xxhash64(F.col("text").cast("string"))
     keyed = docs.select(
