@@ -84,6 +84,31 @@ def test_nested_layers_are_found_within_their_piece(encoded):
         assert path != "text" and 9 <= a < b <= 9 + len(encoded)
 
 
+@pytest.mark.parametrize("before", ["data=", "https://h/x?q=", "https://host/path/to/", "KEY_OF_16_LETTERS="])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
+def test_base64_after_a_sign_is_found(before, pack):
+    encoded = base64.b64encode(pack(SECRET.encode())).decode()
+    text = f"é {before}{encoded} after"
+    spans = [f for f in secrets.findings(text)[1] if f[0] == "assign" and f[3] != "text"]
+    start = 2 + len(before)
+    assert any(start <= a < b <= start + len(encoded) for _, a, b, _ in spans)
+
+
+@pytest.mark.parametrize("before", ["", "data=", "data: ", "x/"])
+@pytest.mark.parametrize("after", ["", "\n", "\nend of it", " end"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\n    "])
+def test_wrapped_base64_is_found(before, after, pack, newline):
+    rng = random.Random(4)
+    filler = " ".join(str(rng.random()) for _ in range(12))
+    for shift in range(0, 60, 7):
+        data = pack((filler + "." * shift + " " + SECRET + " " + filler).encode())
+        encoded = base64.encodebytes(data).decode().rstrip("\n").replace("\n", newline)
+        text = before + encoded + after
+        spans = [f for f in secrets.findings(text)[1] if f[0] == "assign" and f[3] != "text"]
+        assert any(b - a > 76 and b <= len(before + encoded) + 4 for _, a, b, _ in spans)
+
+
 def test_a_secret_split_by_an_escape_maps_to_its_span():
     assert secrets.findings("x AKIA%41BCDEFGHIJKLMNOPQ y")[1] == [("access", 2, 25, "text>url")]
 

@@ -2,8 +2,8 @@
 
 A worklist holds layers of a text: the text itself, and whatever a piece of a layer decodes to. Each
 layer is scanned by the same patterns, then its encoded pieces (URL escapes, Unicode escapes,
-base64, base64 in URL form, hex, and gzip or zlib data inside the latter three) are decoded and put
-on the list, until nothing new comes up. A layer whose content has been seen with the same place is
+base64, base64 in URL form, both also wrapped over lines or part of a path, hex, and gzip or zlib
+data inside these) are decoded and put on the list, until nothing new comes up. A layer whose content has been seen with the same place is
 not put on the list again, which ends cycles; each decoding is shorter than its source, so nesting
 ends by itself, and data that would grow beyond `MOST_GROWTH` times its source are left packed.
 Every layer carries a map to the original text, so a finding in any layer names the span of original
@@ -43,7 +43,9 @@ LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 MARKS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};)")
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/=_-])(?:[A-Za-z0-9+/]{16,}|[A-Za-z0-9_-]{16,})={0,2}(?![A-Za-z0-9+/=_-])")
+# A run of base64 letters; after it come further lines if it is wrapped.
+BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_-])")
+NEXT_LINE = re.compile(r"\r?\n[\x20\t]*([A-Za-z0-9+/_-]+={0,2})(?=\s|[\"'<,;)\]}]|\Z)")
 HEX_DATA = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){16,}(?![0-9A-Za-z])")
 PRINTABLE = re.compile(r"[\t\n\r\x20-\x7e -\U0010ffff]*\Z")
 MOST_GROWTH = 1000
@@ -113,22 +115,75 @@ def _readable(data: bytes) -> str | None:
     return text if len(text) >= 4 and PRINTABLE.match(text) else None
 
 
+def _from_base64(piece: str) -> bytes | None:
+    piece = piece.rstrip("=")
+    altered = "-" in piece or "_" in piece
+    if len(piece) % 4 == 1:
+        return None
+    try:
+        return base64.b64decode(piece + "=" * (-len(piece) % 4), b"-_" if altered else None,
+                                validate=True)
+    except (binascii.Error, ValueError):
+        return None
+
+
+def _base64_pieces(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and letters of what may be base64: runs, parts of paths, and wrapped lines."""
+    done = 0
+    for m in BASE64.finditer(text):
+        start, end, run = m.start(), m.end(), m[0]
+        yield start, end, run
+        # After a slash something of its own may begin, and another slash may end it.
+        slash = run.find("/")
+        while slash >= 0:
+            following = run.find("/", slash + 1)
+            if following > 0 and following - slash > 16:
+                yield start + slash + 1, start + following, run[slash + 1:following]
+            if len(run) - slash > 16 and _may_begin(run[slash + 1:slash + 9]):
+                yield start + slash + 1, end, run[slash + 1:]
+            slash = following
+        first = run.find("/")
+        if first >= 16:
+            yield start, start + first, run[:first]
+        if start < done or run.endswith("="):
+            continue
+        # Lines of one width follow, and a last one that is not longer.
+        lines, ends, width, at = [run], [end], None, end
+        while (line := NEXT_LINE.match(text, at)) and (width is None or len(line[1]) <= width):
+            width = width or len(line[1])
+            lines.append(line[1])
+            at = line.end()
+            ends.append(at)
+            if len(line[1]) < width or line[1].endswith("="):
+                break
+        if len(lines) > 1:
+            done = ends[-1]
+            yield start, ends[-1], "".join(lines)
+            if len(lines) > 2:  # the last line may be a word of what follows
+                yield start, ends[-2], "".join(lines[:-1])
+            # What stands before a path's last slash or a key does not belong to the lines.
+            slash = run.rfind("/")
+            while slash >= 0:
+                if _may_begin((run[slash + 1:] + lines[1])[:8]):
+                    yield start + slash + 1, ends[-1], run[slash + 1:] + "".join(lines[1:])
+                slash = run.rfind("/", 0, slash)
+
+
+def _may_begin(letters: str) -> bool:
+    """Whether base64 that begins so may hold text or packed data."""
+    data = _from_base64(letters)
+    return data is not None and (data[:1] in (b"\x1f", b"\x78") or not any(
+        b < 32 and b not in b"\t\n\r" for b in data))
+
+
 def _packed(layer: Layer) -> Iterator[tuple[str, int, int, str]]:
     """Pieces that stand for other data: name, start, end, what they hold."""
     text = layer.text
-    for m in BASE64.finditer(text):
-        piece = m[0].rstrip("=")
-        if len(piece) % 4 == 1:
-            continue
-        altered = "-" in piece or "_" in piece
-        try:
-            data = base64.b64decode(piece + "=" * (-len(piece) % 4), b"-_" if altered else None,
-                                    validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        held = _readable(data)
+    for start, end, piece in _base64_pieces(text):
+        data = _from_base64(piece)
+        held = None if data is None else _readable(data)
         if held is not None:
-            yield "base64", m.start(), m.end(), held
+            yield "base64", start, end, held
     for m in HEX_DATA.finditer(text):
         held = _readable(bytes.fromhex(m[0]))
         if held is not None:
