@@ -109,6 +109,25 @@ def test_wrapped_base64_is_found(before, after, pack, newline):
         assert any(b - a > 76 and b <= len(before + encoded) + 4 for _, a, b, _ in spans)
 
 
+RAW = SECRET.encode()
+
+
+@pytest.mark.parametrize("data", [
+    gzip.compress(gzip.compress(RAW)), gzip.compress(zlib.compress(RAW)),
+    zlib.compress(gzip.compress(zlib.compress(RAW))),
+    gzip.compress(b"first member") + gzip.compress(RAW),
+    gzip.compress(gzip.compress(b"first") + gzip.compress(RAW)),
+    gzip.compress(b"\0\xff" + RAW + b"\x1b\x0c"), gzip.compress(RAW) + b"no member",
+    gzip.compress(RAW)[:-6], gzip.compress(RAW)[:-8] + b"\1" * 8,
+    b"\x00\xfe" + RAW, RAW + b"\x0c\x1b\xff", b"x^2 is no zlib; " + RAW,
+    b"\0" + base64.b64encode(gzip.compress(RAW)) + b"\0",
+])
+def test_packed_and_binary_layers_are_read_to_the_end(data):
+    for encoded in (base64.b64encode(data).decode(), data.hex()):
+        spans = [f for f in secrets.findings(f"é before {encoded} after")[1] if f[0] == "assign"]
+        assert (9, 9 + len(encoded)) in {(a, b) for _, a, b, _ in spans}
+
+
 def test_a_secret_split_by_an_escape_maps_to_its_span():
     assert secrets.findings("x AKIA%41BCDEFGHIJKLMNOPQ y")[1] == [("access", 2, 25, "text>url")]
 

@@ -6,6 +6,8 @@ base64, base64 in URL form, both also wrapped over lines or part of a path, hex,
 data inside these) are decoded and put on the list, until nothing new comes up. A layer whose content has been seen with the same place is
 not put on the list again, which ends cycles; each decoding is shorter than its source, so nesting
 ends by itself, and data that would grow beyond `MOST_GROWTH` times its source are left packed.
+Packed data are unpacked with all members as long as there is something packed inside, and of bytes
+that are not text as a whole every readable run is a layer.
 Every layer carries a map to the original text, so a finding in any layer names the span of original
 code points that it was decoded from.
 
@@ -48,6 +50,9 @@ BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-
 NEXT_LINE = re.compile(r"\r?\n[\x20\t]*([A-Za-z0-9+/_-]+={0,2})(?=\s|[\"'<,;)\]}]|\Z)")
 HEX_DATA = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){16,}(?![0-9A-Za-z])")
 PRINTABLE = re.compile(r"[\t\n\r\x20-\x7e -\U0010ffff]*\Z")
+# Runs that can hold a finding or an encoded one; all of these have 16 characters or more.
+READABLE = re.compile(r"[\t\n\r\x20-\x7e\xa0-\ufffc\ufffe-\U0010ffff]{16,}")
+MAGIC = {31: (b"\x1f\x8b",), 15: (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")}
 MOST_GROWTH = 1000
 
 SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
@@ -95,24 +100,47 @@ class Layer:
         return (low + i - start, low + i - start + 1) if step else (low, high)
 
 
-def _readable(data: bytes) -> str | None:
-    """The text that bytes hold, unpacked if compressed; None if they hold none."""
-    for wbits, magic in ((31, (b"\x1f\x8b",)), (15, (b"\x78\x01", b"\x78\x5e", b"\x78\x9c",
-                                                     b"\x78\xda"))):
-        if data.startswith(magic):
-            try:
-                unpack = zlib.decompressobj(wbits)
-                data = unpack.decompress(data, MOST_GROWTH * len(data) + 1000)
-                if not unpack.eof:
-                    return None
-            except zlib.error:
-                return None
+def _members(data: bytes, wbits: int, most: int) -> bytes | None:
+    """What all members of packed data hold, as far as they go; None if that is nothing or too much."""
+    parts, length = [], 0
+    while data.startswith(MAGIC[wbits]):
+        unpack = zlib.decompressobj(wbits)
+        try:
+            parts.append(unpack.decompress(data, most - length + 1))
+        except zlib.error:
+            # The input again in small steps, for what comes before the damage.
+            parts.append(_before_damage(data, wbits, most - length + 1))
             break
+        length += len(parts[-1])
+        if length > most:
+            return None
+        data = unpack.unused_data.lstrip(b"\0")
+    return b"".join(parts) or None
+
+
+def _before_damage(data: bytes, wbits: int, most: int) -> bytes:
+    unpack, found = zlib.decompressobj(wbits), bytearray()
     try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if len(text) >= 4 and PRINTABLE.match(text) else None
+        for i in range(len(data)):
+            found += unpack.decompress(data[i:i + 1], most)
+            if len(found) >= most:
+                break
+    except zlib.error:
+        pass
+    return bytes(found)
+
+
+def _texts(data: bytes) -> Iterator[str]:
+    """The readable runs of bytes and of all that they unpack to, layer by layer."""
+    most = MOST_GROWTH * len(data) + 1000
+    while data:
+        text = data.decode("utf-8", "replace")
+        if "\ufffd" not in text and len(text) >= 4 and PRINTABLE.match(text):
+            yield text
+        else:
+            yield from READABLE.findall(text)
+        wbits = next((w for w, magic in MAGIC.items() if data.startswith(magic)), None)
+        data = wbits and _members(data, wbits, most)
 
 
 def _from_base64(piece: str) -> bytes | None:
@@ -180,13 +208,10 @@ def _packed(layer: Layer) -> Iterator[tuple[str, int, int, str]]:
     """Pieces that stand for other data: name, start, end, what they hold."""
     text = layer.text
     for start, end, piece in _base64_pieces(text):
-        data = _from_base64(piece)
-        held = None if data is None else _readable(data)
-        if held is not None:
+        for held in _texts(_from_base64(piece) or b""):
             yield "base64", start, end, held
     for m in HEX_DATA.finditer(text):
-        held = _readable(bytes.fromhex(m[0]))
-        if held is not None:
+        for held in _texts(bytes.fromhex(m[0])):
             yield "hex", m.start(), m.end(), held
 
 
