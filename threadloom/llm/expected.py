@@ -97,3 +97,75 @@ def decontamination_sql() -> str:
            CAST(max(p) AS INTEGER) AS last_word
     FROM checked WHERE agreement >= CAST({decontaminate.AGREE} AS DOUBLE)
     GROUP BY doc_id, item_id"""
+
+
+UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def search_sql() -> str:
+    terms = (f"regexp_extract_all(translate(text, {UPPER_LOWER}), "
+             r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+    return f"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS d, doc_id, {terms} AS ts FROM documents),
+    sized AS (SELECT d, doc_id, ts, len(ts) AS n FROM docs WHERE len(ts) > 0),
+    totals AS (SELECT count(*) AS n_docs, sum(n) AS l FROM sized),
+    normed AS (
+        SELECT d, doc_id, 100 - 50 + CAST((50 * n * n_docs) // l AS BIGINT) AS m
+        FROM sized, totals),
+    asked AS (
+        SELECT DISTINCT item_id, unnest({terms}) AS term FROM benchmark),
+    postings AS (
+        SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(ts) AS term FROM sized)
+        SEMI JOIN asked USING (term) GROUP BY d, term),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2)
+            / (2 * count(*) + 1))) AS BIGINT) AS w FROM postings, totals GROUP BY term),
+    scored AS (
+        SELECT item_id, d, doc_id, CAST(sum(w * (1000000000 * tf // (1000 * tf + 20 * m))) AS BIGINT)
+            AS score
+        FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN normed USING (d)
+        GROUP BY item_id, d, doc_id),
+    ranked AS (
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id
+            ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+        FROM scored WHERE score > 0)
+    SELECT * FROM ranked WHERE rank <= 50"""
+
+
+def collocations_sql() -> str:
+    return rf"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), {UPPER_LOWER}), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws
+        FROM documents),
+    grams AS (
+        SELECT lang, g, CAST(count(*) AS HUGEINT) AS a FROM (
+            SELECT lang, unnest(list_concat(
+                list_transform(ws, lambda x: [x]),
+                list_transform(range(1, greatest(len(ws), 1)), lambda i: ws[i:i + 1]),
+                list_transform(range(1, greatest(len(ws) - 1, 1)), lambda i: ws[i:i + 2]))) AS g
+            FROM pieces)
+        GROUP BY lang, g),
+    totals AS (SELECT lang, sum(a) AS n FROM grams WHERE len(g) = 1 GROUP BY lang),
+    candidates AS (SELECT * FROM grams WHERE len(g) > 1 AND a >= 10),
+    inside AS (
+        SELECT DISTINCT c.lang, c.g FROM candidates c JOIN (
+            SELECT lang, g[1:2] AS g, a FROM candidates WHERE len(g) = 3
+            UNION ALL SELECT lang, g[2:3], a FROM candidates WHERE len(g) = 3) longer
+            ON c.lang = longer.lang AND c.g = longer.g AND 100 * longer.a >= 50 * c.a),
+    cuts AS (
+        SELECT c.lang, c.g, c.a, k, l.a AS l, r.a AS r, 1000000 * c.a * c.a // (l.a * r.a) AS score
+        FROM (SELECT *, unnest(range(1, len(g))) AS k FROM candidates) c
+        JOIN grams l ON l.lang = c.lang AND l.g = c.g[1:k]
+        JOIN grams r ON r.lang = c.lang AND r.g = c.g[k + 1:]
+        ANTI JOIN inside ON inside.lang = c.lang AND inside.g = c.g),
+    best AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS nth FROM cuts),
+    ranked AS (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC,
+            encode(array_to_string(g, ' '))) AS rank,
+            array_to_string(g, ' ') AS phrase, a, l, r, score FROM best WHERE nth = 1)
+    SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+        CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+    FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""

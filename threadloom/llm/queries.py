@@ -7,19 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from threadloom.llm import (
-    decontaminate, html_text, mixing, repetition, secrets, sharding, simhash,
-    suffix_tree, token_pack, toxicity,
+    collocations, decontaminate, html_text, lexical_search, mixing, packing, repetition, secrets,
+    sharding, simhash, suffix_tree, token_pack, toxicity,
 )
 from threadloom.llm.common import table
-from threadloom.llm.expected import decontamination_sql, repetition_sql
+from threadloom.llm.expected import (
+    collocations_sql, decontamination_sql, repetition_sql, search_sql,
+)
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_virtual_slots(spark: SparkSession, directory: str) -> DataFrame:
@@ -63,6 +66,19 @@ def op10_repetition_coverage(spark: SparkSession, directory: str) -> DataFrame:
     return repetition.repetition(table(spark, directory, "documents"))
 
 
+def op11_stratified_search(spark: SparkSession, directory: str) -> DataFrame:
+    return lexical_search.ranked(
+        table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
+def op12_count_streams(spark: SparkSession, directory: str) -> DataFrame:
+    return collocations.collocations(table(spark, directory, "documents"))
+
+
+def op13_cutting_stock(spark: SparkSession, directory: str) -> DataFrame:
+    return packing.op13(table(spark, directory, "documents"), tokenizer_path(BYTE_TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_virtual_slots,
@@ -75,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bit_packing,
         op9_recurrent_network,
         op10_repetition_coverage,
+        op11_stratified_search,
+        op12_count_streams,
+        op13_cutting_stock,
     )
 }
 
@@ -83,4 +102,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op5_spaced_seeds": decontamination_sql(),
     "op10_repetition_coverage": repetition_sql(),
+    "op11_stratified_search": search_sql(),
+    "op12_count_streams": collocations_sql(),
 }
