@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import decontaminate, mixing, near_copies, token_pack, toxicity
+from threadloom.llm import decontaminate, mixing, simhash, token_pack, toxicity
 from threadloom.llm.common import stored, table
 from threadloom.llm.queries import tokenizer_path
 
@@ -22,9 +22,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id.
 
-    Near copies agree by 0.8 or more in their five-word shingles.
+    Near copies are linked as by the SimHash operator: three-word shingles, at most three bits apart.
     """
-    return near_copies.deduplicated(docs)
+    return simhash.deduplicated(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
