@@ -130,7 +130,7 @@ def build(docs: DataFrame, terms: list[str], block_documents: int = BLOCK_DOCUME
     sizes = strata.groupBy("m").agg(F.ceil(F.count("*") / F.lit(block_documents)).alias("blocks"))
     dealt = strata.join(sizes, "m").withColumn(
         "block", F.pmod(F.xxhash64("row"), F.col("blocks")))
-    blocks = (dealt.select("m", "block", "doc_id", "codes", "tfs")
+    blocks = (dealt.select("m", "block", "doc_id", "codes", "tfs").repartition("m", "block")
               .groupBy("m", "block").applyInArrow(_invert, BLOCKS))
     return Index(stored(blocks, "index"), weights)
 
