@@ -37,7 +37,7 @@ SCALE = 1_000_000
 
 # Bits of the map of frequent phrases. It takes 8 MB at most and bounds work, not results.
 BITS = 26
-WORDS_A_RUN = 3_000_000
+WORDS_A_RUN = 1_000_000
 CUTS = b".,;:!?\n\x0b\x0c\r"
 # A-Z become small, what cuts becomes a line feed, a tab a space.
 BYTES = bytes(10 if b in CUTS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b
@@ -102,6 +102,18 @@ def _flush(held):
         yield language, list(numbers), np.concatenate(runs)
 
 
+def _keys(columns: list[np.ndarray], values: int) -> np.ndarray:
+    """One whole number for each row of numbers below `values`, equal for equal rows."""
+    keys, size = columns[0].astype(np.int64), values
+    for column in columns[1:]:
+        if size * values >= 1 << 62:
+            known, keys = np.unique(keys, return_inverse=True)
+            size = len(known)
+        keys = keys * values + column
+        size *= values
+    return keys
+
+
 def _counter(k: int, marks: np.ndarray | None, bits: int, words_a_run: int):
     """Counts of windows of k words whose parts of k - 1 words are marked, per run of a task."""
     names = ["lang", *_words(k), "n"]
@@ -120,19 +132,15 @@ def _counter(k: int, marks: np.ndarray | None, bits: int, words_a_run: int):
                 if width < 2:
                     continue
                 slots = _slots([hashes[codes[i:i + width]] for i in range(k - 1)], bits)
-                marked = marks[slots]
+                marked = (marks[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).view(bool)
                 for i in range(k - 1):
                     marked &= codes[i:i + width] > 1
                 start = np.flatnonzero(marked[:-1] & marked[1:])
                 if not len(start):
                     continue
-                windows = np.stack([codes[start + i] for i in range(k)], axis=1)
-                order = np.lexsort(windows.T[::-1])
-                windows = windows[order]
-                first = np.concatenate(
-                    [[True], (windows[1:] != windows[:-1]).any(axis=1)]).nonzero()[0]
-                n = np.diff(np.append(first, len(windows)))
-                found = list(windows[first].T)
+                keys = _keys([codes[start + i] for i in range(k)], len(words))
+                _, first, n = np.unique(keys, return_index=True, return_counts=True)
+                found = [codes[start[first] + i] for i in range(k)]
             all_words = pa.array(words, pa.binary())
             for at in range(0, len(n), 100_000):
                 some = slice(at, at + 100_000)
@@ -163,12 +171,12 @@ def _marker(k: int, bits: int):
 
 
 def _marks(stream: DataFrame, k: int, bits: int) -> np.ndarray:
-    """The bitmap as booleans; at most 2**bits / 64 rows reach the driver."""
+    """The bitmap in bytes; at most 2**bits / 64 rows reach the driver."""
     rows = (stream.select("lang", *_words(k)).mapInArrow(_marker(k, bits), "place long, bit long")
             .groupBy("place").agg(F.bit_or("bit").alias("bits")).toPandas())
     words = np.zeros((1 << bits) // 64, np.int64)
     words[rows["place"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return np.unpackbits(words.view(np.uint8), bitorder="little").view(bool)
+    return words.view(np.uint8)
 
 
 def streams(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT, bits: int = BITS,
