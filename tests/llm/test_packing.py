@@ -22,17 +22,25 @@ def plain():
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
-def test_encoder_equals_encoding_whole_texts(plain, monkeypatch):
-    monkeypatch.setattr(encoding, "REMEMBERED", 50)
+def test_encoder_equals_the_library_on_texts(plain):
     rng = random.Random(2)
     letters = "aA.,<|é' ss \n tIİ12%日̸  "
     texts = ODD + ["".join(rng.choice(letters) for _ in range(rng.randint(1, 30)))
-                   for _ in range(2000)]
-    encoder = encoding.WordEncoder(PATH)
-    for at in range(0, len(texts), 100):
-        some = texts[at:at + 100]
-        got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(some)]
-        assert got == [plain(t) for t in some]
+                   for _ in range(3000)]
+    encoder = encoding.ByteEncoder(PATH)
+    assert encoder.fast
+    for text in [*texts, "x" * 30_000, " " * 30_000, "a\n\n" * 9_000]:
+        assert encoder.encode(text).tolist() == plain(text)
+
+
+def test_encoder_equals_the_library_on_code_points(plain):
+    """Every code point of the first plane and one in sixteen beyond, between letters and signs."""
+    encoder = encoding.ByteEncoder(PATH)
+    points = [c for c in (*range(0x10000), *range(0x10000, 0x110000, 16))
+              if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 2_000):
+        text = "|".join(f"a{chr(c)}1 {chr(c)}! {chr(c)}{chr(c)}'s" for c in points[at:at + 2_000])
+        assert encoder.encode(text).tolist() == plain(text)
 
 
 def checked(histogram, capacity):

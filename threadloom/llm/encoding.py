@@ -1,82 +1,61 @@
-"""Ids of whole texts by a byte-level BPE of the tokenizers library, each different word encoded once.
+"""Ids of whole texts by the byte-level BPE vocabularies of the tokenizers library.
 
-Such a tokenizer cuts a text before every single space and around every single line feed that stand
-between other characters, so the ids of the words, each with the white space before it, join to
-those of the text. Texts with any other white space, or with what might be the name of a special
-token, are encoded whole. What is remembered is bounded and changes nothing but speed.
+The ids of such a vocabulary are the ranks of its merges, so tiktoken gives the same ids from the same
+file in a third of the time; that both agree on every code point is tested. Texts that may hold the
+name of a special token, and files whose merges are not in order of their ids, go to the tokenizers
+library itself.
 """
 
 from __future__ import annotations
 
-import re
-from itertools import chain, filterfalse
+import json
 
 import numpy as np
 
-REMEMBERED = 400_000
-TOGETHER = 20_000
-ODD = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]|<\|")
+# Fixed value: the pattern by which such tokenizers cut texts into words.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-class WordEncoder:
+def _bytes_of_signs() -> dict[str, int]:
+    """Bytes by the signs that stand for them in vocabularies: printable ones for themselves."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+class ByteEncoder:
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
-        names = self.tokenizer.get_vocab()
-        # Tokens that begin with a space, and the line feed, begin a word wherever they stand.
-        self.begins = {sign: np.zeros(self.vocabulary, bool) for sign in " \n"}
-        mark = self.tokenizer.encode(" a", add_special_tokens=False).tokens[0][0]
-        for name, number in names.items():
-            self.begins[" "][number] = name.startswith(mark)
-        self.line = self._ids("\n")
-        self.begins["\n"][self.line] = True
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-
-    def _learn(self, words: list[str], sign: str) -> None:
-        """Remember the ids of words that stand behind a space, or of lines' first words."""
-        for at in range(0, len(words), TOGETHER):
-            some = words[at:at + TOGETHER]
-            joined = " " + " ".join(some) if sign == " " else "".join(some)
-            ids = np.array(self._ids(joined), "<u4")
-            starts = np.flatnonzero(self.begins[sign][ids])
-            if len(starts) == len(some):
-                data, starts = ids.tobytes(), (4 * starts).tolist()
-                self.known.update(zip(some, (
-                    data[a:b] for a, b in zip(starts, [*starts[1:], len(data)]))))
-            else:
-                for word in some:
-                    text = word if sign == "\n" else sign + word
-                    self.known[word] = np.array(self._ids(text), "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
-        # The first word of a text is looked up as that of a line, and the line feed cut off.
-        words = [None if not text or ODD.search(text)
-                 else ("\n" + text.replace("\n", " \n")).split(" ") for text in texts]
-        known = self.known
-        new = set(filterfalse(known.__contains__, chain.from_iterable(filter(None, words))))
-        first = [w for w in new if w[0] == "\n"]
-        self._learn(first, "\n")
-        self._learn(list(new.difference(first)), " ")
-        skip = 4 * len(self.line)
-        found = [b"".join(map(known.__getitem__, own))[skip:] if own
-                 else np.array(self._ids(text) if text else [], "<u4").tobytes()
-                 for own, text in zip(words, texts)]
-        while len(known) > REMEMBERED:  # the newest go: frequent words come early
-            known.popitem()
-        return found
-
-
-_encoders: dict[str, WordEncoder] = {}
-
-
-def encoder_of(path: str) -> WordEncoder:
-    """The encoder of a worker process, which remembers words from task to task."""
+        setting = json.loads(self.tokenizer.to_str())
+        self.special = [token["content"] for token in setting["added_tokens"]]
+        names, merges = setting["model"]["vocab"], setting["model"]["merges"]
+        signs = _bytes_of_signs()
+        ranks = {bytes(signs[s] for s in name): number for name, number in names.items()
+                 if name not in self.special}
+        merged = [names["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+        cut = setting["pre_tokenizer"]
+        self.fast = None
+        if (merged == sorted(merged) and setting["normalizer"] is None
+                and cut["type"] == "ByteLevel" and not cut["add_prefix_space"]):
+            self.fast = tiktoken.Encoding(
+                "words", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> np.ndarray:
+        if self.fast and not any(name in text for name in self.special):
+            return np.array(self.fast.encode_ordinary(text), "<u4")
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, "<u4")
+
+
+_encoders: dict[str, ByteEncoder] = {}
+
+
+def encoder_of(path: str) -> ByteEncoder:
+    """The encoder of a worker process, kept from task to task."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = ByteEncoder(path)
     return _encoders[path]

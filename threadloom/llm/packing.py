@@ -27,7 +27,6 @@ from threadloom.operators.ranking import dense_row_number
 
 CAPACITY = 1024
 END_ID = 0
-GROUP_CHARS = 2_000_000
 ROWS_A_BATCH = 4_096
 
 PIECES = ("doc_id long, start long, length int, doc_tokens long, ids_crc32 long, ids binary")
@@ -36,20 +35,16 @@ PIECES = ("doc_id long, start long, length int, doc_tokens long, ids_crc32 long,
 def _cutter(tokenizer_path: str, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer_path)
-        end = np.array([END_ID], "<u4").tobytes()
         # Ids are kept in 16 bits where the vocabulary fits them.
         narrow = "<u2" if encoder.vocabulary <= 1 << 16 else "<u4"
 
-        def rows(keys, texts):
-            for key, ids in zip(keys, encoder.encode(texts)):
-                ids += end
-                total = len(ids) // 4
-                kept = np.frombuffer(ids, "<u4").astype(narrow).tobytes()
-                size = len(kept) // total
-                for start in range(0, total, capacity):
-                    stop = min(start + capacity, total)
-                    yield (key, start, stop - start, total,
-                           zlib.crc32(ids[4 * start:4 * stop]), kept[size * start:size * stop])
+        def rows(key, text):
+            ids = np.append(encoder.encode(text), np.uint32(END_ID)).astype("<u4")
+            kept = ids.astype(narrow)
+            for start in range(0, len(ids), capacity):
+                own = ids[start:start + capacity]
+                yield (key, start, len(own), len(ids), zlib.crc32(own),
+                       kept[start:start + capacity].tobytes())
 
         def batch_of(some):
             types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
@@ -58,33 +53,19 @@ def _cutter(tokenizer_path: str, capacity: int):
                 names=["doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"])
 
         waiting = []
-        for keys, texts in _groups(batches):
-            for row in rows(keys, texts):
-                waiting.append(row)
-                if len(waiting) == ROWS_A_BATCH:
-                    yield batch_of(waiting)
-                    waiting = []
+        for batch in batches:
+            for key, text in zip(batch.column(0), batch.column(1)):
+                for row in rows(key.as_py(), text.as_py() or ""):
+                    waiting.append(row)
+                    if len(waiting) == ROWS_A_BATCH:
+                        yield batch_of(waiting)
+                        waiting = []
         if waiting:
             yield batch_of(waiting)
 
     return cut
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """Rows in groups of bounded text size; a longer text is a group of its own."""
-    for batch in batches:
-        keys, texts, size = [], [], 0
-        for key, text in zip(batch.column(0), batch.column(1)):
-            keys.append(key.as_py())
-            texts.append(text.as_py() or "")
-            size += len(texts[-1])
-            if size > GROUP_CHARS:
-                yield keys, texts
-                keys, texts, size = [], [], 0
-        if keys:
-            yield keys, texts
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """One stored row per piece, numbered in column `piece`: its place in the document, and its ids."""
     cut = docs.select(long_id(), F.col("text").cast("string").alias("text")).mapInArrow(
