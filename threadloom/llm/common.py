@@ -36,6 +36,13 @@ def remove_folders() -> None:
             return
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the file system that Spark takes it for, so that workers take it for the same."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return file_system.makeQualified(location).toString()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The same rows read back from a table in the shared folder: cuts lineage, survives executors."""
     path = new_folder(df.sparkSession, name)

@@ -16,7 +16,7 @@ import numpy as np
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def _bytes_of_signs() -> dict[str, int]:
+def bytes_of_signs() -> dict[str, int]:
     """Bytes by the signs that stand for them in vocabularies: printable ones for themselves."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in set(printable)]
@@ -33,7 +33,7 @@ class ByteEncoder:
         setting = json.loads(self.tokenizer.to_str())
         self.special = [token["content"] for token in setting["added_tokens"]]
         names, merges = setting["model"]["vocab"], setting["model"]["merges"]
-        signs = _bytes_of_signs()
+        signs = bytes_of_signs()
         ranks = {bytes(signs[s] for s in name): number for name, number in names.items()
                  if name not in self.special}
         merged = [names["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
@@ -51,6 +51,35 @@ class ByteEncoder:
         return np.array(found[0].ids, "<u4")
 
 
+END = b"\x00"
+
+
+def letters_encoder(tokenizer):
+    """The same for words of small letters and a vocabulary that marks the ends of words.
+
+    Gives a tiktoken encoding of words that are each followed by `END`, or None if the vocabulary is
+    another one. The mark stands for the end in the names of tokens, so the last byte of a word meets it
+    first, as the ids of single bytes with a mark come before those of merges.
+    """
+    import tiktoken
+
+    setting = json.loads(tokenizer.to_str())["model"]
+    suffix = setting.get("end_of_word_suffix")
+    if setting["type"] != "BPE" or not suffix:
+        return None
+    names, signs, ranks = setting["vocab"], bytes_of_signs(), {}
+    merged = [names["".join(m.split(" ") if isinstance(m, str) else m)] for m in setting["merges"]]
+    for name, number in sorted(names.items(), key=lambda x: x[0].endswith(suffix)):
+        core = name.removesuffix(suffix)
+        if all(s in signs for s in core) and (core or name == suffix):
+            ranks[bytes(signs[s] for s in core) + (END if core != name else b"")] = number
+    singles = [ranks.get(bytes([b]) + end) for b in range(256) for end in (b"", END)]
+    if None in singles or merged != sorted(merged) or max(singles) > min(merged):
+        return None
+    return tiktoken.Encoding("letters", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks,
+                             special_tokens={})
+
+
 _encoders: dict[str, ByteEncoder] = {}
 
 

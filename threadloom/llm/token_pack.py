@@ -17,22 +17,28 @@ gives no files and no rows; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window, functions as F
 
-from threadloom.llm.common import long_id, new_folder, stored
+from threadloom.llm.common import long_id, new_folder, qualified, stored
+from threadloom.llm.encoding import END, letters_encoder
 
 MAGIC = b"TLPK0001"
 BLOCK_IDS = 65_536
 END_ID = 1
 # ASCII punctuation that the vocabulary's words never share with letters before it.
-TAIL = b".,;:!?%&$#*"
+TAIL_BYTE = np.isin(np.arange(256), np.frombuffer(b".,;:!?%&$#*", np.uint8))
+ASCII_LETTER = np.isin(np.arange(256) | 32, np.arange(97, 123)) & (np.arange(256) < 128)
+# Stands between pieces that are encoded together.
+PART = "|"
 REMEMBERED = 400_000
 FILE_BYTES = 64 * 1024 * 1024
 
@@ -144,13 +150,38 @@ class PackedReader:
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
+def _parted(texts: pa.Array) -> pa.Array:
+    """The texts with a space between a letter and punctuation behind it, where words are cut anyway.
+
+    Letters are those of ASCII and Latin-1; others are left to the tokenizer.
+    """
+    texts = texts.cast(pa.large_string())
+    if not len(texts):
+        return texts
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    starts = offsets - offsets[0]
+    letter = ASCII_LETTER[data]
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    before = np.zeros(len(data) + 1, bool)
+    before[1:-1] = letter[:-1] & TAIL_BYTE[data[1:]]
+    before[starts] = False  # not across the edge of two texts
+    at = np.flatnonzero(before)
+    wider = np.insert(data, at, 32)
+    moved = starts + np.searchsorted(at, starts, side="left")
+    return pa.LargeStringArray.from_buffers(
+        len(texts), pa.py_buffer(moved.astype(np.int64)), pa.py_buffer(wider))
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library, each different piece encoded once.
+    """Ids of texts by the tokenizers library, each different piece of a block encoded once.
 
     Pieces are what stands between ASCII white space, so joining their ids equals encoding the
-    whole text; so does cutting ASCII punctuation off after a letter. Pieces of letters alone are
-    encoded many at a time, as each makes one word and ends in one token that ends a word. What is
-    remembered is bounded and changes nothing but speed.
+    whole text; so does cutting ASCII punctuation off after a letter. Arrow cuts and numbers the
+    pieces of a block; what is Python's is done once per different piece, and ids are gathered by
+    numpy. New pieces are encoded many at a time: those of small letters by the same merges in
+    tiktoken, the others by the library, parted by a sign that none of them holds and whose token
+    ends each. What is remembered from block to block is bounded and changes nothing but speed.
     """
 
     def __init__(self, path: str):
@@ -158,66 +189,80 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        parted = self._ids(PART)
+        self.part = parted[0] if len(parted) == 1 else None
+        self.letters = letters_encoder(self.tokenizer)
         self.ends_word = np.zeros(self.vocabulary, bool)
-        if suffix:
+        if self.letters:
+            suffix = self.tokenizer.model.end_of_word_suffix
             for token, number in self.tokenizer.get_vocab().items():
                 self.ends_word[number] = token.endswith(suffix)
-        self.together = bool(suffix)
-        self.known: dict[bytes, bytes] = {}
-
-    def _encode_each(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(
-            pieces, add_special_tokens=False)]
-
-    def _encode_letters(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that are letters alone, by joining them."""
-        joined = [" ".join(pieces[at:at + 200]) for at in range(0, len(pieces), 200)]
-        ids = np.array([i for x in self.tokenizer.encode_batch_fast(
-            joined, add_special_tokens=False) for i in x.ids], "<u4")
-        stops = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(stops) != len(pieces):  # a letter has become more than letters
-            return self._encode_each(pieces)
-        data, stops = ids.tobytes(), (4 * stops).tolist()
-        return [data[a:b] for a, b in zip([0, *stops], stops)]
-
-    def _learn(self, new: list[bytes]) -> None:
-        known = self.known
-        parts, wanted = {}, set()
+        self.known: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn(self, new: list[str]) -> None:
+        letters, others = [], []
         for piece in new:
-            core = piece.rstrip(TAIL)
-            if len(core) < len(piece) and core[-1:].isalpha():
-                parts[piece] = core, piece[len(core):]
-                wanted.update(p for p in parts[piece] if p not in known)
+            small = self.letters and piece.isalpha() and piece.islower()
+            if small and (piece.isascii() or unicodedata.is_normalized("NFC", piece)):
+                letters.append(piece)
+            elif PART in piece or self.part is None:
+                self.known[piece] = np.array(self._ids(piece), "<u4").tobytes()
             else:
-                wanted.add(piece)
-        letters, others = [], []
-        for piece in wanted:
-            text = piece.decode("utf-8", "surrogatepass")
-            (letters if self.together and text.isalpha() else others).append((piece, text))
-        for group, encode in ((letters, self._encode_letters), (others, self._encode_each)):
-            for at in range(0, len(group), 20_000):
-                some = group[at:at + 20_000]
-                known.update(zip((p for p, _ in some), encode([t for _, t in some])))
-        for piece, (core, tail) in parts.items():
-            known[piece] = known[core] + known[tail]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        pieces = []
-        for text in texts:
-            raw = text.encode("utf-8", "surrogatepass")
-            # Case goes anyway; names of special tokens alone are told apart by it.
-            pieces.append((raw.lower() if raw.isascii() and b"<|" not in raw else raw).split())
+                others.append(piece)
+        mark = END.decode()
+        for at in range(0, len(letters), 20_000):
+            some = letters[at:at + 20_000]
+            ids = np.array(self.letters.encode_ordinary(mark.join(some) + mark), "<u4")
+            stops = np.flatnonzero(self.ends_word[ids]) + 1
+            self._cut(some, ids, [0, *stops[:-1]], stops)
+        for at in range(0, len(others), 20_000):
+            some = others[at:at + 20_000]
+            ids = np.array(self._ids(f" {PART} ".join(some)), "<u4")
+            stops = np.append(np.flatnonzero(ids == self.part), len(ids))
+            self._cut(some, ids, np.append(0, stops[:-1] + 1), stops)
+
+    def _cut(self, pieces: list[str], ids: np.ndarray, starts, stops) -> None:
+        """Remember each piece's part of ids; should their number differ, encode them one by one."""
+        if len(stops) != len(pieces):
+            self.known.update((p, np.array(self._ids(p), "<u4").tobytes()) for p in pieces)
+            return
+        data = ids.tobytes()
+        self.known.update(zip(pieces, (
+            data[4 * a:4 * b] for a, b in zip(map(int, starts), map(int, stops)))))
+
+    def encode_block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each ended by the end id, and where each text's ids end."""
+        texts = pc.fill_null(texts, "")
+        # Case goes anyway; names of special tokens alone are told apart by it.
+        plain = pc.and_(pc.string_is_ascii(texts), pc.invert(pc.match_substring(texts, "<|")))
+        lists = pc.ascii_split_whitespace(
+            _parted(pc.if_else(plain, pc.ascii_lower(texts), texts)))
+        pieces = lists.flatten().dictionary_encode()
+        names = pieces.dictionary.to_pylist()
         known = self.known
-        new = list({p for own in pieces for p in own if p not in known})
-        if new:
-            self._learn(new)
-        end = np.array([END_ID], "<u4").tobytes()
-        found = [np.frombuffer(b"".join([*map(known.__getitem__, own), end]), "<u4")
-                 for own in pieces]
+        self._learn([p for p in names if p not in known])
+        own = [*map(known.__getitem__, names), np.array([END_ID], "<u4").tobytes()]
         while len(known) > REMEMBERED:  # the newest go: frequent pieces come early
             known.popitem()
-        return found
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        flat = np.frombuffer(b"".join(own), "<u4")
+        # The end id follows the last piece of each text.
+        last = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+        order = np.insert(pieces.indices.to_numpy(zero_copy_only=False).astype(np.int64), last,
+                          len(names))
+        n = sizes[order]
+        ends = np.cumsum(n)
+        starts = np.cumsum(sizes) - sizes
+        ids = flat[np.arange(ends[-1] if len(ends) else 0)
+                   + np.repeat(starts[order] - (ends - n), n)]
+        return ids, ends[last + np.arange(len(last))]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        ids, ends = self.encode_block(pa.array(texts, pa.string()))
+        return np.split(ids, ends[:-1])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -238,19 +283,16 @@ def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), folder
 
 
-def _text_groups(batches: Iterator[pa.RecordBatch], most: int = 2_000_000):
-    """Rows in groups of bounded text size."""
+def _blocks(batches: Iterator[pa.RecordBatch], most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Rows in blocks of about this size of text; a longer text is a block of its own."""
     for batch in batches:
-        group, size = [], 0
-        for row in zip(*(batch.column(i) for i in range(3))):
-            part, key, text = (x.as_py() for x in row)
-            group.append((part, key, text or ""))
-            size += len(text or "")
-            if size > most:
-                yield group
-                group, size = [], 0
-        if group:
-            yield group
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(
+            zero_copy_only=False)
+        number = np.cumsum(sizes, dtype=np.int64) // most
+        edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(batch)]
+        for a, b in zip(edges, edges[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
 
 
 def _writer(folder: str, tokenizer_path: str):
@@ -274,8 +316,12 @@ def _writer(folder: str, tokenizer_path: str):
                        pa.array([total] * len(some), pa.int64())],
                     names=["part", "place", "doc_id", "path", "first", "n_tokens", "file_tokens"])
 
-        for group in _text_groups(batches):
-            for (own, key, _), ids in zip(group, encoder.encode([g[2] for g in group])):
+        for block in _blocks(batches):
+            every, ends = encoder.encode_block(block.column("text"))
+            starts = [0, *ends.tolist()]
+            for own, key, a, b in zip(block.column("part").to_pylist(),
+                                      block.column("doc_id").to_pylist(), starts, starts[1:]):
+                ids = every[a:b]
                 if out is None or out.total * out.bits // 8 >= FILE_BYTES:
                     if out is not None:
                         yield from finish()
@@ -296,13 +342,16 @@ def _writer(folder: str, tokenizer_path: str):
 def _reader(folder: str):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, _ = _filesystem(folder)
-        opened, reader = None, None
+        opened, reader, source = None, None, None
         for batch in batches:
             sums = []
             for path, first, n in zip(*(batch.column(c).to_pylist()
                                         for c in ("path", "first", "n_tokens"))):
                 if path != opened:
-                    opened, reader = path, PackedReader(filesystem.open_input_file(path))
+                    if source is not None:
+                        source.close()
+                    source = filesystem.open_input_file(path)
+                    opened, reader = path, PackedReader(source)
                 crc = 0
                 for piece in reader.pieces(first, n):
                     crc = zlib.crc32(np.ascontiguousarray(piece, "<u4").tobytes(), crc)
@@ -312,6 +361,8 @@ def _reader(folder: str):
                 [*columns, pa.array(sums, pa.int64()), batch.column("path"),
                  batch.column("first")],
                 names=["doc_id", "start", "n_tokens", "ids_crc32", "path", "first"])
+        if source is not None:
+            source.close()
 
     return read
 
@@ -324,6 +375,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, files: int |
     range is written as one file or, beyond `FILE_BYTES`, several.
     """
     spark = docs.sparkSession
+    folder = qualified(spark, folder)
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tie = F.xxhash64("text")
     dealt = (
@@ -340,6 +392,7 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
 
     Files are put in order by their totals, one row a file.
     """
+    folder = qualified(manifest.sparkSession, folder)
     order = Window.orderBy("part", "file_place").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.groupBy("path").agg(
         F.min("part").alias("part"), F.min("place").alias("file_place"),
