@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from threadloom.llm import collocations as co
@@ -102,3 +103,12 @@ def test_odd_rows(texts, odd_rows):
 def test_empty_table(texts):
     assert co.collocations(texts()).collect() == []
     assert co.collocations(texts((None, "en"))).collect() == []
+
+
+def test_keys_of_many_values_stay_apart():
+    rng = np.random.default_rng(7)
+    columns = [rng.integers(0, 3_000_000, 500) for _ in range(3)]
+    columns = [np.append(c, c[:100]).astype(np.int32) for c in columns]
+    keys = co._keys(columns, 3_000_000)
+    rows = list(zip(*(c.tolist() for c in columns)))
+    assert len(set(keys.tolist())) == len(set(rows)) == len(set(zip(keys.tolist(), rows)))

@@ -116,8 +116,6 @@ def _keys(columns: list[np.ndarray], values: int) -> np.ndarray:
 
 def _counter(k: int, marks: np.ndarray | None, bits: int, words_a_run: int):
     """Counts of windows of k words whose parts of k - 1 words are marked, per run of a task."""
-    names = ["lang", *_words(k), "n"]
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for language, words, codes in _runs(batches, words_a_run):
             if marks is None:
@@ -142,12 +140,14 @@ def _counter(k: int, marks: np.ndarray | None, bits: int, words_a_run: int):
                 _, first, n = np.unique(keys, return_index=True, return_counts=True)
                 found = [codes[start[first] + i] for i in range(k)]
             all_words = pa.array(words, pa.binary())
+            end = b"\n" + language.encode("utf-8", "surrogatepass")
             for at in range(0, len(n), 100_000):
                 some = slice(at, at + 100_000)
-                columns = [pc.take(all_words, pa.array(f[some])).cast(pa.string()) for f in found]
+                columns = [pc.take(all_words, pa.array(f[some])) for f in found]
+                words_of_each = pc.binary_join_element_wise(*columns, b" ")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([language] * len(columns[0])), *columns,
-                     pa.array(n[some].astype(np.int64))], names=names)
+                    [pc.binary_join_element_wise(words_of_each, end, b"").cast(pa.string()),
+                     pa.array(n[some].astype(np.int64))], names=["phrase", "n"])
 
     return count
 
@@ -173,9 +173,9 @@ def _marker(k: int, bits: int):
 def _marks(stream: DataFrame, k: int, bits: int) -> np.ndarray:
     """The bitmap in bytes; at most 2**bits / 64 rows reach the driver."""
     rows = (stream.select("lang", *_words(k)).mapInArrow(_marker(k, bits), "place long, bit long")
-            .groupBy("place").agg(F.bit_or("bit").alias("bits")).toPandas())
+            .groupBy("place").agg(F.bit_or("bit").alias("bits")).toArrow())
     words = np.zeros((1 << bits) // 64, np.int64)
-    words[rows["place"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    words[rows.column("place").to_numpy()] = rows.column("bits").to_numpy()
     return words.view(np.uint8)
 
 
@@ -191,9 +191,12 @@ def streams(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT,
     found, totals, marks = {}, None, None
     for k in range(1, longest + 1):
         names = _words(k)
-        schema = "lang string, " + ", ".join(f"{n} string" for n in names) + ", n long"
-        counts = texts.mapInArrow(_counter(k, marks, bits, words_a_run), schema)
-        summed = counts.groupBy("lang", *names).agg(F.sum("n").alias("a"))
+        # One key of the words, a line feed, which no word holds, and the language.
+        counts = texts.mapInArrow(_counter(k, marks, bits, words_a_run), "phrase string, n long")
+        words = F.split(F.substring_index("phrase", "\n", 1), " ")
+        summed = counts.groupBy("phrase").agg(F.sum("n").alias("a")).select(
+            F.expr("substr(phrase, instr(phrase, '\n') + 1)").alias("lang"),
+            *[words[i].alias(name) for i, name in enumerate(names)], "a")
         if k == 1:
             summed = stored(summed, "words")
             totals = summed.groupBy("lang").agg(F.sum("a").alias("n"))
