@@ -5,7 +5,6 @@ from threadloom import schemas
 from threadloom.operators import clean, to_relational
 from threadloom.plans import jobs
 from threadloom.plans.workspace import comment_workspace
-from threadloom.sinks import tables as sinks
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +37,7 @@ def test_documents_and_back_twice(spark, ws, own, rows_of):
     assert sizes == {n: df.count() for n, df in ws.collections.items()}
     for run in (1, 2):
         jobs.documents_to_relational(spark, source, target, ws.store)
-        back = {n: sinks.read_current(spark, f"{target}/{n}") for n in schemas.RELATIONAL}
+        back = {n: jobs.read_merged(spark, target, n) for n in schemas.RELATIONAL}
         assert rows_of(back["comment"]) == rows_of(to_relational.comment(ws.collections["comments"]))
         assert back["post_link"].count() == sizes["posts"]
         ids = back["moderation"].agg(F.count_distinct("mod_action_id"), F.max("mod_action_id"))

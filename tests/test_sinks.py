@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,20 +35,43 @@ def test_upsert(frames):
         "a": (1, "x"), "b": (2, None), "c": (None, "z")}
 
 
-def test_versions(spark, ws, frames):
+def files_of(path):
+    """Data files of each partition of a table on the local disk."""
+    return {d: sorted(f for f in os.listdir(f"{path}/{d}") if f.endswith(".parquet"))
+            for d in os.listdir(path) if d.startswith(sinks.BUCKET)}
+
+
+def test_buckets_follow_the_size(spark, ws, monkeypatch):
+    assert [sinks.buckets_for(n) for n in (0, 1, 128 << 20, (128 << 20) + 1, 1 << 60)] == [
+        1, 1, 1, 2, sinks.MOST_BUCKETS]
+    monkeypatch.setattr(sinks, "BUCKET_BYTES", 400)
+    path = ws.new_path("sized")
+    rows = spark.range(1000).selectExpr("id AS k", "cast(id AS string) AS v")
+    sinks.write_keyed(rows, path, ["k"])
+    buckets = int(sinks.bucket_column(spark, path).removeprefix(sinks.BUCKET))
+    assert buckets > 4 and len(files_of(path)) == buckets
+    assert sinks.read_keyed(spark, path, rows.schema).count() == 1000
+
+
+def test_interrupted_replacement_is_finished_by_the_next_merge(spark, ws, frames, monkeypatch):
     old, new = frames
-    root = ws.new_path("versions")
-    with pytest.raises(FileNotFoundError):
-        sinks.read_current(spark, root)
-    sinks.publish(spark, old, root)
-    current = sinks.read_current(spark, root)
-    sinks.publish(spark, sinks.upsert(current, new, ["k"], [F.col("v").desc()]), root)
-    assert sinks.latest_version(spark, root) == 1
-    assert sinks.read_current(spark, root).count() == 3
-    # A version without its success marker is not read.
-    new.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        sinks.version_path(root, 2))
-    assert sinks.latest_version(spark, root) == 1
+    path = ws.new_path("interrupted")
+    sinks.write_keyed(old, path, ["k"], buckets=4)
+
+    def die(*_):
+        raise RuntimeError("driver lost")
+
+    finish = sinks.finish
+    calls = iter([finish, die])
+    monkeypatch.setattr(sinks, "finish", lambda *a: next(calls)(*a))
+    with pytest.raises(RuntimeError):
+        sinks.merge_into(spark, path, new, ["k"], [F.col("v").desc()])
+    assert as_dict(sinks.read_keyed(spark, path, old.schema)) == as_dict(old)
+    monkeypatch.setattr(sinks, "finish", finish)
+    more = spark.createDataFrame([("d", 4, "d")], old.schema)
+    sinks.merge_into(spark, path, more, ["k"], [F.col("v").desc()])
+    assert as_dict(sinks.read_keyed(spark, path, old.schema)) == {
+        "a": (1, "x"), "b": (9, None), "c": (None, "z"), "d": (4, "d")}
 
 
 def test_append_and_reset(spark, ws, frames):
@@ -126,25 +151,38 @@ def test_numbers_are_rounded_by_their_binary_value(spark, digits):
 
 
 def test_merges_leave_untouched_buckets_alone(spark, ws):
-    root = ws.new_path("buckets")
+    path = ws.new_path("buckets")
     old = spark.createDataFrame([(f"k{i}", i) for i in range(300)], "k string, v int")
-    sinks.publish(spark, old, root, ["k"], buckets=16)
-    before = dict(sinks.manifest(spark, root)[2])
-    new = spark.createDataFrame([("k7", -7), ("new", 1)], "k string, v int")
-    sinks.merge_into(spark, root, new, ["k"], [F.col("v").asc()])
-    after = dict(sinks.manifest(spark, root)[2])
-    assert 14 <= sum(before[b] == after[b] for b in before) < len(before) == 16
-    got = {r.k: r.v for r in sinks.read_current(spark, root).collect()}
+    sinks.write_keyed(old, path, ["k"], buckets=16)
+    before = files_of(path)
+    same = spark.createDataFrame([("k8", 8), ("k9", 9)], "k string, v int")
+    assert sinks.merge_into(spark, path, same, ["k"], [F.col("v").asc()]) == []
+    assert files_of(path) == before and len(before) == 16
+    new = spark.createDataFrame([("k7", -7), ("new", 1), ("k9", 9)], "k string, v int")
+    touched = sinks.merge_into(spark, path, new, ["k"], [F.col("v").asc()])
+    after = files_of(path)
+    assert 1 <= len(touched) <= 2
+    assert {d for d in before if before[d] != after[d]} == {
+        f"{sinks.BUCKET}16={b}" for b in touched}
+    got = {r.k: r.v for r in sinks.read_keyed(spark, path, old.schema).collect()}
     assert got == {**{f"k{i}": i for i in range(300)}, "k7": -7, "new": 1}
-    sinks.publish_appended(spark, new, root)
-    assert sinks.read_current(spark, root).count() == 303
-    assert dict(sinks.manifest(spark, root)[2]).items() >= after.items()
+
+
+def test_a_reduction_lets_stored_and_incoming_rows_compete(spark, ws):
+    path = ws.new_path("competing")
+    rows = spark.createDataFrame([("a", 3), ("b", 5)], "k string, v int")
+    least = lambda df: df.groupBy("k").agg(F.min("v").alias("v"))
+    for more in (rows, spark.createDataFrame([("a", 9), ("b", 1), ("c", 2)], rows.schema)):
+        sinks.merge_into(spark, path, more, ["k"], [], reduction=least)
+    assert {r.k: r.v for r in sinks.read_keyed(spark, path, rows.schema).collect()} == {
+        "a": 3, "b": 1, "c": 2}
 
 
 def test_merging_into_an_empty_table(spark, ws):
-    root = ws.new_path("empty-buckets")
+    path = ws.new_path("empty-buckets")
     rows = spark.createDataFrame([("a", 1)], "k string, v int")
-    sinks.merge_into(spark, root, rows.filter("false"), ["k"], [F.col("v").asc()])
-    assert sinks.read_current(spark, root).collect() == []
-    sinks.merge_into(spark, root, rows, ["k"], [F.col("v").asc()])
-    assert sinks.read_current(spark, root).count() == 1
+    assert sinks.read_keyed(spark, path, rows.schema).collect() == []
+    sinks.merge_into(spark, path, rows.filter("false"), ["k"], [F.col("v").asc()])
+    assert sinks.read_keyed(spark, path, rows.schema).collect() == []
+    sinks.merge_into(spark, path, rows, ["k"], [F.col("v").asc()])
+    assert sinks.read_keyed(spark, path, rows.schema).count() == 1

@@ -1,7 +1,7 @@
 """End-to-end jobs over stored tables: load, convert, clean, report.
 
-Tables lie in one folder each under a target. Tables that are merged into keep
-versions (`sinks.tables.read_current`); the others are plain Parquet folders.
+Tables lie in one folder each under a target. Tables that are merged into are partitioned by a bucket
+of their key (`sinks.tables.read_keyed`); the others are plain Parquet folders.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from threadloom import schemas
 from threadloom.operators import clean, dependencies, documents, mining, normalize, to_relational
 from threadloom.plans.workspace import Workspace
+from threadloom.session import path_exists
 from threadloom.sinks import reports, tables as sinks
 from threadloom.sources import tables as sources
 
@@ -42,7 +43,7 @@ def load_documents(
 
 
 def documents_to_relational(spark: SparkSession, source: str, target: str, store) -> None:
-    """Merge stored collections into versioned relational tables.
+    """Merge stored collections into keyed relational tables.
 
     Moderation has no key to merge by: a rerun adds its rows again under new keys.
     """
@@ -51,7 +52,7 @@ def documents_to_relational(spark: SparkSession, source: str, target: str, store
     def merge(table: str, rows: DataFrame, update: list[str] | None = None) -> None:
         key = schemas.PRIMARY_KEYS[table]
         order = [F.col(c).asc_nulls_last() for c in rows.columns]
-        sinks.merge_into(spark, f"{target}/{table}", rows, key, order, update)
+        sinks.merge_into(spark, f"{target}/{table}", store(rows), key, order, update)
 
     merge("users", to_relational.users(read["users"]))
     merge("subreddit", to_relational.subreddit(read["subreddits"]))
@@ -61,14 +62,18 @@ def documents_to_relational(spark: SparkSession, source: str, target: str, store
     merge("comment", to_relational.comment(read["comments"]))
 
     root = f"{target}/moderation"
-    fresh = to_relational.moderation(read["moderation"], store)
-    if sinks.latest_version(spark, root) is None:
-        sinks.publish(spark, fresh, root)
-        return
-    current = sinks.read_current(spark, root)
-    last = F.coalesce(current.agg(F.max("mod_action_id")).scalar(), F.lit(0))
-    added = fresh.withColumn("mod_action_id", F.col("mod_action_id") + last)
-    sinks.publish_appended(spark, added, root)
+    fresh = store(to_relational.moderation(read["moderation"], store))
+    last = 0
+    if path_exists(spark, root):
+        last = sources.read_table(spark, "moderation", root).agg(F.max("mod_action_id")).first()[0]
+    sinks.append(fresh.withColumn("mod_action_id", F.col("mod_action_id") + F.lit(last or 0)), root)
+
+
+def read_merged(spark: SparkSession, target: str, table: str) -> DataFrame:
+    """A table that `documents_to_relational` has written."""
+    if table == "moderation":
+        return sources.read_table(spark, table, f"{target}/{table}")
+    return sinks.read_keyed(spark, f"{target}/{table}", schemas.RELATIONAL[table])
 
 
 def clean_relational(

@@ -28,7 +28,7 @@ from threadloom.operators import (
     verify,
 )
 from threadloom.functions.values import flag
-from threadloom.operators.ranking import reverse_row_order, row_order
+from threadloom.operators.ranking import first_per_key, reverse_row_order, row_order
 from threadloom.plans import jobs, layout
 from threadloom.plans.workspace import LOAD_TIME, Workspace
 from threadloom.sinks import reports, tables as sinks
@@ -136,22 +136,23 @@ def sink_insert_ignore(ws: Workspace) -> DataFrame:
 
 @query
 def sink_upsert_docs(ws: Workspace) -> DataFrame:
-    root = ws.new_path("upsert-docs")
-    sinks.publish(ws.spark, documents.users(first_load(ws)), root, ["_id"])
+    path = ws.new_path("upsert-docs")
+    sinks.write_keyed(documents.users(first_load(ws)), path, ["_id"])
     incoming = documents.user_rows(second_load(ws))
     order = reverse_row_order(schemas.DOCUMENTS["users"].names)
-    sinks.merge_into(ws.spark, root, incoming, ["_id"], order)
-    return sinks.read_current(ws.spark, root)
+    last = ws.store(first_per_key(incoming, ["_id"], order).select(*schemas.DOCUMENTS["users"].names))
+    sinks.merge_into(ws.spark, path, last, ["_id"], [F.col("_id")])
+    return sinks.read_keyed(ws.spark, path, schemas.DOCUMENTS["users"])
 
 
 @query
 def sink_upsert_rows(ws: Workspace) -> DataFrame:
-    root = ws.new_path("upsert-rows")
-    sinks.publish(ws.spark, ws.relational["post_link"], root, ["link_id"])
-    incoming = to_relational.post_link(ws.collections["posts"])
+    path = ws.new_path("upsert-rows")
+    sinks.write_keyed(ws.relational["post_link"], path, ["link_id"])
+    incoming = ws.store(to_relational.post_link(ws.collections["posts"]))
     order = [F.col("retrieved_on").desc()]
-    sinks.merge_into(ws.spark, root, incoming, ["link_id"], order, update=["retrieved_on"])
-    return sinks.read_current(ws.spark, root)
+    sinks.merge_into(ws.spark, path, incoming, ["link_id"], order, update=["retrieved_on"])
+    return sinks.read_keyed(ws.spark, path, schemas.RELATIONAL["post_link"])
 
 
 @query
@@ -162,7 +163,7 @@ def sink_upsert_tables(ws: Workspace) -> DataFrame:
     for _ in range(2):
         jobs.documents_to_relational(ws.spark, source, target, ws.store)
     return reduce(DataFrame.unionByName, [
-        sinks.read_current(ws.spark, f"{target}/{name}").agg(
+        jobs.read_merged(ws.spark, target, name).agg(
             F.count(F.lit(1)).alias("total_rows")).select(
             F.lit(name).alias("table_name"), "total_rows")
         for name in schemas.RELATIONAL])

@@ -94,6 +94,11 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return file_system.getContentSummary(location).getLength()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors can reach, as named by `spark.checkpoint.dir`.
 

@@ -1,24 +1,26 @@
 """Keyed and unkeyed writes of Parquet tables.
 
-A versioned table has its rows in folders that are written once, one per bucket
-of key hashes, and a small manifest per version that names the folder of each
-bucket. A merge reads and rewrites only the buckets that an incoming key falls
-into, and an append adds a folder; all other folders are shared between versions.
-Readers see a version when its manifest is complete, so a table is never
-overwritten while it is read and a lost job leaves the previous version in place.
+A keyed table is Parquet partitioned by a bucket of its key's hash. A merge reads the buckets that
+incoming keys fall into, stages the rows of those that change beside the table, and replaces their
+partitions by Spark's dynamic partition overwrite. All other partitions keep their files.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadloom.operators.ranking import first_per_key
+from threadloom.session import path_bytes
+
+BUCKET = "bucket_of_"
+BUCKET_BYTES = 128 * 1024 * 1024
+MOST_BUCKETS = 100_000
+# Tasks that write one bucket together.
+WRITERS = 16
 
 
 def insert_ignore(
@@ -77,123 +79,123 @@ def reset(spark: SparkSession, path: str, schema) -> None:
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
-def version_path(root: str, version: int) -> str:
-    return f"{root}/version={version:010d}"
-
-
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    """The highest version that was written completely."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(path)
-    names = [s.getPath().getParent().getName() for s in found] if found else []
-    return max((int(n.split("=")[1]) for n in names), default=None)
-
+def buckets_for(size: int) -> int:
+    """Buckets of a keyed table of so many bytes, so that one is about a task's work."""
+    return min(max(-(-size // BUCKET_BYTES), 1), MOST_BUCKETS)
 
-# Buckets of a keyed table; a large one takes more, so that a bucket stays a task's work.
-BUCKETS = 64
-BUCKET = "key_bucket"
-# One row without a folder states the table; every other names a folder, whole or one bucket of it.
-MANIFEST_SCHEMA = "buckets int, bucket int, folder string, columns string"
 
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-def _bucket(key: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
+def bucket_column(spark: SparkSession, path: str) -> str | None:
+    """The column that a keyed table is partitioned by; its name ends in the number of buckets."""
+    location, files = _folder(spark, path)
+    if not files.exists(location):
+        return None
+    names = [s.getPath().getName().split("=")[0] for s in files.listStatus(location)]
+    return next((n for n in names if n.startswith(BUCKET)), None)
 
-def _write_folder(
-    spark: SparkSession, df: DataFrame, root: str, key: Sequence[str], buckets: int
-) -> list[tuple[int | None, str]]:
-    """Write rows into a new folder and return its entries: (bucket or None, folder)."""
-    folder = f"data/{uuid.uuid4().hex}"
-    if not key:
-        df.write.parquet(f"{root}/{folder}")
-        return [(None, folder)]
-    df.withColumn(BUCKET, _bucket(key, buckets)).repartition(buckets, F.col(BUCKET)).write.partitionBy(
-        BUCKET).parquet(f"{root}/{folder}")
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}")
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
-    names = [s.getPath().getName() for s in found]
-    return [(int(n.split("=")[1]), f"{folder}/{n}") for n in names if n.startswith(f"{BUCKET}=")]
 
+def _bucket(by: Sequence[str], column: str) -> Column:
+    buckets = int(column.removeprefix(BUCKET))
+    return F.pmod(F.xxhash64(*by), F.lit(buckets)).cast("int")
 
-def _write_manifest(
-    spark: SparkSession, root: str, schema: T.StructType, buckets: int,
-    entries: Sequence[tuple[int | None, str]],
-) -> str:
-    current = latest_version(spark, root)
-    target = version_path(root, 0 if current is None else current + 1)
-    rows = [(buckets, None, None, schema.json())]
-    rows += [(buckets, bucket, folder, None) for bucket, folder in entries]
-    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(target)
-    return target
 
-
-def manifest(spark: SparkSession, root: str) -> tuple[T.StructType, int, list[tuple[int | None, str]]]:
-    """Columns, buckets and folders of the newest complete version.
-
-    There is one entry per bucket and appended folder, whatever the size of the table.
-    """
-    current = latest_version(spark, root)
-    if current is None:
-        raise FileNotFoundError(f"no complete version under {root}")
-    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(version_path(root, current)).collect()
-    stated = next(r for r in rows if r.folder is None)
-    entries = [(r.bucket, r.folder) for r in rows if r.folder is not None]
-    return T.StructType.fromJson(json.loads(stated["columns"])), stated.buckets, entries
-
-
-def _read(spark: SparkSession, root: str, schema: T.StructType, folders: Sequence[str]) -> DataFrame:
-    if not folders:
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a keyed table; a table that was never written has none."""
+    column = bucket_column(spark, path)
+    if column is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{root}/{f}" for f in folders])
-
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
-def publish(
-    spark: SparkSession, df: DataFrame, root: str, key: Sequence[str] = (), buckets: int = BUCKETS
-) -> str:
-    """Store all rows as the next version of a table, in buckets if it has a key."""
-    entries = _write_folder(spark, df, root, key, buckets)
-    return _write_manifest(spark, root, df.schema, buckets, entries)
 
+def _staged(path: str) -> str:
+    return f"{path}-staged"
 
-def publish_appended(spark: SparkSession, df: DataFrame, root: str) -> str:
-    """The next version: the folders of the newest one and another with more rows."""
-    schema, buckets, entries = manifest(spark, root)
-    added = _write_folder(spark, df.select(*schema.names), root, (), buckets)
-    return _write_manifest(spark, root, schema, buckets, [*entries, *added])
 
+def finish(spark: SparkSession, path: str, touched: Sequence[int] | None = None) -> None:
+    """Replace the partitions of a keyed table by those that are staged beside it, if there are any.
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """The newest complete version of a table."""
-    schema, _, entries = manifest(spark, root)
-    return _read(spark, root, schema, [folder for _, folder in entries])
+    With `touched`, only these buckets. A job that dies meanwhile leaves the staged rows, and the next
+    call replaces all their partitions, which gives the same rows.
+    """
+    location, files = _folder(spark, _staged(path))
+    if files.exists(_folder(spark, f"{_staged(path)}/_SUCCESS")[0]):
+        rows = spark.read.parquet(_staged(path))
+        column = rows.columns[-1]
+        if touched is not None:
+            rows = rows.filter(F.col(column).isin(list(touched)))
+        # A bucket's rows may be very many: several tasks write it.
+        salt = F.pmod(F.xxhash64(*rows.columns[:-1]), F.lit(WRITERS))
+        (rows.repartition(F.col(column), salt).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+    files.delete(location, True)
+
+
+def write_keyed(
+    df: DataFrame, path: str, key: Sequence[str], by: Sequence[str] | None = None,
+    buckets: int | None = None,
+) -> None:
+    """Start a keyed table: Parquet partitioned by a hash of its key, or of the columns `by`.
+
+    The number of buckets follows from the size of the rows unless it is given.
+    """
+    spark = df.sparkSession
+    if buckets is None:
+        sized = f"{path}-sized"
+        df.write.mode("overwrite").parquet(sized)
+        df, buckets = spark.read.schema(df.schema).parquet(sized), buckets_for(path_bytes(spark, sized))
+    column = f"{BUCKET}{buckets}"
+    df.withColumn(column, _bucket(by or key, column)).write.mode("overwrite").parquet(_staged(path))
+    finish(spark, path)
+    location, files = _folder(spark, f"{path}-sized")
+    files.delete(location, True)
 
 
 def merge_into(
     spark: SparkSession,
-    root: str,
+    path: str,
     incoming: DataFrame,
     key: Sequence[str],
     order: Sequence[Column],
     update: Sequence[str] | None = None,
-    buckets: int = BUCKETS,
-) -> str:
-    """Upsert into the newest version of a keyed table, or start the table.
-
-    Only buckets with an incoming key are read and written again.
+    by: Sequence[str] | None = None,
+    buckets: int | None = None,
+    reduction: Callable[[DataFrame], DataFrame] | None = None,
+) -> list[int]:
+    """Upsert into a keyed table, or start it; returns the buckets that were written.
+
+    Only buckets with a row that is changed or new are written again; all others keep their files.
+    `incoming` is computed more than once: it should be a stored table. `by` names key columns. With
+    a reduction, stored and incoming rows of a key compete and it picks one of them.
     """
-    if latest_version(spark, root) is None:
-        return publish(spark, first_per_key(incoming, key, order), root, key, buckets)
-    schema, buckets, entries = manifest(spark, root)
-    # At most `buckets` numbers.
-    touched = {r[0] for r in incoming.select(_bucket(key, buckets)).distinct().collect()}
-    old = _read(spark, root, schema, [f for b, f in entries if b in touched or b is None])
-    merged = upsert(old, incoming, key, order, update)
-    kept = [(b, f) for b, f in entries if b is not None and b not in touched]
-    return _write_manifest(
-        spark, root, schema, buckets, [*kept, *_write_folder(spark, merged, root, key, buckets)])
+    finish(spark, path)
+    column = bucket_column(spark, path)
+    if column is None:
+        fresh = reduction(incoming) if reduction else first_per_key(incoming, key, order)
+        write_keyed(fresh, path, key, by, buckets)
+        return []
+    stored = spark.read.parquet(path)
+    near_bucket = _bucket(by or key, column)
+    # At most as many numbers as the table has buckets.
+    near = [r[0] for r in incoming.select(near_bucket).distinct().collect()]
+    old = stored.filter(F.col(column).isin(near)).drop(column)
+    merged = (reduction(old.unionByName(incoming.select(*old.columns))) if reduction
+              else upsert(old, incoming, key, order, update))
+    merged.select(*old.columns, near_bucket.alias(column)).write.mode("overwrite").parquet(
+        _staged(path))
+    staged = spark.read.parquet(_staged(path))
+    row = F.struct(*old.columns).alias("_row")
+    keys = [F.col(f"n.{k}") == F.col(f"o.{k}") for k in key]
+    changed = staged.select(*key, row, column).alias("n").join(
+        old.select(*key, row).alias("o"),
+        [*keys, F.col("n._row").eqNullSafe(F.col("o._row"))], "left_anti")
+    touched = [r[0] for r in changed.select(column).distinct().collect()]
+    finish(spark, path, touched)
+    return touched
 
 
 def clustered(df: DataFrame, path: str, *columns: str) -> None:
