@@ -62,13 +62,13 @@ def post_rows(flat: DataFrame) -> DataFrame:
     )
 
 
-_POST_ORDER = [
+POST_ORDER = [
     "_id", "subreddit_id", "subreddit", "author", "archived", "gilded", "edited", "retrieved_on",
 ]
 
 
 def first_posts(rows: DataFrame) -> DataFrame:
-    return first_per_key(rows, ["_id"], row_order(_POST_ORDER))
+    return first_per_key(rows, ["_id"], row_order(POST_ORDER))
 
 
 def comment_rows(flat: DataFrame) -> DataFrame:
@@ -179,15 +179,22 @@ def assemble_posts(
 ) -> DataFrame:
     """Nest the community, attach counters and embed comments; one row per post."""
     counts = comment_counts(kept_comments).withColumnRenamed("post_id", "_id")
-    result = first_rows.join(counts, "_id", "left")
     if embed_cap > 0:
         arrays = embedded(kept_comments, embed_cap).withColumnRenamed("post_id", "_id")
-        result = result.join(arrays, "_id", "left")
-        comments_column = F.coalesce("comments", F.array().cast(
-            schemas.DOCUMENTS["posts"]["comments"].dataType
-        ))
+        counts = counts.join(arrays, "_id", "left")
     else:
-        comments_column = F.array().cast(schemas.DOCUMENTS["posts"]["comments"].dataType)
+        counts = counts.withColumn("comments", _no_comments())
+    return with_comments(first_rows, counts, embed_cap)
+
+
+def _no_comments():
+    return F.array().cast(schemas.DOCUMENTS["posts"]["comments"].dataType)
+
+
+def with_comments(first_rows: DataFrame, counted: DataFrame, embed_cap: int) -> DataFrame:
+    """Posts with their counters and arrays, as in `counted` (_id, comment_count, comments)."""
+    result = first_rows.join(counted, "_id", "left")
+    comments_column = F.slice(F.coalesce("comments", _no_comments()), 1, embed_cap)
     return result.select(
         "_id",
         F.struct(F.col("subreddit_id").alias("id"), F.col("subreddit").alias("name")).alias(

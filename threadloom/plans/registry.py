@@ -444,7 +444,7 @@ def doc_layout(ws: Workspace) -> DataFrame:
 
 
 def _streamed(ws: Workspace) -> doc_load.Collections:
-    return doc_load.collections(ws.spark, ws.streamed_documents(), ws.store)
+    return doc_load.collections(ws.spark, ws.streamed_documents())
 
 
 # Columns by which the rows of all collections are compared.
@@ -480,22 +480,28 @@ def stream_doc_comments(ws: Workspace) -> DataFrame:
 
 @query
 def stream_doc_compact(ws: Workspace) -> DataFrame:
-    compacted = ws.new_path("stream-compacted")
-    doc_load.compact(ws.spark, ws.streamed_documents(), compacted)
-    return _all_collections(doc_load.collections(ws.spark, compacted, ws.store))
+    """All five collections as the load has kept them up."""
+    return _all_collections(_streamed(ws))
 
 
 @query
 def stream_doc_two_sources(ws: Workspace) -> DataFrame:
-    """Load one part, compact it, and load another source with its own progress folder into it."""
-    target, compacted = ws.new_path("stream-first"), ws.new_path("stream-both")
-    for part, place in ((first_load(ws), target), (second_load(ws), compacted)):
+    """Two sources with a progress folder and state each, loaded into one target."""
+    target = ws.new_path("stream-both")
+    for part in (second_load(ws), first_load(ws)):
         source = ws.new_path("stream-source")
         part.write.parquet(source)
-        if place == compacted:
-            doc_load.compact(ws.spark, target, compacted)
-        doc_load.load_available(ws.spark, source, place, ws.new_path("stream-progress"))
-    return _all_collections(doc_load.collections(ws.spark, compacted, ws.store))
+        doc_load.load_available(ws.spark, source, target, ws.new_path("stream-progress"))
+    return _all_collections(doc_load.collections(ws.spark, target))
+
+
+@query
+def stream_doc_empty(ws: Workspace) -> DataFrame:
+    """Documents of each collection after a source without rows was loaded."""
+    source, target = ws.new_path("stream-none"), ws.new_path("stream-target")
+    ws.flat.filter("false").write.parquet(source)
+    doc_load.load_available(ws.spark, source, target, ws.new_path("stream-progress"))
+    return doc_load.collections(ws.spark, target).counts()
 
 
 # --- documents to relational ------------------------------------------------------

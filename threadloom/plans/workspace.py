@@ -26,7 +26,7 @@ from threadloom.streaming import doc_load
 LOAD_TIME = 1433203200
 
 # Small batches, so that the test tables are loaded in several of them.
-TEST_FILES_PER_BATCH = 2
+TEST_FILES_PER_BATCH = 4
 
 
 class _Group(Mapping):

@@ -112,11 +112,28 @@ def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def read_buckets(
+    spark: SparkSession, path: str, schema: T.StructType, keys: DataFrame, by: Sequence[str]
+) -> DataFrame:
+    """The buckets of a keyed table that the given values of `by` fall into; others are not read."""
+    column = bucket_column(spark, path)
+    if column is None:
+        return spark.createDataFrame([], schema)
+    # At most as many numbers as the table has buckets.
+    near = [r[0] for r in keys.select(_bucket(by, column)).distinct().collect()]
+    whole = T.StructType([*schema.fields, T.StructField(column, T.IntegerType())])
+    return spark.read.schema(whole).parquet(path).filter(
+        F.col(column).isin(near)).select(*schema.names)
+
+
 def _staged(path: str) -> str:
     return f"{path}-staged"
 
 
-def finish(spark: SparkSession, path: str, touched: Sequence[int] | None = None) -> None:
+def finish(
+    spark: SparkSession, path: str, touched: Sequence[int] | None = None,
+    schema: T.StructType | None = None,
+) -> None:
     """Replace the partitions of a keyed table by those that are staged beside it, if there are any.
 
     With `touched`, only these buckets. A job that dies meanwhile leaves the staged rows, and the next
@@ -124,7 +141,7 @@ def finish(spark: SparkSession, path: str, touched: Sequence[int] | None = None)
     """
     location, files = _folder(spark, _staged(path))
     if files.exists(_folder(spark, f"{_staged(path)}/_SUCCESS")[0]):
-        rows = spark.read.parquet(_staged(path))
+        rows = (spark.read.schema(schema) if schema else spark.read).parquet(_staged(path))
         column = rows.columns[-1]
         if touched is not None:
             rows = rows.filter(F.col(column).isin(list(touched)))
@@ -149,8 +166,9 @@ def write_keyed(
         df.write.mode("overwrite").parquet(sized)
         df, buckets = spark.read.schema(df.schema).parquet(sized), buckets_for(path_bytes(spark, sized))
     column = f"{BUCKET}{buckets}"
-    df.withColumn(column, _bucket(by or key, column)).write.mode("overwrite").parquet(_staged(path))
-    finish(spark, path)
+    staged = df.withColumn(column, _bucket(by or key, column))
+    staged.write.mode("overwrite").parquet(_staged(path))
+    finish(spark, path, None, staged.schema)
     location, files = _folder(spark, f"{path}-sized")
     files.delete(location, True)
 
@@ -178,23 +196,29 @@ def merge_into(
         fresh = reduction(incoming) if reduction else first_per_key(incoming, key, order)
         write_keyed(fresh, path, key, by, buckets)
         return []
-    stored = spark.read.parquet(path)
     near_bucket = _bucket(by or key, column)
-    # At most as many numbers as the table has buckets.
-    near = [r[0] for r in incoming.select(near_bucket).distinct().collect()]
-    old = stored.filter(F.col(column).isin(near)).drop(column)
-    merged = (reduction(old.unionByName(incoming.select(*old.columns))) if reduction
+    whole = T.StructType([*incoming.schema.fields, T.StructField(column, T.IntegerType())])
+    old = spark.read.schema(whole).parquet(path)
+    alone = column == f"{BUCKET}1"
+    if not alone:
+        # At most as many numbers as the table has buckets.
+        near = [r[0] for r in incoming.select(near_bucket).distinct().collect()]
+        old = old.filter(F.col(column).isin(near))
+    old = old.drop(column)
+    merged = (reduction(old.unionByName(incoming)) if reduction
               else upsert(old, incoming, key, order, update))
     merged.select(*old.columns, near_bucket.alias(column)).write.mode("overwrite").parquet(
         _staged(path))
-    staged = spark.read.parquet(_staged(path))
-    row = F.struct(*old.columns).alias("_row")
-    keys = [F.col(f"n.{k}") == F.col(f"o.{k}") for k in key]
-    changed = staged.select(*key, row, column).alias("n").join(
-        old.select(*key, row).alias("o"),
-        [*keys, F.col("n._row").eqNullSafe(F.col("o._row"))], "left_anti")
-    touched = [r[0] for r in changed.select(column).distinct().collect()]
-    finish(spark, path, touched)
+    touched = [0]
+    if not alone:
+        row = F.struct(*old.columns).alias("_row")
+        keys = [F.col(f"n.{k}") == F.col(f"o.{k}") for k in key]
+        staged = spark.read.schema(whole).parquet(_staged(path))
+        changed = staged.select(*key, row, column).alias("n").join(
+            old.select(*key, row).alias("o"),
+            [*keys, F.col("n._row").eqNullSafe(F.col("o._row"))], "left_anti")
+        touched = [r[0] for r in changed.select(column).distinct().collect()]
+    finish(spark, path, touched, whole)
     return touched
 
 

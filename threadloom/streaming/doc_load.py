@@ -1,189 +1,255 @@
-"""Document loading in micro-batches.
-
-Every batch is reduced to at most one row per key (the reductions of
-`operators.documents`) and written to a folder of its own, named by an id that
-belongs to the progress folder and by the batch number, so that several loads
-into one target never meet. A batch is recorded as finished after all five
-collections are written; readers see finished batches only, and a finished batch
-that is repeated is left alone. The collections are the same reductions applied
-to all finished batches together, so a batch costs only its own rows and the
-result does not depend on how rows were cut into batches.
+"""Document loading with Structured Streaming.
+
+Each collection is a streaming aggregation: the state store holds the first (or last) row of every
+key in the total order of `ranking`, and in update mode a batch hands on the keys that it saw, with
+their rows as of now. These are merged into keyed tables (`sinks.tables`), where they compete with
+the stored rows under the same reduction. So a repeated batch changes nothing, several loads with
+progress folders of their own can fill one target, and only buckets with a changed row are written.
+
+Embedded comments and counters are kept up as well. Comments are stored a second time by post; after a
+batch the arrays of those posts are made anew that a changed comment belongs to, or belonged to.
+For states beyond memory let the session use Spark's RocksDB state store.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom import schemas
 from threadloom.operators import documents
+from threadloom.session import path_bytes, path_exists
+from threadloom.sinks import tables as sinks
 
 Reduction = Callable[[DataFrame], DataFrame]
 
-# collection -> (rows found in a chunk, reduction to one row per key)
-REDUCTIONS: dict[str, tuple[Reduction, Reduction]] = {
-    "users": (documents.user_rows, documents.last_users),
-    "subreddits": (documents.subreddit_rows, documents.last_subreddits),
-    "posts": (documents.post_rows, documents.first_posts),
-    "comments": (documents.comment_rows, documents.first_comments),
-    "moderation": (documents.moderation_rows, documents.last_moderation),
-}
-
-
-FINISHED = "finished"
-FINISHED_SCHEMA = "load string, batch_id long"
-
-# Bound of one batch, whatever the size of the source.
-FILES_PER_BATCH = 1000
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
-
-
-def new_load() -> str:
-    """An id that no other load has; the letter keeps Spark from reading it as a number."""
-    return f"l{uuid.uuid4().hex}"
 
+@dataclass(frozen=True)
+class Kept:
+    """How a collection is kept: the rows found in a chunk, its key, and which row of a key stays."""
 
-def load_id(spark: SparkSession, progress: str) -> str:
-    """The id of a progress folder, made when the folder is used first and stored in it."""
-    path = f"{progress}/load"
-    if not _exists(spark, f"{path}/_SUCCESS"):
-        spark.createDataFrame([(new_load(),)], "id string").coalesce(1).write.mode(
-            "overwrite").text(path)
-    return spark.read.text(path).first()[0]
+    found: Reduction
+    reduced: Reduction
+    key: str
+    order: tuple[str, ...]
+    last: bool
 
 
-def finished(spark: SparkSession, target: str) -> DataFrame:
-    """The finished batches of a target: load, batch_id."""
-    return spark.read.schema(FINISHED_SCHEMA).parquet(f"{target}/{FINISHED}").distinct()
+def _kept(found: Reduction, reduced: Reduction, key: str, columns: list[str], last: bool) -> Kept:
+    lead = documents.ORDER_COLUMNS
+    return Kept(found, reduced, key, (*lead, *[c for c in columns if c not in lead]), last)
 
 
-def _is_finished(spark: SparkSession, target: str, load: str, batch_id: int) -> bool:
-    if not _exists(spark, f"{target}/{FINISHED}"):
-        return False
-    same = (F.col("load") == load) & (F.col("batch_id") == batch_id)
-    return not finished(spark, target).filter(same).isEmpty()
-
-
-def _write(spark: SparkSession, target: str, load: str, batch_id: int,
-           rows: Callable[[str], DataFrame]) -> None:
-    """Write all collections of a batch, then the record that makes them visible."""
-
-    def save(name: str) -> None:
-        rows(name).write.mode("overwrite").parquet(
-            f"{target}/{name}/load={load}/batch_id={batch_id}")
-
-    # The five writes are independent jobs; together they fill the cluster.
-    with ThreadPoolExecutor(len(REDUCTIONS)) as pool:
-        list(pool.map(save, REDUCTIONS))
-    spark.createDataFrame([(load, batch_id)], FINISHED_SCHEMA).coalesce(1).write.mode(
-        "append").parquet(f"{target}/{FINISHED}")
-
+KEPT: dict[str, Kept] = {
+    "users": _kept(documents.user_rows, documents.last_users, "_id",
+                   schemas.DOCUMENTS["users"].names, True),
+    "subreddits": _kept(documents.subreddit_rows, documents.last_subreddits, "_id",
+                        ["_id", "name_"], True),
+    "posts": _kept(documents.post_rows, documents.first_posts, "_id", documents.POST_ORDER, False),
+    "comments": _kept(documents.comment_rows, documents.first_comments, "id",
+                      schemas.DOCUMENTS["comments"].names, False),
+    "moderation": _kept(documents.moderation_rows, documents.last_moderation, "_id",
+                        schemas.DOCUMENTS["moderation"].names, True),
+}
 
-def write_batch(target: str, load: str) -> Callable[[DataFrame, int], None]:
-    """The writer of one micro-batch; running it again for a batch changes nothing."""
+# Rows of comments by post; `gone` marks one that has come to belong to another post.
+BY_POST_COLUMNS = ["post_id", *schemas.EMBEDDED_COMMENT.names, "name"]
 
-    def write(chunk: DataFrame, batch_id: int) -> None:
-        spark = chunk.sparkSession
-        if _is_finished(spark, target, load, batch_id):
-            return
+# Bound of one batch, whatever the size of the source.
+FILES_PER_BATCH = 1000
 
-        # Each collection reads its own columns of the batch's files; nothing is kept on executors.
-        def rows(name: str) -> DataFrame:
-            found, reduced = REDUCTIONS[name]
-            return reduced(found(chunk))
 
-        _write(spark, target, load, batch_id, rows)
+def kept_rows(rows: DataFrame, kept: Kept) -> DataFrame:
+    """One row per key as an aggregation that a stream can keep up.
 
-    return write
+    The columns in order, each behind whether it is NULL, make a struct whose least or greatest value
+    is the first or last row, NULLs last.
+    """
+    ordered: list[Column] = []
+    for name in kept.order:
+        ordered += [F.col(name).isNull().alias(f"no_{name}"), F.col(name)]
+    rest = [F.col(c) for c in rows.columns if c not in kept.order and c != kept.key]
+    best = (F.max if kept.last else F.min)(F.struct(*ordered, *rest)).alias("best")
+    picked = [F.col(kept.key) if c == kept.key else F.col(f"best.{c}") for c in rows.columns]
+    return rows.groupBy(kept.key).agg(best).select(*picked)
+
+
+def row_schema(spark: SparkSession, name: str) -> T.StructType:
+    """Columns of a collection's stored rows, ordering columns included."""
+    flat = spark.createDataFrame([], schemas.FLAT).select(*schemas.LOADED_COLUMNS)
+    return KEPT[name].found(flat).schema
+
+
+def _by_post_schema(spark: SparkSession) -> T.StructType:
+    rows = row_schema(spark, "comments")
+    return T.StructType([*(rows[c] for c in BY_POST_COLUMNS), T.StructField("gone", T.BooleanType())])
+
+
+def _arrays_schema() -> T.StructType:
+    return T.StructType([
+        T.StructField("_id", T.StringType()), T.StructField("comment_count", T.LongType()),
+        T.StructField("comments", schemas.DOCUMENTS["posts"]["comments"].dataType)])
+
+
+class Writer:
+    """Merges the changed rows of micro-batches into the tables of a target."""
+
+    def __init__(self, target: str, buckets: int | None = None,
+                 embed_cap: int = documents.EMBED_CAP):
+        self.target, self.buckets, self.embed_cap = target, buckets, embed_cap
+
+    def path(self, name: str) -> str:
+        return f"{self.target}/{name}"
+
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        """The rows of a batch, written once; a repeated batch writes them again."""
+        path = f"{self.target}/incoming/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def _merge(self, name: str, rows: DataFrame, key: list[str], reduction=None, by=None) -> list[int]:
+        return sinks.merge_into(rows.sparkSession, self.path(name), rows, key,
+                                [F.col(k) for k in key], by=by, buckets=self.buckets,
+                                reduction=reduction)
+
+    def write(self, name: str) -> Callable[[DataFrame, int], None]:
+        """The writer of one collection's batches; running it again for a batch changes nothing."""
+
+        def write(changed: DataFrame, batch_id: int) -> None:
+            rows = self._stored(changed, name)
+            if name == "comments":
+                self._write_arrays(rows)
+            self._merge(name, rows, [KEPT[name].key], KEPT[name].reduced)
+
+        return write
+
+    def _write_arrays(self, rows: DataFrame) -> None:
+        """Make the arrays of the posts anew whose comments change.
+
+        The table of comments is merged into afterwards, so that a batch that is repeated finds the
+        posts again which comments had before.
+        """
+        spark = rows.sparkSession
+        moved = rows.select(*BY_POST_COLUMNS, F.lit(False).alias("gone"))
+        if sinks.bucket_column(spark, self.path("comments")):
+            moved = self._stored(self._moved(rows), "comments-by-post")
+        self._merge("by_post", moved, ["post_id", "id"], by=["post_id"])
+        posts = moved.select("post_id").distinct()
+        own = sinks.read_buckets(
+            spark, self.path("by_post"), _by_post_schema(spark), posts, ["post_id"])
+        arrays = post_arrays(own.join(posts, "post_id", "left_semi"), self.embed_cap)
+        # A post that has lost all its comments keeps a row without any.
+        whole = posts.withColumnRenamed("post_id", "_id").join(arrays, "_id", "left").select(
+            "_id", F.coalesce("comment_count", F.lit(0)).alias("comment_count"),
+            F.coalesce("comments", F.array().cast(
+                _arrays_schema()["comments"].dataType)).alias("comments"))
+        self._merge("post_comments", self._stored(whole, "arrays"), ["_id"])
+
+
+    def _moved(self, rows: DataFrame) -> DataFrame:
+        """Comments by post that change: as they are now, and marked as gone from another post."""
+        spark = rows.sparkSession
+        before = sinks.read_buckets(spark, self.path("comments"), rows.schema, rows, ["id"]).join(
+            rows.select("id"), "id", "left_semi")
+        whole = F.struct(*rows.columns)
+        now = documents.first_comments(before.unionByName(rows)).select("*", whole.alias("_now"))
+        changed = now.alias("n").join(
+            before.select("id", whole.alias("_old")).alias("o"),
+            (F.col("n.id") == F.col("o.id")) & F.col("_now").eqNullSafe(F.col("_old")), "left_anti")
+        left = before.select(*BY_POST_COLUMNS).alias("b").join(
+            changed.select("id", "post_id").alias("c"),
+            (F.col("b.id") == F.col("c.id")) & (F.col("b.post_id") != F.col("c.post_id")),
+        ).select("b.*", F.lit(True).alias("gone"))
+        return changed.select(*BY_POST_COLUMNS, F.lit(False).alias("gone")).unionByName(left)
+
+
+def post_arrays(by_post: DataFrame, embed_cap: int) -> DataFrame:
+    """Counter and first comments of each post, from comments stored by post."""
+    live = by_post.filter(~F.col("gone")).drop("gone")
+    counts = documents.comment_counts(live)
+    arrays = documents.embedded(live, embed_cap)
+    return counts.join(arrays, "post_id").select(
+        F.col("post_id").alias("_id"), F.col("comment_count").cast("long").alias("comment_count"),
+        "comments")
 
 
 def load_available(
     spark: SparkSession, source: str, target: str, progress: str,
     files_per_batch: int = FILES_PER_BATCH, bytes_per_batch: str | None = None,
+    embed_cap: int = documents.EMBED_CAP,
 ) -> None:
     """Load all flat files not loaded before, in batches of bounded size.
 
     A batch has at most `files_per_batch` files or, if `bytes_per_batch` is given instead, about
-    that many bytes.
+    that many bytes. The five collections are streams of their own over the same files, each reading
+    the columns that it needs. A source without files gives empty collections.
     """
+    if not path_exists(spark, source):
+        raise FileNotFoundError(source)
     bound = (("maxFilesPerTrigger", str(files_per_batch)) if bytes_per_batch is None
              else ("maxBytesPerTrigger", bytes_per_batch))
-    chunks = (
-        spark.readStream.schema(schemas.FLAT).option(*bound).parquet(source)
-        .select(*schemas.LOADED_COLUMNS)
-    )
-    query = (
-        chunks.writeStream.foreachBatch(write_batch(target, load_id(spark, progress)))
-        .option("checkpointLocation", f"{progress}/stream")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    writer = Writer(target, sinks.buckets_for(path_bytes(spark, source)), embed_cap)
 
+    def load(name: str) -> None:
+        chunks = (
+            spark.readStream.schema(schemas.FLAT).option(*bound).parquet(source)
+            .select(*schemas.LOADED_COLUMNS)
+        )
+        (kept_rows(KEPT[name].found(chunks), KEPT[name])
+         .writeStream.outputMode("update").foreachBatch(writer.write(name))
+         .option("checkpointLocation", f"{progress}/{name}")
+         .trigger(availableNow=True).start().awaitTermination())
 
-def reduced_rows(spark: SparkSession, target: str, collection: str) -> DataFrame:
-    """One row per key over all finished batches, ordering columns included."""
-    batches = spark.read.parquet(f"{target}/{collection}")
-    done = batches.join(finished(spark, target), ["load", "batch_id"], "left_semi")
-    return REDUCTIONS[collection][1](done.drop("load", "batch_id"))
+    # The five streams are independent jobs; together they fill the cluster.
+    with ThreadPoolExecutor(len(KEPT)) as pool:
+        list(pool.map(load, KEPT))
 
 
-def compact(spark: SparkSession, target: str, compacted: str) -> None:
-    """Store the reduced batches as one batch of a new target, under an id of its own."""
-    _write(spark, compacted, new_load(), 0, lambda name: reduced_rows(spark, target, name))
+def kept_table(spark: SparkSession, target: str, name: str) -> DataFrame:
+    """One row per key of a collection as loaded so far, ordering columns included."""
+    return sinks.read_keyed(spark, f"{target}/{name}", row_schema(spark, name))
 
 
 class Collections(Mapping):
-    """The five collections as loaded so far, each derived when it is asked for.
-
-    `store` writes the reduced comments once, when posts or comments are first asked for.
-    """
+    """The five collections as loaded so far."""
 
-    def __init__(self, spark: SparkSession, target: str, store: Reduction, embed_cap: int):
-        self._spark, self._target, self._store, self._cap = spark, target, store, embed_cap
-        self._comments: DataFrame | None = None
+    def __init__(self, spark: SparkSession, target: str, embed_cap: int):
+        self._spark, self._target, self._cap = spark, target, embed_cap
 
     def _rows(self, name: str) -> DataFrame:
-        return reduced_rows(self._spark, self._target, name)
+        return kept_table(self._spark, self._target, name)
 
-    def _kept_comments(self) -> DataFrame:
-        if self._comments is None:
-            self._comments = self._store(self._rows("comments"))
-        return self._comments
+    def _posts(self) -> DataFrame:
+        arrays = sinks.read_keyed(self._spark, f"{self._target}/post_comments", _arrays_schema())
+        return documents.with_comments(self._rows("posts"), arrays, self._cap)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name == "users":
-            return documents.shape_users(self._rows("users"))
-        if name == "subreddits":
-            return documents.shape_subreddits(self._rows("subreddits"))
-        if name == "posts":
-            return documents.assemble_posts(self._rows("posts"), self._kept_comments(), self._cap)
-        if name == "comments":
-            return documents.shape_comments(self._kept_comments())
-        if name == "moderation":
-            return documents.shape_moderation(self._rows("moderation"))
-        raise KeyError(name)
+        shapes: dict[str, Callable[[], DataFrame]] = {
+            "users": lambda: documents.shape_users(self._rows("users")),
+            "subreddits": lambda: documents.shape_subreddits(self._rows("subreddits")),
+            "posts": self._posts,
+            "comments": lambda: documents.shape_comments(self._rows("comments")),
+            "moderation": lambda: documents.shape_moderation(self._rows("moderation")),
+        }
+        return shapes[name]()
 
     def __iter__(self) -> Iterator[str]:
-        return iter(REDUCTIONS)
+        return iter(KEPT)
 
     def __len__(self) -> int:
-        return len(REDUCTIONS)
+        return len(KEPT)
 
     def counts(self) -> DataFrame:
-        """Documents per collection: one per key, so nothing has to be shaped or stored."""
-        return documents.collection_counts({name: self._rows(name) for name in REDUCTIONS})
+        """Documents per collection: one per key, so nothing has to be shaped."""
+        return documents.collection_counts({name: self._rows(name) for name in KEPT})
 
 
-def collections(
-    spark: SparkSession, target: str, store: Reduction, embed_cap: int = documents.EMBED_CAP
-) -> Collections:
-    return Collections(spark, target, store, embed_cap)
+def collections(spark: SparkSession, target: str, embed_cap: int = documents.EMBED_CAP
+                ) -> Collections:
+    """The collections of a target; `embed_cap` is at most that of its loads."""
+    return Collections(spark, target, embed_cap)
