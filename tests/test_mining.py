@@ -1,9 +1,9 @@
 import math
+import random
 from collections import Counter
 from itertools import combinations
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from threadloom.operators import mining
@@ -31,13 +31,31 @@ def test_itemsets_at_the_limit(spark, support):
     tx = transactions(spark, LISTS)
     expected = brute(LISTS, support)
     assert found(mining.frequent_itemsets(mining.count_equal(tx), support)) == expected
-    assert found(mining.frequent_itemsets_of_any_width(tx, support)) == expected
 
 
-def test_wide_transactions_are_refused_not_cut(spark):
-    counts = mining.count_equal(transactions(spark, [list("abcdefgh")]))
-    with pytest.raises(PySparkException):
-        mining.frequent_itemsets(counts, 0.5).collect()
+def test_wide_transactions_equal_brute_force(spark):
+    rng = random.Random(8)
+    lists = [rng.sample("abcdefghijklmno", 12) for _ in range(40)] + [list("abcdefghijkl")] * 9
+    for support in (0.15, 0.45):
+        counts = mining.count_equal(transactions(spark, lists))
+        expected = brute(lists, support)
+        assert found(mining.frequent_itemsets(counts, support)) == expected
+        assert max(map(len, expected)) > (7 if support < 0.2 else 3)
+
+
+def test_candidates_hold_no_rare_subset(spark):
+    frequent = spark.createDataFrame([(list(s),) for s in ("ab", "ac", "bc", "ad", "bd")],
+                                     "items array<string>")
+    got = {"".join(r["items"]) for r in mining._candidates(frequent, 3).collect()}
+    assert got == {"abc", "abd"}
+
+
+def test_empty_and_repeated_items(spark):
+    none = spark.createDataFrame([], "items array<string>, n long")
+    assert mining.frequent_itemsets(none, 0.1).collect() == []
+    twice = spark.createDataFrame([(["a", "a", "b"], 2), ([], 2)], "items array<string>, n long")
+    assert found(mining.frequent_itemsets(twice, 0.5)) == {
+        ("a",): 0.5, ("b",): 0.5, ("a", "b"): 0.5}
 
 
 def test_rules_against_direct_counts(spark):

@@ -1,7 +1,7 @@
 """Transactions, frequent itemsets and association rules.
 
-A transaction has at most MAX_WIDTH items out of few kinds, so equal ones are
-counted first. Comments are counted per post and item combination even before
+A transaction has few items (community, score band, gilded, controversial, edited,
+distinguished, archived), so equal ones are counted first. Comments are counted per post and item combination even before
 they meet their post, which keeps very active posts cheap. Everything after
 that works on distinct transactions, whose number depends on the communities
 and not on the comments.
@@ -9,23 +9,21 @@ and not on the comments.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.operators.ranking import top
+from threadloom.session import store_shared
 
 Tables = Mapping[str, DataFrame]
+Store = Callable[[DataFrame], DataFrame]
 
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.5
 
-# Community, score band, gilded, controversial, edited, distinguished, archived.
-MAX_WIDTH = 7
-
 # Lower bounds (exclusive) of the score bands, best first.
 SCORE_BANDS = [(50, "very_high_score"), (20, "high_score"), (5, "medium_score"), (0, "low_score")]
 LOWEST_BAND = "negative_score"
@@ -163,58 +161,63 @@ def _subset(items: str, mask: str, bit: int) -> Column:
     )
 
 
-def frequent_itemsets(counts: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
-    """All itemsets with at least `min_support`, from counted distinct transactions.
+def _candidates(frequent: DataFrame, length: int) -> DataFrame:
+    """Itemsets of `length` all of whose subsets of one item less are frequent.
 
-    Items that are too rare are dropped first: whatever the support, the frequent ones are a table
-    that distinct transactions are joined with, item by item. Each remaining distinct transaction
-    then adds its count to all its subsets, at most 127.
+    Two frequent itemsets that differ in their last item alone are joined; then those are pruned that
+    hold a rare subset.
     """
-    total = counts.agg(F.sum("n")).scalar()
-    frequent_items = item_counts(counts).filter(
-        F.col("transactions") / total >= F.lit(min_support)).select("item")
-    reduced = (
-        counts.select("items", "n", F.explode("items").alias("item"))
-        .join(frequent_items, "item", "left_semi")
-        .groupBy("items", "n").agg(F.array_sort(F.collect_list("item")).alias("kept"))
-        .groupBy(F.col("kept").alias("items")).agg(F.sum("n").alias("n"))
-    )
-    too_wide = F.raise_error(F.lit(
-        f"a transaction has more than {MAX_WIDTH} items; use frequent_itemsets_of_any_width"
-    ))
-    width = F.when(F.size("items") <= MAX_WIDTH, F.size("items")).otherwise(too_wide)
-    subsets = reduced.select(
-        "items", "n",
-        F.explode(F.sequence(F.lit(1), F.pow(F.lit(2), width).cast("int") - 1)).alias("mask"),
-    ).select(_subset("items", "mask", 1).alias("items"), "n")
-    return (
-        subsets.groupBy("items").agg(F.sum("n").alias("freq"))
-        .select("items", "freq", (F.col("freq") / total).alias("support"),
-                F.size("items").alias("length"))
-        .filter(F.col("support") >= F.lit(min_support))
-    )
-
-
-def frequent_itemsets_of_any_width(
-    tx: DataFrame, min_support: float = MIN_SUPPORT
+    prefix = F.slice("items", 1, length - 2)
+    left, right = (frequent.select(prefix.alias("prefix"), F.element_at("items", -1).alias(name))
+                   for name in ("a", "b"))
+    joined = left.join(right, "prefix").filter("a < b").select(
+        F.concat("prefix", F.array("a", "b")).alias("items"))
+    if length == 2:
+        return joined
+    subsets = joined.select("items", F.explode(F.sequence(F.lit(0), F.lit(length - 1))).alias("out")
+                            ).select(F.col("items").alias("whole"), F.filter(
+                                "items", lambda _, i: i != F.col("out")).alias("items"))
+    rare = subsets.join(frequent.select("items"), "items", "left_anti").select(
+        F.col("whole").alias("items"))
+    return joined.join(rare, "items", "left_anti")
+
+
+def frequent_itemsets(
+    counts: DataFrame, min_support: float = MIN_SUPPORT, store: Store = store_shared
 ) -> DataFrame:
-    """The same itemsets by FP-growth over uncounted transactions of any width.
+    """All itemsets with at least `min_support`, from counted transactions of any width.
 
-    FP-growth rounds its minimum count up from a product of doubles, which can
-    lose itemsets exactly at the limit; it gets a slightly lower limit and the
-    exact one is applied afterwards.
+    Level by level: candidates come from the frequent itemsets of one item less, and are counted where
+    they occur. A transaction is represented by its frequent itemsets of the level before; two of them
+    with a common beginning make one of the next. Every level is stored.
     """
-    model = FPGrowth(itemsCol="items", minSupport=min_support * (1 - 1e-9)).fit(tx)
-    total = tx.agg(F.count(F.lit(1))).scalar()
-    return (
-        model.freqItemsets.select(
-            F.array_sort("items").alias("items"),
-            "freq",
-            (F.col("freq") / total).alias("support"),
-            F.size("items").alias("length"),
-        )
-        .filter(F.col("support") >= F.lit(min_support))
-    )
+    numbered = store(counts.select(
+        F.monotonically_increasing_id().alias("tx"), "n",
+        F.array_sort(F.array_distinct("items")).alias("items")))
+    total = numbered.agg(F.sum("n")).scalar()
+    occurs = numbered.select("tx", "n", F.explode("items").alias("item")).select(
+        "tx", "n", F.array("item").alias("items"))
+    levels, length = [], 1
+    while True:
+        level = store(
+            occurs.groupBy("items").agg(F.sum("n").alias("freq"))
+            .select("items", "freq", (F.col("freq") / total).alias("support"),
+                    F.lit(length).alias("length"))
+            .filter(F.col("support") >= F.lit(min_support)))
+        if levels and level.isEmpty():
+            break
+        levels.append(level)
+        length += 1
+        kept = store(occurs.join(level.select("items"), "items", "left_semi"))
+        candidates = _candidates(level, length)
+        begins = F.slice("items", 1, length - 2)
+        left, right = (kept.select("tx", begins.alias("prefix"), F.element_at("items", -1).alias(name),
+                                   *extra) for name, extra in (("a", ["n"]), ("b", [])))
+        occurs = (
+            left.join(right, ["tx", "prefix"]).filter("a < b")
+            .select("tx", "n", F.concat("prefix", F.array("a", "b")).alias("items"))
+            .join(candidates, "items", "left_semi"))
+    return reduce(DataFrame.unionByName, levels)
 
 
 def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:

@@ -122,7 +122,7 @@ def report_rules(
     if first is not None:
         cleaned = {**cleaned, "comment": sources.first_rows(cleaned["comment"], first, store)}
     counts = store(mining.transaction_counts(cleaned))
-    itemsets = store(mining.frequent_itemsets(counts, min_support))
+    itemsets = store(mining.frequent_itemsets(counts, min_support, store))
     rules = store(mining.association_rules(itemsets, min_confidence))
     exact = mining.summary(counts, itemsets, rules, digits=None)
     reports.write_text(reports.rule_report(exact, itemsets, rules, store), path)

@@ -875,7 +875,7 @@ def _mined(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Counted transactions, itemsets and rules, the first two stored for reuse."""
     counts = ws.table("transaction_counts")
-    itemsets = ws.store(mining.frequent_itemsets(counts, min_support))
+    itemsets = ws.store(mining.frequent_itemsets(counts, min_support, ws.store))
     return counts, itemsets, mining.association_rules(itemsets, min_confidence)
 
 
@@ -935,19 +935,19 @@ def mine_encode(ws: Workspace) -> DataFrame:
 @query
 def mine_itemsets(ws: Workspace) -> DataFrame:
     counts = ws.table("transaction_counts")
-    return mining.frequent_itemsets(counts).withColumn("items", joined("items"))
+    return mining.frequent_itemsets(counts, store=ws.store).withColumn("items", joined("items"))
 
 
 @query
 def mine_itemsets_low(ws: Workspace) -> DataFrame:
     counts = ws.table("transaction_counts")
-    return mining.frequent_itemsets(counts, LOW_SUPPORT).withColumn("items", joined("items"))
+    return mining.frequent_itemsets(counts, LOW_SUPPORT, ws.store).withColumn("items", joined("items"))
 
 
 @query
 def mine_itemsets_any_width(ws: Workspace) -> DataFrame:
     tx = ws.store(mining.transactions(mining.mining_input(ws.cleaned)))
-    return mining.frequent_itemsets_of_any_width(tx).withColumn("items", joined("items"))
+    return mining.frequent_itemsets(mining.count_equal(tx), store=ws.store).withColumn("items", joined("items"))
 
 
 @query

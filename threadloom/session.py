@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Time zone and plan settings the operators are written for. They are Spark's own
 # defaults except the time zone; they are stated because skew handling depends on them.
@@ -111,3 +112,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     return tempfile.mkdtemp(prefix="threadloom-")
+
+
+def store_shared(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder and read back, which cuts the lineage."""
+    path = f"{shared_folder(df.sparkSession)}/threadloom-stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
