@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,3 +48,28 @@ def test_documents_and_back_twice(spark, ws, own, rows_of):
 
 def test_sampled_workspace(spark, ws):
     assert comment_workspace(spark, ws.path("flat"), first=100).flat.count() == 100
+
+
+def test_counters_are_taken_while_tables_are_written(spark, ws, rows_of, monkeypatch):
+    """Every source is gone once its copy is written, so a second scan of it would fail."""
+    source, target = ws.new_path("once"), ws.new_path("once-cleaned")
+    for name in schemas.CLEANED_TABLES:
+        ws.relational[name].write.parquet(f"{source}/{name}")
+
+    def write_and_remove(df, path):
+        df.write.mode("overwrite").parquet(path)
+        name = path.rsplit("/", 1)[1].removesuffix("_cleaned")
+        shutil.rmtree(f"{source}/{name}")
+
+    monkeypatch.setattr(jobs.sinks, "recreate", write_and_remove)
+    counters = jobs.clean_relational(spark, source, target)
+    for name in schemas.CLEANED_TABLES:
+        want = clean.clean_stats(name, ws.relational[name])
+        assert rows_of(counters.filter(F.col("table_name") == name)) == rows_of(want)
+        assert rows_of(spark.read.parquet(f"{target}/{name}_cleaned")) == rows_of(ws.cleaned[name])
+
+
+def test_rows_observed_twice_are_counted_from_the_files(spark, ws):
+    path = ws.new_path("confirmed")
+    spark.range(7).write.parquet(path)
+    assert [jobs._confirmed(spark, path, n) for n in (7, 14)] == [7, 7]

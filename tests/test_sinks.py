@@ -136,6 +136,22 @@ def test_json_sources(spark, ws, rows_of):
     assert rows_of(back) == rows_of(ws.collections["posts"])
 
 
+def test_broken_lines_are_rejected_alone(spark, ws):
+    path = ws.new_path("lines")
+    good = ['{"id": "a", "score": 1, "other": [1]}', '{"score": null}', "  ", "",
+            '{"id": 5, "edited": 3}']
+    bad = ['{"id": "b", "score": "7 points"}', '{"id": "c", "score": 3000000000}', '{"id": "d"',
+           "no json", "[1]", "7", "null", '{"id": "e", "score": 1.5}', '{"id": "f", "score": {}}']
+    spark.createDataFrame([(x,) for x in good + bad], "value string").write.text(path)
+    kept, rejected = sources.checked_json(spark, path, ws.store)
+    assert kept.columns == schemas.FLAT.names
+    assert sorted(((r.id, r.score, r.edited) for r in kept.collect()), key=str) == [
+        ("5", None, 3), ("a", 1, None), (None, None, None)]
+    assert sorted(r.line for r in rejected.collect()) == sorted(bad)
+    # The same whichever column is asked for.
+    assert kept.select("id").count() == 3 and rejected.count() == len(bad)
+
+
 def test_limits_at_the_source(spark, ws):
     assert sources.read_flat(spark, ws.path("flat"), ["id"], first=5).count() == 5
     assert sources.read_table(spark, "post", ws.path("post"), first=5).count() == 5

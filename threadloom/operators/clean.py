@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import is_blank, is_sentinel, only_symbols
@@ -99,25 +99,52 @@ def clean(table: str, df: DataFrame) -> DataFrame:
     )
 
 
-def clean_stats(table: str, df: DataFrame) -> DataFrame:
-    """Counters of one table in one pass: seen, processed, kept, every drop and every fix."""
-    reason, fixes = _RULES[table]()
-    judged = df.select(
-        reason.alias("_reason"), *[hit.alias(name) for name, (hit, _, _) in fixes.items()]
-    )
-    counters = {
+def _counters(table: str) -> dict[str, Column]:
+    """Counters over rows that are judged: seen, processed, kept, every drop and every fix."""
+    _, fixes = _RULES[table]()
+    return {
         "seen": F.count(F.lit(1)),
         "processed": F.count(F.lit(1)),
         "kept": F.count_if(F.col("_reason").isNull()),
         **{r: F.count_if(F.col("_reason") == r) for r in DROP_REASONS[table]},
-        **{name: F.count_if(F.col(name)) for name in fixes},
+        **{name: F.count_if(F.col(f"_{name}")) for name in fixes},
     }
-    one_row = judged.agg(*[c.alias(name) for name, c in counters.items()])
+
+
+def _judged(table: str, df: DataFrame) -> DataFrame:
+    reason, fixes = _RULES[table]()
+    return df.select("*", reason.alias("_reason"), *[
+        hit.alias(f"_{name}") for name, (hit, _, _) in fixes.items()])
+
+
+def clean_stats(table: str, df: DataFrame) -> DataFrame:
+    """Counters of one table in one pass."""
+    counters = _counters(table)
+    one_row = _judged(table, df).agg(*[c.alias(name) for name, c in counters.items()])
     return one_row.unpivot([], list(counters), "counter", "row_count").select(
         F.lit(table).alias("table_name"), "counter", "row_count"
     )
 
 
+def clean_observed(table: str, df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The cleaned rows, and the counters of their table, which Spark fills while they are written."""
+    observation = Observation(f"clean {table}")
+    counters = [c.alias(name) for name, c in _counters(table).items()]
+    _, fixes = _RULES[table]()
+    fixed = {column: F.when(F.col(f"_{name}"), value).otherwise(F.col(column))
+             for name, (_, column, value) in fixes.items()}
+    rows = _judged(table, df).observe(observation, *counters).filter(F.col("_reason").isNull())
+    return rows.select(
+        *[fixed[c].alias(c) if c in fixed else F.col(c) for c in df.columns]), observation
+
+
+def observed_stats(spark: SparkSession, table: str, observation: Observation) -> DataFrame:
+    """The counters that were taken by `clean_observed`; one row each."""
+    return spark.createDataFrame(
+        [(table, name, int(n)) for name, n in observation.get.items()],
+        "table_name string, counter string, row_count long")
+
+
 def totals(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per source table."""
     result = None

@@ -137,28 +137,30 @@ def with_defaults(df: DataFrame, table: str, now: int | None = None) -> DataFram
     return df
 
 
-def load_stats(flat: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows read, left after the table's own filter, and inserted, for each table."""
-    top_level = F.col("parent_id").startswith(POST_PREFIX)
-    counted = flat.agg(
-        F.count(F.lit(1)).alias("rows_read"), F.count_if(top_level).alias("top_level")
-    )
+def load_stats(
+    flat: DataFrame, tables: Mapping[str, DataFrame], inserted: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Rows read, left after the table's own filter, and inserted, for each table.
+
+    The flat table is read once. With `inserted`, the rows that were counted while the tables were
+    written, these are not read again.
+    """
     # A comment passes its filter when its link is known, so the filter count is
     # a sum over links of pre-aggregated comment counts.
-    per_link = flat.groupBy("link_id").agg(F.count(F.lit(1)).alias("n"))
-    linked = per_link.join(tables["post_link"].select("link_id"), "link_id", "left_semi")
-    linked_count = linked.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-
-    stats = None
+    top_level = F.col("parent_id").startswith(POST_PREFIX)
+    per_link = flat.groupBy("link_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(top_level).alias("top_level"))
+    links = tables["post_link"].select("link_id", F.lit(True).alias("known"))
+    counted = per_link.join(links, "link_id", "left").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_read"),
+        F.coalesce(F.sum("top_level"), F.lit(0)).alias("top_level"),
+        F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("linked"))
+    rows = []
     for name in schemas.RELATIONAL:
-        filtered = {"post_link": F.col("top_level"), "comment": linked_count}.get(
-            name, F.col("rows_read")
-        )
-        row = counted.select(
-            F.lit(name).alias("table_name"),
-            "rows_read",
-            filtered.cast("long").alias("rows_filtered"),
-            tables[name].agg(F.count(F.lit(1))).scalar().alias("rows_inserted"),
-        )
-        stats = row if stats is None else stats.unionByName(row)
-    return stats
+        stored = (tables[name].agg(F.count(F.lit(1))).scalar() if inserted is None
+                  else F.lit(inserted[name]))
+        filtered = {"post_link": "top_level", "comment": "linked"}.get(name, "rows_read")
+        rows.append(F.struct(
+            F.lit(name).alias("table_name"), "rows_read",
+            F.col(filtered).alias("rows_filtered"), stored.cast("long").alias("rows_inserted")))
+    return counted.select(F.inline(F.array(*rows)))

@@ -587,7 +587,11 @@ def _source_sql() -> dict[str, tuple[list[str], str]]:
         "src_joined_mining": (["mining_input"], "SELECT * FROM mining_input"),
         "src_docs": (["doc_posts"], "SELECT * FROM doc_posts"),
         "src_json": (["flat"], "SELECT * FROM flat"),
+        "src_json_kept": (["flat"], "SELECT * FROM flat WHERE coalesce(created_utc % 7, 2) > 1"),
+        "src_json_rejected": (["flat"], """SELECT coalesce(id, '') AS id, created_utc % 7 = 1 AS is_whole
+            FROM flat WHERE created_utc % 7 <= 1"""),
         "src_catalog": (["flat", *schemas.RELATIONAL], " UNION ALL ".join(catalog)),
+        "src_session_catalog": (["flat", *schemas.RELATIONAL], " UNION ALL ".join(catalog)),
         "src_sample": (["flat"], f"""SELECT {', '.join(sample)} FROM flat
             ORDER BY {_order(sample, ['created_utc', 'name'], False)} LIMIT 1000"""),
     }

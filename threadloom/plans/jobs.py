@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom import schemas
@@ -21,9 +21,23 @@ from threadloom.sources import tables as sources
 
 def load_relational(ws: Workspace, target: str) -> DataFrame:
     """Write the six tables and return rows read, filtered and inserted per table."""
+    inserted = {}
     for name in schemas.RELATIONAL:
-        sinks.recreate(ws.relational[name], f"{target}/{name}")
-    return normalize.load_stats(ws.flat, ws.relational)
+        written = Observation(f"load {name}")
+        sinks.recreate(ws.relational[name].observe(written, F.count(F.lit(1)).alias("n")),
+                       f"{target}/{name}")
+        inserted[name] = _confirmed(ws.spark, f"{target}/{name}", written.get["n"])
+    return normalize.load_stats(ws.flat, ws.relational, inserted)
+
+
+def _confirmed(spark: SparkSession, path: str, observed: int) -> int:
+    """The rows observed while a table was written, if its files hold as many; else their number.
+
+    Spark may observe rows twice if it has to run a stage again. Parquet keeps the number of rows
+    in its footers, so no row is read for this.
+    """
+    held = spark.read.parquet(path).count()
+    return observed if held == observed else held
 
 
 def load_documents(
@@ -85,8 +99,14 @@ def clean_relational(
         rows = sources.read_table(spark, name, f"{source}/{name}")
         if first is not None:
             rows = sources.first_rows(rows, first, store)
-        sinks.recreate(clean.clean(name, rows), f"{target}/{name}_cleaned")
-        counters.append(clean.clean_stats(name, rows))
+        cleaned, observed = clean.clean_observed(name, rows)
+        path = f"{target}/{name}_cleaned"
+        sinks.recreate(cleaned, path)
+        kept = observed.get["kept"]
+        # Should a stage have run twice, the counters are taken again.
+        counters.append(
+            clean.observed_stats(spark, name, observed) if _confirmed(spark, path, kept) == kept
+            else clean.clean_stats(name, rows))
     return reduce(DataFrame.unionByName, counters)
 
 

@@ -93,6 +93,46 @@ def src_json(ws: Workspace) -> DataFrame:
     return sources.read_json(ws.spark, path)
 
 
+def _broken_lines(ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    """The flat table as JSON lines, some cut short and some with words in place of a score."""
+    path = ws.new_path("broken-json")
+    turn = F.col("created_utc") % 7
+    whole = F.to_json(F.struct(*[F.col(c) for c in ws.flat.columns]))
+    wrong = F.to_json(F.struct(*[
+        F.lit("7 points").alias(c) if c == "score" else F.col(c) for c in ws.flat.columns]))
+    ws.flat.select(
+        F.when(turn == 0, F.left(whole, F.length(whole) - 5)).when(turn == 1, wrong)
+        .otherwise(whole).alias("value")).write.text(path, compression="gzip")
+    return sources.checked_json(ws.spark, path, ws.store)
+
+
+@query
+def src_json_kept(ws: Workspace) -> DataFrame:
+    return _broken_lines(ws)[0]
+
+
+@query
+def src_json_rejected(ws: Workspace) -> DataFrame:
+    """Rejected lines: the id that each names, and whether it is a whole line."""
+    return _broken_lines(ws)[1].select(
+        F.regexp_extract("line", '"id":"([^"]*)"', 1).alias("id"),
+        F.col("line").endswith("}").alias("is_whole"))
+
+
+@query
+def src_session_catalog(ws: Workspace) -> DataFrame:
+    """Facts of all tables that the session's catalog lists, which names none of them."""
+    names = {f"session_{name}": df for name, df in {"comments_raw": ws.flat, **ws.relational}.items()}
+    for name, df in names.items():
+        df.createOrReplaceTempView(name)
+    found = {n.removeprefix("session_"): df for n, df in sources.catalog_tables(ws.spark).items()
+             if n in names}
+    facts = sources.catalog(found, schemas.PRIMARY_KEYS)
+    for name in names:
+        ws.spark.catalog.dropTempView(name)
+    return facts
+
+
 @query
 def src_catalog(ws: Workspace) -> DataFrame:
     """Facts of all tables that are found in a folder, which names none of them."""

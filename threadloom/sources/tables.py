@@ -32,6 +32,28 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType = schemas.FLA
     return spark.read.schema(schema).json(path)
 
 
+REJECTED = "_rejected"
+
+
+def checked_json(
+    spark: SparkSession, path: str, store, schema: T.StructType = schemas.FLAT
+) -> tuple[DataFrame, DataFrame]:
+    """JSON lines as good rows and, apart from them, the text of rejected lines (column `line`).
+
+    A line is rejected alone if it is no JSON object or holds a value of another type than declared.
+    Lines are parsed once, whole, and stored: a reader of few columns would not see that another
+    column is wrong. Blank lines are no lines. Absent columns are NULL, others are not read.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
+    wanted = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = store(lines.select("value", F.from_json("value", wanted, options).alias("row")))
+    # A line `null` is parsed to no row at all.
+    wrong = F.col("row").isNull() | F.col(f"row.{REJECTED}").isNotNull()
+    return (parsed.filter(~wrong).select("row.*").drop(REJECTED),
+            parsed.filter(wrong).select(F.col("value").alias("line")))
+
+
 def read_table(
     spark: SparkSession, table: str, path: str, first: int | None = None
 ) -> DataFrame:
