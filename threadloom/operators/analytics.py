@@ -75,10 +75,42 @@ def gilded_live(
     return latest.select("link_id", "author", "subreddit", "gilded", "archived")
 
 
+TRIGRAMS = "author_trigrams"
+
+
+def trigram_index(posts: DataFrame) -> DataFrame:
+    """Every three characters in a row of every author's name: trigram, author."""
+    names = posts.select("author").filter(F.col("author").isNotNull()).distinct()
+    grams = F.transform(F.sequence(F.lit(1), F.length("author") - 2),
+                        lambda i: F.substr(F.col("author"), i, F.lit(3)))
+    return names.filter(F.length("author") >= 3).select(
+        F.explode(F.array_distinct(grams)).alias("trigram"), "author")
+
+
+def authors_containing(index: DataFrame, part: str) -> DataFrame:
+    """Authors whose name contains a text of three characters or more, from the index.
+
+    Names that hold all its trigrams are candidates; the text itself decides.
+    """
+    if len(part) < 3:
+        raise ValueError("a text of under three characters has no trigram")
+    grams = {part[i:i + 3] for i in range(len(part) - 2)}
+    rows = index.filter(F.col("trigram").isin(sorted(grams)))
+    return rows.groupBy("author").agg(F.count(F.lit(1)).alias("held")).filter(
+        (F.col("held") == len(grams)) & F.col("author").contains(part)).select("author")
+
+
 def author_like(t: Tables, part: str = "cat", k: int = 20) -> DataFrame:
-    """Latest posts by authors whose name contains a text, letter case included."""
+    """Latest posts by authors whose name contains a text, letter case included.
+
+    Where the tables have a trigram index, it names the authors of a text of three characters or more;
+    posts are then looked up by author. Else every post's author is compared.
+    """
+    posts = t["post"]
+    if TRIGRAMS in t and len(part) >= 3:
+        posts = posts.join(authors_containing(t[TRIGRAMS], part), "author", "left_semi")
     found = (
-        t["post"].filter(F.col("author").contains(part))
+        posts.filter(F.col("author").contains(part))
         .join(t["subreddit"], "subreddit_id")
         .select("link_id", "author", "subreddit", "created_utc")
     )

@@ -425,6 +425,7 @@ def _document_sql() -> dict[str, tuple[list[str], str]]:
         "stream_doc_empty": ([], " UNION ALL ".join(
             f"SELECT '{n}' AS collection, CAST(0 AS BIGINT) AS documents" for n in _COLLECTIONS)),
         "doc_layout_collections": everything,
+        "doc_layout_z_order": everything,
         "rel_users": (["doc_users"], """
             SELECT _id AS author, author_flair_text, author_flair_css_class FROM doc_users"""),
         "rel_subreddit": (["doc_subreddits"],
@@ -638,6 +639,10 @@ def _sink_sql() -> dict[str, tuple[list[str], str]]:
             for n, t in _COLLECTIONS.items())),
         "sink_csv": (["post", "comment", "subreddit"],
             f"SELECT query, row_count, TRUE AS has_speedup FROM ({query_rows})"),
+        "q5_author_like_indexed": analytics["q5_author_like"],
+        "bench_layout_joins": (["post", "comment", "subreddit"], f"""SELECT query,
+            row_count AS rows_plain, row_count AS rows_clustered, row_count AS rows_bucketed
+            FROM ({query_rows})"""),
         "bench_layout": (["post", "comment", "subreddit"],
             f"SELECT query, row_count AS rows_before, row_count AS rows_after FROM ({query_rows})"),
         "sink_fd_report": (["flat", *schemas.RELATIONAL], _fd_report_sql()),

@@ -45,6 +45,9 @@ SECOND_LOAD = 1431734400
 LOW_SUPPORT = 0.002
 LOW_CONFIDENCE = 0.1
 
+# Buckets of the joined tables in the timing of layouts.
+JOIN_BUCKETS = 8
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -651,6 +654,45 @@ def bench_layout(ws: Workspace) -> DataFrame:
     return compared.select("query", "rows_before", "rows_after")
 
 
+@query
+def bench_layout_joins(ws: Workspace) -> DataFrame:
+    """The six queries on plain, clustered and bucketed tables, the last with a trigram index.
+
+    From the stored table of times; its seconds are there as well.
+    """
+    plain = layout.relational(ws)
+    bucketed = layout.write_bucketed(plain, ws.new_path("bucketed"), JOIN_BUCKETS)
+    bucketed[analytics.TRIGRAMS] = ws.store(
+        analytics.trigram_index(plain["post"]).sort("trigram", "author"))
+    layouts = {
+        "plain": plain,
+        "clustered": layout.write_clustered(plain, ws.new_path("clustered")),
+        "bucketed": bucketed,
+    }
+    times = None
+    for name, tables in layouts.items():
+        own = layout.time_queries(ws.spark, tables).select(
+            "query", F.col("row_count").alias(f"rows_{name}"), F.col("seconds").alias(f"time_{name}"))
+        times = own if times is None else times.join(own, "query")
+    stored = ws.store(times)
+    layout.drop_bucketed(ws.spark)
+    return stored.select("query", *[f"rows_{name}" for name in layouts])
+
+
+@query
+def q5_author_like_indexed(ws: Workspace) -> DataFrame:
+    """The posts of `q5_author_like`, whose authors a trigram index names."""
+    index = ws.store(analytics.trigram_index(ws.relational["post"]).sort("trigram", "author"))
+    return analytics.author_like({**ws.relational, analytics.TRIGRAMS: index})
+
+
+@query
+def doc_layout_z_order(ws: Workspace) -> DataFrame:
+    """All collections along Z-curves with Bloom filters, row by row."""
+    return _all_collections(layout.write_z_ordered(
+        dict(ws.collections), ws.new_path("z-ordered")))
+
+
 @query
 def bench_layout_collections(ws: Workspace) -> DataFrame:
     """Document queries on plain and on clustered collections, from the stored timing table."""

@@ -7,7 +7,8 @@ partitions by Spark's dynamic partition overwrite. All other partitions keep the
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,10 @@ BUCKET_BYTES = 128 * 1024 * 1024
 MOST_BUCKETS = 100_000
 # Tasks that write one bucket together.
 WRITERS = 16
+# Ranges of each column of a Z-curve, as bits, and the rows that their bounds are taken from.
+Z_BITS = 6
+BOUNDS_SAMPLE = 20_000
+Z_VALUE = "_z"
 
 
 def insert_ignore(
@@ -222,13 +227,86 @@ def merge_into(
     return touched
 
 
-def clustered(df: DataFrame, path: str, *columns: str) -> None:
+def clustered(
+    df: DataFrame, path: str, *columns: str, bloom: Mapping[str, int] | None = None,
+    files: int | None = None,
+) -> None:
     """Write a table range-sorted by the columns its queries filter on.
 
     Every file then covers a narrow range, so Parquet statistics skip the rest.
     Ranges over several columns also split a single frequent leading value,
     which hash buckets or directories per value would keep together.
+
+    `bloom` gives columns that are looked up by single values, with about how many different values a
+    row group may hold; each gets a Bloom filter, which skips row groups without the value.
+    """
+    dealt = (df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns))
+    _write_with_filters(dealt.sortWithinPartitions(*columns), path, bloom)
+
+
+def _write_with_filters(df: DataFrame, path: str, bloom: Mapping[str, int] | None) -> None:
+    writer = df.write.mode("overwrite")
+    for column, values in (bloom or {}).items():
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+                  .option(f"parquet.bloom.filter.expected.ndv#{column}", str(values)))
+    writer.parquet(path)
+
+
+def range_bounds(df: DataFrame, column: str, ranges: int, sample: int = BOUNDS_SAMPLE) -> list:
+    """Values that cut a column into ranges of about as many rows, from at most about `sample` rows.
+
+    They decide how rows are dealt to files, nothing else.
+    """
+    present = df.select(column).filter(F.col(column).isNotNull())
+    share = min(1.0, sample / max(present.count(), 1))
+    drawn = present if share == 1.0 else present.sample(share, seed=7)
+    values = sorted(r[0] for r in drawn.collect())
+    cuts = [values[len(values) * i // ranges] for i in range(1, ranges)] if values else []
+    return sorted(set(cuts))
+
+
+def range_rank(column: str, bounds: list, bits: int) -> Column:
+    """How many bounds are at most the value, by binary search; NULL ranks with the least."""
+    if not bounds:
+        return F.lit(0)
+    known = F.array(*[F.lit(b) for b in bounds])
+
+    def halve(low: Column, step: Column) -> Column:
+        # `get` gives NULL beyond the last bound, which no value reaches.
+        at = low + step
+        reached = F.coalesce(F.get(known, at - 1) <= F.col(column), F.lit(False))
+        return F.when(reached, at).otherwise(low)
+
+    steps = F.array(*[F.lit(1 << (bits - 1 - i)) for i in range(bits)])
+    return F.aggregate(steps, F.lit(0), halve)
+
+
+def z_order(ranks: Sequence[Column], bits: int) -> Column:
+    """The bits of the ranks in turn, highest first, as one number."""
+    n = len(ranks)
+    return reduce(lambda a, b: a.bitwiseOR(b), [
+        F.shiftleft(F.getbit(rank, F.lit(i)).cast("long"), i * n + (n - 1 - j))
+        for j, rank in enumerate(ranks) for i in range(bits)])
+
+
+def z_ordered(
+    df: DataFrame, path: str, *columns: str, bits: int = Z_BITS,
+    bloom: Mapping[str, int] | None = None, files: int | None = None,
+) -> None:
+    """Write a table along a Z-curve over several columns, so that files are narrow in each of them.
+
+    Each column is ranked by ranges of its own, and the curve takes a bit of each rank in turn. Rows of
+    equal ranks are dealt by the columns themselves, so no frequent value is kept together.
     """
-    df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.mode(
-        "overwrite"
-    ).parquet(path)
+    ranks = [range_rank(c, range_bounds(df, c, 1 << bits), bits) for c in columns]
+    keyed = df.withColumn(Z_VALUE, z_order(ranks, bits))
+    order = [Z_VALUE, *columns]
+    dealt = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
+    _write_with_filters(dealt.sortWithinPartitions(*order).drop(Z_VALUE), path, bloom)
+
+
+def bucketed(df: DataFrame, table: str, path: str, buckets: int, *columns: str) -> DataFrame:
+    """A table of the session's catalog in sorted buckets, so that joins on the columns need no shuffle."""
+    (df.repartition(buckets, *columns).write.mode("overwrite").bucketBy(buckets, *columns)
+     .sortBy(*columns).option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
