@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -138,6 +139,81 @@ def test_cycles_and_bombs_end():
     assert all(f[3] == "text" for f in secrets.findings(bomb)[1])
 
 
+@pytest.mark.parametrize("before", ["", "%ff", "%80%C3", "%00"])
+def test_escapes_that_are_no_text_leave_the_others_readable(before):
+    text = f"é {before}{''.join(f'%{b:02X}' for b in RAW)} after"
+    spans = [f for f in secrets.findings(text)[1] if f[0] == "assign" and f[3] != "text"]
+    assert spans and all(2 <= a < b <= len(text) - 6 for _, a, b, _ in spans)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress])
+def test_packed_data_in_url_escapes_are_unpacked(pack):
+    for encoded in (urllib.parse.quote(pack(RAW), safe=""),
+                    "".join(f"%{b:02X}" for b in pack(RAW))):
+        spans = [f for f in secrets.findings(f"q={encoded} after")[1] if f[0] == "assign"]
+        assert (2, 2 + len(encoded)) in {(a, b) for _, a, b, _ in spans}
+
+
+def slow(text):
+    """Every piece after every slash of every run, decoded by itself: names of secrets found."""
+    waiting, seen, found = [text], set(), set()
+    while waiting:
+        layer = waiting.pop()
+        if layer in seen:
+            continue
+        seen.add(layer)
+        found |= {layer[a:b] for _, a, b in plain(layer)}
+        for m in re.finditer(r"[A-Za-z0-9+/]{16,}", layer):
+            for at in [0, *(i + 1 for i, c in enumerate(m[0]) if c == "/")]:
+                piece = m[0][at:]
+                data = secrets._from_base64(piece)
+                for unpack in (bytes, gzip.decompress, zlib.decompress):
+                    try:
+                        waiting.append(unpack(data).decode("utf-8"))
+                    except (UnicodeDecodeError, OSError, EOFError, zlib.error):
+                        pass
+        waiting += [urllib.parse.unquote(layer)]
+        for m in re.finditer("(?:[0-9a-f]{2}){16,}", layer):
+            try:
+                waiting.append(bytes.fromhex(m[0]).decode("utf-8"))
+            except UnicodeDecodeError:
+                pass
+    return found
+
+
+def test_nothing_is_missed_that_a_slow_worklist_finds():
+    rng = random.Random(9)
+    ways = [lambda d: base64.b64encode(d), lambda d: d.hex().encode(),
+            lambda d: urllib.parse.quote(d).encode(), lambda d: b"x/y/" + base64.b64encode(d),
+            lambda d: base64.b64encode(gzip.compress(d)),
+            lambda d: base64.b64encode(zlib.compress(d)), lambda d: b"some words " + d + b" more"]
+    for round_ in range(150):
+        secret = f"token={''.join(rng.choice('abcXYZ0189') for _ in range(20))}"
+        data = secret.encode()
+        for _ in range(rng.randint(1, 4)):
+            data = rng.choice(ways)(data)
+        text = data.decode()
+        wanted = {w for w in slow(text) if w.startswith("token")}
+        spans = [f for f in secrets.findings(text)[1] if f[0] == "assign"]
+        if wanted:
+            assert spans, (round_, text)
+
+
+def test_time_is_linear_in_base64_with_slashes():
+    rng = random.Random(10)
+    letters = base64.b64encode(rng.randbytes(1_500_000)).decode()
+
+    def seconds(n):
+        text = f"data: {letters[:n]} end, {base64.b64encode(RAW).decode()}"
+        start = time.process_time()
+        assert [f for f in secrets.findings(text)[1] if f[0] == "assign"]
+        return time.process_time() - start
+
+    seconds(10_000)
+    small, large = seconds(200_000), seconds(2_000_000)
+    assert large < 25 * small + 0.5
+
+
 def test_odd_rows(documents, odd_rows):
     check(documents(*odd_rows, (50, SECRET), (50, SECRET), (51, "AKIA" + "Q" * 14)))
 

@@ -71,5 +71,35 @@ def test_write_shards_agrees_with_placement(spark, test_documents, tmp_path):
     records = sharding.digests(test_documents)
     slot_map = sharding.build_map(records, 4)
     sharding.write_shards(test_documents, slot_map, str(tmp_path / "out"))
-    stored = {r.doc_id: r.shard for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    stored = {r.doc_id: r.in_shard for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert stored == {r.doc_id: r.shard for r in sharding.placed(records, slot_map).collect()}
+
+
+def test_a_map_loaded_by_its_path_places_all_records_as_before(spark, documents):
+    docs = documents(*[(i, "copy " * 20 if i % 3 == 0 else f"own text {i} " * 8)
+                       for i in range(900)])
+    records = sharding.digests(docs)
+    slot_map = sharding.build_map(records, 8)
+    assert slot_map.hot
+    path = sharding.store_map(spark, slot_map)
+    sharding.store_map(spark, sharding.rebalance(slot_map, 9), path)
+    loaded = sharding.load_map(spark, path, version=1)
+    assert loaded == slot_map and sharding.load_map(spark, path).shards == 9
+
+    def places(m):
+        return {r.doc_id: (r.virtual_slot, r.shard) for r in sharding.placed(records, m).collect()}
+
+    assert places(loaded) == places(slot_map)
+
+
+def test_write_shards_keeps_columns_of_any_name(spark, tmp_path):
+    names = ["text_key", "shard", "virtual_slot", "row", "spread", "in_shard", "slot"]
+    docs = spark.createDataFrame(
+        [(i, f"text {i}", *[f"{n} {i}" for n in names]) for i in range(40)],
+        "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    slot_map = sharding.build_map(sharding.digests(docs), 4)
+    path = str(tmp_path / "out")
+    sharding.write_shards(docs, slot_map, path)
+    back = spark.read.parquet(path)
+    assert back.columns == [*docs.columns, "in_shard_"]
+    assert sorted(back.drop("in_shard_").collect()) == sorted(docs.collect())

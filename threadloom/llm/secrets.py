@@ -3,9 +3,11 @@
 A worklist holds layers of a text: the text itself, and whatever a piece of a layer decodes to. Each
 layer is scanned by the same patterns, then its encoded pieces (URL escapes, Unicode escapes,
 base64, base64 in URL form, both also wrapped over lines or part of a path, hex, and gzip or zlib
-data inside these) are decoded and put on the list, until nothing new comes up. A layer whose content has been seen with the same place is
-not put on the list again, which ends cycles; each decoding is shorter than its source, so nesting
-ends by itself, and data that would grow beyond `MOST_GROWTH` times its source are left packed.
+data inside these) are decoded and put on the list, until nothing new comes up. A layer whose content
+(by a digest of 128 bits) has been seen with the same place is not put on the list again, which ends
+cycles; each decoding is shorter than its source, so nesting ends by itself. Data that would grow
+beyond `MOST_GROWTH` times their source, near the most that zlib can do, are left packed. A run of
+base64 is decoded at most once for each of its four alignments, so the work is linear in its length.
 Packed data are unpacked with all members as long as there is something packed inside, and of bytes
 that are not text as a whole every readable run is a layer.
 Every layer carries a map to the original text, so a finding in any layer names the span of original
@@ -18,12 +20,12 @@ table gives no rows; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import hashlib
 import re
+import urllib.parse
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import deque
 from collections.abc import Iterator
 
@@ -53,7 +55,11 @@ PRINTABLE = re.compile(r"[\t\n\r\x20-\x7e -\U0010ffff]*\Z")
 # Runs that can hold a finding or an encoded one; all of these have 16 characters or more.
 READABLE = re.compile(r"[\t\n\r\x20-\x7e\xa0-\ufffc\ufffe-\U0010ffff]{16,}")
 MAGIC = {31: (b"\x1f\x8b",), 15: (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")}
+PACKED = {magic for magics in MAGIC.values() for magic in magics}
 MOST_GROWTH = 1000
+# Bytes of readable runs, those of characters beyond ASCII included.
+RUNS = re.compile(rb"[\t\n\r\x20-\x7e\x80-\xff]{16,}")
+URL_DATA = re.compile(r"(?:x(?=%)|%[0-9A-Fa-f]{2})[A-Za-z0-9%_.~!*'()-]{16,}")
 
 SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
           "spans string, layers string")
@@ -130,49 +136,42 @@ def _before_damage(data: bytes, wbits: int, most: int) -> bytes:
     return bytes(found)
 
 
-def _texts(data: bytes) -> Iterator[str]:
+def _texts(data: bytes, unpacked_only: bool = False) -> Iterator[str]:
     """The readable runs of bytes and of all that they unpack to, layer by layer."""
     most = MOST_GROWTH * len(data) + 1000
+    if unpacked_only:
+        data = _unpacked(data, most)
     while data:
         text = data.decode("utf-8", "replace")
         if "\ufffd" not in text and len(text) >= 4 and PRINTABLE.match(text):
             yield text
         else:
             yield from READABLE.findall(text)
-        wbits = next((w for w, magic in MAGIC.items() if data.startswith(magic)), None)
-        data = wbits and _members(data, wbits, most)
+        data = _unpacked(data, most)
 
 
-def _from_base64(piece: str) -> bytes | None:
-    piece = piece.rstrip("=")
-    altered = "-" in piece or "_" in piece
-    if len(piece) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(piece + "=" * (-len(piece) % 4), b"-_" if altered else None,
-                                validate=True)
-    except (binascii.Error, ValueError):
-        return None
+def _unpacked(data: bytes, most: int) -> bytes | None:
+    wbits = next((w for w, magic in MAGIC.items() if data.startswith(magic)), None)
+    return wbits and _members(data, wbits, most)
+
+
+def _from_base64(letters: str) -> bytes:
+    """What base64 of either form stands for, as far as it goes."""
+    letters = letters.rstrip("=").replace("-", "+").replace("_", "/")
+    if len(letters) % 4 == 1:
+        letters = letters[:-1]
+    return binascii.a2b_base64(letters + "=" * (-len(letters) % 4)) if letters else b""
+
 
+def _base64_pieces(text: str) -> Iterator[tuple[int, int, str, int]]:
+    """Start, end and letters of what may be base64, and how many letters stand on the first line.
 
-def _base64_pieces(text: str) -> Iterator[tuple[int, int, str]]:
-    """Start, end and letters of what may be base64: runs, parts of paths, and wrapped lines."""
+    That is every run, and again with the lines that follow it if it is wrapped.
+    """
     done = 0
     for m in BASE64.finditer(text):
         start, end, run = m.start(), m.end(), m[0]
-        yield start, end, run
-        # After a slash something of its own may begin, and another slash may end it.
-        slash = run.find("/")
-        while slash >= 0:
-            following = run.find("/", slash + 1)
-            if following > 0 and following - slash > 16:
-                yield start + slash + 1, start + following, run[slash + 1:following]
-            if len(run) - slash > 16 and _may_begin(run[slash + 1:slash + 9]):
-                yield start + slash + 1, end, run[slash + 1:]
-            slash = following
-        first = run.find("/")
-        if first >= 16:
-            yield start, start + first, run[:first]
+        yield start, end, run, len(run)
         if start < done or run.endswith("="):
             continue
         # Lines of one width follow, and a last one that is not longer.
@@ -186,33 +185,70 @@ def _base64_pieces(text: str) -> Iterator[tuple[int, int, str]]:
                 break
         if len(lines) > 1:
             done = ends[-1]
-            yield start, ends[-1], "".join(lines)
+            yield start, ends[-1], "".join(lines), len(run)
             if len(lines) > 2:  # the last line may be a word of what follows
-                yield start, ends[-2], "".join(lines[:-1])
-            # What stands before a path's last slash or a key does not belong to the lines.
-            slash = run.rfind("/")
-            while slash >= 0:
-                if _may_begin((run[slash + 1:] + lines[1])[:8]):
-                    yield start + slash + 1, ends[-1], run[slash + 1:] + "".join(lines[1:])
-                slash = run.rfind("/", 0, slash)
-
+                yield start, ends[-2], "".join(lines[:-1]), len(run)
 
-def _may_begin(letters: str) -> bool:
-    """Whether base64 that begins so may hold text or packed data."""
-    data = _from_base64(letters)
-    return data is not None and (data[:1] in (b"\x1f", b"\x78") or not any(
-        b < 32 and b not in b"\t\n\r" for b in data))
 
+def _held(start: int, end: int, letters: str, first_line: int
+          ) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """Texts that base64 holds, with the places in it (character, start in the layer) they begin at.
 
-def _packed(layer: Layer) -> Iterator[tuple[str, int, int, str]]:
-    """Pieces that stand for other data: name, start, end, what they hold."""
+    After a slash something of its own may begin. What begins at places whose distance is a multiple
+    of four decodes alike, so there is one decoding for each of the four, however many slashes there
+    are, and a finding belongs to the last place before it.
+    """
+    for held in _texts(_from_base64(letters)):
+        yield held, [(0, start)]
+    begins: dict[int, list[int]] = {}
+    slash = letters.find("/", 0, first_line)
+    while slash >= 0:
+        if len(letters) - slash > 16:
+            begins.setdefault((slash + 1) % 4, []).append(slash + 1)
+        slash = letters.find("/", slash + 1, first_line)
+    for places in begins.values():
+        data = _from_base64(letters[places[0]:])
+        offsets = [(p - places[0]) // 4 * 3 for p in places]
+        for run in RUNS.finditer(data):
+            # Bytes of a character that is cut by the edge are left out.
+            parts, at = [], run.start()
+            cuts = offsets[bisect_right(offsets, at):bisect_left(offsets, run.end())]
+            marks, length = [], 0
+            for stop in (*cuts, run.end()):
+                own = places[bisect_right(offsets, at) - 1]
+                part = data[at:stop].decode("utf-8", "ignore")
+                marks.append((length, start + own))
+                parts.append(part)
+                length += len(part)
+                at = stop
+            whole = "".join(parts)
+            if length >= 16:
+                yield whole, marks
+        upto = 0
+        for place, offset in zip(places, offsets):
+            packed = offset >= upto and data[offset:offset + 2] in PACKED
+            if packed:
+                for held in _texts(data[offset:], unpacked_only=True):
+                    upto = len(data)
+                    yield held, [(0, start + place)]
+
+
+def _inner(layer: Layer) -> Iterator[Layer]:
+    """Layers that stand in pieces of this one."""
     text = layer.text
-    for start, end, piece in _base64_pieces(text):
-        for held in _texts(_from_base64(piece) or b""):
-            yield "base64", start, end, held
+    for start, end, letters, first_line in _base64_pieces(text):
+        for held, marks in _held(start, end, letters, first_line):
+            yield Layer(held, [(at, *layer.span(own, end), 0) for at, own in marks],
+                        f"{layer.path}>base64")
     for m in HEX_DATA.finditer(text):
         for held in _texts(bytes.fromhex(m[0])):
-            yield "hex", m.start(), m.end(), held
+            yield Layer(held, [(0, *layer.span(*m.span()), 0)], f"{layer.path}>hex")
+    if "%" in text:
+        for m in URL_DATA.finditer(text):
+            data = urllib.parse.unquote_to_bytes(m[0])
+            if data[:2] in PACKED:
+                for held in _texts(data, unpacked_only=True):
+                    yield Layer(held, [(0, *layer.span(*m.span()), 0)], f"{layer.path}>url")
 
 
 def _escape(piece: str) -> str:
@@ -244,10 +280,8 @@ def _substituted(layer: Layer, name: str) -> Layer | None:
     changed = False
     for m in pattern.finditer(text):
         if name == "url":
-            try:
-                new = bytes.fromhex(m[0].replace("%", "")).decode("utf-8")
-            except UnicodeDecodeError:
-                continue
+            # Bytes that are no UTF-8 stand for themselves and leave the others readable.
+            new = bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "replace")
         else:
             new = _escape(m[0])
             if new == m[0] or "\ud800" <= new <= "\udfff":
@@ -264,19 +298,22 @@ def _substituted(layer: Layer, name: str) -> Layer | None:
     return Layer("".join(parts), runs, f"{layer.path}>{name}")
 
 
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 def findings(text: str) -> tuple[list, list]:
     """Findings of the text itself, and of all layers as (kind, start, end, path)."""
     first = Layer(text, [(0, 0, len(text), 1)], "text")
     base = scan(text)
     every = {(k, a, b): "text" for k, a, b in base}
-    waiting, seen = deque([first]), {(hash(text), 0, len(text))}
+    waiting, seen = deque([first]), {(_digest(text), 0, len(text))}
     while waiting:
         layer = waiting.popleft()
         if layer is not first:
             for kind, a, b in scan(layer.text):
                 every.setdefault((kind, *layer.span(a, b)), layer.path)
-        inner = [Layer(held, [(0, *layer.span(a, b), 0)], f"{layer.path}>{name}")
-                 for name, a, b, held in _packed(layer)]
+        inner = list(_inner(layer))
         if "%" in layer.text:
             inner.append(_substituted(layer, "url"))
         if "\\" in layer.text or "&#" in layer.text:
@@ -284,7 +321,7 @@ def findings(text: str) -> tuple[list, list]:
         for new in inner:
             if new is None or not new.text:
                 continue
-            key = (hash(new.text), *new.span(0, len(new.text)))
+            key = (_digest(new.text), *new.span(0, len(new.text)))
             if key not in seen:
                 seen.add(key)
                 waiting.append(new)

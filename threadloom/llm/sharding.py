@@ -19,12 +19,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from threadloom.llm.common import long_id, new_folder, stored
+from threadloom.llm.common import long_id, new_folder, stored, whole_row
 
 SLOTS = 4096
 # Places in a shard are counted per (shard, bucket), so no task ever holds a whole shard.
 BUCKETS = 1024
-MAP_SCHEMA = "version int, slot int, shard int, bytes long"
+# Rows of slots; rows of hot texts have no slot, and those of neither state the number of shards.
+MAP_SCHEMA = "version int, slot int, shard int, bytes long, hot long, shards int"
 
 
 @dataclass(frozen=True)
@@ -44,9 +45,16 @@ class SlotMap:
         return sums
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(self.version, s, self.shard_of[s], self.bytes_of.get(s, 0))
-                for s in sorted(self.shard_of)]
-        return spark.createDataFrame(rows, MAP_SCHEMA)
+        """Slots and their shards."""
+        rows = [(s, self.shard_of[s]) for s in sorted(self.shard_of)]
+        return spark.createDataFrame(rows, "slot int, shard int")
+
+    def rows(self) -> list[tuple]:
+        """Everything that placing records needs, in the columns of a stored map."""
+        return [(self.version, None, None, None, None, self.shards),
+                *((self.version, None, None, None, text, None) for text in self.hot),
+                *((self.version, s, self.shard_of[s], self.bytes_of.get(s, 0), None, None)
+                  for s in sorted(self.shard_of))]
 
 
 def pack(bytes_of: dict[int, int], shards: int, hot: tuple[int, ...] = ()) -> SlotMap:
@@ -141,18 +149,24 @@ def build_map(records: DataFrame, shards: int) -> SlotMap:
 def store_map(spark: SparkSession, slot_map: SlotMap, path: str | None = None) -> str:
     """Append this version of the map to its table; earlier versions stay readable."""
     path = path or new_folder(spark, "slot-map")
-    slot_map.frame(spark).coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame(slot_map.rows(), MAP_SCHEMA).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
-def load_map(spark: SparkSession, path: str, shards: int, version: int | None = None,
-             hot: tuple[int, ...] = ()) -> SlotMap:
-    """A stored version of the map, the newest unless named. A map has `SLOTS` rows a version."""
+def load_map(spark: SparkSession, path: str, shards: int | None = None, version: int | None = None,
+             hot: tuple[int, ...] | None = None) -> SlotMap:
+    """A stored version of the map, the newest unless named; it is complete in itself.
+
+    A map has `SLOTS` rows a version, one of its own and fewer than two hot texts per shard.
+    """
     rows = spark.read.schema(MAP_SCHEMA).parquet(path)
     version = version or rows.agg(F.max("version")).first()[0]
     rows = rows.filter(F.col("version") == version).collect()
-    return SlotMap(version, shards, {r.slot: r.shard for r in rows},
-                   {r.slot: r.bytes for r in rows}, hot)
+    slots = [r for r in rows if r.slot is not None]
+    stated = next(r.shards for r in rows if r.shards is not None)
+    known = tuple(sorted(r.hot for r in rows if r.hot is not None))
+    return SlotMap(version, shards or stated, {r.slot: r.shard for r in slots},
+                   {r.slot: r.bytes for r in slots}, known if hot is None else hot)
 
 
 def placed(records: DataFrame, slot_map: SlotMap) -> DataFrame:
@@ -187,20 +201,27 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     records = digests(docs)
     slot_map = build_map(records, shards)
     path = store_map(docs.sparkSession, slot_map)
-    slot_map = load_map(docs.sparkSession, path, shards, hot=slot_map.hot)
+    slot_map = load_map(docs.sparkSession, path)
     return with_place(placed(records, slot_map))
 
 
 def write_shards(docs: DataFrame, slot_map: SlotMap, path: str) -> None:
-    """Write whole records into one folder per shard, by the same hashing and map, unshuffled."""
-    keyed = docs.withColumn("text_key", F.xxhash64(F.col("text").cast("string")))
-    spread = F.coalesce(F.col("doc_id").cast("long"), F.monotonically_increasing_id())
+    """Write whole records into one folder `in_shard=n` per shard, by the same hashing and map, unshuffled.
+
+    Columns of any name come back as they were; `in_shard` is given another name if they hold one.
+    """
+    folder = "in_shard"
+    while folder in docs.columns:
+        folder += "_"
     mapped = slot_map.frame(docs.sparkSession).select(
-        F.col("slot").alias("virtual_slot"), "shard")
+        F.col("slot").alias("virtual_slot"), F.col("shard").alias(folder))
+    keyed = docs.select(
+        whole_row(docs), F.xxhash64(F.col("text").cast("string")).alias("text_key"),
+        F.coalesce(F.col("doc_id").cast("long"), F.monotonically_increasing_id()).alias("spread"))
     (
-        keyed.withColumn("virtual_slot", slot_of(slot_map.hot, spread))
-        .join(F.broadcast(mapped), "virtual_slot").drop("text_key", "virtual_slot")
-        .write.partitionBy("shard").parquet(path)
+        keyed.withColumn("virtual_slot", slot_of(slot_map.hot, F.col("spread")))
+        .join(F.broadcast(mapped), "virtual_slot").select("row.*", folder)
+        .write.partitionBy(folder).parquet(path)
     )
 
 

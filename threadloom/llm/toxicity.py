@@ -8,10 +8,10 @@ in both directions, attention weighs their states, and a linear layer gives the
 Overlapping windows cover the whole text; the document's score is that of its worst window, and
 training passes the document's label to its worst window too.
 
-Training is done once on a sample of at most `SAMPLE` labelled documents, of each at most
-`SAMPLE_CHARS` characters from a place that its text decides; this is the only bound. Scoring reads
-whole texts, task by task, without a shuffle. The model is broadcast; its vocabulary has at most
-`VOCABULARY` words.
+Training is done once on the whole texts of at most `SAMPLE` labelled documents, which the driver
+keeps as numbers of words. Scoring reads whole texts, task by task, without a shuffle. The model is
+broadcast; its vocabulary has at most `VOCABULARY` words, others share one embedding and are read by
+their n-grams.
 
 Cases: null and empty texts are scored as one window without words; labels that are null count as no
 label; without any training row all scores are 0; repeated rows are scored each for itself; an empty
@@ -26,10 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from threadloom.llm.common import crc_of_id, long_id, words_of
+from threadloom.llm.common import crc_of_id, long_id, stored, words_of
 
 SAMPLE = 6000
-SAMPLE_CHARS = 20_000
 VOCABULARY = 20_000
 WINDOW, STEP = 48, 24
 GRAM, GRAMS = 4, 1 << 16
@@ -369,7 +368,7 @@ class Scorer:
 
 
 def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """At most `most` labelled training documents in the order of a hash, with bounded texts."""
+    """At most `most` labelled training documents in the order of a hash, with their whole texts."""
     chosen = (
         labels.select(long_id(), F.col("toxic").cast("int").alias("toxic"))
         .filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (crc_of_id() % 3 != 1))
@@ -377,18 +376,18 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    place = F.expr(
-        f"1 + pmod(xxhash64(text), greatest(1, length(text) - {SAMPLE_CHARS} + 1))").cast("int")
     return (
         docs.select(long_id(), text.alias("text")).join(F.broadcast(chosen), "doc_id")
-        .select(F.substring("text", place, F.lit(SAMPLE_CHARS)).alias("text"), "toxic")
-        .orderBy(F.xxhash64("text"), "toxic").limit(most)
+        .select("text", "toxic").orderBy(F.xxhash64("text"), "toxic").limit(most)
     )
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> dict | None:
-    rows = sample(docs, labels, most).toArrow()
-    return train((t.as_py() for t in rows.column("text")), rows.column("toxic").to_pylist())
+    """Train on whole texts, which come to the driver one by one and are kept as numbers of words."""
+    kept = stored(sample(docs, labels, most), "toxicity-sample")
+    order = [F.xxhash64("text"), F.col("toxic")]
+    toxic = [r.toxic for r in kept.orderBy(*order).select("toxic").collect()]
+    return train((r.text for r in kept.orderBy(*order).toLocalIterator()), toxic)
 
 
 def _blocks(batches, column: int):
