@@ -422,7 +422,7 @@ def _document_sql() -> dict[str, tuple[list[str], str]]:
         "stream_doc_comments": (["doc_comments"], "SELECT * FROM doc_comments"),
         "stream_doc_compact": everything,
         "stream_doc_two_sources": everything,
-        "stream_doc_empty": ([], " UNION ALL ".join(
+        "stream_doc_empty": (["flat"], " UNION ALL ".join(
             f"SELECT '{n}' AS collection, CAST(0 AS BIGINT) AS documents" for n in _COLLECTIONS)),
         "doc_layout_collections": everything,
         "doc_layout_z_order": everything,
