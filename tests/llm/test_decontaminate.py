@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -71,6 +72,24 @@ def test_short_items_and_minimum(documents, benchmark, words):
     assert found(documents(*docs), benchmark(*items)) == {(1, 1), (2, 2)}
 
 
+def test_no_replacement_within_the_agreement_is_missed(documents, benchmark, words):
+    items = [(n, " ".join(words[40 * n:40 * n + n])) for n in range(5, 14)]
+    items += [(n, " ".join(words[40 * n:40 * n + n])) for n in (16, 30)]
+    docs = [(0, " ".join(words[200:204]))]  # four words of the first item
+    for n, item in items:
+        head = min(n, dc.STRETCH)
+        for many in (1, 2, 3):
+            for places in itertools.combinations(range(head), many):
+                have = item.split()[:head]
+                for place in places:
+                    have[place] = "other"
+                if many < 3 or sum(places) % 20 == 0:
+                    docs.append((len(docs), " ".join(have)))
+    want = brute(docs, items)
+    assert len(want) == 1 + 5 + 6 + 7 + 8 + 9 + 10 + 45 + 11 + 55 + 12 + 66 + 3 * (13 + 78)
+    assert found(documents(*docs), benchmark(*items)) == want
+
+
 def test_blocks_of_seeds_give_the_same(documents, benchmark, words):
     items = [(i, " ".join(words[50 * i:50 * i + 30])) for i in range(10)]
     docs = documents(*[(i, " ".join(words[50 * i:50 * i + 20])) for i in range(12)])

@@ -7,6 +7,10 @@ benchmark in a hash join. A benchmark seed carries the words around it, so each
 the same row: some aligned stretch of `STRETCH` words (or the whole of a shorter item) must agree in
 at least `AGREE` of its words. Only verified hits are grouped.
 
+The masks lose nothing: wherever the replaced words of such a stretch stand, some mask at some place
+of it ignores them all. For `LONG` words or more, with at most two replaced, three masks of six words
+do; shorter items have masks of four words, which the documents are only asked for if there are any.
+
 Benchmark seeds are broadcast, at most about `MOST_BROADCAST` at a time: a larger set is dealt into
 blocks by seed, and the documents meet one block after the other.
 
@@ -25,15 +29,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom.llm.common import stored, whole_row
 
-# 1 marks the positions that count. The dense mask is for items too short for the others.
-MASKS = ("1101011001", "111010011", "1011001101")
-DENSE = "11111"
-SHORTEST = len(DENSE)
+# 1 marks the positions that count. Items of less than LONG words have masks of their own.
+MASKS = ("1101111", "111100011", "1100011011")
+SHORT_MASKS = ("1111", "11011", "10111", "11101")
+NUMBERED = list(enumerate(MASKS + SHORT_MASKS))
+LONG = 11
+SHORTEST = 5
 STRETCH = 13
 AGREE = 0.8
 AROUND = 24
 MOST_BROADCAST = 200_000
 LONGEST_MASK = max(map(len, MASKS))
+LEAST_PLACES = min(map(len, MASKS + SHORT_MASKS))
 
 
 def word_hashes(text: Column) -> Column:
@@ -55,8 +62,8 @@ def _seeds(sequences: DataFrame, numbered: list[Column], words: str, at: str) ->
 
     The outer explode keeps Spark from deriving a filter that would compute the words twice.
     """
-    whole = F.size(words) >= SHORTEST
-    places = F.when(whole, F.sequence(F.lit(0), F.size(words) - SHORTEST))
+    whole = F.size(words) >= LEAST_PLACES
+    places = F.when(whole, F.sequence(F.lit(0), F.size(words) - LEAST_PLACES))
     return (
         sequences.select("*", F.explode_outer(places).alias(at))
         .select("*", F.explode(F.array(*numbered)).alias("seed")).filter("seed is not null")
@@ -67,9 +74,9 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
     """Seeds with item_id, place q of the seed, and the item's words around it (`near` from `low`)."""
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text")).alias("item"))
-    wide = F.size("item") >= LONGEST_MASK
-    numbered = [F.when(wide, _seed(i, mask, "item", "q")) for i, mask in enumerate(MASKS)]
-    numbered.append(F.when(~wide, _seed(len(MASKS), DENSE, "item", "q")))
+    long, short = F.size("item") >= LONG, F.size("item").between(SHORTEST, LONG - 1)
+    numbered = [F.when(long if i < len(MASKS) else short, _seed(i, mask, "item", "q"))
+                for i, mask in NUMBERED]
     low = F.greatest(F.lit(0), F.col("q") - AROUND)
     return _seeds(items, numbered, "item", "q").select(
         "seed", "item_id", "q", F.size("item").alias("item_words"), low.alias("low"),
@@ -86,12 +93,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, stretch: int = STRETCH,
     seeds = stored(benchmark_seeds(benchmark), "benchmark-seeds")
     known, shortest = seeds.agg(F.count("*"), F.min("item_words")).first()
     blocks = max(1, -(-known // most_broadcast))
-    masks = list(MASKS)
-    if known and shortest < LONGEST_MASK:
-        masks.append(DENSE)
+    masks = NUMBERED if known and shortest < LONG else NUMBERED[:len(MASKS)]
     words = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         word_hashes(F.col("text")).alias("words"))
-    numbered = [_seed(i, mask, "words", "p") for i, mask in enumerate(masks)]
+    numbered = [_seed(i, mask, "words", "p") for i, mask in masks]
     every = _seeds(words, numbered, "words", "p")
     found = []
     for block in range(blocks):

@@ -69,11 +69,11 @@ def _seeds(source: str, key: str, at: str, masks: list[tuple[int, str, str]]) ->
 
 def decontamination_sql() -> str:
     words = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
-    spaced = list(enumerate(decontaminate.MASKS))
-    wide = f"len(ws) >= {decontaminate.LONGEST_MASK}"
-    dense = (len(spaced), decontaminate.DENSE)
-    of_items = [(n, m, wide) for n, m in spaced] + [(*dense, f"NOT {wide}")]
-    of_docs = [(n, m, "TRUE") for n, m in [*spaced, dense]]
+    long = f"len(ws) >= {decontaminate.LONG}"
+    short = f"len(ws) BETWEEN {decontaminate.SHORTEST} AND {decontaminate.LONG - 1}"
+    of_items = [(n, m, long if n < len(decontaminate.MASKS) else short)
+                for n, m in decontaminate.NUMBERED]
+    of_docs = [(n, m, "TRUE") for n, m in decontaminate.NUMBERED]
     near = decontaminate.LONGEST_MASK + 2 * decontaminate.AROUND
     return f"""
     WITH items AS (SELECT item_id, ws, unnest(range(0, len(ws))) AS q
