@@ -61,6 +61,26 @@ def test_parts_without_main_text_go_by_their_meaning(pages):
         1: "Head & line\nOne two three\nFour five six\na\nb\nx < y"}
 
 
+def test_names_of_text_blocks_and_cards_do_not_hide_an_article(pages):
+    card = "<article class=card>teaser</article>"
+    rows = [
+        (1, "u", f"<body><main><p>text of the page</p>{card}</main>"),
+        (2, "u", "<article><h2 id='search'>Search</h2><p class='share'>Share prices rose.</p>"
+                 "<section id='related-work'>Others</section><div id='related-posts'>more</div>"
+                 "<div class='share'>tell</div><section id='comments'>reader</section></article>"),
+        (3, "u", "<main><p>intro</p><article class='post'>the longer text of the article</article>"
+                 "</main>"),
+        (4, "u", "<main><p>a text that is longer than its parts</p><article>part</article></main>"),
+        (5, "u", f"<main><p>a text that is longer</p></main>{card}"),
+        (6, "u", "<main class='ad'><article>inside</article></main><article>own</article>"),
+        (7, "u", "<p class='share'>outside</p><p>text</p>"),
+    ]
+    assert texts(pages(*rows)) == {
+        1: "text of the page", 2: "Search\nShare prices rose.\nOthers",
+        3: "the longer text of the article", 4: "a text that is longer than its parts\npart",
+        5: "a text that is longer", 6: "own", 7: "text"}
+
+
 def test_tolerant_parsing(pages):
     rows = [(1, None, None), (2, "u", ""), (3, "http://f/", "plain & text &eacute; < 5"),
             (4, "http://f/", "<p>a<p>b</div></p><b>c"), (5, "http://f/", "<p title='>'>x</p"),

@@ -8,7 +8,10 @@ never holds main text by its meaning (navigation, forms, scripts, adverts, comme
 deleted on every page, so that a host with few pages is extracted too.
 
 Inside an article only containers that are not text blocks can be template, so a paragraph that many
-pages quote stays. If deletion leaves nothing of a page without an article, as on hosts whose pages
+pages quote stays, and no text block goes by its id or class. A container there goes by its id only if
+all words of the id name such parts, as section ids are link targets. The article is the outermost
+`article`; where `main` holds more text beside its articles than all articles have, `main` is the
+article, without those that are named cards. If deletion leaves nothing of a page without an article, as on hosts whose pages
 are all alike, the page is kept whole but for what is deleted by meaning.
 
 Cases: null and empty html have empty text; null url is a host of its own; unclosed, misplaced and
@@ -67,10 +70,19 @@ ARTICLE = {"article", "main"}
 NEVER_ARTICLES = re.compile(
     r"(?:^|[^a-z])(?:ads?|adverts?|sponsored|promos?|comments?|reply|replies|related|teasers?)"
     r"(?=$|[^a-z])")
+# Words that may stand beside those in the id of a container.
+ID_WORDS = {"area", "block", "box", "container", "content", "form", "items", "links", "list", "main",
+            "section", "site", "wrap", "wrapper", "bottom", "left", "right", "top", "articles", "posts"}
+# Words that name an article which leads to another page.
+CARDS = re.compile(r"(?:^|[^a-z])(?:cards?|tiles?|previews?)(?=$|[^a-z])")
 # Text blocks of an article are never template, however often they are quoted.
 PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "li", "dd", "dt", "table",
          "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "figcaption", "ol", "ul", "dl",
          "b", "i", "em", "strong", "a", "span", "code", "sub", "sup", "br", "q", "cite"}
+# Those of them that no id or class of theirs deletes.
+TEXT_BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "dd", "dt", "dl", "table",
+               "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "figcaption", "code", "q",
+               "cite", "b", "i", "em", "strong", "sub", "sup"}
 # Elements without text of their own that deleting would not show, and the page as a whole.
 PLAIN = VOID | {"html", "head", "body", "script", "style", "title"}
 CLOSES_P = BLOCKS - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}
@@ -84,11 +96,12 @@ LIMITS = {"article", "main", "aside", "section", "div", "td", "th", "table", "bo
 
 
 class Node:
-    __slots__ = ("tag", "names", "never", "children", "code")
+    __slots__ = ("tag", "names", "never", "children", "code", "within")
 
-    def __init__(self, tag: str, attributes: str = ""):
+    def __init__(self, tag: str, attributes: str = "", within: bool = False):
         self.tag, self.children, self.code = tag, [], 0
         self.names = ""
+        self.within = within  # inside an article or main
         self.never = tag in NEVER
         if attributes and "=" in attributes or "hidden" in attributes:
             names = []
@@ -96,8 +109,7 @@ class Node:
                 name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
                 if name in ("class", "id"):
                     names.append(f"{name}={value}")
-                    pattern = NEVER_ARTICLES if tag in ARTICLE else NEVER_WORDS
-                    if tag not in ("html", "body") and pattern.search(value):
+                    if self._named_never(name, value):
                         self.never = True
                 elif name == "role" and value in NEVER_ROLES:
                     self.never = True
@@ -109,6 +121,16 @@ class Node:
                     self.never = True
             self.names = " ".join(names)
 
+    def _named_never(self, name: str, value: str) -> bool:
+        if self.tag in ARTICLE:
+            return bool(NEVER_ARTICLES.search(value))
+        if self.tag in ("html", "body") or self.within and self.tag in TEXT_BLOCKS:
+            return False
+        if self.within and name == "id":
+            words = [w for w in re.split(r"[^a-z]+", value) if w and w not in ID_WORDS]
+            return bool(words) and all(NEVER_WORDS.search(w) for w in words)
+        return bool(NEVER_WORDS.search(value))
+
 
 def parse(source: str) -> Node:
     """A tree of nodes and decoded strings; tolerant of any input."""
@@ -133,7 +155,8 @@ def parse(source: str) -> Node:
             _close(stack, tag)
             continue
         _make_room(stack, tag)
-        node = Node(tag, m[3] or m[6] or "")
+        over = stack[-1]
+        node = Node(tag, m[3] or m[6] or "", over.within or over.tag in ARTICLE)
         stack[-1].children.append(node)
         if tag in VOID:
             continue
@@ -182,20 +205,31 @@ def _make_room(stack: list[Node], tag: str) -> None:
             del stack[last:]
 
 
+def _outermost(root: Node, wanted: str) -> list[Node]:
+    """Outermost elements of a tag that no deleted element holds, in page order."""
+    found, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        if node.tag == wanted and not node.never:
+            found.append(node)
+            continue
+        waiting += [c for c in reversed(node.children) if isinstance(c, Node) and not c.never]
+    return found
+
+
 def _articles(root: Node) -> list[Node]:
-    """Outermost article or main elements that no deleted element holds; article goes first."""
-    for wanted in ("article", "main"):
-        found, waiting = [], [root]
-        while waiting:
-            node = waiting.pop()
-            if node.tag == wanted:
-                found.append(node)
-                continue
-            waiting += [c for c in reversed(node.children)
-                        if isinstance(c, Node) and not c.never]
-        if found:
-            return found
-    return []
+    """The elements that hold the page's article; none if no tag tells."""
+    articles, mains = _outermost(root, "article"), _outermost(root, "main")
+    if not articles or not mains:
+        return articles or mains
+    held = [a for m in mains for a in _outermost(m, "article")]
+    whole, inside, of_articles = (
+        sum(map(len, blocks(nodes, frozenset(), True))) for nodes in (mains, held, articles))
+    if whole - inside <= of_articles:
+        return articles
+    for article in articles:
+        article.never = bool(CARDS.search(article.names))
+    return mains
 
 
 def blocks(nodes: list[Node], template: frozenset[int] | set[int], article: bool) -> list[str]:
