@@ -81,6 +81,17 @@ def test_mixed_repeats_whole_rows(documents, odd_rows):
     assert Counter((r.doc_id, r.source) for r in out.collect()) == +often
 
 
+def test_one_row_repeated_very_often(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 8)
+    docs = documents(*[(1, "same words here", "a")] * 700, *[(i, "w " * i, "b") for i in range(2, 40)],
+                     *[(None, "no id", None)] * 30)
+    rows = check(docs)
+    often = Counter()
+    for r in rows:
+        often[(r.doc_id, r.source)] += r.copies
+    assert Counter((r.doc_id, r.source) for r in mixing.mixed(docs).collect()) == +often
+
+
 def test_empty_table(documents):
     empty = documents().filter("false")
     assert mixing.op3(empty).collect() == [] and mixing.mixed(empty).collect() == []

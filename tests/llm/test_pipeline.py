@@ -40,6 +40,28 @@ def test_run_gives_the_last_stage(spark, data_directory):
         total += r.n_tokens
 
 
+def written(spark, folder, documents, labels, benchmark):
+    documents.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(
+        f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def test_empty_tables_through_all_stages(spark, documents, tmp_path):
+    folder = written(spark, tmp_path, documents().filter("false"), [], [])
+    assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def test_odd_rows_through_all_stages(spark, documents, odd_rows, tmp_path):
+    leak = (77, "one two three four five six seven eight nine ten eleven twelve thirteen")
+    folder = written(spark, tmp_path, documents(*odd_rows, leak), [(r[0], 0) for r in odd_rows],
+                     [(1, leak[1]), (2, None)])
+    rows = corpus_pipeline.run(spark, folder).collect()
+    assert rows and {r.doc_id for r in rows} <= {r[0] for r in odd_rows}
+    assert sorted(r.start for r in rows)[0] == 0 and all(r.n_tokens > 0 for r in rows)
+
+
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
     assert numbers == list(range(1, 14))

@@ -26,6 +26,7 @@ WEIGHTS = (5, 2, 1)
 TOTAL = 1.5
 MOST_COPIES = 2
 FAN = 64
+CHUNK = 4096
 SEED = 7
 
 
@@ -166,7 +167,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = T
     want = F.when(F.col("source_size") > 0,
                   F.least(F.lit(float(most)), F.col("target") / F.col("source_size"))).otherwise(0.0)
     units = stored(
-        digest.withColumn("no", F.explode(F.expr("sequence(1L, equal)")))
+        numbered(digest, "equal", "no", digest)
         .join(goal.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name")))
         .withColumn("want", want)
         .withColumn("key", F.xxhash64("doc_id", "source", "row_hash", "no")), "mix-units")
@@ -185,6 +186,19 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = T
         (F.floor("want") + F.col("p")).cast("long").alias("copies"))
 
 
+def numbered(rows: DataFrame, times: str, number: str, known: DataFrame) -> DataFrame:
+    """Every row as often as its column `times` says, numbered from 1.
+
+    Numbers are made in chunks, so that no array grows with a row's copies. The chunks are dealt over
+    tasks if a row has several, as the stored table `known` with the same column tells.
+    """
+    chunks = rows.withColumn("chunk", F.explode(F.expr(f"sequence(0L, ({times} - 1) div {CHUNK})")))
+    if known.filter(F.col(times) > CHUNK).head(1):
+        chunks = chunks.repartition("row_hash", "chunk")
+    first, last = f"chunk * {CHUNK} + 1", f"least({times}, (chunk + 1) * {CHUNK})"
+    return chunks.withColumn(number, F.explode(F.expr(f"sequence({first}, {last})"))).drop("chunk")
+
+
 def row_hash(docs: DataFrame) -> Column:
     """A hash of all columns of a row, nulls told apart from what hashing skips."""
     parts = [x for name in docs.columns for x in (
@@ -193,21 +207,18 @@ def row_hash(docs: DataFrame) -> Column:
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The mix itself: every row as often as it is wanted, all columns unchanged."""
-    often = copies(docs, **settings).groupBy("doc_id", "row_hash").agg(
-        F.sum("copies").alias("every"), F.count("*").alias("equal")).withColumnsRenamed(
-        {"doc_id": "id", "row_hash": "hash"})
-    keyed = docs.select(whole_row(docs), F.col("doc_id").cast("long").alias("key"),
-                        row_hash(docs).alias("own"))
-    joined = keyed.join(often, F.col("key").eqNullSafe(F.col("id")) & (F.col("own") == F.col("hash")))
-    # Rows that are equal in all columns share their copies evenly.
-    number = F.row_number().over(Window.partitionBy("id", "hash").orderBy("hash"))
-    each = F.expr("every div equal + int(n <= every % equal)")
-    return (
-        joined.withColumn("n", number).withColumn("times", each).filter("times > 0")
-        .select("row", F.explode(F.expr("sequence(1L, times)")).alias("time"))
-        .select("row.*")
-    )
+    """The mix itself: every row as often as it is wanted, all columns unchanged.
+
+    Rows that are equal in all columns become one before the shuffle.
+    """
+    key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))  # "" is the null id
+    often = stored(
+        copies(docs, **settings).groupBy(key.alias("key"), "row_hash")
+        .agg(F.sum("copies").alias("every")).filter("every > 0"), "mix-often")
+    rows = docs.select(whole_row(docs), key.alias("key"), row_hash(docs).alias("row_hash")).groupBy(
+        "key", "row_hash").agg(F.first("row").alias("row"))
+    joined = rows.join(often, ["key", "row_hash"])
+    return numbered(joined.select("row", "row_hash", "every"), "every", "time", often).select("row.*")
 
 
 def op3(docs: DataFrame) -> DataFrame:
