@@ -2,7 +2,6 @@ import math
 import zlib
 from collections import Counter
 
-import numpy as np
 import pytest
 
 from threadloom.llm import suffix_tree as st
@@ -48,31 +47,97 @@ def test_longer_contexts_are_learnt(documents):
     assert two > one + 0.05 and three >= two - 1e-6
 
 
-def test_distributions_sum_to_one(test_documents, spark):
-    counts = st.word_counts(test_documents)
-    words = st.known_words(counts)
-    shared = spark.sparkContext.broadcast(words)
-    encoded = st.stored(st._texts(test_documents).mapInArrow(st._encoder(shared), st.ENCODED), "e")
-    tree = st.grow(encoded, words)
-    assert tree.kept.sum() > 3
-    every = np.arange(tree.symbols)
-    for node in np.flatnonzero(tree.kept)[:40]:
-        suffix = tree.root[every]
-        if node:
-            suffix = tree._in_node(np.full(len(every), node), every, suffix)
-        # A deeper node's suffix may be kept too; the mass left to it is the same whatever it is.
-        if node == 0 or node in tree.levels[0][1]:
-            assert (10 ** suffix).sum() == pytest.approx(1, abs=1e-9)
-    outside = st._outside_total(words.counts, words.symbols, words.tokens, words.distinct)
-    listed = [r.c for r in counts.collect()
-              if r.word and words.ids.get(bytes(r.word), 0) not in range(1, words.symbols)]
-    assert (sum(listed) + 0.1 * len(listed) + 0.1) / outside == pytest.approx(1)
+class PlainTree:
+    """The same tree held whole in dictionaries."""
+
+    def __init__(self, rows):
+        texts = [words_of(text) + [b""] for key, text in rows if not held_out(key)]
+        self.words = Counter(w for own in texts for w in own)
+        self.norm = sum(self.words.values()) + 0.1 * (len(self.words) + 1)
+        self.after = {}
+        for own in texts:
+            for context, word in self.places(own):
+                for k in range(1, len(context) + 1):
+                    self.after.setdefault(context[:k], Counter())[word] += 1
+        self.kept = set()
+        for context in sorted(self.after, key=len):
+            counts = self.after[context]
+            if counts.total() < st.LEAST_CONTEXT:
+                continue
+            gain = sum(n * math.log(self.given(context, w) / self.chance(context[:-1], w))
+                       for w, n in counts.items())
+            if gain > st.LEAST_GAIN + len(counts):
+                self.kept.add(context)
+
+    @staticmethod
+    def places(own):
+        """Up to three words before each word, the newest first; an end precedes a text."""
+        for i, word in enumerate(own):
+            yield tuple(([b""] + own)[max(0, i + 1 - st.DEPTH):i + 1][::-1]), word
+
+    def given(self, context, word):
+        counts = self.after[context]
+        return ((counts[word] + st.SMOOTHING * self.chance(context[:-1], word))
+                / (counts.total() + st.SMOOTHING))
+
+    def chance(self, context, word):
+        if not context:
+            return (self.words[word] + 0.1) / self.norm
+        return self.given(context, word) if context in self.kept else self.chance(context[:-1], word)
+
+    def score(self, text):
+        return sum(math.log10(self.chance(c, w)) for c, w in self.places(words_of(text) + [b""]))
+
+
+def check_scores(docs):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    plain = PlainTree(rows)
+    wanted = sorted((str(key), plain.score(text)) for key, text in rows)
+    found = sorted((str(r.doc_id), r.score) for r in st.scores(docs).collect())
+    assert [key for key, _ in found] == [key for key, _ in wanted]
+    assert [s for _, s in found] == pytest.approx([s for _, s in wanted], rel=1e-5)
+    return plain
+
+
+@pytest.mark.parametrize("hot_share", [2.0, 5e-3])
+def test_scores_equal_those_of_a_plain_tree(test_documents, monkeypatch, hot_share):
+    """With no context hot, and with those of a two-hundredth of all tokens."""
+    monkeypatch.setattr(st, "HOT_SHARE", hot_share)
+    plain = check_scores(test_documents)
+    assert {len(c) for c in plain.kept} >= {1, 2}
+
+
+def test_words_unknown_to_the_tasks_are_symbols_too(test_documents, monkeypatch):
+    monkeypatch.setattr(st, "HOT_SHARE", 2.0)
+    monkeypatch.setattr(st, "KNOWN_SHARE", 2e-3)
+    monkeypatch.setattr(st, "BLOCK_TOKENS", 3000)
+    check_scores(test_documents)
+
+
+def test_distributions_sum_to_one(test_documents):
+    rows = [(r.doc_id, r.text) for r in test_documents.select("doc_id", "text").collect()]
+    plain = PlainTree(rows)
+    assert len(plain.kept) > 3
+    for context in sorted(plain.kept)[:40]:
+        total = sum(plain.chance(context, w) for w in plain.words)
+        unseen = plain.chance(context, b"\xff no word")
+        assert total + unseen == pytest.approx(1, abs=1e-9)
+
+
+@pytest.mark.parametrize("filler", [500, 10_000])
+def test_a_context_seen_thirty_times_is_learnt_in_a_table_of_any_size(documents, filler):
+    rows = [(i, f"zeta eta theta {i}") for i in range(34)]
+    rows += [(1000 + i, " ".join(f"w{(i * 7 + j * j) % 5000}" for j in range(60)))
+             for i in range(filler)]
+    found = [r for r in st.scores(documents(*rows)).collect() if r.doc_id < 34 and r.held_out]
+    assert found
+    for r in found:
+        assert r.score > r.base_score + 4
 
 
 def test_low_bounds_leave_base_scores_unchanged(test_documents, monkeypatch):
     """Most words are left to the join when few may be known."""
     monkeypatch.setattr(st, "KNOWN_SHARE", 1e-3)
-    monkeypatch.setattr(st, "SYMBOL_SHARE", 5e-3)
     monkeypatch.setattr(st, "HELD_COUNTS", 500)
     monkeypatch.setattr(st, "BLOCK_TOKENS", 1000)
     check_base(test_documents)

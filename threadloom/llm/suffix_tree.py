@@ -1,19 +1,23 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-Words in training texts are counted exactly. Words with at least `SYMBOL_SHARE` of all tokens are
-symbols of the tree, together with the end of a text and one symbol for all other words; a text is
-preceded by an end. The tree grows level by level: a context is looked at if its suffix has been and
-it makes up at least `CONTEXT_SHARE` of all tokens, and it is kept if its next symbols diverge from
-those after its suffix, that is if they raise the likelihood by more than their number. Next symbols
-of a context that are rarer than `PAIR_SHARE` of all tokens give their mass to the suffix, and every
-distribution is smoothed towards that of the suffix, so each sums to 1. A word outside the symbols
-has the probability of their common symbol times its smoothed share among them.
-
-Shares bound what reaches the driver or is broadcast: there are at most 1/share words, contexts of a
-level or pairs of a level above it, whatever the input. All other counts stay in tables: words below
-`KNOWN_SHARE` are joined to the texts by word.
-
-Each token is scored in the longest kept suffix of what precedes it.
+Words in training texts are counted exactly; the root of the tree is their smoothed distribution, the
+base. A text is preceded by an end. A context of up to `DEPTH` words is looked at if it is followed
+`LEAST_CONTEXT` times by a word in training texts, and it is kept if the words after it diverge from
+those after its suffix, that is if they raise the likelihood by more than their number. A kept context
+gives each word (n + SMOOTHING * p) / (total + SMOOTHING), where p is what its suffix gives, so every
+distribution sums to 1. Each token is scored in the longest kept suffix of what precedes it.
+
+These floors do not depend on the input: the tree grows with the corpus and lies in no single place.
+Positions are dealt by what precedes them, so that all positions below a context meet in one bucket,
+which counts its branch of the tree and scores its positions; there are buckets for every
+`BUCKET_TOKENS` tokens. Contexts that hold `HOT_SHARE` of all tokens would crowd a bucket. There are at
+most 1/share of them on each level; they are counted level by level before, kept on the driver and
+broadcast, and positions behind them are dealt by the next longer context. Only the words that a hot
+context is followed by in fewer than `PAIR_SHARE` of all tokens have a floor that rises: its suffix
+predicts these, the branches behind it still tell them apart.
+
+Words below `KNOWN_SHARE` are joined to the texts by word; in contexts and after them they stand for
+themselves, told apart by 31 bits of a hash.
 
 Cases: null and empty texts are the end alone; texts are read whole; repeated rows count and are
 scored each for itself; null ids count as the empty id text; without training rows all counts are 0
@@ -24,7 +28,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +37,9 @@ from pyspark.sql import DataFrame, functions as F
 from threadloom.llm.common import crc_of_id, long_id, stored, words_of
 
 KNOWN_SHARE = 2e-6
-SYMBOL_SHARE = 1e-5
-CONTEXT_SHARE = 5e-5
+HOT_SHARE = 1e-3
 PAIR_SHARE = 2e-7
-LEAST_CONTEXT, LEAST_PAIR, LEAST_SYMBOL = 20, 2, 2
+LEAST_CONTEXT = 20
 DEPTH = 3
 SMOOTHING = 20.0
 # A context is kept if it gains this many nats, and one for each next symbol that it names.
@@ -44,9 +47,16 @@ LEAST_GAIN = 5.0
 OTHER, END = 0, 1
 HELD_COUNTS = 300_000
 BLOCK_TOKENS = 2_000_000
+BUCKET_TOKENS = 2_000_000
+# Symbols of words below KNOWN_SHARE begin here; the last number stands for nothing before a text.
+RARE = 1 << 31
+NOTHING = (1 << 32) - 1
 
 ENCODED = "row long, doc_id long, held_out boolean, n_tokens long, ids binary, rare array<binary>"
-SCORED = "row long, n_known long, n_rare long, base double, tree double"
+DEALT = "bucket long, positions binary, texts binary"
+SCORED = "row long, n_known long, base double, tree double"
+POSITION = ["<u4"] * (DEPTH + 1) + ["<f4", "<u8", "u1"]
+TEXT = ["<i8", "<i8", "<f8", "<f8"]
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -91,9 +101,18 @@ class Words:
     distinct: int
     ids: dict[bytes, int]
     counts: np.ndarray
-    symbols: int
     least_known: int
 
+    @property
+    def root(self) -> np.ndarray:
+        """log10 of each known word; 0 for others, whose own logs are added where they are known."""
+        logs = self.log(self.counts)
+        logs[OTHER] = 0.0
+        return logs
+
+    def log(self, counts: np.ndarray) -> np.ndarray:
+        return np.log10((counts + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
+
     @property
     def kind(self) -> str:
         return "<u2" if len(self.counts) < 1 << 16 else "<u4"
@@ -107,8 +126,7 @@ def known_words(counts: DataFrame) -> Words:
     ends = sum(c for w, c in zip(rows["word"], rows["c"]) if not w)
     ids = {w: i + 2 for i, (_, w) in enumerate(pairs)}
     array = np.array([0, ends, *(-c for c, _ in pairs)], np.int64)
-    enough = max(LEAST_SYMBOL, int(np.ceil(SYMBOL_SHARE * tokens)))
-    return Words(tokens, distinct, ids, array, 2 + int((array[2:] >= enough).sum()), least)
+    return Words(tokens, distinct, ids, array, least)
 
 
 def _encoder(shared):
@@ -134,16 +152,19 @@ def _encoder(shared):
 
 @dataclass
 class Tree:
-    """Nodes of all levels; node 0 is the root. Children are found by parent and older symbol."""
+    """Hot nodes of all levels; node 0 is the root. Children are found by parent and older symbol."""
 
-    symbols: int
-    root: np.ndarray  # log10 of each symbol
+    root: np.ndarray  # log10 of each known word
     levels: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # keys, nodes
     kept: np.ndarray = field(default_factory=lambda: np.ones(1, bool))
     rest: np.ndarray = field(default_factory=lambda: np.zeros(1))  # log10 share left to the suffix
     pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     logs: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
+    @property
+    def symbols(self) -> int:
+        return len(self.root)
+
     def walk(self, symbols: np.ndarray, start: np.ndarray) -> Iterator[np.ndarray]:
         """The node of each position at level 1, 2, ...; -1 where there is none.
 
@@ -162,14 +183,15 @@ class Tree:
             node = np.where(found, nodes[at] if len(nodes) else -1, -1)
             yield node
 
-    def score(self, symbols: np.ndarray, start: np.ndarray) -> np.ndarray:
-        """log10 of each token's symbol in its longest kept suffix."""
-        out = self.root[symbols]
-        for node in self.walk(symbols, start):
+    def score(self, symbols: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of each token in its longest hot suffix that is kept, and levels of hot suffixes."""
+        out, depth = self.root[symbols], np.zeros(len(symbols), np.int64)
+        for level, node in enumerate(self.walk(symbols, start), 1):
+            depth[node >= 0] = level
             use = np.flatnonzero((node >= 0) & self.kept[node])
             if len(use):
                 out[use] = self._in_node(node[use], symbols[use], out[use])
-        return out
+        return out, depth
 
     def _in_node(self, node, symbol, suffix):
         """log10 of symbols after kept nodes, given what they have after the suffix."""
@@ -180,11 +202,6 @@ class Tree:
         return np.where(named, logs, self.rest[node] + suffix)
 
 
-def _symbols_of(ids: np.ndarray, symbols: int) -> np.ndarray:
-    ids = ids.astype(np.int64)
-    return np.where(ids < symbols, ids, OTHER)
-
-
 def _blocks(batches, columns: list[str], kind: str):
     """Blocks of texts: their other columns, ids of all tokens, start of each token's text, text."""
     for batch in batches:
@@ -208,7 +225,7 @@ def _pair_counter(shared, kind: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = shared.value
         for _, ids, start, _ in _blocks(batches, [], kind):
-            symbols = _symbols_of(ids, tree.symbols)
+            symbols = ids.astype(np.int64)
             node = None
             for node in tree.walk(symbols, start):
                 pass
@@ -235,21 +252,17 @@ def _full(tree: Tree, parent_rows: np.ndarray, symbol: np.ndarray, parent_of: li
 
 
 def grow(encoded: DataFrame, words: Words, depth: int = DEPTH) -> Tree:
-    """Grows the tree level by level; each level counts its pairs in one pass over the ids."""
-    counts = words.counts
-    n = counts[:words.symbols].astype(np.float64)
-    n[OTHER] = words.tokens - counts[1:words.symbols].sum()
-    tree = Tree(words.symbols, np.log10((n + 0.5) / (words.tokens + 0.5 * words.symbols)))
+    """The hot part of the tree, level by level; each level counts its pairs in one pass."""
+    tree = Tree(words.root)
     if not words.tokens:
         return tree
-    least_context = max(LEAST_CONTEXT, int(np.ceil(CONTEXT_SHARE * words.tokens)))
-    least_pair = max(LEAST_PAIR, int(np.ceil(PAIR_SHARE * words.tokens)))
+    least_context = max(LEAST_CONTEXT, int(np.ceil(HOT_SHARE * words.tokens)))
+    least_pair = max(1, int(np.ceil(PAIR_SHARE * words.tokens)))
     spark = encoded.sparkSession
     training = encoded.filter("not held_out").select("ids")
-    # Children to be looked at: parent node and older symbol. All symbols may precede the root.
-    size_of_symbol = n.astype(np.int64)
-    parents = np.zeros(int((size_of_symbol >= least_context).sum()), np.int64)
-    older = np.flatnonzero(size_of_symbol >= least_context)
+    # Children to be looked at: parent node and older symbol. All words may precede the root.
+    older = np.flatnonzero(words.counts >= least_context)
+    parents = np.zeros(len(older), np.int64)
     chains: list[list[int]] = [[0]]  # the nodes from the root to each node
     sequences: list[tuple[int, ...]] = [()]  # symbols of each node, the newest first
     for level in range(1, depth + 1):
@@ -270,7 +283,9 @@ def grow(encoded: DataFrame, words: Words, depth: int = DEPTH) -> Tree:
             .groupBy("code").agg(F.sum("n").alias("n"))
             .withColumn("node", F.expr(f"code div {tree.symbols}L")), "pairs")
         totals = table.groupBy("node").agg(F.sum("n").alias("total")).toArrow()
-        named = table.filter(F.col("n") >= least_pair).select("code", "n").toArrow()
+        named = table.filter(
+            (F.col("n") >= least_pair) & (F.col("code") % tree.symbols != OTHER)
+        ).select("code", "n").toArrow()
         shared.unpersist()
         _add_level(tree, level, chains, totals, named)
         # A longer context is its suffix and one more symbol before it; how often it occurs is
@@ -322,67 +337,169 @@ def _add_level(tree: Tree, level: int, chains: list[list[int]], totals: pa.Table
     tree.pairs, tree.logs = pairs[order], logs[order]
 
 
-def _scorer(shared_words, shared_tree):
-    """Sums per text over known words; rare words are left to a join."""
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, tokens, distinct, kind = shared_words.value
-        tree = shared_tree.value
-        base = np.log10((counts + 0.1) / (tokens + 0.1 * (distinct + 1)))
-        outside = np.log10(counts + 0.1) - np.log10(_outside_total(counts, tree.symbols, tokens,
-                                                                   distinct))
-        outside[:tree.symbols] = 0.0
-        for (rows,), ids, start, text in _blocks(batches, ["row"], kind):
+def _packed(columns: list[np.ndarray], kinds: list[str]) -> bytes:
+    """Columns as planes of equal bytes, which compress where numbers are small or sorted."""
+    return b"".join(
+        np.ascontiguousarray(c.astype(kind)).view(np.uint8).reshape(len(c), -1).T.tobytes()
+        for c, kind in zip(columns, kinds))
+
+
+def _unpacked(parts: list[bytes], kinds: list[str]) -> list[np.ndarray]:
+    width = sum(np.dtype(kind).itemsize for kind in kinds)
+    columns: list[list[np.ndarray]] = [[] for _ in kinds]
+    for part in parts:
+        n, at = len(part) // width, 0
+        for column, kind in zip(columns, kinds):
+            size = np.dtype(kind).itemsize
+            planes = np.frombuffer(part, np.uint8, n * size, at).reshape(size, n)
+            column.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+            at += n * size
+    return [np.concatenate(c) if c else np.zeros(0, kind) for c, kind in zip(columns, kinds)]
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    return h ^ (h >> np.uint64(29))
+
+
+def _dealer(shared, buckets: int, depth: int):
+    """Positions behind the hot contexts, dealt by the shortest context that is not hot.
+
+    A position is its older words, its word, the log10 that the hot contexts give it, its row with
+    one bit for training rows, and the number of hot contexts. Sums over all other positions of a
+    text go along once.
+    """
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, tree = shared.value
+        columns = ["row", "held_out", "rare_c", "rare_symbol"]
+        for (rows, held, rare_c, rare_symbol), ids, start, text in _blocks(
+                batches, columns, words.kind):
+            rows = rows.to_numpy().astype(np.int64)
+            trained = ~held.to_numpy(zero_copy_only=False)
             ids = ids.astype(np.int64)
-            rare = ids == OTHER
-            logs = tree.score(_symbols_of(ids, tree.symbols), start) + outside[ids]
+            count, symbols, other = words.counts[ids], ids.copy(), ids == OTHER
+            count[other] = rare_c.flatten().to_numpy()
+            symbols[other] = rare_symbol.flatten().to_numpy()
+            logs, hot = tree.score(ids, start)
+            base = words.log(count)
+            logs[other] += base[other]
+            place = np.arange(len(ids))
+            past = [np.full(len(ids), NOTHING)] * DEPTH
+            for k in range(1, depth + 1):
+                older = place - k
+                past[k - 1] = np.where(older >= start, symbols[np.maximum(older, 0)],
+                                       np.where(older == start - 1, END, NOTHING))
+            newest = np.where(place > start, count[np.maximum(place - 1, 0)], words.counts[END])
+            cold = (hot < depth) & (newest >= LEAST_CONTEXT)
+            key = np.zeros(len(ids), np.uint64)
+            for k, symbol in enumerate(past):
+                cold &= (hot != k) | (symbol != NOTHING)
+                key = np.where(hot >= k, _mixed(key + symbol.astype(np.uint64) + np.uint64(1)), key)
             m = len(rows)
+            sums = _packed(
+                [rows, np.bincount(text, count > 0, m), np.bincount(text, base, m),
+                 np.bincount(text, np.where(cold, 0.0, logs), m)], TEXT)
+            at = np.flatnonzero(cold)
+            bucket = (key[at] % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((symbols[at], past[0][at], bucket))
+            at, bucket = at[order], bucket[order]
+            row = rows[text[at]] * 2 + trained[text[at]]
+            own = [*[p[at] for p in past], symbols[at], logs[at], row, hot[at]]
+            edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
+            numbers, packed = [int(rows[0] % buckets)], [b""]
+            for low, high in zip(edges, edges[1:]):
+                numbers.append(int(bucket[low]))
+                packed.append(_packed([c[low:high] for c in own], POSITION))
             yield pa.RecordBatch.from_arrays(
-                [rows,
-                 pa.array(np.bincount(text, ~rare & (counts[ids] > 0), m).astype(np.int64)),
-                 pa.array(np.bincount(text, rare, m).astype(np.int64)),
-                 pa.array(np.bincount(text, np.where(rare, 0.0, base[ids]), m)),
-                 pa.array(np.bincount(text, logs, m))],
-                names=["row", "n_known", "n_rare", "base", "tree"])
-
-    return score
-
-
-def _outside_total(counts: np.ndarray, symbols: int, tokens: int, distinct: int) -> float:
-    """Smoothed number of tokens of words that are no symbols."""
-    inside = counts[1:symbols]
-    kinds = distinct - int((inside > 0).sum())
-    return tokens - float(inside.sum()) + 0.1 * (max(0, kinds) + 1)
+                [pa.array(numbers, pa.int64()), pa.array(packed, pa.binary()),
+                 pa.array([sums] + [b""] * (len(packed) - 1), pa.binary())],
+                names=["bucket", "positions", "texts"])
+
+    return deal
+
+
+def _branches(past: list[np.ndarray], symbol: np.ndarray, logs: np.ndarray, trained: np.ndarray,
+              hot: np.ndarray) -> np.ndarray:
+    """log10 of each position in its longest kept suffix, from all positions of the branches."""
+    logs = logs.astype(np.float64)
+    active = np.arange(len(symbol))
+    group = np.zeros(len(symbol), np.int64)
+    for level, older in enumerate(past, 1):
+        use = older[active] != NOTHING
+        active, group = active[use], group[use]
+        if not len(active):
+            break
+        _, group = np.unique(group << 32 | older[active].astype(np.int64), return_inverse=True)
+        total = np.bincount(group, trained[active])
+        # Up to the level of its hot contexts a branch is only told apart.
+        known = hot[active] >= level
+        use = known | (total[group] >= LEAST_CONTEXT)
+        active, group, known = active[use], group[use], known[use]
+        _, first, pair = np.unique(
+            group << 32 | symbol[active].astype(np.int64), return_index=True, return_inverse=True)
+        n = np.bincount(pair, trained[active])
+        of, before = group[first], logs[active[first]]
+        p = (n + SMOOTHING * 10.0 ** before) / (total[of] + SMOOTHING)
+        gain = np.bincount(of, n * (np.log(p) - before * np.log(10)), len(total))
+        keep = gain > LEAST_GAIN + np.bincount(of, n > 0, len(total))
+        better = keep[group] & ~known
+        logs[active[better]] = np.log10(p)[pair[better]]
+    return logs
+
+
+def _score_bucket(table: pa.Table) -> pa.Table:
+    """Sums by row over the positions of a bucket, and the sums that came along."""
+    *past, symbol, logs, row, hot = _unpacked(
+        [p for p in table.column("positions").to_pylist() if p], POSITION)
+    logs = _branches(past, symbol, logs, (row & np.uint64(1)).astype(bool), hot)
+    rows, of = np.unique((row >> np.uint64(1)).astype(np.int64), return_inverse=True)
+    texts, known, base, tree = _unpacked([t for t in table.column("texts").to_pylist() if t], TEXT)
+    none = np.zeros(len(rows))
+    return pa.table({
+        "row": np.concatenate([rows, texts]),
+        "n_known": np.concatenate([none.astype(np.int64), known]),
+        "base": np.concatenate([none, base]),
+        "tree": np.concatenate([np.bincount(of, logs, len(rows)), tree])})
+
+
+def _with_rare_counts(encoded: DataFrame, counts: DataFrame, words: Words) -> DataFrame:
+    """Texts with the counts and symbols of their words below KNOWN_SHARE, in order."""
+    rare_words = counts.filter((F.col("c") < words.least_known) & (F.length("word") > 0))
+    found = (
+        encoded.select("row", F.posexplode("rare").alias("place", "word"))
+        .join(rare_words, "word", "left")
+        .select("row", F.struct(
+            "place", F.coalesce("c", F.lit(0)).cast("long").alias("c"),
+            (F.pmod(F.xxhash64("word"), F.lit(RARE - 1)) + RARE).alias("symbol")).alias("found"))
+        .groupBy("row").agg(F.sort_array(F.collect_list("found")).alias("found"))
+    )
+    nothing = F.array().cast("array<bigint>")
+    return encoded.select("row", "held_out", "ids").join(found, "row", "left").select(
+        "row", "held_out", "ids",
+        F.coalesce(F.col("found.c"), nothing).alias("rare_c"),
+        F.coalesce(F.col("found.symbol"), nothing).alias("rare_symbol"))
 
 
 def scores(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """One row per document: token counts, the base score and the tree's score."""
+    """One row per document: token counts, the base score and the tree's score.
+
+    Contexts have at most `depth` words, which may be up to `DEPTH`.
+    """
     spark = docs.sparkSession
     counts = word_counts(docs)
     words = known_words(counts)
     shared = spark.sparkContext.broadcast(words)
     encoded = stored(_texts(docs).mapInArrow(_encoder(shared), ENCODED), "encoded")
     tree = grow(encoded, words, depth)
-    shared_tree = spark.sparkContext.broadcast(tree)
-    totals = spark.sparkContext.broadcast(
-        (words.counts.astype(np.float64), words.tokens, words.distinct, words.kind))
-    scored = encoded.select("row", "ids").mapInArrow(_scorer(totals, shared_tree), SCORED)
-    rare_words = counts.filter((F.col("c") < words.least_known) & (F.length("word") > 0))
-    rare = (
-        encoded.select("row", F.explode("rare").alias("word")).join(rare_words, "word", "left")
-        .groupBy("row").agg(
-            F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))).alias("rare_logs"),
-            F.count("c").alias("rare_known"))
-    )
-    base_total = float(np.log10(words.tokens + 0.1 * (words.distinct + 1)))
-    outside = float(np.log10(_outside_total(words.counts, words.symbols, words.tokens,
-                                            words.distinct)))
-    logs = F.coalesce("rare_logs", F.lit(0.0))
+    model = spark.sparkContext.broadcast((replace(words, ids={}), tree))
+    size = encoded.agg(F.sum("n_tokens")).first()[0] or 0
+    dealt = _with_rare_counts(encoded, counts, words).mapInArrow(
+        _dealer(model, 1 + size // BUCKET_TOKENS, depth), DEALT)
+    sums = dealt.groupBy("bucket").applyInArrow(_score_bucket, SCORED).groupBy("row").agg(
+        *[F.sum(name).alias(name) for name in ("n_known", "base", "tree")])
     return (
-        encoded.select("row", "doc_id", "held_out", "n_tokens").join(scored, "row")
-        .join(rare, "row", "left").select(
-            "doc_id", "held_out", "n_tokens",
-            (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        encoded.select("row", "doc_id", "held_out", "n_tokens").join(sums, "row").select(
+            "doc_id", "held_out", "n_tokens", "n_known",
             F.lit(words.tokens).cast("long").alias("train_tokens"),
-            (F.col("base") + logs - F.col("n_rare") * base_total).alias("base_score"),
-            (F.col("tree") + logs - F.col("n_rare") * outside).alias("score"))
+            F.col("base").alias("base_score"), F.col("tree").alias("score"))
     )
