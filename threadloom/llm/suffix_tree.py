@@ -29,6 +29,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +47,15 @@ SMOOTHING = 20.0
 LEAST_GAIN = 5.0
 OTHER, END = 0, 1
 HELD_COUNTS = 300_000
-BLOCK_TOKENS = 2_000_000
-BUCKET_TOKENS = 2_000_000
+BLOCK_TOKENS = 500_000
+BUCKET_TOKENS = 1_500_000
+BATCH_BYTES = 4_000_000
 # Symbols of words below KNOWN_SHARE begin here; the last number stands for nothing before a text.
 RARE = 1 << 31
 NOTHING = (1 << 32) - 1
 
-ENCODED = "row long, doc_id long, held_out boolean, n_tokens long, ids binary, rare array<binary>"
+ENCODED = ("row long, doc_id long, held_out boolean, n_tokens long, ids binary, "
+           "rare array<binary>, rare_symbols binary")
 DEALT = "bucket long, positions binary, texts binary"
 SCORED = "row long, n_known long, base double, tree double"
 POSITION = ["<u4"] * (DEPTH + 1) + ["<f4", "<u8", "u1"]
@@ -134,18 +137,23 @@ def _encoder(shared):
         words = shared.value
         get, kind = words.ids.get, words.kind
         for batch in batches:
-            totals, ids, rare = [], [], []
+            totals, ids, rare, symbols = [], [], [], []
             for value in batch.column(3):
                 own = words_of(value.as_py())
                 numbers = [get(w, OTHER) for w in own]
-                rare.append([w for w, i in zip(own, numbers) if not i] if OTHER in numbers else [])
                 numbers.append(END)
                 totals.append(len(numbers))
-                ids.append(np.array(numbers, kind).tobytes())
+                numbers = np.array(numbers, kind)
+                ids.append(numbers.tobytes())
+                place = np.flatnonzero(numbers == OTHER)
+                rare.append([own[i] for i in place.tolist()])
+                symbols.append(np.array([RARE + crc32(w) % (RARE - 1) for w in rare[-1]], "<u4")
+                               .tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(totals, pa.int64()),
-                 pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary()))],
-                names=["row", "doc_id", "held_out", "n_tokens", "ids", "rare"])
+                 pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary())),
+                 pa.array(symbols, pa.binary())],
+                names=["row", "doc_id", "held_out", "n_tokens", "ids", "rare", "rare_symbols"])
 
     return encode
 
@@ -369,17 +377,23 @@ def _dealer(shared, buckets: int, depth: int):
     one bit for training rows, and the number of hot contexts. Sums over all other positions of a
     text go along once.
     """
+    def dealt(numbers, packed, texts):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(numbers, pa.int64()), pa.array(packed, pa.binary()),
+             pa.array(texts, pa.binary())], names=["bucket", "positions", "texts"])
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, tree = shared.value
-        columns = ["row", "held_out", "rare_c", "rare_symbol"]
-        for (rows, held, rare_c, rare_symbol), ids, start, text in _blocks(
+        columns = ["row", "held_out", "rare_counts", "rare_symbols"]
+        for (rows, held, rare_counts, rare_symbols), ids, start, text in _blocks(
                 batches, columns, words.kind):
             rows = rows.to_numpy().astype(np.int64)
             trained = ~held.to_numpy(zero_copy_only=False)
             ids = ids.astype(np.int64)
             count, symbols, other = words.counts[ids], ids.copy(), ids == OTHER
-            count[other] = rare_c.flatten().to_numpy()
-            symbols[other] = rare_symbol.flatten().to_numpy()
+            # A count stands in the low half, above it the place of its word.
+            count[other] = rare_counts.flatten().to_numpy() & NOTHING
+            symbols[other] = np.frombuffer(b"".join(rare_symbols.to_pylist()), "<u4")
             logs, hot = tree.score(ids, start)
             base = words.log(count)
             logs[other] += base[other]
@@ -406,14 +420,17 @@ def _dealer(shared, buckets: int, depth: int):
             row = rows[text[at]] * 2 + trained[text[at]]
             own = [*[p[at] for p in past], symbols[at], logs[at], row, hot[at]]
             edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
-            numbers, packed = [int(rows[0] % buckets)], [b""]
+            numbers, packed, texts, size = [int(rows[0] % buckets)], [b""], [sums], 0
             for low, high in zip(edges, edges[1:]):
                 numbers.append(int(bucket[low]))
                 packed.append(_packed([c[low:high] for c in own], POSITION))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(numbers, pa.int64()), pa.array(packed, pa.binary()),
-                 pa.array([sums] + [b""] * (len(packed) - 1), pa.binary())],
-                names=["bucket", "positions", "texts"])
+                texts.append(b"")
+                size += len(packed[-1])
+                if size > BATCH_BYTES:
+                    yield dealt(numbers, packed, texts)
+                    numbers, packed, texts, size = [], [], [], 0
+            if numbers:
+                yield dealt(numbers, packed, texts)
 
     return deal
 
@@ -463,21 +480,18 @@ def _score_bucket(table: pa.Table) -> pa.Table:
 
 
 def _with_rare_counts(encoded: DataFrame, counts: DataFrame, words: Words) -> DataFrame:
-    """Texts with the counts and symbols of their words below KNOWN_SHARE, in order."""
+    """Texts with the counts of their words below KNOWN_SHARE, in order, below their places."""
     rare_words = counts.filter((F.col("c") < words.least_known) & (F.length("word") > 0))
     found = (
         encoded.select("row", F.posexplode("rare").alias("place", "word"))
         .join(rare_words, "word", "left")
-        .select("row", F.struct(
-            "place", F.coalesce("c", F.lit(0)).cast("long").alias("c"),
-            (F.pmod(F.xxhash64("word"), F.lit(RARE - 1)) + RARE).alias("symbol")).alias("found"))
+        .select("row", (F.shiftleft(F.col("place").cast("long"), 32)
+                        + F.coalesce("c", F.lit(0))).alias("found"))
         .groupBy("row").agg(F.sort_array(F.collect_list("found")).alias("found"))
     )
-    nothing = F.array().cast("array<bigint>")
-    return encoded.select("row", "held_out", "ids").join(found, "row", "left").select(
-        "row", "held_out", "ids",
-        F.coalesce(F.col("found.c"), nothing).alias("rare_c"),
-        F.coalesce(F.col("found.symbol"), nothing).alias("rare_symbol"))
+    kept = ["row", "held_out", "ids", "rare_symbols"]
+    return encoded.select(*kept).join(found, "row", "left").select(
+        *kept, F.coalesce("found", F.array().cast("array<bigint>")).alias("rare_counts"))
 
 
 def scores(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
