@@ -48,17 +48,20 @@ def test_longer_contexts_are_learnt(documents):
 
 
 class PlainTree:
-    """The same tree held whole in dictionaries."""
+    """The same tree held whole in dictionaries; words below a count are one symbol after contexts."""
 
-    def __init__(self, rows):
+    def __init__(self, rows, least_known=1):
         texts = [words_of(text) + [b""] for key, text in rows if not held_out(key)]
         self.words = Counter(w for own in texts for w in own)
+        self.known = {w for w, c in self.words.items() if c >= least_known or not w}
+        others = [c for w, c in self.words.items() if w not in self.known]
+        self.outside = sum(others) + 0.1 * (len(others) + 1)
         self.norm = sum(self.words.values()) + 0.1 * (len(self.words) + 1)
         self.after = {}
         for own in texts:
             for context, word in self.places(own):
                 for k in range(1, len(context) + 1):
-                    self.after.setdefault(context[:k], Counter())[word] += 1
+                    self.after.setdefault(context[:k], Counter())[self.symbol(word)] += 1
         self.kept = set()
         for context in sorted(self.after, key=len):
             counts = self.after[context]
@@ -69,6 +72,9 @@ class PlainTree:
             if gain > st.LEAST_GAIN + len(counts):
                 self.kept.add(context)
 
+    def symbol(self, word):
+        return word if word in self.known else None
+
     @staticmethod
     def places(own):
         """Up to three words before each word, the newest first; an end precedes a text."""
@@ -82,16 +88,21 @@ class PlainTree:
 
     def chance(self, context, word):
         if not context:
-            return (self.words[word] + 0.1) / self.norm
+            return (self.outside if word is None else self.words[word] + 0.1) / self.norm
         return self.given(context, word) if context in self.kept else self.chance(context[:-1], word)
 
     def score(self, text):
-        return sum(math.log10(self.chance(c, w)) for c, w in self.places(words_of(text) + [b""]))
+        total = 0.0
+        for context, word in self.places(words_of(text) + [b""]):
+            total += math.log10(self.chance(context, self.symbol(word)))
+            if word not in self.known:
+                total += math.log10((self.words[word] + 0.1) / self.outside)
+        return total
 
 
-def check_scores(docs):
+def check_scores(docs, least_known=1):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    plain = PlainTree(rows)
+    plain = PlainTree(rows, least_known)
     wanted = sorted((str(key), plain.score(text)) for key, text in rows)
     found = sorted((str(r.doc_id), r.score) for r in st.scores(docs).collect())
     assert [key for key, _ in found] == [key for key, _ in wanted]
@@ -107,11 +118,16 @@ def test_scores_equal_those_of_a_plain_tree(test_documents, monkeypatch, hot_sha
     assert {len(c) for c in plain.kept} >= {1, 2}
 
 
-def test_words_unknown_to_the_tasks_are_symbols_too(test_documents, monkeypatch):
-    monkeypatch.setattr(st, "HOT_SHARE", 2.0)
+@pytest.mark.parametrize("hot_share", [2.0, 2e-2])
+def test_words_unknown_to_the_tasks_stand_in_contexts(test_documents, monkeypatch, hot_share):
+    monkeypatch.setattr(st, "HOT_SHARE", hot_share)
     monkeypatch.setattr(st, "KNOWN_SHARE", 2e-3)
     monkeypatch.setattr(st, "BLOCK_TOKENS", 3000)
-    check_scores(test_documents)
+    monkeypatch.setattr(st, "BUCKET_TOKENS", 4000)
+    least = st.known_words(st.word_counts(test_documents)).least_known
+    assert least > st.LEAST_CONTEXT
+    plain = check_scores(test_documents, least)
+    assert any(plain.words[context[0]] < least for context in plain.kept)
 
 
 def test_distributions_sum_to_one(test_documents):
@@ -120,7 +136,7 @@ def test_distributions_sum_to_one(test_documents):
     assert len(plain.kept) > 3
     for context in sorted(plain.kept)[:40]:
         total = sum(plain.chance(context, w) for w in plain.words)
-        unseen = plain.chance(context, b"\xff no word")
+        unseen = plain.chance(context, None)
         assert total + unseen == pytest.approx(1, abs=1e-9)
 
 

@@ -16,8 +16,9 @@ broadcast, and positions behind them are dealt by the next longer context. Only
 context is followed by in fewer than `PAIR_SHARE` of all tokens have a floor that rises: its suffix
 predicts these, the branches behind it still tell them apart.
 
-Words below `KNOWN_SHARE` are joined to the texts by word; in contexts and after them they stand for
-themselves, told apart by 31 bits of a hash.
+Words below `KNOWN_SHARE`, whose counts are joined to the texts by word, stand for themselves in
+contexts, told apart by 31 bits of a hash. After a context they are one symbol, whose probability is
+shared among them as in the base; at most 1/share words are symbols of their own.
 
 Cases: null and empty texts are the end alone; texts are read whole; repeated rows count and are
 scored each for itself; null ids count as the empty id text; without training rows all counts are 0
@@ -57,9 +58,13 @@ NOTHING = (1 << 32) - 1
 ENCODED = ("row long, doc_id long, held_out boolean, n_tokens long, ids binary, "
            "rare array<binary>, rare_symbols binary")
 DEALT = "bucket long, positions binary, texts binary"
-SCORED = "row long, n_known long, base double, tree double"
-POSITION = ["<u4"] * (DEPTH + 1) + ["<f4", "<u8", "u1"]
-TEXT = ["<i8", "<i8", "<f8", "<f8"]
+SUMS = "part long, positions binary, texts binary"
+SCORED = "row long, n_known long, n_rare long, base double, tree double"
+# Older words, the word, text of the block; row and whether it is for training; sums by row.
+POSITION = ["<u4"] * (DEPTH + 1) + ["<u4"]
+BLOCK_ROW = ["<i8", "u1"]
+POSITION_SUM = ["<i8", "<f4"]
+TEXT_SUM = ["<i8", "<i8", "<i8", "<f8", "<f8"]
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -107,14 +112,22 @@ class Words:
     least_known: int
 
     @property
-    def root(self) -> np.ndarray:
-        """log10 of each known word; 0 for others, whose own logs are added where they are known."""
-        logs = self.log(self.counts)
-        logs[OTHER] = 0.0
-        return logs
+    def outside(self) -> float:
+        """Smoothed number of tokens of all words that are not known."""
+        known = self.counts[1:]
+        return (self.tokens - float(known.sum())
+                + 0.1 * (max(0, self.distinct - int((known > 0).sum())) + 1))
+
+    @property
+    def base_total(self) -> float:
+        return self.tokens + 0.1 * (self.distinct + 1)
 
-    def log(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
+    @property
+    def root(self) -> np.ndarray:
+        """log10 of each known word, and of all others together."""
+        share = self.counts + 0.1
+        share[OTHER] = self.outside
+        return np.log10(share / self.base_total)
 
     @property
     def kind(self) -> str:
@@ -173,28 +186,24 @@ class Tree:
     def symbols(self) -> int:
         return len(self.root)
 
-    def walk(self, symbols: np.ndarray, start: np.ndarray) -> Iterator[np.ndarray]:
+    def walk(self, past: list[np.ndarray]) -> Iterator[np.ndarray]:
         """The node of each position at level 1, 2, ...; -1 where there is none.
 
-        `start` is the position at which each token's text begins. Before it stands one end.
+        `past` are the symbols before the positions, the newest first.
         """
-        node = np.zeros(len(symbols), np.int64)
-        place = np.arange(len(symbols))
-        for depth, (keys, nodes) in enumerate(self.levels, 1):
-            older = place - depth
-            symbol = np.where(older >= start, symbols[np.maximum(older, 0)],
-                              np.where(older == start - 1, END, -1))
-            key = node * self.symbols + symbol
+        node = np.zeros(len(past[0]), np.int64)
+        for (keys, nodes), older in zip(self.levels, past):
+            found = (node >= 0) & (older < self.symbols)
+            key = node * self.symbols + older
             at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
-            found = (node >= 0) & (symbol >= 0)
             found &= (keys[at] == key) if len(keys) else False
             node = np.where(found, nodes[at] if len(nodes) else -1, -1)
             yield node
 
-    def score(self, symbols: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def score(self, past: list[np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of each token in its longest hot suffix that is kept, and levels of hot suffixes."""
         out, depth = self.root[symbols], np.zeros(len(symbols), np.int64)
-        for level, node in enumerate(self.walk(symbols, start), 1):
+        for level, node in enumerate(self.walk(past), 1):
             depth[node >= 0] = level
             use = np.flatnonzero((node >= 0) & self.kept[node])
             if len(use):
@@ -228,6 +237,16 @@ def _blocks(batches, columns: list[str], kind: str):
                 first, size = i + 1, 0
 
 
+def _past(symbols: np.ndarray, start: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Symbols before each position, the newest first; before a text stands an end, then nothing."""
+    place, past = np.arange(len(symbols)), [np.full(len(symbols), NOTHING)] * DEPTH
+    for k in range(1, depth + 1):
+        older = place - k
+        past[k - 1] = np.where(older >= start, symbols[np.maximum(older, 0)],
+                               np.where(older == start - 1, END, NOTHING))
+    return past
+
+
 def _pair_counter(shared, kind: str):
     """Counts (node, next symbol) at the deepest level of the tree, per block."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +254,7 @@ def _pair_counter(shared, kind: str):
         for _, ids, start, _ in _blocks(batches, [], kind):
             symbols = ids.astype(np.int64)
             node = None
-            for node in tree.walk(symbols, start):
+            for node in tree.walk(_past(symbols, start, len(tree.levels))):
                 pass
             inside = node >= 0
             code, n = np.unique(node[inside] * tree.symbols + symbols[inside], return_counts=True)
@@ -291,9 +310,7 @@ def grow(encoded: DataFrame, words: Words, depth: int = DEPTH) -> Tree:
             .groupBy("code").agg(F.sum("n").alias("n"))
             .withColumn("node", F.expr(f"code div {tree.symbols}L")), "pairs")
         totals = table.groupBy("node").agg(F.sum("n").alias("total")).toArrow()
-        named = table.filter(
-            (F.col("n") >= least_pair) & (F.col("code") % tree.symbols != OTHER)
-        ).select("code", "n").toArrow()
+        named = table.filter(F.col("n") >= least_pair).select("code", "n").toArrow()
         shared.unpersist()
         _add_level(tree, level, chains, totals, named)
         # A longer context is its suffix and one more symbol before it; how often it occurs is
@@ -373,9 +390,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 def _dealer(shared, buckets: int, depth: int):
     """Positions behind the hot contexts, dealt by the shortest context that is not hot.
 
-    A position is its older words, its word, the log10 that the hot contexts give it, its row with
-    one bit for training rows, and the number of hot contexts. Sums over all other positions of a
-    text go along once.
+    Sums over all other positions of a text go along once.
     """
     def dealt(numbers, packed, texts):
         return pa.RecordBatch.from_arrays(
@@ -384,46 +399,44 @@ def _dealer(shared, buckets: int, depth: int):
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, tree = shared.value
-        columns = ["row", "held_out", "rare_counts", "rare_symbols"]
-        for (rows, held, rare_counts, rare_symbols), ids, start, text in _blocks(
-                batches, columns, words.kind):
-            rows = rows.to_numpy().astype(np.int64)
+        base_log = np.log10((words.counts + 0.1) / words.base_total)
+        # Contexts through a newest word that is too rare are not looked at.
+        enough = words.counts >= LEAST_CONTEXT
+        enough[OTHER] = words.least_known > LEAST_CONTEXT
+        for (rows, held, rare), ids, start, text in _blocks(
+                batches, ["row", "held_out", "rare_symbols"], words.kind):
+            rows = rows.to_numpy()
             trained = ~held.to_numpy(zero_copy_only=False)
             ids = ids.astype(np.int64)
-            count, symbols, other = words.counts[ids], ids.copy(), ids == OTHER
-            # A count stands in the low half, above it the place of its word.
-            count[other] = rare_counts.flatten().to_numpy() & NOTHING
-            symbols[other] = np.frombuffer(b"".join(rare_symbols.to_pylist()), "<u4")
-            logs, hot = tree.score(ids, start)
-            base = words.log(count)
-            logs[other] += base[other]
-            place = np.arange(len(ids))
-            past = [np.full(len(ids), NOTHING)] * DEPTH
-            for k in range(1, depth + 1):
-                older = place - k
-                past[k - 1] = np.where(older >= start, symbols[np.maximum(older, 0)],
-                                       np.where(older == start - 1, END, NOTHING))
-            newest = np.where(place > start, count[np.maximum(place - 1, 0)], words.counts[END])
-            cold = (hot < depth) & (newest >= LEAST_CONTEXT)
+            other, own = ids == OTHER, ids.copy()
+            own[other] = np.frombuffer(b"".join(rare.to_pylist()), "<u4")
+            past = _past(own, start, depth)
+            logs, hot = tree.score(past, ids)
+            newest = past[0]
+            cold = (hot < depth) & enough[np.where(newest < RARE, newest, OTHER)]
             key = np.zeros(len(ids), np.uint64)
             for k, symbol in enumerate(past):
                 cold &= (hot != k) | (symbol != NOTHING)
                 key = np.where(hot >= k, _mixed(key + symbol.astype(np.uint64) + np.uint64(1)), key)
             m = len(rows)
             sums = _packed(
-                [rows, np.bincount(text, count > 0, m), np.bincount(text, base, m),
-                 np.bincount(text, np.where(cold, 0.0, logs), m)], TEXT)
+                [rows, np.bincount(text, ~other & (words.counts[ids] > 0), m),
+                 np.bincount(text, other, m), np.bincount(text, np.where(other, 0.0, base_log[ids]), m),
+                 np.bincount(text, np.where(cold, 0.0, logs), m)], TEXT_SUM)
             at = np.flatnonzero(cold)
             bucket = (key[at] % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((symbols[at], past[0][at], bucket))
+            order = np.lexsort((ids[at], newest[at], bucket))
             at, bucket = at[order], bucket[order]
-            row = rows[text[at]] * 2 + trained[text[at]]
-            own = [*[p[at] for p in past], symbols[at], logs[at], row, hot[at]]
             edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
             numbers, packed, texts, size = [int(rows[0] % buckets)], [b""], [sums], 0
             for low, high in zip(edges, edges[1:]):
+                part = at[low:high]
+                which, index = np.unique(text[part], return_inverse=True)
                 numbers.append(int(bucket[low]))
-                packed.append(_packed([c[low:high] for c in own], POSITION))
+                packed.append(
+                    len(which).to_bytes(8, "little")
+                    + _packed([rows[which], trained[which]], BLOCK_ROW)
+                    + _packed([*[p[part] for p in past], ids[part], index], POSITION))
                 texts.append(b"")
                 size += len(packed[-1])
                 if size > BATCH_BYTES:
@@ -435,10 +448,26 @@ def _dealer(shared, buckets: int, depth: int):
     return deal
 
 
+def _received(parts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Columns of positions, their rows, and whether these are for training."""
+    positions, rows, trained = [], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+    for part in parts:
+        n = int.from_bytes(part[:8], "little")
+        stop = 8 + n * sum(np.dtype(kind).itemsize for kind in BLOCK_ROW)
+        row, training = _unpacked([part[8:stop]], BLOCK_ROW)
+        *columns, index = _unpacked([part[stop:]], POSITION)
+        positions.append(columns)
+        rows.append(row[index])
+        trained.append(training[index].astype(bool))
+    columns = [np.concatenate([p[k] for p in positions]).astype(np.int64) if positions
+               else np.zeros(0, np.int64) for k in range(DEPTH + 1)]
+    return columns, np.concatenate(rows), np.concatenate(trained)
+
+
 def _branches(past: list[np.ndarray], symbol: np.ndarray, logs: np.ndarray, trained: np.ndarray,
               hot: np.ndarray) -> np.ndarray:
     """log10 of each position in its longest kept suffix, from all positions of the branches."""
-    logs = logs.astype(np.float64)
+    logs = logs.copy()
     active = np.arange(len(symbol))
     group = np.zeros(len(symbol), np.int64)
     for level, older in enumerate(past, 1):
@@ -446,14 +475,14 @@ def _branches(past: list[np.ndarray], symbol: np.ndarray, logs: np.ndarray, trai
         active, group = active[use], group[use]
         if not len(active):
             break
-        _, group = np.unique(group << 32 | older[active].astype(np.int64), return_inverse=True)
+        _, group = np.unique(group << 32 | older[active], return_inverse=True)
         total = np.bincount(group, trained[active])
         # Up to the level of its hot contexts a branch is only told apart.
         known = hot[active] >= level
         use = known | (total[group] >= LEAST_CONTEXT)
         active, group, known = active[use], group[use], known[use]
         _, first, pair = np.unique(
-            group << 32 | symbol[active].astype(np.int64), return_index=True, return_inverse=True)
+            group << 32 | symbol[active], return_index=True, return_inverse=True)
         n = np.bincount(pair, trained[active])
         of, before = group[first], logs[active[first]]
         p = (n + SMOOTHING * 10.0 ** before) / (total[of] + SMOOTHING)
@@ -464,34 +493,44 @@ def _branches(past: list[np.ndarray], symbol: np.ndarray, logs: np.ndarray, trai
     return logs
 
 
-def _score_bucket(table: pa.Table) -> pa.Table:
-    """Sums by row over the positions of a bucket, and the sums that came along."""
-    *past, symbol, logs, row, hot = _unpacked(
-        [p for p in table.column("positions").to_pylist() if p], POSITION)
-    logs = _branches(past, symbol, logs, (row & np.uint64(1)).astype(bool), hot)
-    rows, of = np.unique((row >> np.uint64(1)).astype(np.int64), return_inverse=True)
-    texts, known, base, tree = _unpacked([t for t in table.column("texts").to_pylist() if t], TEXT)
-    none = np.zeros(len(rows))
+def _bucket_scorer(shared, parts: int):
+    """Sums by row over the positions of a bucket, and those that came along, by part of the rows."""
+    def score(table: pa.Table) -> pa.Table:
+        tree = shared.value[1]
+        (*past, symbol), row, trained = _received(
+            [p for p in table.column("positions").to_pylist() if p])
+        logs, hot = tree.score(past, symbol)
+        logs = _branches(past, symbol, logs, trained, hot)
+        rows, of = np.unique(row, return_inverse=True)
+        texts = _unpacked([t for t in table.column("texts").to_pylist() if t], TEXT_SUM)
+        found: dict[int, list[bytes]] = {}
+        for place, columns, kinds in (
+                (0, [rows, np.bincount(of, logs, len(rows))], POSITION_SUM), (1, texts, TEXT_SUM)):
+            part = (_mixed(columns[0].astype(np.uint64) + np.uint64(1))
+                    % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            edges = np.flatnonzero(np.diff(part[order], prepend=-1, append=parts))
+            for low, high in zip(edges, edges[1:]):
+                own = order[low:high]
+                found.setdefault(int(part[own[0]]), [b"", b""])[place] = _packed(
+                    [c[own] for c in columns], kinds)
+        return pa.table({
+            "part": pa.array(list(found), pa.int64()),
+            "positions": pa.array([f[0] for f in found.values()], pa.binary()),
+            "texts": pa.array([f[1] for f in found.values()], pa.binary())})
+
+    return score
+
+
+def _sum_part(table: pa.Table) -> pa.Table:
+    """All sums of the rows of a part."""
+    rows, known, rare, base, rest = _unpacked(table.column("texts").to_pylist(), TEXT_SUM)
+    order = np.argsort(rows)
+    rows = rows[order]
+    row, logs = _unpacked(table.column("positions").to_pylist(), POSITION_SUM)
     return pa.table({
-        "row": np.concatenate([rows, texts]),
-        "n_known": np.concatenate([none.astype(np.int64), known]),
-        "base": np.concatenate([none, base]),
-        "tree": np.concatenate([np.bincount(of, logs, len(rows)), tree])})
-
-
-def _with_rare_counts(encoded: DataFrame, counts: DataFrame, words: Words) -> DataFrame:
-    """Texts with the counts of their words below KNOWN_SHARE, in order, below their places."""
-    rare_words = counts.filter((F.col("c") < words.least_known) & (F.length("word") > 0))
-    found = (
-        encoded.select("row", F.posexplode("rare").alias("place", "word"))
-        .join(rare_words, "word", "left")
-        .select("row", (F.shiftleft(F.col("place").cast("long"), 32)
-                        + F.coalesce("c", F.lit(0))).alias("found"))
-        .groupBy("row").agg(F.sort_array(F.collect_list("found")).alias("found"))
-    )
-    kept = ["row", "held_out", "ids", "rare_symbols"]
-    return encoded.select(*kept).join(found, "row", "left").select(
-        *kept, F.coalesce("found", F.array().cast("array<bigint>")).alias("rare_counts"))
+        "row": rows, "n_known": known[order], "n_rare": rare[order], "base": base[order],
+        "tree": rest[order] + np.bincount(np.searchsorted(rows, row), logs, len(rows))})
 
 
 def scores(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -506,14 +545,29 @@ def scores(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     encoded = stored(_texts(docs).mapInArrow(_encoder(shared), ENCODED), "encoded")
     tree = grow(encoded, words, depth)
     model = spark.sparkContext.broadcast((replace(words, ids={}), tree))
-    size = encoded.agg(F.sum("n_tokens")).first()[0] or 0
-    dealt = _with_rare_counts(encoded, counts, words).mapInArrow(
-        _dealer(model, 1 + size // BUCKET_TOKENS, depth), DEALT)
-    sums = dealt.groupBy("bucket").applyInArrow(_score_bucket, SCORED).groupBy("row").agg(
-        *[F.sum(name).alias(name) for name in ("n_known", "base", "tree")])
+    buckets = 1 + (encoded.agg(F.sum("n_tokens")).first()[0] or 0) // BUCKET_TOKENS
+    scored = (
+        encoded.select("row", "held_out", "ids", "rare_symbols")
+        .mapInArrow(_dealer(model, buckets, depth), DEALT)
+        .groupBy("bucket").applyInArrow(_bucket_scorer(model, buckets), SUMS)
+        .groupBy("part").applyInArrow(_sum_part, SCORED)
+    )
+    rare_words = counts.filter((F.col("c") < words.least_known) & (F.length("word") > 0))
+    rare = (
+        encoded.select("row", F.explode("rare").alias("word")).join(rare_words, "word", "left")
+        .groupBy("row").agg(
+            F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))).alias("rare_logs"),
+            F.count("c").alias("rare_known"))
+    )
+    logs = F.coalesce("rare_logs", F.lit(0.0))
     return (
-        encoded.select("row", "doc_id", "held_out", "n_tokens").join(sums, "row").select(
-            "doc_id", "held_out", "n_tokens", "n_known",
+        encoded.select("row", "doc_id", "held_out", "n_tokens").join(scored, "row")
+        .join(rare, "row", "left").select(
+            "doc_id", "held_out", "n_tokens",
+            (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
             F.lit(words.tokens).cast("long").alias("train_tokens"),
-            F.col("base").alias("base_score"), F.col("tree").alias("score"))
+            (F.col("base") + logs - F.col("n_rare") * float(np.log10(words.base_total)))
+            .alias("base_score"),
+            (F.col("tree") + logs - F.col("n_rare") * float(np.log10(words.outside)))
+            .alias("score"))
     )
