@@ -114,6 +114,7 @@ def check_scores(docs, least_known=1):
 def test_scores_equal_those_of_a_plain_tree(test_documents, monkeypatch, hot_share):
     """With no context hot, and with those of a two-hundredth of all tokens."""
     monkeypatch.setattr(st, "HOT_SHARE", hot_share)
+    monkeypatch.setattr(st, "MOST_COLD_SHARE", hot_share)
     plain = check_scores(test_documents)
     assert {len(c) for c in plain.kept} >= {1, 2}
 
@@ -121,6 +122,7 @@ def test_scores_equal_those_of_a_plain_tree(test_documents, monkeypatch, hot_sha
 @pytest.mark.parametrize("hot_share", [2.0, 2e-2])
 def test_words_unknown_to_the_tasks_stand_in_contexts(test_documents, monkeypatch, hot_share):
     monkeypatch.setattr(st, "HOT_SHARE", hot_share)
+    monkeypatch.setattr(st, "MOST_COLD_SHARE", hot_share)
     monkeypatch.setattr(st, "KNOWN_SHARE", 2e-3)
     monkeypatch.setattr(st, "BLOCK_TOKENS", 3000)
     monkeypatch.setattr(st, "BUCKET_TOKENS", 4000)

@@ -10,9 +10,10 @@ distribution sums to 1. Each token is scored in the longest kept suffix of what
 These floors do not depend on the input: the tree grows with the corpus and lies in no single place.
 Positions are dealt by what precedes them, so that all positions below a context meet in one bucket,
 which counts its branch of the tree and scores its positions; there are buckets for every
-`BUCKET_TOKENS` tokens. Contexts that hold `HOT_SHARE` of all tokens would crowd a bucket. There are at
-most 1/share of them on each level; they are counted level by level before, kept on the driver and
-broadcast, and positions behind them are dealt by the next longer context. Only the words that a hot
+`BUCKET_TOKENS` tokens. Contexts that hold a third of that, or a hundredth of all tokens, would crowd a
+bucket. They are counted level by level before, kept on the driver and broadcast, and positions behind
+them are dealt by the next longer context. At least `HOT_SHARE` of all tokens makes a context hot, so
+there are at most 1/share of them on each level; beyond 1e10 tokens a bucket must hold that share. Only the words that a hot
 context is followed by in fewer than `PAIR_SHARE` of all tokens have a floor that rises: its suffix
 predicts these, the branches behind it still tell them apart.
 
@@ -34,12 +35,12 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom.llm.common import crc_of_id, long_id, stored, words_of
 
 KNOWN_SHARE = 2e-6
-HOT_SHARE = 1e-3
+HOT_SHARE, MOST_COLD_SHARE = 5e-5, 1e-2
 PAIR_SHARE = 2e-7
 LEAST_CONTEXT = 20
 DEPTH = 3
@@ -51,6 +52,8 @@ HELD_COUNTS = 300_000
 BLOCK_TOKENS = 500_000
 BUCKET_TOKENS = 1_500_000
 BATCH_BYTES = 4_000_000
+# Cells of 64 bits in which words are marked by their symbols.
+CELLS = 1 << 20
 # Symbols of words below KNOWN_SHARE begin here; the last number stands for nothing before a text.
 RARE = 1 << 31
 NOTHING = (1 << 32) - 1
@@ -283,7 +286,9 @@ def grow(encoded: DataFrame, words: Words, depth: int = DEPTH) -> Tree:
     tree = Tree(words.root)
     if not words.tokens:
         return tree
-    least_context = max(LEAST_CONTEXT, int(np.ceil(HOT_SHARE * words.tokens)))
+    least_context = int(np.ceil(max(
+        LEAST_CONTEXT, HOT_SHARE * words.tokens,
+        min(MOST_COLD_SHARE * words.tokens, BUCKET_TOKENS / 3))))
     least_pair = max(1, int(np.ceil(PAIR_SHARE * words.tokens)))
     spark = encoded.sparkSession
     training = encoded.filter("not held_out").select("ids")
@@ -364,16 +369,20 @@ def _add_level(tree: Tree, level: int, chains: list[list[int]], totals: pa.Table
 
 def _packed(columns: list[np.ndarray], kinds: list[str]) -> bytes:
     """Columns as planes of equal bytes, which compress where numbers are small or sorted."""
-    return b"".join(
+    planes = b"".join(
         np.ascontiguousarray(c.astype(kind)).view(np.uint8).reshape(len(c), -1).T.tobytes()
         for c, kind in zip(columns, kinds))
+    return len(columns[0]).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
 
 
 def _unpacked(parts: list[bytes], kinds: list[str]) -> list[np.ndarray]:
     width = sum(np.dtype(kind).itemsize for kind in kinds)
     columns: list[list[np.ndarray]] = [[] for _ in kinds]
     for part in parts:
-        n, at = len(part) // width, 0
+        if not part:
+            continue
+        n, at = int.from_bytes(part[:8], "little"), 0
+        part = pa.decompress(part[8:], n * width, "zstd", asbytes=True)
         for column, kind in zip(columns, kinds):
             size = np.dtype(kind).itemsize
             planes = np.frombuffer(part, np.uint8, n * size, at).reshape(size, n)
@@ -387,6 +396,25 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _marked(words: DataFrame) -> DataFrame:
+    """cell, bits: words by their symbols; words that share a bit are marked together."""
+    return (
+        words.select(_slot().alias("slot")).groupBy(F.expr("slot div 64").alias("cell"))
+        .agg(F.expr("bit_or(shiftleft(1L, int(slot % 64)))").alias("bits"))
+    )
+
+
+def _slot() -> Column:
+    return (F.crc32("word") % (RARE - 1) + RARE) % (64 * CELLS)
+
+
+def _bits(marked: DataFrame) -> np.ndarray:
+    rows = marked.toArrow()
+    bits = np.zeros(CELLS, np.int64)
+    bits[rows.column("cell").to_numpy()] = rows.column("bits").to_numpy()
+    return bits
+
+
 def _dealer(shared, buckets: int, depth: int):
     """Positions behind the hot contexts, dealt by the shortest context that is not hot.
 
@@ -398,22 +426,25 @@ def _dealer(shared, buckets: int, depth: int):
              pa.array(texts, pa.binary())], names=["bucket", "positions", "texts"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, tree = shared.value
+        words, tree, frequent = shared.value
         base_log = np.log10((words.counts + 0.1) / words.base_total)
         # Contexts through a newest word that is too rare are not looked at.
         enough = words.counts >= LEAST_CONTEXT
-        enough[OTHER] = words.least_known > LEAST_CONTEXT
+        enough[OTHER] = True
         for (rows, held, rare), ids, start, text in _blocks(
                 batches, ["row", "held_out", "rare_symbols"], words.kind):
             rows = rows.to_numpy()
             trained = ~held.to_numpy(zero_copy_only=False)
             ids = ids.astype(np.int64)
             other, own = ids == OTHER, ids.copy()
-            own[other] = np.frombuffer(b"".join(rare.to_pylist()), "<u4")
+            number = np.frombuffer(b"".join(rare.to_pylist()), "<u4").astype(np.int64)
+            slot = number % (64 * CELLS)
+            own[other] = np.where(frequent[slot >> 6] >> (slot & 63) & 1, number, NOTHING)
             past = _past(own, start, depth)
             logs, hot = tree.score(past, ids)
             newest = past[0]
             cold = (hot < depth) & enough[np.where(newest < RARE, newest, OTHER)]
+            cold &= newest != NOTHING
             key = np.zeros(len(ids), np.uint64)
             for k, symbol in enumerate(past):
                 cold &= (hot != k) | (symbol != NOTHING)
@@ -434,8 +465,8 @@ def _dealer(shared, buckets: int, depth: int):
                 which, index = np.unique(text[part], return_inverse=True)
                 numbers.append(int(bucket[low]))
                 packed.append(
-                    len(which).to_bytes(8, "little")
-                    + _packed([rows[which], trained[which]], BLOCK_ROW)
+                    len(block := _packed([rows[which], trained[which]], BLOCK_ROW))
+                    .to_bytes(8, "little") + block
                     + _packed([*[p[part] for p in past], ids[part], index], POSITION))
                 texts.append(b"")
                 size += len(packed[-1])
@@ -452,8 +483,7 @@ def _received(parts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndar
     """Columns of positions, their rows, and whether these are for training."""
     positions, rows, trained = [], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
     for part in parts:
-        n = int.from_bytes(part[:8], "little")
-        stop = 8 + n * sum(np.dtype(kind).itemsize for kind in BLOCK_ROW)
+        stop = 8 + int.from_bytes(part[:8], "little")
         row, training = _unpacked([part[8:stop]], BLOCK_ROW)
         *columns, index = _unpacked([part[stop:]], POSITION)
         positions.append(columns)
@@ -544,7 +574,10 @@ def scores(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     shared = spark.sparkContext.broadcast(words)
     encoded = stored(_texts(docs).mapInArrow(_encoder(shared), ENCODED), "encoded")
     tree = grow(encoded, words, depth)
-    model = spark.sparkContext.broadcast((replace(words, ids={}), tree))
+    rare_words = counts.filter((F.col("c") < words.least_known) & (F.length("word") > 0))
+    # Marks bound work only: positions after rarer words need not be dealt, as no context holds these.
+    frequent = _bits(_marked(rare_words.filter(F.col("c") >= LEAST_CONTEXT)))
+    model = spark.sparkContext.broadcast((replace(words, ids={}), tree, frequent))
     buckets = 1 + (encoded.agg(F.sum("n_tokens")).first()[0] or 0) // BUCKET_TOKENS
     scored = (
         encoded.select("row", "held_out", "ids", "rare_symbols")
@@ -552,12 +585,20 @@ def scores(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         .groupBy("bucket").applyInArrow(_bucket_scorer(model, buckets), SUMS)
         .groupBy("part").applyInArrow(_sum_part, SCORED)
     )
-    rare_words = counts.filter((F.col("c") < words.least_known) & (F.length("word") > 0))
+    # A rare word of a training text occurs once if nothing else is said. Words that occur once are
+    # shuffled only if they may stand in a held-out text; the cells are few, whatever the input.
+    tokens = encoded.select("row", "held_out", F.explode("rare").alias("word"))
+    asked = F.broadcast(_marked(tokens.filter("held_out")))
+    told = (
+        rare_words.withColumn("slot", _slot()).withColumn("cell", F.expr("slot div 64"))
+        .join(asked, "cell", "left")
+        .filter("c > 1 or shiftright(bits, int(slot % 64)) & 1 = 1").select("word", "c")
+    )
+    count = F.coalesce("c", F.when(F.col("held_out"), 0).otherwise(1))
     rare = (
-        encoded.select("row", F.explode("rare").alias("word")).join(rare_words, "word", "left")
-        .groupBy("row").agg(
-            F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))).alias("rare_logs"),
-            F.count("c").alias("rare_known"))
+        tokens.join(told, "word", "left").groupBy("row").agg(
+            F.sum(F.log10(count + F.lit(0.1))).alias("rare_logs"),
+            F.sum((count > 0).cast("long")).alias("rare_known"))
     )
     logs = F.coalesce("rare_logs", F.lit(0.0))
     return (
