@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from threadloom import schemas
-from threadloom.session import PARTITION_BYTES, path_bytes
+from threadloom.session import TASK_BYTES, path_bytes
 
 BASE_TABLES = ["lineitem", "orders", "customer", "nation", "part"]
 
@@ -61,6 +61,21 @@ WITH l AS (
 SELECT * FROM r
 """
 
+# The same joins in the order that Spark runs them: the attributes of posts meet each other before the
+# line items, which are shuffled by order last. So the comments of a post lie together in the stored
+# table, where they take less space, and first rows per post are found before the next shuffle.
+WRITTEN_JOINS = """  FROM {lineitem}
+  JOIN {orders} ON l_orderkey = o_orderkey
+  JOIN {customer} ON o_custkey = c_custkey
+  JOIN {nation} ON c_nationkey = n_nationkey
+  JOIN {part} ON l_partkey = p_partkey
+"""
+LOCAL_JOINS = """  FROM (SELECT * FROM {lineitem} JOIN {part} ON l_partkey = p_partkey)
+  JOIN (SELECT * FROM {orders}
+        JOIN {customer} ON o_custkey = c_custkey
+        JOIN {nation} ON c_nationkey = n_nationkey) ON l_orderkey = o_orderkey
+"""
+
 
 def spread(df: DataFrame, input_bytes: int) -> DataFrame:
     """Deal out the rows of a small table that has fewer files than the cluster has cores.
@@ -69,7 +84,7 @@ def spread(df: DataFrame, input_bytes: int) -> DataFrame:
     fill the cores with whole splits are left alone and never shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if input_bytes < cores * PARTITION_BYTES and len(df.inputFiles()) < cores:
+    if input_bytes < cores * TASK_BYTES and len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df
 
@@ -80,5 +95,5 @@ def comments_raw(spark: SparkSession, directory: str) -> DataFrame:
     tables["lineitem"] = spread(
         tables["lineitem"], path_bytes(spark, f"{directory}/lineitem.parquet")
     )
-    mapped = spark.sql(COMMENTS_SQL, **tables)
+    mapped = spark.sql(COMMENTS_SQL.replace(WRITTEN_JOINS, LOCAL_JOINS), **tables)
     return mapped.select([mapped[f.name].cast(f.dataType) for f in schemas.FLAT.fields])
