@@ -154,3 +154,49 @@ def test_closing_a_workspace_removes_its_folder(spark, ws):
     assert own.flat.count() == 5 and os.path.exists(own.root)
     own.close()
     assert not os.path.exists(own.root)
+
+
+def test_batches_wait_and_are_merged_once(spark, ws, rows_of, monkeypatch):
+    """What is written does not grow with the number of batches."""
+    source, target, progress = (ws.new_path(n) for n in ("source", "target", "progress"))
+    ws.flat.limit(3000).repartition(12).write.parquet(source)
+    merges, merge = [], sinks.merge_into
+
+    def watch(spark, path, *args, **kwargs):
+        merges.append(path.rsplit("/", 1)[1])
+        return merge(spark, path, *args, **kwargs)
+
+    monkeypatch.setattr(sinks, "merge_into", watch)
+    doc_load.load_available(spark, source, target, progress, files_per_batch=3)
+    assert sorted(merges) == sorted([*COLLECTIONS, "by_post", "post_comments"])
+    kept = documents.first_comments(documents.comment_rows(spark.read.parquet(source)))
+    assert rows_of(doc_load.collections(spark, target)["comments"]) == rows_of(
+        documents.shape_comments(kept))
+
+
+def test_merge_that_died_is_repeated_with_its_own_rows(spark, ws, flat_frame, rows_of, monkeypatch):
+    """A comment is found under ever earlier posts; the load dies before comments are merged."""
+    writer = doc_load.Writer(ws.new_path("died"), buckets=2)
+    found = [flat_frame(dict(id="c1", link_id=f"t3_{post}", created_utc=at),
+                        dict(id=f"x{post}", link_id=f"t3_{post}", created_utc=at))
+             for post, at in (("a", 1431000300), ("b", 1431000200), ("c", 1431000100))]
+    merge = sinks.merge_into
+
+    def die(spark, path, *args, **kwargs):
+        if path.endswith("/comments"):
+            raise RuntimeError("driver lost")
+        return merge(spark, path, *args, **kwargs)
+
+    for i, rows in enumerate(found):
+        for name, kept in doc_load.KEPT.items():
+            writer.write(name)(doc_load.kept_rows(kept.found(rows), kept), i)
+        if i == 1:
+            monkeypatch.setattr(sinks, "merge_into", die)
+            with pytest.raises(RuntimeError):
+                writer.settle(spark)
+            monkeypatch.setattr(sinks, "merge_into", merge)
+        elif i == 0:
+            writer.settle(spark)
+    flat = found[0].unionByName(found[1]).unionByName(found[2])
+    want = documents.posts(flat, documents.first_comments(documents.comment_rows(flat)))
+    assert rows_of(doc_load.collections(spark, writer.target)["posts"]) == rows_of(want)
