@@ -104,3 +104,32 @@ def test_embedded_comments_are_read_pruned(ws, name, fields):
     plan = QUERIES[name](ws)._jdf.queryExecution().toString()
     read = re.findall(r"ReadSchema: struct<.*?comments:array<struct<([^>]*)>>", plan)
     assert read and all({f.split(":")[0] for f in r.split(",")} == fields for r in read)
+
+
+def test_posts_without_arrays_equal_posts(flat_frame, ws, rows_of):
+    """Ids under several posts, with ties in time and name, count for the same post either way."""
+    flat = flat_frame(
+        *[{"id": f"c{i % 7}", "link_id": f"t3_{i % 5}", "name": f"n{i % 2}", "created_utc": i // 20,
+           "body": f"b{i}", "subreddit_id": f"t5_{i % 3}"} for i in range(60)],
+        {"id": None, "link_id": "t3_none"}, {"id": "z", "link_id": None},
+    )
+    kept = documents.first_comments(documents.comment_rows(flat))
+    for cap in (200, 2, 0):
+        want = documents.posts(flat, kept, cap).drop("comments")
+        got = documents.post_heads(flat, cap)
+        assert got.schema.simpleString() == want.schema.simpleString()
+        assert rows_of(got) == rows_of(want)
+
+
+def test_queries_without_embedded_comments_store_none(spark, ws):
+    from threadloom.plans.registry import QUERIES
+    from threadloom.plans.workspace import Workspace
+
+    own = Workspace(spark, lambda: ws.flat)
+    try:
+        for name in ("missing_subreddit", "missing_subreddit_count", "posts_no_author",
+                     "posts_per_subreddit"):
+            QUERIES[f"docq_{name}"](own).collect()
+        assert set(own._paths) == {"flat", "doc_post_heads"}
+    finally:
+        own.close()
