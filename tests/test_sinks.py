@@ -202,3 +202,12 @@ def test_merging_into_an_empty_table(spark, ws):
     assert sinks.read_keyed(spark, path, rows.schema).collect() == []
     sinks.merge_into(spark, path, rows, ["k"], [F.col("v").asc()])
     assert sinks.read_keyed(spark, path, rows.schema).count() == 1
+
+
+def test_the_catalog_reads_the_stored_tables_themselves(ws):
+    from threadloom.plans.registry import QUERIES
+
+    files = QUERIES["src_catalog"](ws).inputFiles()
+    assert files and all(f"{ws.root}/source/" in f for f in files)
+    assert {f.split("/source/")[1].split("/")[0] for f in files} == {
+        "comments_raw", *schemas.RELATIONAL}
