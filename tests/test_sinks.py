@@ -204,6 +204,16 @@ def test_merging_into_an_empty_table(spark, ws):
     assert sinks.read_keyed(spark, path, rows.schema).count() == 1
 
 
+def test_judged_lines_are_stored_as_rows_or_as_text(spark, ws):
+    path, stored = ws.new_path("lines"), []
+    spark.createDataFrame([('{"id": "a"}',), ("no json",), ("null",)], "value string").write.text(path)
+    sources.checked_json(spark, path, lambda df: stored.append(ws.store(df)) or stored[-1])
+    assert sorted((r.row is None, r.line) for r in stored[0].collect() if r.line) == [
+        (True, "no json"), (True, "null")]
+    assert [r.row.id for r in stored[0].collect() if r.line is None] == ["a"]
+    assert stored[0].columns == ["row", "line"]
+
+
 def test_the_catalog_reads_the_stored_tables_themselves(ws):
     from threadloom.plans.registry import QUERIES
 

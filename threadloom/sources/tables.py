@@ -47,11 +47,14 @@ def checked_json(
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
     wanted = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
     lines = spark.read.text(path).filter(F.trim("value") != "")
-    parsed = store(lines.select("value", F.from_json("value", wanted, options).alias("row")))
+    parsed = lines.select("value", F.from_json("value", wanted, options).alias("row"))
     # A line `null` is parsed to no row at all.
     wrong = F.col("row").isNull() | F.col(f"row.{REJECTED}").isNotNull()
-    return (parsed.filter(~wrong).select("row.*").drop(REJECTED),
-            parsed.filter(wrong).select(F.col("value").alias("line")))
+    # Good lines are stored as rows and rejected ones as text, neither as both.
+    judged = store(parsed.select(
+        F.when(~wrong, F.col("row")).alias("row"), F.when(wrong, F.col("value")).alias("line")))
+    return (judged.filter(F.col("line").isNull()).select("row.*").drop(REJECTED),
+            judged.filter(F.col("line").isNotNull()).select("line"))
 
 
 def read_table(
