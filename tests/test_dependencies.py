@@ -117,3 +117,16 @@ def test_checks_use_hash_aggregates(ws):
         assert "HashAggregate" in plan
         if name != "fd_examples":  # lists of a few examples are collected there
             assert "SortAggregate" not in plan
+
+
+def test_columns_with_a_repeated_value_are_not_counted_whole(spark):
+    df = spark.sql("SELECT id, id % 5000 AS twice, if(id = 3, NULL, id) AS gap, concat('v', id) AS name,"
+                   " if(id = 9999, 0, id) AS once FROM range(10000)")
+    assert {"twice", "gap"} <= set(dependencies.not_unique(df)) <= {"twice", "gap", "once"}
+    found = dependencies.candidate_keys("t", df, ["id"])
+    assert [r.column_name for r in found.collect()] == ["name"]
+    assert "twice" not in found._jdf.queryExecution().optimizedPlan().toString()
+    none = dependencies.candidate_keys("t", df.select("id", "twice"), ["id"])
+    assert none.dtypes == found.dtypes and none.count() == 0
+    assert dependencies.candidate_keys("t", df.select("id"), ["id"]).count() == 0
+    assert dependencies.candidate_keys("t", df.filter("false"), ["id"]).count() == 0
