@@ -221,3 +221,9 @@ def test_the_catalog_reads_the_stored_tables_themselves(ws):
     assert files and all(f"{ws.root}/source/" in f for f in files)
     assert {f.split("/source/")[1].split("/")[0] for f in files} == {
         "comments_raw", *schemas.RELATIONAL}
+
+
+def test_copies_are_packed_as_working_tables_are(spark, ws):
+    path = ws.new_path("packed")
+    sinks.clustered(ws.relational["subreddit"], path, "subreddit_id")
+    assert all(f.endswith(".zstd.parquet") for f in spark.read.parquet(path).inputFiles())
