@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from threadloom.operators import dependencies
 
@@ -130,3 +131,30 @@ def test_columns_with_a_repeated_value_are_not_counted_whole(spark):
     assert none.dtypes == found.dtypes and none.count() == 0
     assert dependencies.candidate_keys("t", df.select("id"), ["id"]).count() == 0
     assert dependencies.candidate_keys("t", df.filter("false"), ["id"]).count() == 0
+
+
+def test_values_that_share_a_hash_are_still_told_apart(spark, random_table, monkeypatch):
+    rows, df = random_table
+    monkeypatch.setattr(dependencies, "_code", lambda df, column: F.lit(7))
+    for row in dependencies.check_each(df, "k", ["n", "one", "two"]).collect():
+        assert (row.holds, row.violations, row.total_groups) == brute(
+            rows, [0], [df.columns.index(row.dependent)])
+
+
+def test_few_repeated_determinants_among_many(spark):
+    rows = [(i, "a", None) for i in range(2000)] + [(7, "b", "x"), (8, "a", "x"), (None, "c", "y")]
+    df = spark.createDataFrame(rows, "k long, one string, two string")
+    assert dependencies._seldom_repeats(df.filter("k IS NOT NULL"), ["k"])
+    got = {r.dependent: r for r in dependencies.check_each(df, "k", ["one", "two"]).collect()}
+    for name, place in (("one", 1), ("two", 2)):
+        assert (got[name].holds, got[name].violations, got[name].total_groups) == brute(
+            rows, [0], [place])
+
+
+def test_a_determinant_is_shuffled_once_with_its_dependents(spark, capsys):
+    """Rows met their repeated values in a join, and distinct values were shuffled twice, before."""
+    df = spark.range(2000).selectExpr(
+        "string(id % 500) AS k", "string(id % 3) AS one", "string(id % 5) AS two")
+    dependencies.check_each(df, "k", ["one", "two"]).explain()
+    plan = capsys.readouterr().out
+    assert "Join" not in plan and "Expand" not in plan and plan.count("hashpartitioning") == 1

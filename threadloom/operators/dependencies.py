@@ -1,10 +1,12 @@
 """Functional dependencies: tests, examples, keys and uniqueness.
 
 X -> Y is violated in a group of equal X when Y takes two or more non-NULL
-values. Rows are counted per X first, which needs X alone; only groups of two or
-more rows are looked at further. There distinct values of each Y are counted.
-Both are hash aggregates that combine before the shuffle, so a group of any size
-costs one row per map task and value, and all answers are exact.
+values. Y is taken as a number, a hash if it is none, and its least and greatest
+are compared: a hash aggregate that combines before the shuffle, so a group of
+any size costs one row per map task. That no two values of Y share a hash is
+checked before; if they do, distinct values are counted. Where X seldom repeats,
+rows are counted per X first, which needs X alone, and only groups of two or more
+rows are looked at further. All answers are exact.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threadloom.session import store_shared
+
 # The dependencies that domain knowledge suggests.
 DOMAIN_DEPENDENCIES = [
     ("subreddit_id", "subreddit", "Subreddit ID determines subreddit name"),
@@ -34,6 +38,8 @@ DOMAIN_DEPENDENCIES = [
 REPORTED_UNIQUENESS = 0.9
 # Parts by hash that values fall into; one is looked at before all.
 SLICES = 64
+# Up to this share of rows that repeat a value, repeated values are looked up before other columns.
+SELDOM = 0.01
 
 
 def _present(determinant: Sequence[str]) -> Column:
@@ -42,26 +48,63 @@ def _present(determinant: Sequence[str]) -> Column:
 
 def _groups(df: DataFrame, determinant: Sequence[str]) -> DataFrame:
     """Rows per determinant value, from the determinant's columns alone."""
-    return df.filter(_present(determinant)).groupBy(*determinant).agg(
-        F.count(F.lit(1)).alias("_rows"))
+    return df.groupBy(*determinant).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def _spread(df: DataFrame, determinant: Sequence[str], dependents: Sequence[str]) -> DataFrame:
-    """Per determinant value of several rows, whether each dependent takes more than one value."""
-    repeated = _groups(df, determinant).filter(F.col("_rows") > 1).select(*determinant)
-    rows = df.select(*dict.fromkeys([*determinant, *dependents])).join(
-        repeated, list(determinant), "left_semi")
-    counted = rows.groupBy(*determinant).agg(
-        *[F.count_distinct(F.col(c)).alias(f"values_{i}") for i, c in enumerate(dependents)])
-    return counted.select(
-        *determinant,
-        *[(F.col(f"values_{i}") > 1).alias(f"bad_{i}") for i in range(len(dependents))])
+def _seldom_repeats(df: DataFrame, determinant: Sequence[str]) -> bool:
+    """Whether few rows repeat a determinant value, judged by one slice of the values.
+
+    It only chooses how groups are tested; either way the answer is exact.
+    """
+    sliced = df.filter(F.pmod(F.xxhash64(*determinant), F.lit(SLICES)) == 0)
+    rows, groups = _groups(sliced, determinant).agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)), F.count(F.lit(1))).first()
+    return rows - groups <= SELDOM * rows
 
 
-def _total(df: DataFrame, determinant: Sequence[str]) -> Column:
-    """The number of groups; it uses the counts, so that the same shuffle serves both."""
-    return _groups(df, determinant).agg(F.count_if(F.col("_rows") > 0)).scalar().alias(
-        "total_groups")
+def _code(df: DataFrame, column: str) -> Column:
+    """A number that is equal for equal values; integers stand for themselves."""
+    if isinstance(df.schema[column].dataType, T.IntegralType):
+        return F.col(column)
+    # The hash of a NULL would be a number.
+    return F.when(F.col(column).isNotNull(), F.xxhash64(column))
+
+
+def _told_apart(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether different values of each column have different codes."""
+    hashed = [c for c in columns if not isinstance(df.schema[c].dataType, T.IntegralType)]
+    parts = [
+        df.select(c).distinct().groupBy(_code(df, c).alias("code")).agg(
+            F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("n")
+        for c in hashed
+    ]
+    return not parts or reduce(DataFrame.unionByName, parts).isEmpty()
+
+
+def _spread(
+    df: DataFrame, determinant: Sequence[str], dependents: Sequence[str]
+) -> tuple[DataFrame, Column]:
+    """Per determinant value, whether each dependent takes more than one; and the number of groups.
+
+    Groups of one row may be missing from the first. Where values seldom repeat, only the determinant
+    is shuffled, and the rows of repeated values are looked at after that.
+    """
+    rows = df.select(*dict.fromkeys([*determinant, *dependents])).filter(_present(determinant))
+    total = F.count(F.lit(1))
+    if _seldom_repeats(rows, determinant):
+        repeated = store_shared(_groups(rows, determinant).filter(F.col("_rows") > 1))
+        more = repeated.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0))).scalar()
+        total = rows.agg(F.count(F.lit(1))).scalar() - more
+        rows = rows.join(repeated.select(*determinant), list(determinant), "left_semi")
+    if _told_apart(rows, dependents):
+        codes = rows.select(*determinant, *[
+            _code(rows, c).alias(f"code_{i}") for i, c in enumerate(dependents)])
+        bad = [F.min(f"code_{i}") < F.max(f"code_{i}") for i in range(len(dependents))]
+    else:
+        codes, bad = rows, [F.count_distinct(F.col(c)) > 1 for c in dependents]
+    spread = codes.groupBy(*determinant).agg(*[
+        F.coalesce(b, F.lit(False)).alias(f"bad_{i}") for i, b in enumerate(bad)])
+    return spread, total
 
 
 def check(df: DataFrame, determinant: Sequence[str], dependents: Sequence[str]) -> DataFrame:
@@ -70,10 +113,9 @@ def check(df: DataFrame, determinant: Sequence[str], dependents: Sequence[str])
     A group counts once however many dependents vary in it. Without any group
     the dependency is reported as not holding.
     """
-    spread = _spread(df, determinant, dependents)
+    spread, total = _spread(df, determinant, dependents)
     any_bad = reduce(lambda a, b: a | b, [F.col(f"bad_{i}") for i in range(len(dependents))])
-    counted = spread.agg(F.count_if(any_bad).alias("violations")).select(
-        "violations", _total(df, determinant))
+    counted = spread.agg(F.count_if(any_bad).alias("violations"), total.alias("total_groups"))
     return counted.select(
         F.lit(", ".join(determinant)).alias("determinant"),
         F.lit(", ".join(dependents)).alias("dependent"),
@@ -85,10 +127,11 @@ def check(df: DataFrame, determinant: Sequence[str], dependents: Sequence[str])
 
 def check_each(df: DataFrame, determinant: str, dependents: Sequence[str]) -> DataFrame:
     """X -> Y for every Y on its own: one row per dependent, one shuffle for all."""
-    spread = _spread(df, [determinant], dependents)
+    spread, total = _spread(df, [determinant], dependents)
     counted = spread.agg(
+        total.alias("total_groups"),
         *[F.count_if(F.col(f"bad_{i}")).alias(c) for i, c in enumerate(dependents)],
-    ).select(_total(df, [determinant]), *dependents)
+    )
     return counted.unpivot(
         ["total_groups"], list(dependents), "dependent", "violations"
     ).select(
@@ -107,7 +150,7 @@ def examples(
 
     As in the check, a group is represented by its first dependent that varies.
     """
-    spread = _spread(df, [determinant], dependents)
+    spread, _ = _spread(df, [determinant], dependents)
     first_bad = F.coalesce(*[F.when(F.col(f"bad_{i}"), c) for i, c in enumerate(dependents)])
     chosen = (
         spread.select(determinant, first_bad.alias("dependent_column"))
@@ -122,7 +165,7 @@ def examples_each(
     df: DataFrame, determinant: str, dependents: Sequence[str], groups: int = 3, values: int = 3
 ) -> DataFrame:
     """`examples` of X -> Y for every Y on its own, with one aggregate for all of them."""
-    spread = _spread(df, [determinant], dependents)
+    spread, _ = _spread(df, [determinant], dependents)
     varying = F.array_compact(F.array(*[
         F.when(F.col(f"bad_{i}"), c) for i, c in enumerate(dependents)
     ]))
