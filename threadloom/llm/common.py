@@ -43,10 +43,13 @@ def qualified(spark: SparkSession, path: str) -> str:
     return file_system.makeQualified(location).toString()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The same rows read back from a table in the shared folder: cuts lineage, survives executors."""
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """The same rows read back from a table in the shared folder: cuts lineage, survives executors.
+
+    `options` are those of the Parquet writer.
+    """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

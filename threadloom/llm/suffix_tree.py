@@ -52,6 +52,8 @@ HELD_COUNTS = 300_000
 BLOCK_TOKENS = 500_000
 BUCKET_TOKENS = 1_500_000
 BATCH_BYTES = 4_000_000
+# Of zstd, for positions.
+LEVEL = 3
 # Cells of 64 bits in which words are marked by their symbols.
 CELLS = 1 << 20
 # Symbols of words below KNOWN_SHARE begin here; the last number stands for nothing before a text.
@@ -59,7 +61,7 @@ RARE = 1 << 31
 NOTHING = (1 << 32) - 1
 
 ENCODED = ("row long, doc_id long, held_out boolean, n_tokens long, ids binary, "
-           "rare array<binary>, rare_symbols binary")
+           "rare array<binary>")
 DEALT = "bucket long, positions binary, texts binary"
 SUMS = "part long, positions binary, texts binary"
 SCORED = "row long, n_known long, n_rare long, base double, tree double"
@@ -153,7 +155,7 @@ def _encoder(shared):
         words = shared.value
         get, kind = words.ids.get, words.kind
         for batch in batches:
-            totals, ids, rare, symbols = [], [], [], []
+            totals, ids, rare = [], [], []
             for value in batch.column(3):
                 own = words_of(value.as_py())
                 numbers = [get(w, OTHER) for w in own]
@@ -163,13 +165,10 @@ def _encoder(shared):
                 ids.append(numbers.tobytes())
                 place = np.flatnonzero(numbers == OTHER)
                 rare.append([own[i] for i in place.tolist()])
-                symbols.append(np.array([RARE + crc32(w) % (RARE - 1) for w in rare[-1]], "<u4")
-                               .tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(totals, pa.int64()),
-                 pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary())),
-                 pa.array(symbols, pa.binary())],
-                names=["row", "doc_id", "held_out", "n_tokens", "ids", "rare", "rare_symbols"])
+                 pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary()))],
+                names=["row", "doc_id", "held_out", "n_tokens", "ids", "rare"])
 
     return encode
 
@@ -372,7 +371,8 @@ def _packed(columns: list[np.ndarray], kinds: list[str]) -> bytes:
     planes = b"".join(
         np.ascontiguousarray(c.astype(kind)).view(np.uint8).reshape(len(c), -1).T.tobytes()
         for c, kind in zip(columns, kinds))
-    return len(columns[0]).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+    codec = pa.Codec("zstd", compression_level=LEVEL)
+    return len(columns[0]).to_bytes(8, "little") + codec.compress(planes, asbytes=True)
 
 
 def _unpacked(parts: list[bytes], kinds: list[str]) -> list[np.ndarray]:
@@ -432,12 +432,13 @@ def _dealer(shared, buckets: int, depth: int):
         enough = words.counts >= LEAST_CONTEXT
         enough[OTHER] = True
         for (rows, held, rare), ids, start, text in _blocks(
-                batches, ["row", "held_out", "rare_symbols"], words.kind):
+                batches, ["row", "held_out", "rare"], words.kind):
             rows = rows.to_numpy()
             trained = ~held.to_numpy(zero_copy_only=False)
             ids = ids.astype(np.int64)
             other, own = ids == OTHER, ids.copy()
-            number = np.frombuffer(b"".join(rare.to_pylist()), "<u4").astype(np.int64)
+            number = np.array(
+                [RARE + crc32(w) % (RARE - 1) for w in rare.flatten().to_pylist()], np.int64)
             slot = number % (64 * CELLS)
             own[other] = np.where(frequent[slot >> 6] >> (slot & 63) & 1, number, NOTHING)
             past = _past(own, start, depth)
@@ -456,7 +457,8 @@ def _dealer(shared, buckets: int, depth: int):
                  np.bincount(text, np.where(cold, 0.0, logs), m)], TEXT_SUM)
             at = np.flatnonzero(cold)
             bucket = (key[at] % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((ids[at], newest[at], bucket))
+            # Sorted columns are packed best; the symbols of rare words are the widest.
+            order = np.lexsort((past[1][at], newest[at], bucket))
             at, bucket = at[order], bucket[order]
             edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
             numbers, packed, texts, size = [int(rows[0] % buckets)], [b""], [sums], 0
@@ -572,7 +574,8 @@ def scores(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     counts = word_counts(docs)
     words = known_words(counts)
     shared = spark.sparkContext.broadcast(words)
-    encoded = stored(_texts(docs).mapInArrow(_encoder(shared), ENCODED), "encoded")
+    encoded = stored(
+        _texts(docs).mapInArrow(_encoder(shared), ENCODED), "encoded", compression="zstd")
     tree = grow(encoded, words, depth)
     rare_words = counts.filter((F.col("c") < words.least_known) & (F.length("word") > 0))
     # Marks bound work only: positions after rarer words need not be dealt, as no context holds these.
@@ -580,7 +583,7 @@ def scores(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     model = spark.sparkContext.broadcast((replace(words, ids={}), tree, frequent))
     buckets = 1 + (encoded.agg(F.sum("n_tokens")).first()[0] or 0) // BUCKET_TOKENS
     scored = (
-        encoded.select("row", "held_out", "ids", "rare_symbols")
+        encoded.select("row", "held_out", "ids", "rare")
         .mapInArrow(_dealer(model, buckets, depth), DEALT)
         .groupBy("bucket").applyInArrow(_bucket_scorer(model, buckets), SUMS)
         .groupBy("part").applyInArrow(_sum_part, SCORED)
