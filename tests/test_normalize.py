@@ -119,3 +119,20 @@ def test_reference_checks_find_orphans(table_frame):
         "orphan_comments": 1, "orphan_comment_parents": 2, "orphan_moderations": 1,
     }
     assert checks.invalid_parents(tables, "t1_").first()[0] == 1
+
+
+def test_reject_counts_join_only_references_with_orphans(spark, capsys):
+    posts = spark.createDataFrame([("p1",), ("p1",), ("p2",)], "link_id string")
+    users = spark.createDataFrame([("u",)], "author string")
+    rows = [("1", "p1", "u"), ("2", "p9", "v"), ("3", "p2", "v"), ("4", None, "v"), (None, "p9", None),
+            ("5", "p2", None)]
+    comments = spark.createDataFrame(rows, "id string, link_id string, author string")
+    parents = {"post": posts, "users": users}
+    got = {tuple(r) for r in constraints.reject_counts({"comment": comments}, parents).collect()}
+    assert got == {("comment", "link_id not null", 1), ("comment", "id not null", 1),
+                   ("comment", "link_id references post", 1),
+                   ("comment", "author references users", 1)}
+    clean = comments.filter("id IN ('1', '5')")
+    capsys.readouterr()
+    constraints.reject_counts({"comment": clean}, parents).explain()
+    assert "Join" not in capsys.readouterr().out
