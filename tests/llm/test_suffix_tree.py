@@ -179,13 +179,13 @@ def test_empty_table(documents):
 def test_encoded_texts_are_stored_once_and_packed(spark, monkeypatch):
     """Symbols of rare words, which follow from the words, were stored beside them."""
     kept = {}
-    real = suffix_tree.stored
+    real = st.stored
 
     def stored(df, name, **options):
         kept[name] = (df.columns, options.get("compression"))
         return real(df, name, **options)
 
-    monkeypatch.setattr(suffix_tree, "stored", stored)
+    monkeypatch.setattr(st, "stored", stored)
     docs = spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string")
-    assert suffix_tree.scores(docs).count() == 2
+    assert st.scores(docs).count() == 2
     assert kept["encoded"] == (["row", "doc_id", "held_out", "n_tokens", "ids", "rare"], "zstd")
