@@ -1,3 +1,5 @@
+import time
+
 from threadloom import session
 
 
@@ -31,3 +33,23 @@ def test_tables_lie_in_the_shared_folder(spark, ws):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert ws.root.startswith(configured or "/tmp")
     assert session.path_bytes(spark, ws.path("subreddit")) > 0
+
+
+def test_shuffle_files_go_when_their_query_has_ended(spark, ws):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = disk.getAllBlocks()
+        names = (found.apply(i).name() for i in range(found.size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffled()
+    rows = spark.range(20_000).selectExpr("id % 700 AS k", "id AS v")
+    counts = rows.groupBy("k").count()
+    for run in (lambda: counts.write.parquet(ws.new_path("counts")), counts.collect, counts.collect):
+        run()
+        until = time.time() + 20
+        while (left := shuffled() - before) and time.time() < until:
+            time.sleep(0.2)
+        assert not left
+    assert {r[1] for r in counts.collect()} == {28, 29}
