@@ -227,3 +227,32 @@ def test_copies_are_packed_as_working_tables_are(spark, ws):
     path = ws.new_path("packed")
     sinks.clustered(ws.relational["subreddit"], path, "subreddit_id")
     assert all(f.endswith(".zstd.parquet") for f in spark.read.parquet(path).inputFiles())
+
+
+def test_stored_and_incoming_rows_compete_in_one_shuffle(spark, ws, monkeypatch):
+    """Keys come in repeatedly, NULLs and equal rows included; staged rows are copied as they lie."""
+    path, dealt = ws.new_path("dealt"), []
+    schema = "k string, v int"
+    rows = [(f"k{i}", i) for i in range(200)]
+    order = [F.col("v").asc_nulls_last()]
+    first = spark.createDataFrame([*rows, *[(k, v + 1) for k, v in rows], (None, 3), (None, 2)], schema)
+    sinks.merge_into(spark, path, first, ["k"], order, buckets=8, competing=True)
+    assert as_pairs(spark, path, schema) == sorted([*rows, (None, 2)], key=str)
+    before = files_of(path)
+    write = sinks._write_buckets
+    monkeypatch.setattr(sinks, "_write_buckets", lambda *a: dealt.append(a) or write(*a))
+    seen = spark.createDataFrame([("k5", 5), ("k6", 60), ("k7", None)], schema)
+    assert sinks.merge_into(spark, path, seen, ["k"], order, competing=True) == []
+    assert files_of(path) == before
+    more = spark.createDataFrame([("k5", -5), ("k5", -4), ("k9", 90), ("new", None)], schema)
+    touched = sinks.merge_into(spark, path, more, ["k"], order, competing=True)
+    after = files_of(path)
+    assert 1 <= len(touched) <= 2 and not dealt
+    assert {d for d in before if before[d] != after[d]} == {f"{sinks.BUCKET}8={b}" for b in touched}
+    want = {**dict(rows), None: 2, "k5": -5, "new": None}
+    assert as_pairs(spark, path, schema) == sorted(want.items(), key=str)
+
+
+def as_pairs(spark, path, schema):
+    empty = spark.createDataFrame([], schema)
+    return sorted(map(tuple, sinks.read_keyed(spark, path, empty.schema).collect()), key=str)

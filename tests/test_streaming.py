@@ -200,3 +200,47 @@ def test_merge_that_died_is_repeated_with_its_own_rows(spark, ws, flat_frame, ro
     flat = found[0].unionByName(found[1]).unionByName(found[2])
     want = documents.posts(flat, documents.first_comments(documents.comment_rows(flat)))
     assert rows_of(doc_load.collections(spark, writer.target)["posts"]) == rows_of(want)
+
+
+def test_first_load_stores_no_second_copy_of_its_rows(spark, ws, rows_of, monkeypatch):
+    """Waiting rows go straight into the tables, and comments by post are made from those."""
+    target, stored = ws.new_path("target"), []
+    store = doc_load.Writer._stored
+    monkeypatch.setattr(
+        doc_load.Writer, "_stored", lambda self, df, name: stored.append(name) or store(self, df, name))
+    doc_load.load_available(spark, ws.path("flat"), target, ws.new_path("progress"), files_per_batch=3)
+    assert stored == ["arrays"]
+    assert not any(files for _, _, files in os.walk(f"{target}/merging"))
+    got = doc_load.collections(spark, target)
+    for name in COLLECTIONS:
+        assert rows_of(got[name]) == rows_of(ws.collections[name])
+
+
+def test_load_that_died_after_its_first_comments_makes_their_arrays(
+        spark, ws, flat_frame, rows_of, monkeypatch):
+    writer, merge = doc_load.Writer(ws.new_path("died-first"), buckets=2), sinks.merge_into
+    rows = flat_frame(*[dict(id=f"c{i}", link_id=f"t3_{i % 3}", created_utc=1431000000 + i)
+                        for i in range(9)])
+    for name, kept in doc_load.KEPT.items():
+        writer.write(name)(doc_load.kept_rows(kept.found(rows), kept), 0)
+
+    def die(spark, path, *args, **kwargs):
+        if path.endswith("/by_post"):
+            raise RuntimeError("driver lost")
+        return merge(spark, path, *args, **kwargs)
+
+    monkeypatch.setattr(sinks, "merge_into", die)
+    with pytest.raises(RuntimeError):
+        writer.settle(spark)
+    assert sinks.bucket_column(spark, writer.path("comments"))
+    monkeypatch.setattr(sinks, "merge_into", merge)
+    want = documents.posts(rows, documents.first_comments(documents.comment_rows(rows)))
+    assert rows_of(doc_load.collections(spark, writer.target)["posts"]) == rows_of(want)
+
+
+def test_posts_with_some_fields_of_their_comments(loaded, rows_of):
+    some = loaded.posts(["id"])
+    assert some.schema["comments"].dataType.elementType.names == ["id"]
+    whole = loaded["posts"].withColumn("comments", documents.F.transform(
+        "comments", lambda c: documents.F.struct(c["id"].alias("id"))))
+    assert rows_of(some) == rows_of(whole)
