@@ -73,3 +73,25 @@ def test_rows_observed_twice_are_counted_from_the_files(spark, ws):
     path = ws.new_path("confirmed")
     spark.range(7).write.parquet(path)
     assert [jobs._confirmed(spark, path, n) for n in (7, 14)] == [7, 7]
+
+
+def test_projections_of_collections_are_not_stored_a_second_time(spark, ws, own, rows_of):
+    """Comments with repeated ids and NULL ids are merged as before."""
+    source, target, stored = ws.new_path("job-documents"), ws.new_path("job-back"), []
+    jobs.load_documents(own, source)
+    some = ws.collections["comments"].limit(40)
+    later = some.withColumn("body", F.lit("~ later"))
+    unknown = some.limit(2).withColumn("id", F.lit(None).cast("string"))
+    some.unionByName(later).unionByName(unknown).write.mode("overwrite").parquet(f"{source}/comments")
+
+    def store(df):
+        stored.append(df.columns)
+        return ws.store(df)
+
+    for run in (1, 2):
+        jobs.documents_to_relational(spark, source, target, store)
+        back = jobs.read_merged(spark, target, "comment")
+        known = back.filter(F.col("id").isNotNull())
+        assert known.count() == some.count() == known.select("id").distinct().count()
+        assert back.filter(F.col("id").isNull()).count() == run
+    assert not any("body" in columns or "gilded" in columns for columns in stored)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from threadloom import schemas
 from threadloom.operators import clean, dependencies, documents, mining, normalize, to_relational
 from threadloom.plans.workspace import Workspace
-from threadloom.session import path_exists
+from threadloom.session import path_bytes, path_exists
 from threadloom.sinks import reports, tables as sinks
 from threadloom.sources import tables as sources
 
@@ -63,17 +63,21 @@ def documents_to_relational(spark: SparkSession, source: str, target: str, store
     """
     read = {n: sources.read_documents(spark, n, f"{source}/{n}") for n in schemas.DOCUMENTS}
 
-    def merge(table: str, rows: DataFrame, update: list[str] | None = None) -> None:
+    def merge(table: str, rows: DataFrame, update: list[str] | None = None, whole: str | None = None
+              ) -> None:
         key = schemas.PRIMARY_KEYS[table]
         order = [F.col(c).asc_nulls_last() for c in rows.columns]
-        sinks.merge_into(spark, f"{target}/{table}", store(rows), key, order, update)
-
-    merge("users", to_relational.users(read["users"]))
-    merge("subreddit", to_relational.subreddit(read["subreddits"]))
-    merge("subreddit", to_relational.subreddit_from_posts(read["posts"]))
+        # Rows that are a whole collection under other names are about as large.
+        buckets = sinks.buckets_for(path_bytes(spark, f"{source}/{whole}")) if whole else None
+        sinks.merge_into(spark, f"{target}/{table}", rows, key, order, update, buckets=buckets)
+
+    # Projections of stored collections are read again, not stored a second time.
+    merge("users", to_relational.users(read["users"]), whole="users")
+    merge("subreddit", to_relational.subreddit(read["subreddits"]), whole="subreddits")
+    merge("subreddit", store(to_relational.subreddit_from_posts(read["posts"])))
     merge("post", to_relational.post(read["posts"]))
     merge("post_link", to_relational.post_link(read["posts"]), update=["retrieved_on"])
-    merge("comment", to_relational.comment(read["comments"]))
+    merge("comment", to_relational.comment(read["comments"]), whole="comments")
 
     root = f"{target}/moderation"
     fresh = store(to_relational.moderation(read["moderation"], store))
